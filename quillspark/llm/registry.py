@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .media import op8_media_columns
 from .token_counts import op2_token_counts
+from .trie_join import op3_jaccard_join
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_counts": op2_token_counts,
+        "op3_jaccard_join": op3_jaccard_join,
         "op8_media_columns": op8_media_columns,
     }
 
