@@ -67,6 +67,13 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     return mixed(out + np.uint64(n))
 
 
+def restored(kind: type, state: dict):
+    """An object of kind from its vars(), as broadcasts carry plain data."""
+    out = kind.__new__(kind)
+    vars(out).update(state)
+    return out
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of all texts; what numbers of blocks are derived from."""
     return df.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import op10_decontaminate
 from .media import op8_media_columns
+from .secrets import op4_secret_scans
 from .token_counts import op2_token_counts
 from .trie_join import op3_jaccard_join
 
@@ -15,7 +17,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_counts": op2_token_counts,
         "op3_jaccard_join": op3_jaccard_join,
+        "op4_secret_scans": op4_secret_scans,
         "op8_media_columns": op8_media_columns,
+        "op10_decontaminate": op10_decontaminate,
     }
 
 
