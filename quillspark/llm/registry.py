@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op10_decontaminate
+from .language import op9_language_id, page_language_id
 from .media import op8_media_columns
+from .packing import op7_best_fit_packing
 from .secrets import op4_secret_scans
 from .token_counts import op2_token_counts
 from .trie_join import op3_jaccard_join
@@ -18,8 +20,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_counts": op2_token_counts,
         "op3_jaccard_join": op3_jaccard_join,
         "op4_secret_scans": op4_secret_scans,
+        "op7_best_fit_packing": op7_best_fit_packing,
         "op8_media_columns": op8_media_columns,
+        "op9_language_id": op9_language_id,
         "op10_decontaminate": op10_decontaminate,
+        "page_language_id": page_language_id,
     }
 
 
