@@ -1,12 +1,62 @@
-"""Documents through language ID, near duplicates, decontamination, secrets and packing."""
+"""Documents through language ID, near duplicates, decontamination, secrets and packing.
+
+Each stage works on all that its predecessor kept and is written as Parquet in the shared folder, so a lost executor
+costs no more than the stage at work. All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillspark.llm import decontaminate, language, packing, secrets, trie_join
+from quillspark.llm.common import cut, read, table_path
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can't be told go."""
+    rejected = cut(language.identify_documents(docs).where(~F.col("accepted")).select("doc_id").distinct())
+    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by near copies the one with the smallest doc_id stays. Rows without a doc_id stay."""
+    classes = trie_join.jaccard_classes(docs)
+    goes = cut(classes.where("doc_id <> component_id").select("doc_id").distinct())
+    kept = docs.join(goes, "doc_id", "left_anti").select(docs.columns)
+    repeated = cut(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of a test item go."""
+    return decontaminate.drop_leaks(docs, read(spark, sf_dir, "benchmark")).select(docs.columns)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; its secrets are masked, and n_chars follows."""
+    rest = [c for c in docs.columns if c != "text"]
+    out = secrets.redact(docs.select(F.struct(*rest).alias("row"), "text"), "row", "text").select("row.*", "text")
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes."""
+    return packing.pack(docs, packing.n_words(F.col("text")) + 1)
 
-from quillspark.llm.common import read, table_path
 
-STAGES: list = []
+STAGES = [
+    ("language_id", identify_language),
+    ("near_duplicates", keep_one_of_each_group),
+    ("decontamination", drop_benchmark_leaks),
+    ("secrets", mask_secrets),
+    ("packing", pack_sequences),
+]
 #: SQL can't express these stages; tests/llm compares them with brute force.
 ORACLE_SQL = None
 

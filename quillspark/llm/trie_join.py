@@ -158,7 +158,7 @@ def _grouped(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     placed = cut(sets.select("iid", "block", "n", F.size("tokens").alias("held"), F.floor(F.log(F.col("n").cast("double")) / float(np.log(BAND))).cast("int").alias("band")))
     size = cut(placed.groupBy("block").agg(F.sum("held").alias("all_held")))
     total = size.agg(F.sum("all_held").alias("n")).first()["n"] or 0
-    packs = max(1, int(total / (GROUP / 8)))
+    packs = max(1, int(total / (GROUP / 64)))
     placed = placed.join(size, "block")
     whole = placed.where(F.col("all_held") <= GROUP).select("iid", "block", F.pmod(F.xxhash64("block"), F.lit(packs)).alias("pack"), F.lit(-9).alias("band"), F.lit(0).alias("i"), F.lit(0).alias("j"))
     split = placed.where(F.col("all_held") > GROUP).withColumn("band", F.explode(F.array("band", F.col("band") - 1)))
