@@ -1,9 +1,10 @@
 """Corpus counts of hashed items, joined back to the rows that hold them, with little shuffle.
 
 Rows are dealt into batches of bounded size. Each batch sends its distinct hashes with their local counts to hash
-ranges ("buckets") as packed arrays, a bucket sums them, and returns to each batch the items whose total reaches
-`least`. So an item of which each third row has one crosses the shuffle once per batch, not once per row, and a count
-table is never in one place. The rows' own exchange is the same for both passes and is reused.
+ranges ("buckets") as packed arrays, and a bucket sums them. To each batch it returns the sums alone, in the order in
+which the batch sent the hashes; the batch makes its hashes again and so knows whose they are. An item of which each
+third row has one crosses the shuffle once per batch, not once per row, and a count table is never in one place. The
+rows' own exchange is the same for both passes and is reused.
 """
 
 from __future__ import annotations
@@ -48,24 +49,19 @@ def _emit(extract: Callable[[pa.Table], np.ndarray], buckets: int) -> Callable[[
     return emit
 
 
-def _sum(least: int) -> Callable[[pa.Table], pa.Table]:
-    def total(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x.as_py(), "<u8") for x in table.column("hashes")]
-        local = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("counts")])
-        found, place = np.unique(np.concatenate(parts), return_inverse=True)
-        totals = np.bincount(place, weights=local, minlength=len(found)).astype("<u8")
-        out: list[list] = [[], [], [], []]
-        bucket, end = table.column("bucket")[0].as_py(), 0
-        for batch, own in zip(table.column("batch").to_pylist(), parts, strict=True):
-            sums = totals[place[end : end + len(own)]]
-            end += len(own)
-            keep = sums >= least
-            if keep.any():
-                for column, x in zip(out, (bucket, batch, own[keep].tobytes(), sums[keep].tobytes()), strict=True):
-                    column.append(x)
-        return _rows(out, _BLOBS)
+_SUMS = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("n", pa.int64()), ("sums", pa.binary())])
+SUMS = "bucket int, batch int, n long, sums binary"
 
-    return total
+
+def _sum(table: pa.Table) -> pa.Table:
+    parts = [np.frombuffer(x.as_py(), "<u8") for x in table.column("hashes")]
+    local = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("counts")])
+    found, place = np.unique(np.concatenate(parts), return_inverse=True)
+    totals = np.bincount(place, weights=local, minlength=len(found)).astype("<u8")
+    ends = np.cumsum([len(x) for x in parts])
+    sums = (totals.astype("<u4") if totals.max() < 1 << 32 else totals)[place]
+    own = [sums[e - len(x) : e].tobytes() for e, x in zip(ends, parts, strict=True)]
+    return _rows([table.column("bucket").to_pylist(), table.column("batch").to_pylist(), [len(x) for x in parts], own], _SUMS)
 
 
 def count_join(
@@ -83,13 +79,15 @@ def count_join(
     key deals the rows into batches: it should differ for nearly all rows."""
     dealt = rows.withColumn("batch", F.pmod(F.xxhash64(key), F.lit(batches)).cast("int")).repartition(batches, "batch")
     blobs = dealt.groupBy("batch").applyInArrow(_emit(extract, buckets), BLOBS)
-    totals = blobs.groupBy("bucket").applyInArrow(_sum(least), BLOBS)
+    totals = blobs.groupBy("bucket").applyInArrow(_sum, SUMS)
 
     def end(left: pa.Table, right: pa.Table) -> pa.Table:
-        hashes = np.concatenate([np.empty(0, "<u8"), *(np.frombuffer(x.as_py(), "<u8") for x in right.column("hashes"))])
-        sums = np.concatenate([np.empty(0, "<u8"), *(np.frombuffer(x.as_py(), "<u8") for x in right.column("counts"))])
-        order = np.argsort(hashes)
-        return finish(left, hashes[order], sums[order])
+        hashes, _ = extract(left)
+        order = np.argsort(right.column("bucket").to_numpy())
+        n, packed = right.column("n").to_pylist(), right.column("sums").to_pylist()
+        sums = np.concatenate([np.empty(0, "<u8"), *(np.frombuffer(packed[i], f"<u{len(packed[i]) // n[i]}") for i in order)])
+        keep = sums >= least
+        return finish(left, hashes[keep], sums[keep])
 
     return dealt.groupBy("batch").cogroup(totals.groupBy("batch")).applyInArrow(end, schema)
 
