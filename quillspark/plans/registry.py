@@ -5,15 +5,744 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import geometry as GEO
+from ..functions import lexicon as L
+from ..functions import text as T
+from ..operators import batches as B
+from ..operators import candidates as C
+from ..operators import groups as G
+from ..operators import margins as M
+from ..operators import ocr as O
+from ..operators import quality as Q
+from ..operators import receipts as X
+from ..operators import regions as V
+from ..operators import requirements as R
+from ..streaming import progress as P
+from . import render as D
+from . import sqltext as S
+from .flows import Flow, flat
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Callable[[Flow], DataFrame]], Callable[[Flow], DataFrame]]:
+    """Registers a query over a flow; arrays of its result become text, joined by bars."""
+
+    def add(make: Callable[[Flow], DataFrame]) -> Callable[[Flow], DataFrame]:
+        QUERIES[name] = lambda spark, sf_dir: flat(make(Flow(spark, sf_dir)))
+        if sql:
+            SQL[name] = sql
+        return make
+
+    return add
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Pages to evidence groups: one row a group."""
+    return QUERIES["evidence_groups"](spark, sf_dir)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return SQL
+
+
+# Sources, margins and text
+
+
+@query("source_pages", f"WITH {S.PAGES} SELECT source_id, pdf_page, doc_id, length(text) AS chars FROM pages")
+def _(f: Flow) -> DataFrame:
+    return f.pages.select("source_id", "pdf_page", "doc_id", F.length("text").alias("chars"))
+
+
+@query("page_blocks", f"WITH {S.RAW} SELECT source_id, pdf_page, block_index, block FROM raw_blocks")
+def _(f: Flow) -> DataFrame:
+    return f.raw_blocks
+
+
+@query("repeated_margin_lines", f"WITH {S.REPEATED} SELECT source_id, line_key, n_pages FROM repeated")
+def _(f: Flow) -> DataFrame:
+    return f.repeated
+
+
+@query("margin_cleaned_blocks", f"WITH {S.BLOCKS} SELECT source_id, pdf_page, block_index, block FROM blocks")
+def _(f: Flow) -> DataFrame:
+    return f.blocks
+
+
+@query("text_fingerprints", f"SELECT doc_id, sha256({S.clean('text')}) AS clean_sha256, sha256({S.key('text')}) AS key_sha256, sha256(text) AS text_sha256 FROM documents")
+def _(f: Flow) -> DataFrame:
+    text = F.col("text")
+    return f.table("documents").select("doc_id", F.sha2(T.clean_text(text), 256).alias("clean_sha256"), F.sha2(T.semantic_key(text), 256).alias("key_sha256"), F.sha2(text, 256).alias("text_sha256"))
+
+
+@query("unicode_keys", f"SELECT doc_id, sha256({S.key('nfc_normalize(text)')}) AS key_sha256 FROM documents")
+def _(f: Flow) -> DataFrame:
+    """Keys after compatibility composition, which changes none of these texts."""
+    return f.table("documents").select("doc_id", F.sha2(T.semantic_key(T.nfkc("text")), 256).alias("key_sha256"))
+
+
+@query("content_addressed", "SELECT sha256(text) AS sha256, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    """Identical uploads once."""
+    return f.table("documents").groupBy(F.sha2("text", 256).alias("sha256")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+
+
+@query(
+    "text_scalars",
+    rf"""SELECT doc_id, coalesce(len(regexp_extract_all(regexp_replace(text, '[\x{{C0}}-\x{{24F}}]', 'a', 'g'), '\b[A-Z][A-Z0-9+./_-]{{1,14}}\b')), 0) AS capitals, CAST(regexp_extract_all(text, '(?i)PDF\s*(\d+)', 1) AS INT[]) IS NOT NULL AS has_list,
+    (length(regexp_replace(text, '\s+', '', 'g')) >= 4 AND regexp_matches(text, '[\x{{3400}}-\x{{9fff}}A-Za-z0-9]')) AS usable,
+    array_to_string(list_transform(list_filter(list_transform(string_split(source || '、b, c／' || lang, '、'), lambda x: {S.strip('x')}), lambda x: x <> ''), lambda x: x), '#') AS parts,
+    'sys-' || lpad(CAST(list_sum(list_transform(generate_series(1, length(source)), lambda i: i * unicode(substring(source, i, 1)))) % 1000003 AS VARCHAR), 6, '0') AS slug,
+    replace(replace(replace(replace(replace(substring(text, 1, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS escaped FROM documents""",
+)
+def _(f: Flow) -> DataFrame:
+    text = F.col("text")
+    tokens = F.array_join(F.filter(F.transform(F.split(F.concat("source", F.lit("、b, c／"), "lang"), "、"), T.strip), lambda x: x != ""), "#")
+    return f.table("documents").select(
+        "doc_id", F.size(F.regexp_extract_all("text", F.lit(r"(\b[A-Z][A-Z0-9+./_-]{1,14}\b)"), F.lit(1))).alias("capitals"), T.pdf_pages(text).isNotNull().alias("has_list"), T.ocr_usable(text, F.lit(0)).alias("usable"),
+        tokens.alias("parts"), T.slug(F.col("source")).alias("slug"), T.html_escape(F.substring("text", 1, 200)).alias("escaped"),
+    )
+
+
+@query(
+    "printed_page_candidates",
+    rf"SELECT o_orderkey, CAST(list_filter(list_transform(string_split(t, chr(10))[1:8], lambda x: {S.strip('x')}), lambda x: regexp_matches(x, '^\d{{1,3}}$'))[1] AS INT) AS printed_page FROM (SELECT o_orderkey, o_orderstatus || chr(10) || ' ' || (o_custkey % 1500) || ' ' || chr(10) || o_orderpriority || chr(10) || (o_orderkey % 7) AS t FROM orders)",
+)
+def _(f: Flow) -> DataFrame:
+    text = F.concat(F.col("o_orderstatus"), F.lit("\n "), (F.col("o_custkey") % 1500).cast("string"), F.lit(" \n"), F.col("o_orderpriority"), F.lit("\n"), (F.col("o_orderkey") % 7).cast("string"))
+    return f.table("orders").select("o_orderkey", T.printed_page(text).alias("printed_page"))
+
+
+@query(
+    "visible_page_text",
+    r"""SELECT page_id, sha256(regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>|&\w+;|&#\d+;', ' ', 'g')) AS text_sha256 FROM pages""",
+)
+def _(f: Flow) -> DataFrame:
+    pattern = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>|&\w+;|&#\d+;"
+    return f.table("pages").select("page_id", F.sha2(F.regexp_replace("html", pattern, " "), 256).alias("text_sha256"))
+
+
+@query("diagnostics", """SELECT event_id, CASE WHEN event_type = 'error' THEN 'E_MEMORY' WHEN event_type = 'purchase' THEN 'E_PERMISSION' WHEN event_type = 'signup' THEN 'E_NETWORK' WHEN event_type = 'view' AND value > 50 THEN 'E_PDF_INVALID' WHEN user_id % 5 = 0 THEN 'E_DISK_SPACE' ELSE 'E_RUNTIME' END AS code,
+  CASE WHEN event_type IN ('error', 'purchase', 'signup') THEN true WHEN event_type = 'view' AND value > 50 THEN false ELSE user_id % 5 = 0 END AS fatal,
+  'DOC_ERR|' || event_type || '|a/b ' || user_id || '|retry' AS line FROM events""")
+def _(f: Flow) -> DataFrame:
+    kind = F.when(F.col("event_type") == "error", "MemoryError").otherwise("RuntimeError")
+    message = F.when(F.col("event_type") == "signup", "connection reset").when((F.col("event_type") == "view") & (F.col("value") > 50), "Invalid PDF file").otherwise("failed")
+    win, errno = F.when(F.col("event_type") == "purchase", 5), F.when((F.col("user_id") % 5 == 0) & ~((F.col("event_type") == "view") & (F.col("value") > 50)) & (F.col("event_type") != "signup"), 28)
+    rows = f.table("events").withColumn("code", T.diagnostic_code(kind, message, win, errno))
+    line = T.diagnostic_line(F.col("event_type"), F.concat(F.lit("a|b "), F.col("user_id").cast("string")), F.lit("retry"))
+    return rows.select("event_id", "code", T.is_fatal(F.col("code")).alias("fatal"), line.alias("line")).where(T.parse_diagnostic(F.col("line")).isNotNull())
+
+
+# Lexicon, headings, chunks, candidates
+
+
+@query(
+    "lexicon_hints",
+    f"WITH {S.BLOCKS}, b AS (SELECT *, {S.key('block')} AS k FROM blocks) SELECT source_id, pdf_page, block_index, {S.joined(S.categories('k', L.LATIN.systems))} AS systems, {S.joined(S.matched('k', S._SYSTEMS))} AS terms, {S.joined(S.categories('k', L.LATIN.capabilities))} AS axes, {S.joined(S.categories('k', L.LATIN.spaces))} AS spaces, {S.joined(S.listed(S.obligations('block', 'k')))} AS obligations FROM b",
+)
+def _(f: Flow) -> DataFrame:
+    k, lex = F.col("k"), f.lex
+    rows = f.blocks.withColumn("k", T.semantic_key(F.col("block")))
+    return rows.select("source_id", "pdf_page", "block_index", L.categories(k, lex.systems).alias("systems"), L.system_terms(k, lex).alias("terms"), L.categories(k, lex.capabilities).alias("axes"), L.categories(k, lex.spaces).alias("spaces"), L.obligations(F.col("block"), k, lex).alias("obligations"))
+
+
+@query("lexicon_table_join", f"WITH {S.BLOCKS}, b AS (SELECT *, {S.key('block')} AS k FROM blocks) SELECT source_id, pdf_page, block_index, {S.joined(S.categories('k', L.LATIN.systems))} AS categories FROM b")
+def _(f: Flow) -> DataFrame:
+    """The same hints with the lexicon as a table."""
+    rows = f.blocks.select("source_id", "pdf_page", "block_index", T.semantic_key(F.col("block")).alias("k"))
+    lexicon = L.lexicon_rows(f.spark, f.lex.systems).select("category", "category_ord", "term_key")
+    return L.match_table(rows, "k", lexicon, ["source_id", "pdf_page", "block_index"]).drop("k")
+
+
+@query("heading_candidates", f"WITH {S.BLOCKS} SELECT source_id, pdf_page, block_index, block FROM blocks WHERE {S.is_heading('block')}")
+def _(f: Flow) -> DataFrame:
+    return f.blocks.where(C.is_heading(F.col("block"), f.lex))
+
+
+@query("context_headings", f"WITH {S.HEADINGS} SELECT source_id, pdf_page, block_index, heading, heading_basis FROM named")
+def _(f: Flow) -> DataFrame:
+    return f.headings
+
+
+@query("page_headings", f"WITH {S.HEADINGS} SELECT source_id, pdf_page, coalesce(arg_max(h, block_index) FILTER (h IS NOT NULL), 'PDF page ' || pdf_page) AS heading, CASE WHEN count(h) > 0 THEN 'preceding_heading' ELSE 'page_fallback' END AS heading_basis FROM heads GROUP BY source_id, pdf_page")
+def _(f: Flow) -> DataFrame:
+    return f.page_headings
+
+
+@query("chunks", f"WITH {S.CHUNKS} SELECT source_id, pdf_page, block_index, chunk_index, chunk, {S.NAV} AS is_navigation FROM chunks")
+def _(f: Flow) -> DataFrame:
+    return f.chunks
+
+
+@query("dynamic_terms", f"WITH {S.TERMS} SELECT source_id, term, n FROM terms")
+def _(f: Flow) -> DataFrame:
+    return f.terms
+
+
+@query(
+    "term_page_index",
+    f"WITH {S.TERMS}, hits AS (SELECT DISTINCT t.source_id, t.term, t.source_id || '-P' || lpad(c.pdf_page::VARCHAR, 4, '0') AS page_id FROM terms t JOIN chunks c ON c.source_id = t.source_id AND contains({S.key('c.chunk')}, {S.key('t.term')}) AND NOT {S.NAV}) SELECT t.source_id, 'TERM-' || lpad((row_number() OVER (PARTITION BY t.source_id ORDER BY t.term))::VARCHAR, 4, '0') AS term_id, t.term, coalesce(p, '') AS source_page_ids FROM terms t LEFT JOIN (SELECT source_id, term, string_agg(page_id, '|' ORDER BY page_id) AS p FROM hits GROUP BY 1, 2) h ON h.source_id = t.source_id AND h.term = t.term",
+)
+def _(f: Flow) -> DataFrame:
+    return C.term_pages(f.chunks, f.terms)
+
+
+_CAND = "source_id, pdf_page, block_index, chunk_index, candidate_id, sequence_on_page"
+
+
+@query("candidates", f"WITH {S.ENRICHED} SELECT {_CAND}, score, {S.joined('system_hints')} AS system_hints, {S.joined('business_axes')} AS business_axes, {S.joined('matched_terms')} AS matched_terms, coalesce(system_hints[1], 'general') AS topic_hint FROM candidates")
+def _(f: Flow) -> DataFrame:
+    return f.candidates.select(*_CAND.split(", "), "score", "system_hints", "business_axes", "matched_terms", "topic_hint")
+
+
+@query("signal_flags", f"WITH {S.ENRICHED} SELECT {_CAND}, {S.joined('signal_flags')} AS signal_flags, {S.joined('obligation_terms')} AS obligation_terms FROM candidates")
+def _(f: Flow) -> DataFrame:
+    return f.candidates.select(*_CAND.split(", "), "signal_flags", "obligation_terms")
+
+
+@query("neighbors", f"WITH {S.ENRICHED} SELECT source_id, candidate_id, concat_ws('|', lag(candidate_id) OVER w, lead(candidate_id) OVER w) AS neighbor_candidate_ids FROM candidates WINDOW w AS (PARTITION BY source_id, pdf_page ORDER BY serial)")
+def _(f: Flow) -> DataFrame:
+    return f.candidates.select("source_id", "candidate_id", "neighbor_candidate_ids")
+
+
+@query(
+    "claims",
+    f"WITH {S.ENRICHED} SELECT source_id, 'CLM-' || lpad(serial::VARCHAR, 5, '0') AS claim_id, chunk AS neutral_fact, heading AS context_heading, heading_basis AS context_heading_basis, {S.joined('system_hints')} AS system_hints, CASE WHEN len(system_hints) > 0 THEN 'inferred' ELSE 'none' END AS system_hint_basis, {S.joined('space_hints')} AS space_hints, CASE WHEN len(direct) > 0 THEN 'explicit' WHEN len(inherited) > 0 THEN 'inherited' ELSE 'none' END AS space_hint_basis, 'sentence' AS source_shape, CASE WHEN len(system_hints) >= 3 THEN 'mixed_topics' ELSE '' END AS text_quality_flags, {S.joined('business_axes')} AS business_basis_hints, 'EV-' || lpad(serial::VARCHAR, 5, '0') AS evidence_ids FROM candidates",
+)
+def _(f: Flow) -> DataFrame:
+    return C.claims(f.candidates)
+
+
+@query("evidence", f"WITH {S.ENRICHED} SELECT source_id, 'EV-' || lpad(serial::VARCHAR, 5, '0') AS evidence_id, 'CLM-' || lpad(serial::VARCHAR, 5, '0') AS claim_id, pdf_page, pdf_page::VARCHAR AS printed_page, heading AS section, heading_basis AS section_basis, chunk AS quote, 'source' AS origin_kind FROM candidates")
+def _(f: Flow) -> DataFrame:
+    return C.evidence(f.candidates)
+
+
+@query("preservation_terms")
+def _(f: Flow) -> DataFrame:
+    return f.candidates.select("source_id", "candidate_id", "preservation_terms")
+
+
+@query(
+    "page_records",
+    f"WITH {S.ENRICHED}, ids AS (SELECT source_id, pdf_page, string_agg(candidate_id, '|' ORDER BY serial) AS candidate_ids FROM candidates GROUP BY 1, 2), txt AS (SELECT source_id, pdf_page, string_agg(block, chr(10) ORDER BY block_index) AS t FROM blocks GROUP BY 1, 2) SELECT p.source_id || '-P' || lpad(p.pdf_page::VARCHAR, 4, '0') AS page_id, p.source_id, p.pdf_page, CASE WHEN candidate_ids IS NOT NULL THEN 'candidate' WHEN t IS NULL THEN 'unreadable' ELSE 'excluded' END AS status, CASE WHEN t IS NULL THEN 'unreadable' ELSE 'native_complete' END AS coverage_status, sha256(coalesce(t, '')) AS fingerprint, coalesce(candidate_ids, '') AS candidate_ids FROM pages p LEFT JOIN ids USING (source_id, pdf_page) LEFT JOIN txt USING (source_id, pdf_page)",
+)
+def _(f: Flow) -> DataFrame:
+    return f.page_records.select("page_id", "source_id", "pdf_page", "status", "coverage_status", "fingerprint", "candidate_ids")
+
+
+@query("page_issues")
+def _(f: Flow) -> DataFrame:
+    return C.issues(f.page_records)
+
+
+@query(
+    "extraction_summary",
+    f"WITH {S.ENRICHED}, c AS (SELECT source_id, count(*) AS n, count(DISTINCT pdf_page) AS cp FROM candidates GROUP BY 1), t AS (SELECT source_id, count(DISTINCT pdf_page) AS tp FROM blocks GROUP BY 1) SELECT p.source_id, count(*) AS page_count, any_value(coalesce(cp, 0)) AS candidate_page_count, count(*) - any_value(coalesce(tp, 0)) AS unreadable_page_count, 0::BIGINT AS visual_pending_page_count, any_value(coalesce(n, 0)) AS candidate_count FROM pages p LEFT JOIN c USING (source_id) LEFT JOIN t USING (source_id) GROUP BY p.source_id",
+)
+def _(f: Flow) -> DataFrame:
+    return C.summary(f.page_records, f.candidates)
+
+
+# Records, groups, batches
+
+
+@query("candidate_records", f"WITH {S.RECORDS} SELECT source_id, record_no, ord, quote, {S.joined('candidate_ids')} AS candidate_ids, {S.joined('pdf_pages')} AS pdf_pages FROM records")
+def _(f: Flow) -> DataFrame:
+    return f.records.select("source_id", "record_no", "ord", "quote", "candidate_ids", "pdf_pages")
+
+
+@query("evidence_groups", f"WITH RECURSIVE {S.GROUPS} SELECT source_id, group_no, 'EGRP-' || lpad(group_no::VARCHAR, 4, '0') AS evidence_group_id, ids AS route_candidate_ids, CAST(last - first + 1 AS INT) AS n_segments FROM groups")
+def _(f: Flow) -> DataFrame:
+    return f.groups.select("source_id", "group_no", "evidence_group_id", "route_candidate_ids", F.size("segments").alias("n_segments"))
+
+
+@query("group_context", f"WITH RECURSIVE {S.GROUPS} SELECT g.source_id, group_no, coalesce(sha256(a.quote), '') AS leading, coalesce(sha256(b.quote), '') AS trailing FROM groups g LEFT JOIN records a ON a.source_id = g.source_id AND a.record_no = g.first - 1 LEFT JOIN records b ON b.source_id = g.source_id AND b.record_no = g.last + 1")
+def _(f: Flow) -> DataFrame:
+    sha = lambda c: F.coalesce(F.sha2(F.col(c), 256), F.lit(""))
+    return f.groups.select("source_id", "group_no", sha("leading_context.quote").alias("leading"), sha("trailing_context.quote").alias("trailing"))
+
+
+_BATCHES = f"""{S.GROUPS},
+sized AS (SELECT source_id, group_no AS i, chars FROM groups),
+pack AS (SELECT source_id, i, 1 AS b, chars AS c, 1 AS n FROM sized WHERE i = 1 UNION ALL SELECT s.source_id, s.i, CASE WHEN p.n + 1 > 12 OR p.c + s.chars > 28000 THEN p.b + 1 ELSE p.b END, CASE WHEN p.n + 1 > 12 OR p.c + s.chars > 28000 THEN s.chars ELSE p.c + s.chars END, CASE WHEN p.n + 1 > 12 OR p.c + s.chars > 28000 THEN 1 ELSE p.n + 1 END FROM pack p JOIN sized s ON s.source_id = p.source_id AND s.i = p.i + 1)"""
+
+
+def _sized(f: Flow) -> DataFrame:
+    chars = F.aggregate("segments", F.lit(0).cast("long"), lambda a, s: a + F.length(s["quote"]))
+    return f.groups.select("source_id", "group_no", "evidence_group_id", "pdf_pages", chars.alias("chars"))
+
+
+@query("screening_batches", f"WITH RECURSIVE {_BATCHES} SELECT source_id, 'SB-' || lpad(b::VARCHAR, 3, '0') AS batch_id, string_agg('EGRP-' || lpad(i::VARCHAR, 4, '0'), '|' ORDER BY i) AS evidence_group_ids, CAST(sum(s.chars) AS BIGINT) AS source_chars FROM pack JOIN sized s USING (source_id, i) GROUP BY 1, b")
+def _(f: Flow) -> DataFrame:
+    return G.screening_batches(_sized(f)).drop("pdf_pages")
+
+
+@query("group_outline")
+def _(f: Flow) -> DataFrame:
+    return G.outline(f.groups)
+
+
+@query("rendered_groups")
+def _(f: Flow) -> DataFrame:
+    return D.rendered_groups(f.groups).select("source_id", "evidence_group_id", "chars", "markdown")
+
+
+def _sources(f: Flow) -> DataFrame:
+    rows = f.pages.groupBy("source_id").agg(F.count("*").alias("page_count"))
+    return rows.select("source_id", F.concat("source_id", F.lit(".pdf")).alias("name"), F.sha2("source_id", 256).alias("sha256"), "page_count")
+
+
+@query("dossiers")
+def _(f: Flow) -> DataFrame:
+    return D.dossier(D.rendered_groups(f.groups), _sources(f)).select("source_id", F.length("text").alias("chars"), F.sha2("text", 256).alias("sha256"))
+
+
+def _screened(f: Flow) -> tuple[DataFrame, DataFrame]:
+    """Batches by rendered size, and results that hold their markers and groups; of each third source one is damaged."""
+    rendered = D.rendered_groups(f.groups)
+    batches = G.screening_batches(rendered.select("source_id", "group_no", "evidence_group_id", "pdf_pages", "chars"))
+    return batches, D.screening_sources(rendered, batches).select("source_id", "batch_id", F.concat("markers", F.lit("\n"), "text").alias("text"), "markers")
+
+
+_BAD = "CAST(substr(source_id, 4) AS INT) % 4"
+
+
+@query("screening_errors", f"WITH {S.PAGES} SELECT DISTINCT source_id, 'SB-001' AS batch_id, CASE {_BAD} WHEN 1 THEN 'missing screening result' WHEN 2 THEN 'marker missing or duplicated' ELSE 'reviewed page marker mismatch' END AS rule FROM pages WHERE {_BAD} > 0")
+def _(f: Flow) -> DataFrame:
+    batches, results = _screened(f)
+    kind, first = F.substring("source_id", 4, 9).cast("int") % 4, F.col("batch_id") == "SB-001"
+    results = results.where(~(first & (kind == 1))).withColumn("text", F.when(first & (kind == 2), F.concat("markers", "text")).when(first & (kind == 3), F.replace("markers", F.lit("reviewed-pages:"), F.lit("reviewed-pages:1,"))).otherwise(F.col("markers")))
+    return X.screening_errors(batches, results, ["source_id", "batch_id"])
+
+
+@query("stage_receipts", f"WITH {S.ENRICHED}, n AS (SELECT source_id, count(*) AS c FROM candidates GROUP BY 1) SELECT source_id, true AS candidates_kept, 'ok' AS gate FROM n")
+def _(f: Flow) -> DataFrame:
+    """Receipts of complete sources pass the gate, and hold every candidate once."""
+    batches, results = _screened(f)
+    package = D.screened_package(results.select("source_id", "batch_id", F.regexp_replace("text", r"(?s)^(.*?groups:[^>]*-->\n).*?(## )", "$1$2").alias("text")), _sources(f))
+    sources = _sources(f).select("source_id", F.col("name").alias("source_name"), F.col("sha256").alias("source_sha256"), F.col("page_count").alias("pdf_page_count"), F.ceil(F.col("page_count") / 25).alias("extraction_batch_count"))
+    made = X.receipts(batches, package, sources)
+    rows = made.select("source_id", F.col("source_name").alias("master_file"), F.col("source_sha256").alias("master_sha256"), F.struct("*").alias("r")).join(package, "source_id")
+    failed = X.gate_errors(rows, ["source_id"])
+    n = f.candidates.groupBy("source_id").agg(F.count("*").alias("c"))
+    return made.join(n, "source_id").join(failed, "source_id", "left").select("source_id", (F.col("retained_candidate_id_count") == F.col("c")).alias("candidates_kept"), F.coalesce("rule", F.lit("ok")).alias("gate"))
+
+
+@query("page_batches", f"WITH {S.PAGES}, s AS (SELECT source_id, count(*) AS n FROM pages GROUP BY 1), k AS (SELECT source_id, n, unnest(range(0, CAST(ceil(n / 25.0) AS BIGINT))) AS k FROM s) SELECT source_id, 'B' || lpad((k + 1)::VARCHAR, 2, '0') AS batch_id, CAST(k * 25 + 1 AS INT) AS page_start, CAST(least(n, k * 25 + 25) AS INT) AS page_end, CAST(k * 25 AS INT) AS page_offset FROM k")
+def _(f: Flow) -> DataFrame:
+    return B.page_batches(_sources(f).select("source_id", "page_count"))
+
+
+@query("bisected_batches", f"WITH {S.PAGES}, s AS (SELECT source_id, count(*) AS n FROM pages GROUP BY 1), k AS (SELECT source_id, n, unnest(range(0, CAST(ceil(n / 25.0) AS BIGINT))) AS k FROM s), b AS (SELECT source_id, k, 'B' || lpad((k + 1)::VARCHAR, 2, '0') AS id, k * 25 + 1 AS a, least(n, k * 25 + 25) AS z FROM k) SELECT source_id, id AS batch_id, CAST(a AS INT) AS page_start, CAST(z AS INT) AS page_end, (k = 1 AND a = z) AS terminal FROM b WHERE k <> 1 OR a = z UNION ALL SELECT source_id, id || 'A', CAST(a AS INT), CAST((a + z) // 2 AS INT), false FROM b WHERE k = 1 AND a < z UNION ALL SELECT source_id, id || 'B', CAST((a + z) // 2 + 1 AS INT), CAST(z AS INT), false FROM b WHERE k = 1 AND a < z")
+def _(f: Flow) -> DataFrame:
+    batches = B.page_batches(_sources(f).select("source_id", "page_count"))
+    return B.bisected(batches, batches.where("batch_id = 'B02'").select("source_id", "batch_id"))
+
+
+@query("page_coverage_check", "SELECT l_orderkey, count(*) AS page_count, (count(*) = count(DISTINCT l_linenumber) AND min(l_linenumber) = 1 AND max(l_linenumber) = count(*)) AS complete FROM lineitem GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    return B.contiguous(f.table("lineitem"), ["l_orderkey"], "l_linenumber")
+
+
+def _by_batch(f: Flow) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Packs of 25 pages of one source, each with serials of its own."""
+    rows = f.candidates.where("source_id = 'src0'").withColumn("batch_ord", F.floor((F.col("pdf_page") - 1) / 25).cast("int"))
+    from pyspark.sql import Window
+
+    own = F.row_number().over(Window.partitionBy("batch_ord").orderBy("serial"))
+    old = F.min("serial").over(Window.partitionBy("batch_ord"))
+    rows = rows.withColumn("position", own).withColumn("old", old)
+    local = lambda p, s: F.format_string(f"{p}-%05d", s)
+    near = F.transform("neighbor_candidate_ids", lambda x: F.format_string("CAND-%05d", F.substring(x, 6, 9).cast("long") - F.col("old") + 1))
+    cands = rows.select("batch_ord", "position", local("CAND", "position").alias("candidate_id"), local("CLM", "position").alias("claim_id"), near.alias("neighbor_candidate_ids"), "chunk")
+    claims = rows.select("batch_ord", local("CLM", "position").alias("claim_id"), F.col("chunk").alias("neutral_fact"))
+    evidence = rows.select("batch_ord", local("EV", "position").alias("evidence_id"), local("CLM", "position").alias("claim_id"), F.col("chunk").alias("quote"))
+    return cands, claims, evidence
+
+
+@query("merged_batches", f"WITH {S.ENRICHED} SELECT candidate_id, 'CLM-' || substr(candidate_id, 6) AS claim_id, 'EV-' || substr(candidate_id, 6) AS evidence_id, concat_ws('|', lag(candidate_id) OVER w, lead(candidate_id) OVER w) AS neighbor_candidate_ids, chunk AS quote FROM candidates WHERE source_id = 'src0' WINDOW w AS (PARTITION BY source_id, pdf_page ORDER BY serial)")
+def _(f: Flow) -> DataFrame:
+    c, _, e = B.merged(*_by_batch(f))
+    return c.join(e.select("claim_id", "evidence_id", "quote"), "claim_id").select("candidate_id", "claim_id", "evidence_id", "neighbor_candidate_ids", "quote")
+
+
+@query("incomplete_chains", "SELECT 0 AS batch_ord, 'x' AS candidate_id WHERE false")
+def _(f: Flow) -> DataFrame:
+    return B.incomplete_chains(*_by_batch(f)).select("batch_ord", "candidate_id")
+
+
+@query("merged_terms")
+def _(f: Flow) -> DataFrame:
+    return B.merged_terms(C.term_pages(f.chunks, f.terms))
+
+
+# Page readings
+
+
+_CLEAN = "array_to_string(list_filter(ls, lambda x, i: x <> '' AND (i = 1 OR x <> ls[i - 1])), chr(10))"
+_JUNK = r"[&%$#*]+"
+_SCORE = """round_even(readable / length(c) * 70.0 + least(12.0, log10(greatest(readable, 1)) * 4.0) + least(len(regexp_extract_all(t, '(?m)^(#{1,6}\\s|[-*]\\s|\\|)')), 20) * 0.25 + least(len(regexp_extract_all(t, '[。；：!?！？]')), 30) * 0.15 - len(regexp_extract_all(t, '[、，。,.()（）\\[\\]{}]{4,}')) * 8.0 - len(regexp_extract_all(t, '�')) * 20.0, 3)"""
+
+
+def _readings(f: Flow) -> DataFrame:
+    """The raw text as the primary reading; the text without runs of junk signs as the second."""
+    text = F.col("text")
+    reasons = Q.review_reasons(text, F.length(text), fragment=r"([&%$#*]{3,}\s*){3,}")
+    return f.pages.select("source_id", "pdf_page", text.alias("primary"), F.when(text.rlike(_JUNK), F.regexp_replace(text, _JUNK, "")).alias("alternate"), reasons.alias("review_reasons"), (F.col("doc_id") % 40).cast("int").alias("printed_page_candidate"))
+
+
+@query("review_reasons", rf"SELECT doc_id, concat_ws('|', CASE WHEN length(text) < 200 THEN 'low_native_text' END, CASE WHEN length({S.strip('text')}) < 150 THEN 'short_pdf_aware_output' END, CASE WHEN contains(text, '�') THEN 'replacement_character' END, CASE WHEN regexp_matches(text, '(、\s*){{3,}}|([，。]\s*){{4,}}') THEN 'probable_fragment' END) AS review_reasons FROM documents")
+def _(f: Flow) -> DataFrame:
+    return f.table("documents").select("doc_id", Q.review_reasons(F.col("text"), F.length("text")).alias("review_reasons"))
+
+
+@query(
+    "page_quality",
+    rf"WITH b AS (SELECT doc_id, text AS t, regexp_replace(text, '\s+', '', 'g') AS c FROM documents), r AS (SELECT *, len(regexp_extract_all(c, '[0-9A-Za-z\x{{3400}}-\x{{9fff}}]')) AS readable FROM b) SELECT doc_id, readable, CAST({_SCORE} AS DOUBLE) AS score FROM r WHERE length(c) > 0",
+)
+def _(f: Flow) -> DataFrame:
+    rows = f.table("documents").select("doc_id", F.regexp_count(Q.compact(F.col("text")), F.lit(f"[0-9A-Za-z{T.CJK}]")).alias("readable"), Q.quality_score(F.col("text")).alias("score"))
+    return rows.where("score is not null")
+
+
+@query("canonical_pages")
+def _(f: Flow) -> DataFrame:
+    return Q.canonical(_readings(f)).select("source_id", "pdf_page", "canonical_source", "pdf_aware_score", "full_page_score", F.sha2("canonical_text", 256).alias("text_sha256"))
+
+
+@query("canonical_summary", rf"WITH {S.PAGES} SELECT source_id, count(*) AS pages, count(*) FILTER (regexp_matches(text, '{_JUNK}')) AS alternates FROM pages GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    return Q.canonical(_readings(f)).groupBy("source_id").agg(F.count("*").alias("pages"), F.count("full_page_score").alias("alternates"))
+
+
+@query("consecutive_duplicates", f"WITH {S.RAW}, b AS (SELECT *, lag(block) OVER (PARTITION BY source_id, pdf_page ORDER BY block_index) AS before FROM raw_blocks) SELECT source_id, pdf_page, block_index, block FROM b WHERE block = before")
+def _(f: Flow) -> DataFrame:
+    return Q.consecutive_duplicates(f.raw_blocks)
+
+
+@query("deduplicated_lines", f"WITH {S.RAW}, b AS (SELECT *, lag(block) OVER (PARTITION BY source_id, pdf_page ORDER BY block_index) AS before FROM raw_blocks) SELECT source_id, pdf_page, count(*) AS n, sha256(string_agg(block, chr(10) ORDER BY block_index)) AS text_sha256 FROM b WHERE before IS NULL OR block <> before GROUP BY 1, 2")
+def _(f: Flow) -> DataFrame:
+    """The fold over a page's lines; equal to dropping each line that repeats the one before."""
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_index", "block"))), lambda x: x["block"]), "\n")
+    rows = f.raw_blocks.groupBy("source_id", "pdf_page").agg(lines.alias("t")).withColumn("kept", Q.cleaned_lines(F.col("t"), ()))
+    return rows.select("source_id", "pdf_page", F.size("kept").cast("long").alias("n"), F.sha2(F.array_join("kept", "\n"), 256).alias("text_sha256"))
+
+
+@query("coverage_report", f"WITH {S.PAGES} SELECT source_id, count(*) AS expected_pages, coalesce(string_agg(pdf_page::VARCHAR, '|' ORDER BY pdf_page) FILTER (length(text) < 150), '') AS missing_pages, coalesce(string_agg(pdf_page::VARCHAR, '|' ORDER BY pdf_page) FILTER (doc_id % 10 = 0), '') AS missing_page_markers, coalesce(string_agg(pdf_page::VARCHAR, '|' ORDER BY pdf_page) FILTER (doc_id % 10 = 0 AND doc_id % 3 = 0), '') AS missing_review_page_markers, (count(*) FILTER (length(text) < 150 OR doc_id % 10 = 0)) = 0 AS pass FROM pages GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    p = f.pages
+    expected = p.groupBy("source_id").agg(F.lit(1).cast("long").alias("page_start"), F.max("pdf_page").cast("long").alias("page_end"))
+    return Q.coverage(expected, p.where(F.length("text") >= 150), p.where("doc_id % 10 <> 0"), p.where("doc_id % 3 = 0"), ["source_id", "pdf_page"])
+
+
+@query("page_documents", f"WITH {S.PAGES} SELECT source_id, sha256(string_agg('<!-- source_pdf_page: ' || pdf_page || ' -->' || chr(10) || '<!-- printed_page: ' || (doc_id % 40) || ' -->' || chr(10) || chr(10) || text || chr(10), chr(10) ORDER BY pdf_page)) AS text_sha256, count(*) AS pages FROM pages GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    return D.page_document(_readings(f), "primary").select("source_id", F.sha2("text", 256).alias("text_sha256"), "pages")
+
+
+def _documents(f: Flow) -> DataFrame:
+    rows = f.table("documents").groupBy("source", "lang").agg(F.count("*").alias("source_total_pages"), F.sha2(F.min("text"), 256).alias("source_sha256"))
+    return rows.select(F.col("source").alias("package_id"), F.col("lang").alias("ord"), F.concat_ws("-", "lang", F.substring("source_sha256", 1, 16)).alias("document_id"), F.when(F.col("lang") == "en", "primary_requirements").otherwise("review_comments").alias("role"), F.concat("lang", F.lit("`.pdf")).alias("original_name"), "source_total_pages", "source_sha256", F.col("source_sha256").alias("text"))
+
+
+_DOCS = "d AS (SELECT source, lang, count(*) AS n, sha256(min(text)) AS h, CASE WHEN lang = 'en' THEN 'primary_requirements' ELSE 'review_comments' END AS role FROM documents GROUP BY 1, 2)"
+
+
+@query("document_packages", rf"WITH {_DOCS} SELECT source AS package_id, count(*) AS document_count, CAST(sum(n) AS BIGINT) AS total_pages, sha256(string_agg('# ' || lang || '\`.pdf' || chr(10) || chr(10) || '- document_id: ' || lang || '-' || h[1:16] || chr(10) || '- role: ' || role || chr(10) || chr(10) || '<!-- document_start: ' || lang || '-' || h[1:16] || ' -->' || chr(10) || chr(10) || h || chr(10) || '<!-- document_end: ' || lang || '-' || h[1:16] || ' -->' || chr(10), chr(10) ORDER BY lang)) AS text_sha256 FROM d GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    return D.package(_documents(f)).select("package_id", "document_count", "total_pages", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("package_ids", f"WITH {_DOCS} SELECT source AS key, sha256(string_agg(role || ':' || h, '|' ORDER BY lang))[1:16] AS package_id FROM d GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    return D.package_ids(_documents(f).withColumnRenamed("package_id", "key"), "key")
+
+
+@query("governed_documents", f"WITH {_DOCS} SELECT source AS key, lang, role FROM d WHERE role = 'primary_requirements' OR NOT EXISTS (SELECT 1 FROM d e WHERE e.source = d.source AND e.role = 'primary_requirements')")
+def _(f: Flow) -> DataFrame:
+    return R.governed(_documents(f).select(F.col("package_id").alias("key"), F.col("ord").alias("lang"), "role"))
+
+
+# Recognition and regions
+
+
+@query("recognised_text", "SELECT l_orderkey, string_agg(line, chr(10) ORDER BY first) AS text, sum(cw) / sum(w) AS mean_confidence FROM (SELECT l_orderkey, l_returnflag, min(l_linenumber) AS first, string_agg(tok, ' ' ORDER BY l_linenumber) AS line, sum(conf * w) AS cw, sum(w) AS w FROM (SELECT l_orderkey, l_returnflag, l_linenumber, l_returnflag || l_linestatus || l_partkey AS tok, length(l_returnflag || l_linestatus || l_partkey) AS w, l_quantity AS conf FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) AS k FROM lineitem) WHERE k = 1) GROUP BY 1, 2) GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    first = f.table("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")).alias("x")).select("l_orderkey", "l_linenumber", "x.*")
+    tokens = first.select("l_orderkey", F.col("l_linenumber").alias("ord"), F.lit(5).alias("level"), F.lit(1).alias("page_num"), F.lit(1).alias("block_num"), F.lit(1).alias("par_num"), F.ascii("l_returnflag").alias("line_num"), F.col("l_quantity").alias("conf"), F.concat("l_returnflag", "l_linestatus", F.col("l_partkey").cast("string")).alias("text"))
+    return O.recognised(tokens, ["l_orderkey"])
+
+
+@query("best_attempts", "WITH a AS (SELECT o_orderkey, 1 AS attempt, o_orderstatus || 'abc' AS t, CAST(o_custkey % 100 AS DOUBLE) AS conf FROM orders UNION ALL SELECT o_orderkey, 2, o_orderpriority, CAST(o_orderkey % 100 AS DOUBLE) FROM orders WHERE o_orderkey % 3 > 0), s AS (SELECT *, length(t) >= 4 AS usable, length(t) >= 4 AND conf >= 72 AS accepted FROM a) SELECT o_orderkey, attempt, t AS text, conf AS mean_confidence, usable, accepted, CASE WHEN accepted THEN 'read' ELSE 'pending' END AS status FROM s QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY (accepted AND attempt = 1) DESC, accepted DESC, usable DESC, conf DESC, length(t) DESC, attempt) = 1")
+def _(f: Flow) -> DataFrame:
+    o = f.table("orders")
+    first = o.select("o_orderkey", F.lit(1).alias("attempt"), F.concat("o_orderstatus", F.lit("abc")).alias("text"), (F.col("o_custkey") % 100).cast("double").alias("mean_confidence"))
+    second = o.where("o_orderkey % 3 > 0").select("o_orderkey", F.lit(2).alias("attempt"), F.col("o_orderpriority").alias("text"), (F.col("o_orderkey") % 100).cast("double").alias("mean_confidence"))
+    return O.best_attempts(first.unionByName(second).withColumn("image_count", F.lit(1)), ["o_orderkey"])
+
+
+def _regions(f: Flow) -> DataFrame:
+    """One open region on each page that is a multiple of five."""
+    p = f.pages.where("pdf_page % 5 = 0")
+    none = lambda t: F.lit(None).cast(t)
+    return p.select(F.format_string("VR-%s-P%04d-001", "source_id", F.col("pdf_page")).alias("region_id"), F.format_string("%s-P%04d", "source_id", F.col("pdf_page")).alias("page_id"), "source_id", F.col("pdf_page").cast("int").alias("pdf_page"), F.lit(1).alias("image_count"), F.lit("h").alias("context_heading"), F.lit("page_heading").alias("context_heading_basis"), F.lit("pending").alias("status"), F.lit("").alias("transcribed_text"), none("string").alias("ocr_draft"), F.lit("unknown").alias("confidence"), none("double").alias("mean_confidence"), none("string").alias("engine"))
+
+
+def _transcribed(f: Flow) -> DataFrame:
+    """Readings of three of four regions: read, unreadable, or too short to be used."""
+    kind = (F.col("pdf_page") / 5).cast("int") % 4
+    rows = _regions(f).select("region_id", F.lit(1).alias("ord"), kind.alias("k"), "pdf_page")
+    status = F.when(F.col("k") == 2, "unreadable").otherwise("read")
+    return rows.where("k < 3").select("region_id", "ord", status.alias("status"), F.when(F.col("k") == 0, F.concat(F.lit("transcribed page "), F.col("pdf_page").cast("string"))).when(F.col("k") == 1, "ab").otherwise("").alias("text"), F.lit("high").alias("confidence"), F.lit(90.0).alias("mean_confidence"), F.lit("tesseract").alias("engine"))
+
+
+_REG = f"{S.PAGES}, reg AS (SELECT source_id, pdf_page, CAST(pdf_page / 5 AS INT) % 4 AS k, source_id || '-P' || lpad(pdf_page::VARCHAR, 4, '0') AS page_id FROM pages WHERE pdf_page % 5 = 0)"
+
+
+@query("merged_regions", f"WITH {_REG} SELECT 'VR-' || page_id || '-001' AS region_id, CASE k WHEN 0 THEN 'read' WHEN 2 THEN 'unreadable' ELSE 'pending' END AS status, CASE k WHEN 0 THEN 'transcribed page ' || pdf_page ELSE '' END AS transcribed_text, CASE k WHEN 1 THEN 'ab' ELSE '' END AS ocr_draft FROM reg")
+def _(f: Flow) -> DataFrame:
+    return O.merge_regions(_regions(f), _transcribed(f)).select("region_id", "status", "transcribed_text", F.coalesce("ocr_draft", F.lit("")).alias("ocr_draft"))
+
+
+@query("late_chunks", f"WITH {_REG} SELECT page_id, 'transcribed page ' || pdf_page AS chunk, 'ocr_fragment' AS text_quality_flags FROM reg WHERE k = 0")
+def _(f: Flow) -> DataFrame:
+    known = f.candidates.select("page_id", F.col("chunk").alias("quote"))
+    return O.late_chunks(O.merge_regions(_regions(f), _transcribed(f)), known, f.lex).select("page_id", "chunk", "text_quality_flags")
+
+
+@query("merged_page_status", f"WITH {_REG} SELECT page_id, CASE WHEN k IN (1, 3) THEN 'pending' ELSE 'excluded' END AS status, CASE WHEN k IN (1, 3) THEN 'visual_pending' WHEN k = 2 THEN 'partial_unreadable' ELSE 'hybrid_complete' END AS coverage_status, CASE WHEN k IN (1, 3) THEN 'f' ELSE sha256('f' || chr(10) || CASE WHEN k = 0 THEN 'transcribed page ' || pdf_page ELSE '' END) END AS fingerprint FROM reg")
+def _(f: Flow) -> DataFrame:
+    regions = O.merge_regions(_regions(f), _transcribed(f))
+    pages = regions.select("page_id", F.array().cast("array<string>").alias("candidate_ids"), F.lit(True).alias("native_text_present"), F.lit("f").alias("fingerprint"))
+    return O.page_status(pages, regions).select("page_id", "status", "coverage_status", "fingerprint")
+
+
+@query("region_issues", f"WITH {_REG} SELECT 'ISSUE-VISUAL-VR-' || page_id || '-001' AS issue_id, page_id AS page_ids FROM reg WHERE k = 2")
+def _(f: Flow) -> DataFrame:
+    regions = O.merge_regions(_regions(f), _transcribed(f))
+    return O.region_issues(regions, regions).select("issue_id", "page_ids")
+
+
+@query("visual_audit", f"WITH {_REG} SELECT source_id, count(*) AS region_count, count(*) FILTER (k IN (0, 2)) AS resolved_region_count, coalesce(string_agg('VR-' || page_id || '-001', '|' ORDER BY page_id) FILTER (k IN (1, 3)), '') AS pending_region_ids FROM reg GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    return O.audit(O.merge_regions(_regions(f), _transcribed(f)))
+
+
+@query("invalid_transcriptions", f"WITH {_REG} SELECT 'VR-' || page_id || '-001' AS region_id, CASE k WHEN 0 THEN 'invalid status' WHEN 1 THEN 'skipped without a review note' END AS rule FROM reg WHERE k IN (0, 1) UNION ALL SELECT 'nowhere', 'unknown visual region'")
+def _(f: Flow) -> DataFrame:
+    kind = (F.col("pdf_page") / 5).cast("int") % 4
+    regions = _regions(f)
+    records = regions.select("region_id", F.when(kind == 0, "odd").when(kind == 1, "skipped_non_text").otherwise("unreadable").alias("status"), F.lit("model_vision").alias("engine"), F.lit("short").alias("review_note"))
+    extra = f.spark.createDataFrame([("nowhere", "pending", "x", "y")], "region_id string, status string, engine string, review_note string")
+    return O.invalid_transcriptions(records.unionByName(extra), regions, regions)
+
+
+def _boxes(f: Flow) -> DataFrame:
+    e = F.col("embedding")
+    x, y = F.abs(e[0]).cast("double") * 400, F.lit(70.0) + F.abs(e[1]).cast("double") * 500
+    box = GEO.rect(x, y, x + 20 + F.abs(e[2]).cast("double") * 200, y + 8 + F.abs(e[3]).cast("double") * 12)
+    return f.table("embeddings").select(F.lit("e").alias("source_id"), F.col("label").alias("pdf_page"), F.col("vec_id").alias("image_id"), box.alias("box"), F.lit(600.0).alias("page_width"), F.lit(900.0).alias("page_height"), F.lit(40).alias("pixel_width"), F.lit(30).alias("pixel_height"))
+
+
+_BOX = "b AS (SELECT vec_id, label, x, y, x + 20 + abs(embedding[3])::DOUBLE * 200 AS x1, y + 8 + abs(embedding[4])::DOUBLE * 12 AS y1 FROM (SELECT *, abs(embedding[1])::DOUBLE * 400 AS x, 70.0::DOUBLE + abs(embedding[2])::DOUBLE * 500 AS y FROM embeddings))"
+
+
+@query("vertical_groups", f"WITH {_BOX}, r AS (SELECT *, max(y1) OVER (PARTITION BY label ORDER BY y, x, vec_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low FROM b) SELECT label AS pdf_page, vec_id AS image_id, CAST(sum(CASE WHEN low IS NULL OR y - low > 2 THEN 1 ELSE 0 END) OVER (PARTITION BY label ORDER BY y, x, vec_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS grp FROM r")
+def _(f: Flow) -> DataFrame:
+    return V.vertical_groups(_boxes(f), ["pdf_page"], 2.0).select("pdf_page", "image_id", "grp")
+
+
+@query("uncovered_boxes", f"WITH {_BOX} SELECT vec_id AS image_id FROM b WHERE vec_id % 2 = 0 AND NOT EXISTS (SELECT 1 FROM b n WHERE n.vec_id % 2 = 1 AND n.label = b.label AND greatest(0, least(b.x1, n.x1) - greatest(b.x, n.x)) * greatest(0, least(b.y1, n.y1) - greatest(b.y, n.y)) / ((b.x1 - b.x) * (b.y1 - b.y)) >= 0.45)")
+def _(f: Flow) -> DataFrame:
+    boxes = _boxes(f)
+    return V.uncovered(boxes.where("image_id % 2 = 0"), boxes.where("image_id % 2 = 1"), ["pdf_page"]).select("image_id")
+
+
+@query("visual_regions")
+def _(f: Flow) -> DataFrame:
+    boxes = _boxes(f)
+    return V.detect(boxes.where("image_id % 2 = 0"), boxes.where("image_id % 2 = 1"))
+
+
+# Requirements
+
+
+@query("requirement_tree", f'WITH {S.REQ} SELECT system, "group", CASE WHEN grouping(system) = 1 THEN 0 WHEN grouping("group") = 1 THEN 1 ELSE 2 END AS level, count(*) AS n, min(ord) AS first_ord FROM req GROUP BY ROLLUP (system, "group")')
+def _(f: Flow) -> DataFrame:
+    return R.tree_counts(f.requirements)
+
+
+@query("requirement_details", f"""WITH {S.REQ} SELECT requirement_id, r.system, r."group", CASE WHEN n_nationkey % 2 = 0 THEN 'topic focus ' || n_name ELSE 'focus of region ' || r_regionkey END AS design_focus, concat_ws('；', 'drawings', CASE WHEN r_regionkey % 2 = 0 THEN 'plans' END) AS deliverables FROM req r JOIN nation ON n_name = r."group" JOIN region ON r_name = r.system""")
+def _(f: Flow) -> DataFrame:
+    return R.details(f.requirements, f.system_guidance, f.topic_guidance).select("requirement_id", "system", "group", "design_focus", "deliverables")
+
+
+@query("filtered_requirements", f"WITH {S.REQ} SELECT requirement_id FROM req WHERE contains(lower(text || ' ' || system || ' ' || \"group\" || ' ' || space), 'customer') AND system = 'ASIA' AND space = 'BUILDING' AND status = '來源明示'")
+def _(f: Flow) -> DataFrame:
+    return R.filtered(f.requirements, "Customer", "ASIA", "BUILDING", "來源明示").select("requirement_id")
+
+
+@query("requirement_options", f"WITH {S.REQ} SELECT DISTINCT space FROM req")
+def _(f: Flow) -> DataFrame:
+    return R.options(f.requirements, "space")
+
+
+@query("requirement_errors", f"""WITH {S.REQ}, t AS (SELECT DISTINCT system, "group" FROM req) SELECT 'm' AS doc, 'short system deliverables' AS rule, r_name AS key FROM region WHERE r_regionkey % 2 = 1 AND r_name IN (SELECT system FROM req)
+  UNION ALL SELECT 'm', 'short topic design focus', r_name || ' / ' || n_name FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey % 2 = 1 AND (r_name, n_name) IN (SELECT system, "group" FROM t)""")
+def _(f: Flow) -> DataFrame:
+    doc = lambda df: df.withColumn("doc", F.lit("m"))
+    empty = f.spark.createDataFrame([], "doc string, review_id string, impact string, reviewer string, source string, quote string")
+    project = f.spark.createDataFrame([("m",)], "doc string")
+    return R.validate({"requirements": doc(f.requirements), "reviews": empty, "project": project, "system_guidance": doc(f.system_guidance), "topic_guidance": doc(f.topic_guidance)})
+
+
+def _master(f: Flow) -> DataFrame:
+    """A master document for each region, as Markdown."""
+    item = F.concat(F.lit("- ["), "requirement_id", F.lit("] "), "text", F.lit("\n  - 空間："), "space", F.lit("\n  - 狀態："), "status", F.lit("\n  - 來源："), "source", F.lit("\n  - 原文："), "quote")
+    topics = f.requirements.withColumn("item", item).groupBy("system", "group").agg(D.joined("item", "ord").alias("items")).join(f.topic_guidance, ["system", "group"])
+    part = F.concat(F.lit("#### "), "group", F.lit("\n\n- 主題說明："), "summary", F.lit("\n- 主題設計重點："), "design_focus", F.lit("\n\n"), "items", F.lit("\n"))
+    body = topics.withColumn("part", part).groupBy("system").agg(D.joined("part", "group").alias("body")).join(f.system_guidance, "system")
+    text = F.concat(F.lit("# "), "system", F.lit(" | master\n\n- 來源文件："), "system", F.lit(".pdf\n\n## 專案摘要\n\n- one line\n\n## 需求樹\n\n### "), "system", F.lit("\n\n- 系統摘要："), "summary", F.lit("\n- 系統設計重點："), "design_focus", F.lit("\n\n"), "body")
+    return body.select(F.col("system").alias("doc"), text.alias("text"))
+
+
+@query("parsed_requirements", f'WITH {S.REQ} SELECT system AS doc, requirement_id, text, system, "group", space, status, source, quote FROM req')
+def _(f: Flow) -> DataFrame:
+    return R.parse_master(_master(f))["requirements"].drop("ord")
+
+
+@query("parsed_guidance", f"""WITH {S.REQ} SELECT DISTINCT system AS doc, system, '' AS "group", 'summary of ' || system AS summary, 'focus of region ' || r_regionkey AS design_focus FROM req JOIN region ON r_name = system
+  UNION ALL SELECT DISTINCT system, system, "group", 'about ' || "group", CASE WHEN n_nationkey % 2 = 0 THEN 'topic focus ' || n_name ELSE '' END FROM req JOIN nation ON n_name = "group" """)
+def _(f: Flow) -> DataFrame:
+    tables = R.parse_master(_master(f))
+    return tables["system_guidance"].select("doc", "system", F.lit("").alias("group"), "summary", "design_focus").unionByName(tables["topic_guidance"].select("doc", "system", "group", "summary", "design_focus"))
+
+
+@query("requirement_outline", f"""WITH {S.REQ}, t AS (SELECT system, "group", min(ord) AS o, '#### ' || "group" || chr(10) || chr(10) || string_agg('- ' || text, chr(10) ORDER BY ord) || chr(10) AS part FROM req GROUP BY 1, 2), s AS (SELECT min(o) AS o, '### ' || system || chr(10) || chr(10) || string_agg(part, chr(10) ORDER BY o) AS part FROM t GROUP BY system) SELECT sha256('# project' || chr(10) || chr(10) || '## 需求樹' || chr(10) || chr(10) || string_agg(part, chr(10) ORDER BY o)) AS text_sha256 FROM s""")
+def _(f: Flow) -> DataFrame:
+    return D.tree_text(f.requirements, "project").select(F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("requirement_tree_html")
+def _(f: Flow) -> DataFrame:
+    return D.tree_html(f.requirements, f.system_guidance, f.topic_guidance)
+
+
+@query("handoff")
+def _(f: Flow) -> DataFrame:
+    return D.handoff(f.requirements, f.table("labels").where("quality = 0"))
+
+
+@query("system_overview", f"""WITH {S.REQ} SELECT system, count(DISTINCT "group") AS topics, count(*) AS items, min(ord) AS first_ord, array_to_string((list(requirement_id ORDER BY CASE status WHEN '需人工確認' THEN 0 ELSE 1 END, ord))[1:3], '|') AS open_questions FROM req GROUP BY 1""")
+def _(f: Flow) -> DataFrame:
+    ask = f.requirements.select("system", "ord", F.when(F.col("status") == "需人工確認", 0).otherwise(1).alias("priority"), F.col("requirement_id").alias("question"))
+    return R.system_overview(f.requirements, ask)
+
+
+@query("paired_replies", "SELECT conv_id, turn, text AS question, CASE WHEN nr = 'assistant' THEN nt END AS reply, (nr IS NULL OR nr <> 'assistant' OR nt IS NULL) AS is_open FROM (SELECT *, lead(role) OVER w AS nr, lead(text) OVER w AS nt FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user'")
+def _(f: Flow) -> DataFrame:
+    return R.paired_replies(f.table("conversations"), "conv_id", "turn", "role", "text")
+
+
+@query("open_points", f"WITH {S.REQ} SELECT 'review' AS kind, 1 AS priority, requirement_id AS key, text AS note FROM req WHERE status = '需人工確認' UNION ALL SELECT 'unlabelled', 2, doc_id::VARCHAR, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def _(f: Flow) -> DataFrame:
+    review = f.requirements.where("status = '需人工確認'").select(F.col("requirement_id").alias("key"), F.col("text").alias("note"))
+    unlabelled = f.table("documents").join(f.table("labels"), "doc_id", "left_anti").select(F.col("doc_id").alias("key"), F.col("source").alias("note"))
+    return R.todo(("review", 1, review), ("unlabelled", 2, unlabelled))
+
+
+# Payloads and pages
+
+
+def _payloads(f: Flow) -> DataFrame:
+    """A render payload for each region; every region has a fault of its own kind, but for the first."""
+    r = f.requirements
+    field = {c: F.col("text") for c in X.FIELDS} | {"id": F.col("requirement_id"), "system": F.col("system"), "group": F.col("group"), "space": F.col("space"), "source": F.col("source"), "status": F.lit("clear")}
+    bad = F.col("system")
+    field["status"] = F.when(bad == "AMERICA", "odd").otherwise("clear")
+    field["docs"] = F.when(bad == "ASIA", " ").otherwise(F.col("text"))
+    items = r.groupBy("system").agg(F.sort_array(F.collect_list(F.struct(*[field[c].alias(c) for c in X.FIELDS]))).alias("requirements"))
+    described = F.when(F.col("system") == "EUROPE", "x").otherwise(F.col("system"))
+    payload = F.to_json(F.struct(F.struct(F.when(F.col("system") == "MIDDLE EAST", "").otherwise("p").alias("name"), F.lit("s").alias("source")).alias("project"), "requirements", F.array(F.struct(described.alias("system"), F.lit("good </script>").alias("summary"))).alias("system_summaries"), F.array(F.lit("i")).alias("project_info"), F.array(F.lit("b")).alias("smart_building")))
+    return items.select("system", payload.alias("payload"))
+
+
+@query("payload_errors", "SELECT * FROM (SELECT DISTINCT r_name AS system, CASE r_name WHEN 'AMERICA' THEN 'invalid status' WHEN 'ASIA' THEN 'missing or blank field' WHEN 'EUROPE' THEN 'system summaries must match requirements' WHEN 'MIDDLE EAST' THEN 'project.name' END AS rule FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey) WHERE rule IS NOT NULL")
+def _(f: Flow) -> DataFrame:
+    return X.payload_errors(_payloads(f), ["system"])
+
+
+@query("embedded_payloads", f"WITH {S.REQ} SELECT system, count(*) AS n, true AS safe FROM req GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    """Payloads injected in a page and read back."""
+    html = _payloads(f).select("system", D.inject(F.lit(f"<html>{D.START}x{D.END}</html>"), F.col("payload")).alias("html"))
+    back = D.embedded(F.col("html"), X.PAYLOAD)
+    return html.select("system", F.size(back["requirements"]).cast("long").alias("n"), (~F.contains("html", F.lit("</script"))).alias("safe"))
+
+
+@query("layout_errors", """SELECT page_id, unnest(['required ids missing', 'layout version missing', 'tabs', 'separator missing', 'embedded data invalid']) AS rule FROM pages""")
+def _(f: Flow) -> DataFrame:
+    rows = f.table("pages").select("page_id", F.concat("html", F.lit(f"{D.START}{{}}"), F.lit(D.END)).alias("template"))
+    rows = rows.select("page_id", F.replace("template", F.lit(f"{D.START}{{}}"), F.lit(f"{D.START}no json")).alias("html"), "template")
+    found = X.layout_errors(rows, ["page_id"], D.START, D.END, ["details-list"], '<meta name="layout" content="v2">')
+    return found.where("rule not in ('placeholders', 'external script or stylesheet')")
+
+
+# Progress
+
+
+@query("job_progress", "SELECT user_id::VARCHAR AS source_id, count(*) FILTER (event_type = 'view') AS done, count(*) AS total, count(*) FILTER (event_type = 'purchase') AS review, count(*) FILTER (event_type = 'error') AS failures, CAST(round_even(count(*) FILTER (event_type = 'view') * 100 / count(*), 1) AS DOUBLE) AS percent FROM events GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    e = f.table("events")
+    kind = F.col("event_type")
+    rows = e.select(F.col("user_id").cast("string").alias("source_id"), F.when(kind == "view", "complete").alias("pdf_aware_status"), F.when(kind == "purchase", "complete").alias("full_page_status"), F.when(kind == "error", "failed").alias("error"))
+    return Q.progress(rows, rows.groupBy("source_id").agg(F.count("*").alias("total")))
+
+
+@query("job_log", "SELECT user_id, count(*) AS steps, count(*) FILTER (event_type = 'error') AS failures, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_at FROM events GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    return P.job_log(f.table("events")).select("user_id", "steps", "failures", F.date_format("last_at", "yyyy-MM-dd HH:mm:ss").alias("last_at"))
+
+
+@query("event_windows", "SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def _(f: Flow) -> DataFrame:
+    return P.windowed(f.table("events")).select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("job_sessions", "WITH a AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS b FROM events), s AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS k FROM a) SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM s GROUP BY user_id, k")
+def _(f: Flow) -> DataFrame:
+    return P.sessions(f.table("events")).select("user_id", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
+
+
+@query("open_pages", f"WITH {S.PAGES} SELECT source_id, pdf_page FROM pages WHERE doc_id % 7 = 0 OR (length(text) < 200 AND doc_id % 2 = 1)")
+def _(f: Flow) -> DataFrame:
+    """Pages to resume: not complete, or without the review that they need."""
+    done = f.pages.select("source_id", "pdf_page", F.when(F.col("doc_id") % 7 == 0, "failed").otherwise("complete").alias("pdf_aware_status"), (F.length("text") < 200).alias("needs_ai_review"), F.when(F.col("doc_id") % 2 == 0, "complete").alias("full_page_status"))
+    return P.open_pages(f.pages.select("source_id", "pdf_page"), done, ["source_id", "pdf_page"])
+
+
+@query("flagged_pages", rf"WITH {S.PAGES} SELECT source_id, pdf_page, (length(text) < 200 OR length({S.strip('text')}) < 150 OR contains(text, '�') OR regexp_matches(text, '(、\s*){{3,}}|([，。]\s*){{4,}}')) AS needs_ai_review FROM pages")
+def _(f: Flow) -> DataFrame:
+    return P.flagged(f.pages, "text").select("source_id", "pdf_page", "needs_ai_review")
+
+
+@query("prefixed_ids", "SELECT c_custkey, 'see CAND-B' || (c_nationkey % 10) || '-' || lpad(c_custkey::VARCHAR, 5, '0') || ', EV-B' || (c_nationkey % 10) || '-7' AS ids FROM customer")
+def _(f: Flow) -> DataFrame:
+    text = F.format_string("see CAND-%05d, EV-7", "c_custkey")
+    batch = F.concat(F.lit("B"), (F.col("c_nationkey") % 10).cast("string"))
+    return f.table("customer").select("c_custkey", D.prefixed_ids(text, batch).alias("ids"))
+
+
+@query("margin_noise_flags", f"WITH {S.RAW}, k AS (SELECT *, {S.key('block')} AS line_key FROM raw_blocks) SELECT source_id, pdf_page, block_index, {S._NOISE} AS is_noise FROM k")
+def _(f: Flow) -> DataFrame:
+    return f.raw_blocks.select("source_id", "pdf_page", "block_index", M.is_margin_noise(F.col("block"), f.lex).alias("is_noise"))
