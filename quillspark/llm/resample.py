@@ -55,10 +55,12 @@ def _count(df: DataFrame, flag: Column) -> np.ndarray:
     return out
 
 
-def log_ratio(counts: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
-    """log target share - log raw share by feature; 0 where there are no target texts."""
-    raw, target = counts + smoothing * counts[0].clip(1) / max(1.0, counts[0].sum()) * (1 << BITS)
-    return np.log(target / target.sum()) - np.log(raw / raw.sum()) if counts[1].any() else np.zeros(1 << BITS)
+def log_ratio(counts: np.ndarray, weight: float = 0.05 * (1 << BITS)) -> np.ndarray:
+    """log target share - log raw share by feature; 0 where there are no target texts. The target share is mixed with
+    `weight` features' worth of the raw share, so that a feature which the target happens to lack has a finite ratio."""
+    raw, target = (counts[0] + 0.5) / (counts[0] + 0.5).sum(), counts[1]
+    n = target.sum()
+    return np.log((target + weight * raw) / (n + weight) / raw) if n else np.zeros(len(raw))
 
 
 def kth_largest(keys: DataFrame, k: int) -> float:
