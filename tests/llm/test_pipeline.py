@@ -1,0 +1,51 @@
+"""The pipeline against its stages, one by one, on plain Python."""
+
+from collections import Counter
+
+import corpus_pipeline as cp
+from quillspark.llm import secrets
+
+from test_trie_join import classes, shingles
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_keep_columns_and_take_effect(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    leaks = {r.doc_id for r in cp.decontaminate.find_leaks(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+    columns, kept = docs.columns, {r.doc_id: r.text for r in docs.collect()}
+    for name, stage in cp.STAGES:
+        before = docs
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name != cp.STAGES[-1][0]:
+            assert docs.columns == columns
+            now = {r.doc_id: r.text for r in docs.collect()}
+            assert set(now) <= set(kept)
+        if name == "language_id":
+            assert len(now) >= 0.98 * len(kept)
+        if name == "near_duplicates":
+            want = classes({i: shingles(t) for i, t in kept.items()})
+            assert set(now) == set(want.values())
+        if name == "decontamination":
+            assert set(now) == set(kept) - leaks
+        if name == "secrets":
+            assert set(now) == set(kept) and not any(secrets.base_spans(t) for t in now.values() if t)
+            assert all(r.n_chars == len(r.text) for r in docs.collect())
+        if name == "packing":
+            want = {r.doc_id: len((r.text or "").encode().split()) + 1 for r in before.collect()}
+            got = Counter()
+            for r in docs.collect():
+                got[r.doc_id] += r.length
+            assert got == Counter(want)
+        kept = now if name != "packing" else kept
+
+
+def test_nulls_repeats_and_empty_tables(spark):
+    rows = [(1, "a b c d e f g", "en", "s", 13), (1, "a b c d e f g", "en", "s", 13), (None, "h i j k l m n", None, None, None), (2, None, "en", "s", 0), (3, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    one = cp.keep_one_of_each_group(spark, docs, SF)
+    assert sorted((str(r.doc_id) for r in one.collect())) == ["1", "2", "3", "None"]
+    empty = docs.limit(0)
+    for _, stage in cp.STAGES:
+        assert stage(spark, empty, SF).count() == 0
