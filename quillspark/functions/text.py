@@ -14,10 +14,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: White space as Unicode has it, for Java's expressions.
+#: Unicode white space, listed: flags for Unicode classes make Java's expressions slow.
+SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+S = f"[{SPACE}]"
 U = "(?U)"
 DASHES = "‐‑‒–—―－"
-KEY_GAPS = rf"[\s\-{DASHES}_/\\.]+"
+KEY_GAPS = rf"[{SPACE}\-{DASHES}_/\\.]+"
 CJK = r"\x{3400}-\x{9fff}"
 SENTENCE_END = r"[。！？；;]"
 
@@ -29,12 +31,12 @@ def nfkc(s: pd.Series) -> pd.Series:
 
 
 def strip(s: Column) -> Column:
-    return F.regexp_replace(s, U + r"^\s+|\s+$", "")
+    return F.regexp_replace(s, f"^{S}+|{S}+$", "")
 
 
 def squeeze(s: Column) -> Column:
     """Each run of white space one space, none at the ends."""
-    return F.trim(F.regexp_replace(s, U + r"\s+", " "))
+    return F.trim(F.regexp_replace(s, f"{S}+", " "))
 
 
 def clean_text(s: Column) -> Column:
@@ -44,7 +46,7 @@ def clean_text(s: Column) -> Column:
 
 def semantic_key(s: Column) -> Column:
     """What is compared: lower case, without white space, dashes, underscores, slashes and dots. s: NFKC text."""
-    return F.regexp_replace(F.lower(s), U + KEY_GAPS, "")
+    return F.regexp_replace(F.lower(s), KEY_GAPS, "")
 
 
 def key_of(term: str) -> str:
@@ -66,19 +68,19 @@ def is_navigation(s: Column) -> Column:
     text = strip(s)
     full = filled_lines(text)
     leaders = F.size(F.filter(full, lambda x: x.rlike(r"(\.{4,}|…{2,}|·{4,})\s*\d*\s*$")))
-    return (text == "") | text.rlike(U + r"^[\d\s\-–—_/]+$") | ((F.size(full) >= 2) & (leaders >= F.size(full) * 0.6))
+    return (text == "") | text.rlike(rf"^[\d{SPACE}\-–—_/]+$") | ((F.size(full) >= 2) & (leaders >= F.size(full) * 0.6))
 
 
 def ocr_usable(s: Column, images: Column) -> Column:
-    compact = F.regexp_replace(s, U + r"\s+", "")
+    compact = F.regexp_replace(s, f"{S}+", "")
     return (F.length(compact) >= F.greatest(F.lit(4), images * 2)) & compact.rlike(f"[{CJK}A-Za-z0-9]")
 
 
 def ocr_spacing(s: Column) -> Column:
     """No spaces between CJK characters, before closing or after opening punctuation."""
-    s = F.regexp_replace(clean_text(s), U + rf"(?<=[{CJK}])\s+(?=[{CJK}])", "")
-    s = F.regexp_replace(s, U + r"\s+([，。；：！？、）】》])", "$1")
-    return F.regexp_replace(s, U + r"([（【《])\s+", "$1")
+    s = F.regexp_replace(clean_text(s), rf"(?<=[{CJK}]){S}+(?=[{CJK}])", "")
+    s = F.regexp_replace(s, rf"{S}+([，。；：！？、）】》])", "$1")
+    return F.regexp_replace(s, rf"([（【《]){S}+", "$1")
 
 
 def printed_page(s: Column) -> Column:
@@ -100,7 +102,8 @@ def term_present(term: str, text: Column, key: Column) -> Column:
     """Short Latin terms as words of the lower-cased text, all others in the key."""
     low = unicodedata.normalize("NFKC", term).lower()
     if re.fullmatch(r"[a-z0-9+./_-]{2,15}", low):
-        return F.lower(text).rlike(rf"(?<![a-z0-9])\Q{low}\E(?![a-z0-9])")
+        word = F.lower(text).rlike(rf"(?<![a-z0-9])\Q{low}\E(?![a-z0-9])")
+        return F.contains(key, F.lit(key_of(term))) & word  # the key is the cheaper test
     return F.contains(key, F.lit(key_of(term)))
 
 

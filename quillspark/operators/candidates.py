@@ -17,7 +17,7 @@ def is_heading(line: Column, lex: L.Lexicon = L.DOMAIN) -> Column:
     """Whether a line can be a heading: short, no obligation, no sentence; numbered, or with a heading term."""
     s = T.clean_text(line)
     key = T.semantic_key(s)
-    no = s.rlike(T.U + r"^[\d\s./\-–—()（）%]+$") | L.has_obligation(s, key, lex) | s.rlike(T.SENTENCE_END + "$") | (F.regexp_count(s, F.lit("[，,：:]")) >= 3)
+    no = s.rlike(rf"^[\d{T.SPACE}./\-–—()（）%]+$") | L.has_obligation(s, key, lex) | s.rlike(T.SENTENCE_END + "$") | (F.regexp_count(s, F.lit("[，,：:]")) >= 3)
     yes = s.rlike(r"^第.{1,12}[章節篇]") | s.rlike(rf"^\d+([.\-]\d+){{1,5}}\s*[{T.CJK}A-Za-z]") | s.rlike(rf"^\d+[、.]\s*[{T.CJK}A-Za-z]{{2,}}")
     return F.length(s).between(2, 90) & ~no & (yes | L.any_term(key, lex.headings + lex.plain_headings))
 
@@ -68,17 +68,17 @@ def term_pages(chunks: DataFrame, terms: DataFrame) -> DataFrame:
     return out.select("source_id", F.format_string("TERM-%04d", serial).alias("term_id"), "term", F.coalesce("source_page_ids", F.array().cast("array<string>")).alias("source_page_ids"))
 
 
-def preservation_terms(text: Column, lex: L.Lexicon = L.DOMAIN) -> Column:
+def preservation_terms(text: Column, lex: L.Lexicon = L.DOMAIN, key: Column | None = None) -> Column:
     """Terms that a translation must not lose: systems' and capabilities' terms, and codes; ordered, distinct, not generic."""
-    key = T.semantic_key(text)
+    key = T.semantic_key(text) if key is None else key
     named = [t for table in (lex.systems, lex.capabilities) for ts in table.values() for t in ts]
     terms = F.concat(F.array_compact(F.array(*[F.when(T.term_present(t, text, key), F.lit(t)) for t in named])), T.latin_codes(text))
     keep = F.filter(terms, lambda t: (F.length(t) >= 2) & ~F.lower(t).isin(*lex.generic))
     return F.array_distinct(keep)
 
 
-def signal_flags(text: Column, n_systems: Column, lex: L.Lexicon = L.DOMAIN) -> Column:
-    key, low = T.semantic_key(text), F.lower(text)
+def signal_flags(text: Column, n_systems: Column, lex: L.Lexicon = L.DOMAIN, key: Column | None = None) -> Column:
+    key, low = T.semantic_key(text) if key is None else key, F.lower(text)
     unit = low.rlike(r"(\d+(\.\d+)?\s*(mhz|ghz|mbps|gbps|mm|cm|m|v|a|w)\b|iso\s*\d+|ieee\s*[\d.]+)")
     open_end = (F.length(text) < 120) & ~text.rlike(r"[.?!。！？；;:]」?）?\s*$")
     flags = [(L.any_term(key, lex.negations), "negation_or_exclusion"), (L.any_term(key, lex.conditions), "condition_or_exception"), (n_systems >= 2, "cross_system"), (unit, "specification_signal"), (open_end, "possible_fragment")]
@@ -117,7 +117,7 @@ def enriched(chunks: DataFrame, headings: DataFrame, terms: DataFrame | None = N
     return rows.select(
         "source_id", "pdf_page", "block_index", "chunk_index", "chunk", "heading", "heading_basis", score.alias("score"), "system_hints", "business_axes", "obligation_terms",
         F.array_sort(F.array_distinct(F.concat("system_terms", "semantic", "business_axes", "interfaces", "dynamic"))).alias("matched_terms"),
-        preservation_terms(chunk, lex).alias("preservation_terms"), signal_flags(chunk, n("system_hints"), lex).alias("signal_flags"),
+        preservation_terms(chunk, lex, key).alias("preservation_terms"), signal_flags(chunk, n("system_hints"), lex, key).alias("signal_flags"),
         F.array_union("direct_spaces", "heading_spaces").alias("space_hints"),
         F.when(n("direct_spaces") > 0, "explicit").when(n("heading_spaces") > 0, "inherited").otherwise("none").alias("space_hint_basis"),
         F.when(n("system_hints") > 0, F.col("system_hints")[0]).otherwise(F.lit(lex.no_system)).alias("topic_hint"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from .ordinals import ordinal
 
 MAX_CANDIDATES, MAX_CHARS = 12, 4800
@@ -23,7 +24,7 @@ def in_order(value: str, order: str = "serial") -> Column:
 
 def records(cands: DataFrame) -> DataFrame:
     """Candidates with the same quote (white space and case aside) in one source as one record, placed by the first."""
-    keyed = cands.withColumn("key", F.lower(F.regexp_replace("chunk", r"(?U)\s+", "")))
+    keyed = cands.withColumn("key", F.lower(F.regexp_replace("chunk", f"{T.S}+", "")))
     if "origin_kind" not in keyed.columns:
         keyed = keyed.withColumn("origin_kind", F.lit("source"))
     if "confidence" not in keyed.columns:
@@ -79,8 +80,6 @@ def groups(recs: DataFrame, max_candidates: int = MAX_CANDIDATES, max_chars: int
 
 def draft_groups(regions: DataFrame, after: DataFrame) -> DataFrame:
     """A group without context for each region with a draft that is neither read nor skipped, numbered after `after`."""
-    from ..functions import text as T
-
     rows = regions.withColumn("draft", T.clean_text(F.col("ocr_draft"))).where("draft <> '' AND status NOT IN ('read', 'skipped_non_text')")
     rows = ordinal(rows, "k", ["source_id"], F.floor(F.col("pdf_page") / 64), "pdf_page", "region_id")
     base = after.groupBy("source_id").agg(F.max("group_no").alias("n"))

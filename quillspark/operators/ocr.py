@@ -18,7 +18,7 @@ STATUSES = ("read", "unreadable", "skipped_non_text", "pending")
 def recognised(tokens: DataFrame, keys: list[str]) -> DataFrame:
     """tokens: keys, ord (arrival), TOKENS. Per keys the text, lines in order of arrival, and the mean confidence by characters."""
     rows = tokens.withColumn("token", T.strip(F.coalesce("text", F.lit("")))).where("level = 5 AND token <> '' AND conf >= 0")
-    rows = rows.withColumn("w", F.greatest(F.lit(1), F.length(F.regexp_replace("token", r"(?U)\s+", ""))))
+    rows = rows.withColumn("w", F.greatest(F.lit(1), F.length(F.regexp_replace("token", f"{T.S}+", ""))))
     lines = rows.groupBy(*keys, "page_num", "block_num", "par_num", "line_num").agg(F.min("ord").alias("ord"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "token"))), lambda x: x["token"]), " ").alias("line"), F.sum(F.col("conf") * F.col("w")).alias("cw"), F.sum("w").alias("w"))
     out = lines.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "line"))), lambda x: x["line"]), "\n").alias("text"), (F.sum("cw") / F.nullif(F.sum("w"), F.lit(0))).alias("mean_confidence"))
     return out.withColumn("text", T.ocr_spacing(F.col("text")))

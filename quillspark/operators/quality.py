@@ -13,7 +13,7 @@ NOISE_LINES = (r"^<!--\s*image\s*-->$", r"^(?i)page\s+\d+\s+of\s+\d+$")
 
 def cleaned_lines(text: Column, noise: tuple[str, ...] = NOISE_LINES) -> Column:
     """Lines without noise, and without any that repeats the last kept non-blank one; a fold over the page's lines."""
-    rows = F.transform(T.lines(text), lambda x: F.regexp_replace(x, T.U + r"\s+$", ""))
+    rows = F.transform(T.lines(text), lambda x: F.regexp_replace(x, f"{T.S}+$", ""))
     if noise:
         rows = F.filter(rows, lambda x: ~T.strip(x).rlike("|".join(f"({p})" for p in noise)))
     start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit("").alias("last"))
@@ -30,7 +30,7 @@ def clean_page(text: Column, noise: tuple[str, ...] = NOISE_LINES) -> Column:
 
 
 def compact(s: Column) -> Column:
-    return F.regexp_replace(s, T.U + r"\s+", "")
+    return F.regexp_replace(s, f"{T.S}+", "")
 
 
 def quality_score(cleaned: Column) -> Column:

@@ -29,7 +29,7 @@ def master_lines(docs: DataFrame, doc: str = "doc", text: str = "text") -> DataF
     The state machine over lines as windows inside a document: each level is the last of its kind, unless a higher
     level began since. A document is one window; documents are spread over tasks.
     """
-    rows = docs.select(F.col(doc).alias("doc"), F.posexplode(F.transform(T.lines(F.col(text)), lambda x: F.regexp_replace(x, T.U + r"\s+$", ""))).alias("line_no", "raw"))
+    rows = docs.select(F.col(doc).alias("doc"), F.posexplode(F.transform(T.lines(F.col(text)), lambda x: F.regexp_replace(x, f"{T.S}+$", ""))).alias("line_no", "raw"))
     rows = rows.withColumn("line", T.strip(F.col("raw"))).where("line <> ''")
     w = Window.partitionBy("doc").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     line = F.col("line")

@@ -14,12 +14,13 @@ from ..operators import chunks as K
 from ..operators import groups as G
 from ..operators import margins as M
 from ..sources import documents as D
+from ..sources.shared import cut
 
 
 @dataclass
 class Flow:
-    """One lazy plan from pages to groups. Steps that several others read are the same expressions, so that exchanges
-    can be reused; nothing is collected."""
+    """From pages to groups. Steps that several others read - pages, blocks, enriched chunks, records - are tables in the
+    shared folder, as a pipeline would keep them; all between is one plan."""
 
     spark: SparkSession
     sf_dir: str
@@ -30,7 +31,7 @@ class Flow:
 
     @cached_property
     def pages(self) -> DataFrame:
-        return D.pages(self.table("documents"))
+        return cut(D.pages(self.table("documents")))
 
     @cached_property
     def raw_blocks(self) -> DataFrame:
@@ -42,7 +43,7 @@ class Flow:
 
     @cached_property
     def blocks(self) -> DataFrame:
-        return M.remove_margin_noise(self.raw_blocks, self.repeated)
+        return cut(M.remove_margin_noise(self.raw_blocks, self.repeated))
 
     @cached_property
     def chunks(self) -> DataFrame:
@@ -58,7 +59,7 @@ class Flow:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return C.enriched(self.chunks, self.headings, self.terms, self.lex)
+        return cut(C.enriched(self.chunks, self.headings, self.terms, self.lex))
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -74,7 +75,7 @@ class Flow:
 
     @cached_property
     def records(self) -> DataFrame:
-        return G.records(self.candidates)
+        return cut(G.records(self.candidates))
 
     @cached_property
     def groups(self) -> DataFrame:

@@ -85,7 +85,7 @@ heads AS (SELECT source_id, pdf_page, block_index, CASE WHEN {is_heading('block'
 headings AS (SELECT source_id, pdf_page, block_index, last_value(h IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, first_value(h IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS on_page FROM heads WINDOW w AS (PARTITION BY source_id, pdf_page ORDER BY block_index)),
 named AS (SELECT source_id, pdf_page, block_index, coalesce(before, on_page, 'PDF page ' || pdf_page) AS heading, CASE WHEN before IS NOT NULL THEN 'preceding_heading' WHEN on_page IS NOT NULL THEN 'page_heading' ELSE 'page_fallback' END AS heading_basis FROM headings)"""
 TERMS = f"""{HEADINGS},
-codes AS (SELECT source_id, pdf_page, block_index, chunk_index, regexp_extract_all(regexp_replace(upper(chunk), '[\\x{{C0}}-\\x{{24F}}]', 'a', 'g'), '\\b[A-Z][A-Z0-9+./_-]{{1,14}}\\b') AS ts FROM chunks WHERE {any_term(key('chunk'), LEX.semantic + _SYSTEMS)}),
+codes AS (SELECT source_id, pdf_page, block_index, chunk_index, regexp_extract_all(regexp_replace(upper(replace(chunk, 'ß', 'ss')), '[\\x{{C0}}-\\x{{24F}}]', 'a', 'g'), '\\b[A-Z][A-Z0-9+./_-]{{1,14}}\\b') AS ts FROM chunks WHERE {any_term(key('chunk'), LEX.semantic + _SYSTEMS)}),
 code_rows AS (SELECT source_id, pdf_page, block_index, chunk_index, unnest(ts) AS term, generate_subscripts(ts, 1) AS pos FROM codes),
 counted AS (SELECT source_id, term, count(*) AS n, min((pdf_page, block_index, chunk_index, pos)) AS seen FROM code_rows WHERE term NOT IN ('PDF', 'PAGE', 'THE', 'AND', 'FOR') GROUP BY 1, 2),
 terms AS (SELECT source_id, term, n FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY n DESC, seen) AS rank FROM counted) WHERE rank <= 80 AND n >= 2)"""
