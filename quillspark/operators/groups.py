@@ -87,9 +87,9 @@ def draft_groups(regions: DataFrame, after: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     values = {"record_no": F.lit(0).cast("long"), "candidate_ids": none, "pdf_pages": F.array(F.col("pdf_page").cast("long")), "context_headings": F.array("context_heading"), "quote": F.col("draft"), "source_shape": F.lit("visual_ocr_draft"), "origin_kinds": F.array(F.lit("source_ocr_draft")), "source_confidences": F.array(F.coalesce("confidence", F.lit("low"))), "text_quality_flags": F.array(F.lit("低信心 OCR 草稿，僅供覆核"))}
     fields = after.schema["segments"].dataType.elementType.fields
-    segment = F.struct(*[values.get(f.name, none).cast(f.dataType).alias(f.name) for f in fields])
+    segment = F.struct(*[values.get(f.name, none).cast(f.dataType.simpleString()).alias(f.name) for f in fields])
     made = {"group_no": F.col("group_no"), "source_id": F.col("source_id"), "evidence_group_id": F.format_string("EGRP-%04d", "group_no"), "pdf_pages": values["pdf_pages"], "section_path": values["context_headings"], "segments": F.array(segment), "route_visual_region_ids": F.array("region_id"), "route_candidate_ids": none}
-    return rows.select(*[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in after.schema.fields])
+    return rows.select(*[made.get(f.name, F.lit(None)).cast(f.dataType.simpleString()).alias(f.name) for f in after.schema.fields])
 
 
 def candidate_view(cands: DataFrame, regions: DataFrame | None = None) -> DataFrame:
