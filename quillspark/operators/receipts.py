@@ -119,6 +119,28 @@ def layout_errors(rows: DataFrame, keys: list[str], start: str, end: str, ids: l
     return rows.select(*keys, F.explode(failed).alias("rule"))
 
 
+def role_errors(documents: DataFrame, key: str, primary: str = "primary_requirements") -> DataFrame:
+    """Packages that haven't exactly one primary document."""
+    n = documents.groupBy(key).agg(F.count_if(F.col("role") == primary).alias("primaries"))
+    return n.where("primaries <> 1")
+
+
+def duplicates(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Ids that occur more than once, with how often."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def disagreements(req: DataFrame, texts: DataFrame, pattern: str = r"\b(REQ-M1-\d{4,})\b") -> DataFrame:
+    """texts: output, text. For each output how many requirement ids it lacks, and how many it has that aren't required."""
+    found = texts.select("output", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)))).alias("requirement_id"))
+    have = found.groupBy("output").agg(F.count("*").alias("n_found"))
+    known = found.join(req.select("requirement_id"), "requirement_id", "left_semi").groupBy("output").agg(F.count("*").alias("n_known"))
+    total = req.agg(F.count_distinct("requirement_id").alias("n_required"))  # one row
+    out = texts.select("output").distinct().join(have, "output", "left").join(known, "output", "left").join(F.broadcast(total))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
+    return out.select("output", (F.col("n_required") - zero("n_known")).alias("missing"), (zero("n_found") - zero("n_known")).alias("unknown"))
+
+
 def assert_none(errors: DataFrame, what: str) -> None:
     """Raises with the first eight rows if there are any."""
     found = errors.take(8)

@@ -150,6 +150,15 @@ def tree_counts(req: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return out.select(*keys, "system", "group", F.when(F.col("g") == 3, 0).when(F.col("g") == 1, 1).otherwise(2).alias("level"), "n", "first_ord")
 
 
+def nested_tree(req: DataFrame) -> DataFrame:
+    """One row a system: its topics, their requirements, and each one's tags, in order of appearance. Topics hold their own
+    items only, so no array is larger than a system."""
+    leaf = F.struct("ord", "requirement_id", "text", F.struct("space", "status", "source").alias("tags"))
+    topics = req.groupBy("system", "group").agg(F.min("ord").alias("first_ord"), F.count("*").alias("n"), F.array_sort(F.collect_list(leaf)).alias("items"))
+    node = F.struct("first_ord", "group", "n", "items")
+    return topics.groupBy("system").agg(F.min("first_ord").alias("first_ord"), F.sum("n").alias("n"), F.array_sort(F.collect_list(node)).alias("topics"))
+
+
 def options(req: DataFrame, column: str) -> DataFrame:
     """The distinct values, for a list to choose from."""
     return req.select(column).distinct().orderBy(column)

@@ -746,3 +746,42 @@ def _(f: Flow) -> DataFrame:
 @query("margin_noise_flags", f"WITH {S.RAW}, k AS (SELECT *, {S.key('block')} AS line_key FROM raw_blocks) SELECT source_id, pdf_page, block_index, {S._NOISE} AS is_noise FROM k")
 def _(f: Flow) -> DataFrame:
     return f.raw_blocks.select("source_id", "pdf_page", "block_index", M.is_margin_noise(F.col("block"), f.lex).alias("is_noise"))
+
+
+@query("nested_tree", f"""WITH {S.REQ} SELECT system, min(ord) AS first_ord, count(*) AS n, count(DISTINCT "group") AS topics, arg_min(text, ord) AS first_text FROM req GROUP BY 1""")
+def _(f: Flow) -> DataFrame:
+    out = R.nested_tree(f.requirements)
+    return out.select("system", "first_ord", "n", F.size("topics").cast("long").alias("topics"), F.col("topics")[0]["items"][0]["text"].alias("first_text"))
+
+
+@query("outputs_agree", "SELECT output, missing, unknown FROM (VALUES ('handoff', 0, 0), ('tree', 0, 0)) t(output, missing, unknown)")
+def _(f: Flow) -> DataFrame:
+    """Tree and handoff name the same requirements as the table."""
+    tree = D.tree_html(f.requirements, f.system_guidance, f.topic_guidance).select(F.lit("tree").alias("output"), F.col("html").alias("text"))
+    hand = D.handoff(f.requirements, f.table("labels")).select(F.lit("handoff").alias("output"), "text")
+    return X.disagreements(f.requirements, tree.unionByName(hand))
+
+
+@query("package_role_errors", "SELECT source AS package_id, count(DISTINCT lang) FILTER (lang IN ('en', 'fr')) AS primaries FROM documents GROUP BY 1 HAVING count(DISTINCT lang) FILTER (lang IN ('en', 'fr')) <> 1")
+def _(f: Flow) -> DataFrame:
+    rows = _documents(f).withColumn("role", F.when(F.col("ord").isin("en", "fr"), "primary_requirements").otherwise("review_comments"))
+    return X.role_errors(rows, "package_id")
+
+
+@query("duplicate_ids", "SELECT text_sha256, n FROM (SELECT sha256(text) AS text_sha256, count(*) AS n FROM documents GROUP BY 1) WHERE n > 1")
+def _(f: Flow) -> DataFrame:
+    return X.duplicates(f.table("documents").select(F.sha2("text", 256).alias("text_sha256")), ["text_sha256"])
+
+
+@query("failure_messages", "SELECT user_id, coalesce('E_RUNTIME：' || arg_max(event_id, event_id) FILTER (event_type = 'error') || ' retry', 'failed') AS message FROM events GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    line = F.when(F.col("event_type") == "error", T.diagnostic_line(F.lit("E_RUNTIME"), F.col("event_id").cast("string"), F.lit("retry"))).otherwise("progress")
+    return P.failure_messages(f.table("events").withColumn("line", line), "user_id", "line", "event_id")
+
+
+@query("open_batches", f"WITH {S.PAGES}, b AS (SELECT source_id, 'B' || lpad(CAST((pdf_page - 1) // 25 + 1 AS VARCHAR), 2, '0') AS b, max(doc_id) % 3 AS k FROM pages GROUP BY 1, 2) SELECT string_agg(source_id || '-' || b, '|' ORDER BY source_id || '-' || b) AS batch_ids, CAST(count(*) FILTER (k = 1) AS BIGINT) AS pending_regions FROM b WHERE k < 2")
+def _(f: Flow) -> DataFrame:
+    """Batches that are incomplete, or have open regions."""
+    rows = f.pages.withColumn("b", F.format_string("B%02d", F.floor((F.col("pdf_page") - 1) / 25) + 1)).groupBy("source_id", "b").agg((F.max("doc_id") % 3).alias("k"))
+    rows = rows.select(F.concat_ws("-", "source_id", "b").alias("batch_id"), (F.col("k") > 0).alias("complete"), F.when(F.col("k") == 1, F.array(F.lit("VR"))).otherwise(F.array().cast("array<string>")).alias("pending_region_ids"))
+    return B.remaining(rows)

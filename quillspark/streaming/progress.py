@@ -41,6 +41,13 @@ def job_log(events: DataFrame, job: str = "user_id", at: str = "ts", kind: str =
     return events.groupBy(job).agg(F.count("*").alias("steps"), F.count_if(F.col(kind) == error).alias("failures"), F.max_by(kind, at).alias("last_step"), F.max(at).alias("last_at"))
 
 
+def failure_messages(log: DataFrame, job: str, line: str, order: str, fallback: str = "failed") -> DataFrame:
+    """Per job the message of its last diagnostic line, else fallback."""
+    rows = log.withColumn("d", T.parse_diagnostic(F.col(line)))
+    out = rows.groupBy(job).agg(F.max_by("d", F.when(F.col("d").isNotNull(), F.col(order))).alias("d"))
+    return out.select(job, F.coalesce(F.concat("d.code", F.lit("："), "d.message", F.lit(" "), "d.action"), F.lit(fallback)).alias("message"))
+
+
 def windowed(events: DataFrame, at: str = "ts", width: str = "1 hour", late: str | None = None, kind: str = "event_type") -> DataFrame:
     """Steps by tumbling window and kind; late: a watermark, for streams."""
     rows = events.withColumn(at, F.col(at).cast("timestamp"))
