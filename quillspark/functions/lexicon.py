@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import key_of, semantic_key
+from .text import key_of, let, semantic_key
 
 # The term lists of the domain, one category a line.
 SYSTEM_TERMS = """
@@ -110,7 +110,16 @@ LATIN = Lexicon(
 
 def any_term(key: Column, terms: list[str]) -> Column:
     """Whether key contains the key of any term."""
-    return key.rlike("|".join(rf"\Q{key_of(t)}\E" for t in terms)) if terms else F.lit(False)  # one pass, and key once
+    if not terms:
+        return F.lit(False)
+
+    def chain(k: Column) -> Column:
+        out = F.contains(k, F.lit(key_of(terms[0])))
+        for t in terms[1:]:
+            out = out | F.contains(k, F.lit(key_of(t)))
+        return out
+
+    return let(key, chain)
 
 
 def matched(key: Column, terms: list[str]) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -30,6 +31,11 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, which is computed once: the optimizer copies a column's expression to each use in a filter."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(s: Column) -> Column:
     return F.regexp_replace(s, f"^{S}+|{S}+$", "")
 

@@ -36,14 +36,16 @@ def compact(s: Column) -> Column:
 def quality_score(cleaned: Column) -> Column:
     """Share of readable characters, length, structure and sentences against garbage and replacement characters; null
     for a page without any. Half-even at three places."""
-    short = compact(cleaned)
-    count = lambda p: F.regexp_count(cleaned, F.lit(p))
-    readable = F.regexp_count(short, F.lit(f"[0-9A-Za-z{T.CJK}]"))
-    score = (
-        readable / F.length(short) * 70.0 + F.least(F.lit(12.0), F.log10(F.greatest(readable, F.lit(1)).cast("double")) * 4.0) + F.least(count(r"(?m)^(#{1,6}\s|[-*]\s|\|)"), F.lit(20)) * 0.25
-        + F.least(count("[。；：!?！？]"), F.lit(30)) * 0.15 - count(r"[、，。,.()（）\[\]{}]{4,}") * 8.0 - count("�") * 20.0
-    )
-    return F.when(F.length(short) > 0, F.bround(score, 3))
+    def score(text: Column) -> Column:
+        count = lambda p: F.regexp_count(text, F.lit(p))
+        sizes = F.struct(F.length(compact(text)).alias("all"), F.length(F.regexp_replace(text, f"[^0-9A-Za-z{T.CJK}]+", "")).alias("readable"))
+        base = T.let(sizes, lambda n: F.when(n["all"] > 0, n["readable"] / n["all"] * 70.0 + F.least(F.lit(12.0), F.log10(F.greatest(n["readable"], F.lit(1)).cast("double")) * 4.0)))
+        return (
+            base + F.least(count(r"(?m)^(#{1,6}\s|[-*]\s|\|)"), F.lit(20)) * 0.25 + F.least(count("[。；：!?！？]"), F.lit(30)) * 0.15
+            - count(r"[、，。,.()（）\[\]{}]{4,}") * 8.0 - count("�") * 20.0
+        )
+
+    return F.bround(T.let(cleaned, score), 3)
 
 
 def review_reasons(markdown: Column, native_chars: Column, low_native: int = 200, fragment: str = r"(、\s*){3,}|([，。]\s*){4,}") -> Column:

@@ -29,9 +29,13 @@ class Flow:
     def table(self, name: str) -> DataFrame:
         return D.read(self.spark, self.sf_dir, name)
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        return D.spread(self.table("documents"))
+
     @cached_property
     def pages(self) -> DataFrame:
-        return cut(D.pages(self.table("documents")))
+        return cut(D.pages(self.documents))
 
     @cached_property
     def raw_blocks(self) -> DataFrame:

@@ -80,13 +80,13 @@ def _(f: Flow) -> DataFrame:
 @query("text_fingerprints", f"SELECT doc_id, sha256({S.clean('text')}) AS clean_sha256, sha256({S.key('text')}) AS key_sha256, sha256(text) AS text_sha256 FROM documents")
 def _(f: Flow) -> DataFrame:
     text = F.col("text")
-    return f.table("documents").select("doc_id", F.sha2(T.clean_text(text), 256).alias("clean_sha256"), F.sha2(T.semantic_key(text), 256).alias("key_sha256"), F.sha2(text, 256).alias("text_sha256"))
+    return f.documents.select("doc_id", F.sha2(T.clean_text(text), 256).alias("clean_sha256"), F.sha2(T.semantic_key(text), 256).alias("key_sha256"), F.sha2(text, 256).alias("text_sha256"))
 
 
 @query("unicode_keys", f"SELECT doc_id, sha256({S.key('nfc_normalize(text)')}) AS key_sha256 FROM documents")
 def _(f: Flow) -> DataFrame:
     """Keys after compatibility composition, which changes none of these texts."""
-    return f.table("documents").select("doc_id", F.sha2(T.semantic_key(T.nfkc("text")), 256).alias("key_sha256"))
+    return f.documents.select("doc_id", F.sha2(T.semantic_key(T.nfkc("text")), 256).alias("key_sha256"))
 
 
 @query("content_addressed", "SELECT sha256(text) AS sha256, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
@@ -106,7 +106,7 @@ def _(f: Flow) -> DataFrame:
 def _(f: Flow) -> DataFrame:
     text = F.col("text")
     tokens = F.array_join(F.filter(F.transform(F.split(F.concat("source", F.lit("、b, c／"), "lang"), "、"), T.strip), lambda x: x != ""), "#")
-    return f.table("documents").select(
+    return f.documents.select(
         "doc_id", F.size(F.regexp_extract_all("text", F.lit(r"(\b[A-Z][A-Z0-9+./_-]{1,14}\b)"), F.lit(1))).alias("capitals"), T.pdf_pages(text).isNotNull().alias("has_list"), T.ocr_usable(text, F.lit(0)).alias("usable"),
         tokens.alias("parts"), T.slug(F.col("source")).alias("slug"), T.html_escape(F.substring("text", 1, 200)).alias("escaped"),
     )
@@ -403,7 +403,7 @@ def _readings(f: Flow) -> DataFrame:
 
 @query("review_reasons", rf"SELECT doc_id, concat_ws('|', CASE WHEN length(text) < 200 THEN 'low_native_text' END, CASE WHEN length({S.strip('text')}) < 150 THEN 'short_pdf_aware_output' END, CASE WHEN contains(text, '�') THEN 'replacement_character' END, CASE WHEN regexp_matches(text, '(、\s*){{3,}}|([，。]\s*){{4,}}') THEN 'probable_fragment' END) AS review_reasons FROM documents")
 def _(f: Flow) -> DataFrame:
-    return f.table("documents").select("doc_id", Q.review_reasons(F.col("text"), F.length("text")).alias("review_reasons"))
+    return f.documents.select("doc_id", Q.review_reasons(F.col("text"), F.length("text")).alias("review_reasons"))
 
 
 @query(
@@ -411,7 +411,7 @@ def _(f: Flow) -> DataFrame:
     rf"WITH b AS (SELECT doc_id, text AS t, regexp_replace(text, '\s+', '', 'g') AS c FROM documents), r AS (SELECT *, len(regexp_extract_all(c, '[0-9A-Za-z\x{{3400}}-\x{{9fff}}]')) AS readable FROM b) SELECT doc_id, readable, CAST({_SCORE} AS DOUBLE) AS score FROM r WHERE length(c) > 0",
 )
 def _(f: Flow) -> DataFrame:
-    rows = f.table("documents").select("doc_id", F.regexp_count(Q.compact(F.col("text")), F.lit(f"[0-9A-Za-z{T.CJK}]")).alias("readable"), Q.quality_score(F.col("text")).alias("score"))
+    rows = f.documents.select("doc_id", F.regexp_count(Q.compact(F.col("text")), F.lit(f"[0-9A-Za-z{T.CJK}]")).alias("readable"), Q.quality_score(F.col("text")).alias("score"))
     return rows.where("score is not null")
 
 

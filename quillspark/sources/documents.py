@@ -13,6 +13,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer files than cores, dealt to all cores: one file is often one row group, and so one task. A table
+    of many files is left as it is."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if len(df.inputFiles()) < n else df
+
+
 def pages(docs: DataFrame, source: str = "source", order: str = "doc_id", text: str = "text", width: int = 1024) -> DataFrame:
     """One page for each row, numbered by order inside its source."""
     rows = docs.select(F.col(source).alias("source_id"), F.col(order).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
