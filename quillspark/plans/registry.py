@@ -240,7 +240,7 @@ def _(f: Flow) -> DataFrame:
     return f.page_records.select("page_id", "source_id", "pdf_page", "status", "coverage_status", "fingerprint", "candidate_ids")
 
 
-@query("page_issues")
+@query("page_issues", f"WITH {S.BLOCKS} SELECT source_id, 'ISSUE-UNREADABLE-' || lpad(pdf_page::VARCHAR, 4, '0') AS issue_id, 'unreadable_page' AS kind, source_id || '-P' || lpad(pdf_page::VARCHAR, 4, '0') AS page_ids, pdf_page::VARCHAR AS pdf_pages, 'check_item' AS origin_kind FROM pages p WHERE NOT EXISTS (SELECT 1 FROM blocks b WHERE b.source_id = p.source_id AND b.pdf_page = p.pdf_page)")
 def _(f: Flow) -> DataFrame:
     return C.issues(f.page_records)
 
@@ -287,9 +287,9 @@ def _(f: Flow) -> DataFrame:
     return G.screening_batches(_sized(f)).drop("pdf_pages")
 
 
-@query("group_outline")
+@query("group_outline", f"WITH RECURSIVE {S.GROUPS}, gp AS (SELECT DISTINCT w.source_id, w.page, w.bin, unnest(r.pdf_pages) AS p FROM walk w JOIN runs r USING (source_id, page, i)) SELECT g.source_id, 'EGRP-' || lpad(group_no::VARCHAR, 4, '0') AS evidence_group_id, string_agg(p::VARCHAR, '|' ORDER BY p) AS pdf_pages, 'sentence' AS source_shapes, 'source' AS origin_kinds FROM groups g JOIN gp USING (source_id, page, bin) GROUP BY 1, 2")
 def _(f: Flow) -> DataFrame:
-    return G.outline(f.groups)
+    return G.outline(f.groups).drop("section_path")
 
 
 @query("rendered_groups")
@@ -381,7 +381,7 @@ def _(f: Flow) -> DataFrame:
     return B.incomplete_chains(*_by_batch(f)).select("batch_ord", "candidate_id")
 
 
-@query("merged_terms")
+@query("merged_terms", f"WITH {S.TERMS}, hits AS (SELECT DISTINCT t.term, t.source_id || '-P' || lpad(c.pdf_page::VARCHAR, 4, '0') AS page_id FROM terms t JOIN chunks c ON c.source_id = t.source_id AND contains({S.key('c.chunk')}, {S.key('t.term')}) AND NOT {S.NAV}) SELECT 'TERM-' || lpad((row_number() OVER (ORDER BY t.term))::VARCHAR, 4, '0') AS term_id, t.term, coalesce(p, '') AS source_page_ids FROM (SELECT DISTINCT term FROM terms) t LEFT JOIN (SELECT term, string_agg(page_id, '|' ORDER BY page_id) AS p FROM hits GROUP BY 1) h ON h.term = t.term")
 def _(f: Flow) -> DataFrame:
     return B.merged_terms(C.term_pages(f.chunks, f.terms))
 
@@ -638,7 +638,7 @@ def _(f: Flow) -> DataFrame:
     return D.tree_html(f.requirements, f.system_guidance, f.topic_guidance)
 
 
-@query("handoff")
+@query("handoff", f"WITH {S.REQ} SELECT system, min(ord) AS o, count(*) AS n, (SELECT count(*) FROM labels WHERE quality = 0) AS open, '## ' || system || chr(10) || chr(10) || string_agg('- [' || requirement_id || '] ' || text || '（' || source || '）', chr(10) ORDER BY ord) || chr(10) AS text FROM req GROUP BY 1")
 def _(f: Flow) -> DataFrame:
     return D.handoff(f.requirements, f.table("labels").where("quality = 0"))
 
