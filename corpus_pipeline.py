@@ -15,16 +15,16 @@ from quillspark.llm.common import cut, read, table_path
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told go."""
-    rejected = cut(language.identify_documents(docs).where(~F.col("accepted")).select("doc_id").distinct())
+    rejected = cut(language.identify_documents(docs).where(~F.col("accepted")).select("doc_id").distinct(), docs.count())
     return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by near copies the one with the smallest doc_id stays. Rows without a doc_id stay."""
     classes = trie_join.jaccard_classes(docs)
-    goes = cut(classes.where("doc_id <> component_id").select("doc_id").distinct())
+    goes = cut(classes.where("doc_id <> component_id").select("doc_id").distinct(), docs.count())
     kept = docs.join(goes, "doc_id", "left_anti").select(docs.columns)
-    repeated = cut(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    repeated = cut(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), docs.count())
     if repeated.isEmpty():
         return kept
     once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])

@@ -2,39 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut, shared_dir, table_path
+
+__all__ = ["cut", "grams", "hash_words", "mixed", "read", "restored", "shared_dir", "small_batches", "table_path", "text_bytes", "words"]
+
 #: One step of the shingle mixer: an odd multiplier, so that the step can be undone and loses nothing.
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SHIFT = np.uint64(29)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where it is unset (tests), an own one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='quillspark-')}"
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def table_path(spark: SparkSession, name: str) -> str:
-    """A new place for a table in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+#: Rows and bytes of the batches that texts travel in to Python workers, where the session has Spark's defaults: with
+#: 10,000 long texts at once, buffers outside the heap outgrow an executor.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to a table in the shared folder and read again: lineage ends here, and a lost executor costs no rerun."""
-    path = table_path(df.sparkSession, "cut")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, whose session from now on hands texts to Python in small batches, unless it has limits of its own."""
+    conf = df.sparkSession.conf
+    for key, (default, wanted) in BATCH.items():
+        if conf.get(key) == default:
+            conf.set(key, wanted)
+    return df
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -13,22 +13,22 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
-def _smallest(pairs: DataFrame) -> DataFrame:
+def _smallest(pairs: DataFrame, rows: int) -> DataFrame:
     """For each a: the smallest of itself and its partners b, as a table."""
-    return cut(pairs.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")))
+    return cut(pairs.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), rows)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """edges: a, b (long). Returns node, root for every node of edges; root is the smallest node of the component."""
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
+    n, seen = edges.count(), None  # rounds add no more than they replace: a link per node and link at most
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        edges = both.join(_smallest(both), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        edges = cut(edges)
-        low = _smallest(edges)
+        edges = both.join(_smallest(both, 2 * n), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        edges = cut(edges, 2 * n)
+        low = _smallest(edges, 2 * n)
         small = edges.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        edges = cut(small.where("a <> b").distinct())
+        edges = cut(small.where("a <> b").distinct(), 2 * n)
         now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == seen:
             break

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, grams, hash_words, read, restored, words
+from .common import cut, grams, hash_words, read, restored, small_batches, words
 
 #: Bytes of item texts in a slice.
 SLICE = 8 << 20
@@ -141,7 +141,7 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     empty texts have no passages; items of fewer than n words are too short to tell a copy from chance and match nothing.
     Equal rows, and rows with equal or null ids, each give their rows; equal items each give theirs.
     """
-    spark = df.sparkSession
+    spark = small_batches(df).sparkSession
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     bench = benchmark.select(F.col(item_id).alias("item"), F.col(item_text).alias("text"))
     size = bench.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
@@ -187,7 +187,7 @@ def _arrow(kind) -> pa.DataType:
 
 def drop_leaks(df: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of df without a passage of any item."""
-    leaks = cut(find_leaks(df, benchmark, **how).select("doc_id").distinct())
+    leaks = cut(find_leaks(df, benchmark, **how).select("doc_id").distinct(), df.count())
     return df.join(leaks, "doc_id", "left_anti")
 
 

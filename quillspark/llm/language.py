@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, read
+from .common import cut, read, small_batches
 
 BITS = 14
 #: Trigrams after which more text adds no certainty.
@@ -40,7 +40,7 @@ def trigrams(text: str | None) -> np.ndarray:
 
 def train(df: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
     """Languages and their log-shares of trigrams, over all rows with a label. At most 2**BITS rows a language come back."""
-    rows = df.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"))
+    rows = small_batches(df).select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -69,7 +69,7 @@ def likelihoods(df: DataFrame, text: str, model: tuple[list[str], np.ndarray]) -
     """df's other columns, n_trigrams, and means: the mean log-likelihood of the trigrams in each language."""
     shared = df.sparkSession.sparkContext.broadcast(model[1])
     others = [c for c in df.columns if c != text]
-    rows = df.select(*others, F.col(text).alias("__text"))
+    rows = small_batches(df).select(*others, F.col(text).alias("__text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -113,19 +113,19 @@ def identify(
     hits = [F.count_if(F.col("best") == i + 1).cast("double").alias(f"c{i}") for i in range(n)]
     counts = F.array(*[F.col(f"c{i}") for i in range(n)])
 
-    total = scored.agg(*hits).first()
+    n_rows, total = scored.count(), scored.agg(*hits).first()
     base = [(total[f"c{i}"] + 1.0) / (sum(total) + n) for i in range(n)]
     everywhere = F.array(*[F.lit(x) for x in base])
-    domains = cut(scored.where("best is not null and domain is not null").groupBy("domain").agg(*hits).select("domain", _shares(counts, everywhere, 20.0).alias("domain_prior")))
+    domains = cut(scored.where("best is not null and domain is not null").groupBy("domain").agg(*hits).select("domain", _shares(counts, everywhere, 20.0).alias("domain_prior")), n_rows)
     hosts = scored.where("best is not null and host is not null").groupBy("host", "domain").agg(*hits).select("host", "domain", counts.alias("counts"))
     hosts = hosts.join(domains, "domain", "left").select("host", F.col("domain").alias("d"), _shares(F.col("counts"), F.coalesce("domain_prior", everywhere), 10.0).alias("prior"))
-    hosts = cut(hosts)
+    hosts = cut(hosts, n_rows)
 
     def evidence(column: str) -> DataFrame:
         """log P(value | language), smoothed by the value's share of all rows."""
         values = scored.where(F.col("best").isNotNull() & F.col(column).isNotNull()).groupBy(column).agg(*hits)
         share = (F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) + 1) / F.lit(sum(total) + 1.0)
-        return cut(values.select(column, F.array(*[F.log((F.col(f"c{i}") + 5 * share) / F.lit(total[f"c{i}"] + 5.0)) for i in range(n)]).alias(f"log_{column}")))
+        return cut(values.select(column, F.array(*[F.log((F.col(f"c{i}") + 5 * share) / F.lit(total[f"c{i}"] + 5.0)) for i in range(n)]).alias(f"log_{column}")), n_rows)
 
     out = scored.join(hosts, scored["host"].eqNullSafe(hosts["host"]) & scored["domain"].eqNullSafe(hosts["d"]), "left").drop(hosts["host"]).drop("d")
     for column in ("declared", "suffix"):

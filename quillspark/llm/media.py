@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, small_batches
 
 #: Pixels a row of the images that hold payloads; three samples each.
 ROW = 64
@@ -136,7 +136,7 @@ def analyse(df: DataFrame, id_col: str, media_col: str, tile: int = 16) -> DataF
     """
     from pyspark.sql.types import _parse_datatype_string
 
-    rows = df.select(F.col(id_col).alias("id"), F.col(media_col).alias("media"))
+    rows = small_batches(df).select(F.col(id_col).alias("id"), F.col(media_col).alias("media"))
     added = _parse_datatype_string(ADDED).fieldNames()
     schema = pa.schema([(n, t) for n, t in zip(added, (pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()), strict=True)])
 

@@ -99,7 +99,7 @@ def pack(df: DataFrame, length: Column, id_col: str = "doc_id", sizes: tuple[int
     n = pieces.count()
     parts = int(max(1, min(n / 1000, 4096), n / 1_000_000))
     pieces = pieces.withColumn("part", F.pmod(F.xxhash64("id", "piece"), F.lit(parts)).cast("int"))
-    counts = cut(pieces.groupBy("length", "part").agg(F.count("*").alias("c")))
+    counts = cut(pieces.groupBy("length", "part").agg(F.count("*").alias("c")), n)
     before = counts.withColumn("before", F.sum("c").over(Window.partitionBy("length").orderBy("part")) - F.col("c"))
     histogram = {r["length"]: r["c"] for r in counts.groupBy("length").agg(F.sum("c").alias("c")).collect()}  # lengths up to top
     ranked = pieces.withColumn("row", F.row_number().over(Window.partitionBy("length", "part").orderBy("id", "piece")))

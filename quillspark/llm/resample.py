@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, grams, hash_words, read, words
+from .common import cut, grams, hash_words, read, small_batches, words
 
 BITS = 15
 #: Labelled rows that the target model may be fitted on; of more, those with the smallest hashes of their ids.
@@ -86,7 +86,7 @@ def resample(df: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     equal id and text tie and are selected together, so ties at the k-th key may add rows. A null or empty text has no
     features and log weight 0. A null id is an id like others.
     """
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     ids = target.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()).distinct()
     few = ids.orderBy(F.xxhash64("id"), "id").limit(TARGET_ROWS).withColumn("flag", F.lit(True))
     ratio = log_ratio(_count(docs.join(F.broadcast(few), "id", "left"), F.col("flag")))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, restored
+from .common import read, restored, small_batches
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
@@ -250,7 +250,7 @@ SPANS = "array<struct<kind:string,start:long,end:long>>"
 def _map(df: DataFrame, id_col: str, text_col: str, recall: float, schema: str, make) -> DataFrame:
     net, threshold, _ = model(recall)
     shared = df.sparkSession.sparkContext.broadcast((vars(net), threshold))
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

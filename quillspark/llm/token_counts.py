@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, table_path
+from .common import read, small_batches, table_path
 
 CACHE = "version string, digest binary, n_tokens long"
 #: Characters handed to the tokenizer at once, unless one text is longer.
@@ -67,7 +67,7 @@ def count_tokens(df: DataFrame, cache_path: str, tokenizer_path: str, id_col: st
 
     A null text counts as empty. Rows with null or equal ids each give a row. Only the two columns are looked at.
     """
-    spark = df.sparkSession
+    spark = small_batches(df).sparkSession
     spec = Path(tokenizer_path).read_bytes()
     version = hashlib.sha256(spec).hexdigest()
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

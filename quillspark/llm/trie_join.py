@@ -31,6 +31,8 @@ from .counting import count_join, look_up, n_batches, n_buckets
 
 #: N-grams of a group of the trie join, about.
 GROUP = 2_000_000
+#: Texts of a file of sets.
+SETS_FILE = 10_000
 #: Bands of sizes; a little over 4/3, so that rounding can't part two sizes in the ratio 3 : 4 by two bands.
 BAND = 1.34
 
@@ -152,17 +154,17 @@ def _group(percent: int):
     return links
 
 
-def _grouped(sets: DataFrame, blocks: DataFrame) -> DataFrame:
+def _grouped(sets: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
     """The sets of blocks, each with the groups to which it goes: small blocks whole, several to a group; the rest split."""
     sets = sets.join(blocks.select(F.col("node").alias("iid"), F.col("root").alias("block")), "iid")
-    placed = cut(sets.select("iid", "block", "n", F.size("tokens").alias("held"), F.floor(F.log(F.col("n").cast("double")) / float(np.log(BAND))).cast("int").alias("band")))
-    size = cut(placed.groupBy("block").agg(F.sum("held").alias("all_held")))
+    placed = cut(sets.select("iid", "block", "n", F.size("tokens").alias("held"), F.floor(F.log(F.col("n").cast("double")) / float(np.log(BAND))).cast("int").alias("band")), n)
+    size = cut(placed.groupBy("block").agg(F.sum("held").alias("all_held")), n)
     total = size.agg(F.sum("all_held").alias("n")).first()["n"] or 0
     packs = max(1, int(total / (GROUP / 64)))
     placed = placed.join(size, "block")
     whole = placed.where(F.col("all_held") <= GROUP).select("iid", "block", F.pmod(F.xxhash64("block"), F.lit(packs)).alias("pack"), F.lit(-9).alias("band"), F.lit(0).alias("i"), F.lit(0).alias("j"))
     split = placed.where(F.col("all_held") > GROUP).withColumn("band", F.explode(F.array("band", F.col("band") - 1)))
-    parts = cut(split.groupBy("block", "band").agg(F.ceil(F.sum("held") / (GROUP / 2)).cast("int").alias("k")))
+    parts = cut(split.groupBy("block", "band").agg(F.ceil(F.sum("held") / (GROUP / 2)).cast("int").alias("k")), n)
     split = split.join(parts, ["block", "band"]).withColumn("own", F.pmod(F.xxhash64("iid"), F.col("k")).cast("int"))
     other = F.filter(F.sequence(F.lit(0), F.greatest(F.col("k") - 1, F.lit(0))), lambda x: (x != F.col("own")) | (F.col("k") == 1))
     split = split.withColumn("other", F.explode(other)).select("iid", "block", F.col("block").alias("pack"), "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
@@ -177,11 +179,11 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     and rows with equal ids each give a row. A null id is never a component_id unless all ids of the class are null.
     """
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
-    texts = cut(rows.groupBy("digest").agg(F.min("id").alias("least_id"), F.count("*").alias("copies"), F.max(F.octet_length("text")).alias("bytes")))
-    seen = texts.agg(F.sum("copies").alias("rows"), F.sum("bytes").alias("bytes")).first()
-    total = seen["bytes"] or 0
+    n_rows = df.count()
+    texts = cut(rows.groupBy("digest").agg(F.min("id").alias("least_id"), F.count("*").alias("copies"), F.max(F.octet_length("text")).alias("bytes")), n_rows)
+    total = texts.agg(F.sum("bytes").alias("n")).first()["n"] or 0
     # Of a text with over a thousandth of all rows (there are fewer than 1,000 such) only the copy with the least id is dealt.
-    hot = texts.where(F.col("copies") > max(16, (seen["rows"] or 0) // 1000)).select("digest", "least_id")
+    hot = texts.where(F.col("copies") > max(16, n_rows // 1000)).select("digest", "least_id")
     single = rows.join(F.broadcast(hot), "digest", "left").where(F.col("least_id").isNull() | (F.col("id") == F.col("least_id"))).select("digest", "text")
 
     def extract(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -205,19 +207,21 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         })
 
     schema = "digest binary, iid long, n long, prefix int, tokens array<long>"
-    sets = cut(count_join(single, F.col("digest"), n_batches(total), n_buckets(total / 7), extract, finish, schema))
+    sets = cut(count_join(single, F.col("digest"), n_batches(total), n_buckets(total / 7), extract, finish, schema), n_rows, SETS_FILE)
     open_sets = sets.where(F.col("tokens").isNotNull())
+    seen = open_sets.agg(F.count("*").alias("n"), F.sum("prefix").alias("heads")).first()
+    n_open, n_heads = seen["n"], seen["heads"] or 0
     heads = open_sets.select("iid", F.explode(F.slice("tokens", 1, F.col("prefix"))).alias("token"))
-    first = cut(heads.groupBy("token").agg(F.min("iid").alias("a"), F.count("*").alias("c")).where("c > 1").drop("c"))
-    blocks = cut(components(heads.join(first, "token").select("a", F.col("iid").alias("b")).where("a <> b").distinct()))
-    places = _grouped(open_sets, blocks)
+    first = cut(heads.groupBy("token").agg(F.min("iid").alias("a"), F.count("*").alias("c")).where("c > 1").drop("c"), n_heads)
+    blocks = cut(components(heads.join(first, "token").select("a", F.col("iid").alias("b")).where("a <> b").distinct()), n_open)
+    places = _grouped(open_sets, blocks, n_open)
     groups = open_sets.select("iid", "n", "tokens").join(places, "iid").groupBy("pack", "band", "i", "j")
     links = groups.applyInArrow(_group(percent), "a long, b long")
-    classes = cut(components(links))
+    classes = cut(components(links), n_open)
     known = sets.select("digest", "iid", "n").join(texts.select("digest", "least_id"), "digest").join(classes.withColumnRenamed("node", "iid"), "iid", "left")
-    known = cut(known)
-    least = cut(known.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("least_id").alias("class_id")))
-    known = cut(known.join(least, "root", "left").select("digest", F.col("n").alias("n_shingles"), F.coalesce("class_id", "least_id").alias("class_id")))
+    known = cut(known, n_rows)
+    least = cut(known.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("least_id").alias("class_id")), n_open)
+    known = cut(known.join(least, "root", "left").select("digest", F.col("n").alias("n_shingles"), F.coalesce("class_id", "least_id").alias("class_id")), n_rows)
     out = rows.select("id", "digest").join(known, "digest")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("class_id")).alias("component_id"))
 
