@@ -27,11 +27,11 @@ def table_path(spark: SparkSession, name: str) -> str:
 FILE_ROWS = 250_000
 
 
-def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+def cut(df: DataFrame, rows: int | None = None, each: int = FILE_ROWS) -> DataFrame:
     """df written to a table in the shared folder and read again: lineage ends here, steps that several others read run
     once, and a lost executor costs no rerun of what came before.
 
-    rows: at most so many narrow rows; they go to a file for each FILE_ROWS, not to one for each partition."""
+    rows: at most so many rows; they go to a file for each `each` rows, not to one for each partition."""
     path = table_path(df.sparkSession, "cut")
-    (df if rows is None else df.coalesce(rows // FILE_ROWS + 1)).write.parquet(path)
+    (df if rows is None else df.coalesce(rows // each + 1)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
