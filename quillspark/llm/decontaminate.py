@@ -2,8 +2,9 @@
 words scores the passages, so that paraphrased or edited copies count too.
 
 1. Document frequencies of the items' n-grams, over all documents.
-2. Seeds: the n-grams in at most `rare` of the documents, and in any case the rarest of each run of eight n-grams of an
-   item, so that no part of an item is without one however common the item itself has become.
+2. Seeds: all n-grams of an item, since an edited copy that reaches the score may have kept any single one of them.
+   Those in at most `rare` of the documents lead to the item at once; of an item that a document meets by common ones
+   alone, the words that the two share must first be enough to reach the score. So `rare` changes no result.
 3. Each document's seed hits are gathered by item and diagonal into windows; a window is aligned when the words that it
    shares with the item could reach the score at all.
 
@@ -64,15 +65,13 @@ class Items:
         found: list[tuple[int, int, int]] = []
         for k, own in enumerate(self.grams):
             df = np.array([counts.get(int(g.view(np.int64)), 0) for g in own])
-            take = df <= limit
-            for a in range(0, len(own), 8):
-                take[a + int(df[a : a + 8].argmin())] = True
-            found += [(int(own[p]), k, int(p)) for p in np.flatnonzero(take)]
+            found += [(int(g), k, p, d <= limit) for p, (g, d) in enumerate(zip(own.tolist(), df.tolist(), strict=True))]
         found.sort()
         keys = np.array([x[0] for x in found], np.uint64)
         self.seeds, first = np.unique(keys, return_index=True)
         self.first = np.append(first, len(keys))
         self.item_of, self.place_of = (np.array([x[i] for x in found], np.int64) for i in (1, 2))
+        self.rare = np.array([x[3] for x in found], bool)[first] if found else np.empty(0, bool)
 
 
 def _at(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,14 +88,19 @@ def passages(text: str | None, items: Items, share: float) -> list[tuple[int, in
     h = hash_words(words(text))
     hits, seeds = _at(items.seeds, grams(h, items.n))
     diagonals: dict[int, list[int]] = {}
+    sure: set[int] = set()  # items met by a rare seed
     for p, s in zip(hits.tolist(), seeds.tolist(), strict=True):
         for j in range(items.first[s], items.first[s + 1]):
             diagonals.setdefault(int(items.item_of[j]), []).append(p - int(items.place_of[j]))
+            if items.rare[s]:
+                sure.add(int(items.item_of[j]))
     out = []
     for k, ds in sorted(diagonals.items()):
         item = items.words[k]
         m, best = len(item), (0, 0, 0)
         need, pad = min(share * m, LONG) * MATCH, m // 4 + 2
+        if k not in sure and MATCH * int(np.isin(item, h).sum()) < need:
+            continue
         ds = sorted(set(ds))
         start = last = ds[0]
         for d in [*ds[1:], None]:
@@ -137,8 +141,9 @@ def _frequencies(docs: DataFrame, items: Items) -> dict[int, int]:
 def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 3, rare: float = 0.0005, share: float = 0.5) -> DataFrame:
     """A row for each row of df and item of which it has a passage: id, item id, score, similarity, first and last word.
 
-    A passage counts when its alignment reaches `share` of the score of the whole item, or LONG matching words. Null and
-    empty texts have no passages; items of fewer than n words are too short to tell a copy from chance and match nothing.
+    A passage counts when its alignment reaches `share` of the score of the whole item, or LONG matching words, and
+    when it has n words of the item in a row. Null and empty texts have no passages; items of fewer than n words are too
+    short to tell a copy from chance and match nothing.
     Equal rows, and rows with equal or null ids, each give their rows; equal items each give theirs.
     """
     spark = small_batches(df).sparkSession

@@ -173,6 +173,23 @@ def test_exact_edited_and_clean_documents(spark):
     assert decontaminate.find_leaks(df.limit(0), spark.createDataFrame(items, "item_id long, text string")).collect() == []
 
 
+def test_edited_copies_of_a_common_item(spark):
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randrange(3, 7)))
+    item = [word() for _ in range(17)]
+    docs = [(i, " ".join([*[word() for _ in range(30)], *item])) for i in range(40)]  # its trigrams are in more than `limit` documents
+    for i in range(40, 80):
+        own = list(item)
+        for p in r.sample(range(17), 3):
+            own[p] = word()
+        docs.append((i, " ".join([*own, *[word() for _ in range(30)]])))
+    docs += [(i, " ".join([*item[4:7], *[word() for _ in range(30)]])) for i in range(80, 90)]
+    want = {i for i, t in docs if brute_align(item, t.split()) >= len(item)}
+    assert want == set(range(80))
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, DDL), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert {x.doc_id for x in got.collect()} == want
+
+
 def test_slices_find_the_same(spark, monkeypatch):
     docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     want = sorted(rows_of(decontaminate.find_leaks(docs, bench)))
