@@ -1,11 +1,13 @@
 """Secret scans: three base patterns, and a character convolutional network in numpy over every other candidate and
 its context.
 
-A candidate is any run of at least 16 of the characters A-Za-z0-9+/_.=@:- that no base finding overlaps. The network
-sees its first 48 characters with 24 before and 8 after it, as character classes; it is trained once on labelled
-findings made by rule (below: keys, tokens and connection strings against words, numbers, URLs, addresses, dates and
-digests of files named as such), and its threshold is, of all
-that keep the wanted recall on findings held out, the most precise, and of such the lowest.
+A candidate is any run of at least 16 of the characters A-Za-z0-9+/_.=@:- or, where base findings overlap such a run,
+each part of at least 16 that they leave. The network sees windows of 48 characters, 24 apart and one at the end, so that
+all of a candidate is seen, each with 24 before and 8 after it, as character classes; one window over the threshold makes
+the candidate a finding. It is trained once on windows of labelled findings made by rule (below: keys, tokens and
+connection strings, alone and behind hosts and paths, against words, numbers, rules, URLs, addresses, dates and digests
+of files named as such), and its threshold is, of all that keep the wanted recall on findings held out, the most precise,
+and of such the lowest.
 All of it is a map over Arrow batches: no shuffle; the model has some 10,000 weights whatever the corpus.
 """
 
@@ -28,7 +30,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=@:-]{16,}")
 KINDS = ("assign", "access", "hex", "cnn")
+SHORTEST = 16
 BEFORE, INSIDE, AFTER = 24, 48, 8
+STEP = INSIDE // 2
 WIDTH = BEFORE + INSIDE + AFTER
 
 Span = tuple[int, int, int]  # start, kind's place in KINDS, end
@@ -46,21 +50,30 @@ def base_spans(text: str) -> list[Span]:
 
 
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
-    """Every run of candidate characters that overlaps no base finding and has a digit and a letter."""
+    """Every run of candidate characters, or the parts of it of at least SHORTEST characters between base findings."""
     out, at = [], 0
     ends = np.maximum.accumulate([e for _, _, e in base]).tolist() if base else []
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
         while at < len(base) and ends[at] <= s:
             at += 1
-        if at < len(base) and any(b[0] < e and b[2] > s for b in base[at:] if b[0] < e):
-            continue
-        run = m[0]
-        if any(c.isdigit() for c in run) and any(c.isalpha() for c in run):
+        for start, _, end in base[at:]:
+            if start >= e:
+                break
+            if start - s >= SHORTEST:
+                out.append((s, start))
+            s = max(s, end)
+        if e - s >= SHORTEST:
             out.append((s, e))
     return out
 
 
+def windows(start: int, end: int) -> list[tuple[int, int]]:
+    """What encode is given for a candidate: its start, and of a longer one also all windows that follow."""
+    last = end - INSIDE
+    return [(start, end), *((a, a + INSIDE) for a in range(start + STEP, last, STEP)), *([(last, end)] if last > start else [])]
+
+
 def _class_table() -> np.ndarray:
     """Code point below 128 to class: each letter and digit pooled with its like but hex letters, punctuation apart."""
     table = np.full(129, 1)
@@ -169,7 +182,11 @@ def _variety(row: np.ndarray) -> float:
 
 
 def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """n findings made by rule, each the encoded candidate with context, and whether it is a secret."""
+    """n findings made by rule, each an encoded window of a candidate with context, and whether it is a secret.
+
+    Of a secret it is the window that holds most of the key (which begins at the third value, where there is one), of
+    others any.
+    """
     r = np.random.default_rng(seed)
     digits, lower = "0123456789", "abcdefghijklmnopqrstuvwxyz"
     upper, mixed = lower.upper(), digits + lower + lower.upper()
@@ -179,6 +196,11 @@ def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     name = lambda: word().capitalize() if r.random() < 0.3 else word()
     prose = lambda k: " ".join(name() for _ in range(k)) + one([" ", ". ", ", ", "\n"])
     size = lambda a, b: int(r.integers(a, b))
+    letters = lower + upper
+    key = lambda: one(["", "", "ghp_", "gho_", "sk_live_", "glpat-", "sk-"]) + pick(one([mixed, mixed, letters]), size(20, 44))
+    path = lambda a, b: one("///.-_").join(word() for _ in range(size(a, b)))
+    host = lambda: f"http{one(['', 's'])}://{one(['www.', '', word() + '.'])}{word()}.{one(['com', 'org', 'net'])}"
+    behind = lambda lead, own, rest: (prose(2), lead + own + rest, len(lead))
     secret = [
         lambda: ("key = ", pick(mixed, size(24, 48))),
         lambda: (one(["auth: Bearer ", "bearer ", "Authorization "]), pick(mixed + "-_", size(24, 60)) + "." + pick(mixed + "-_", size(20, 40))),
@@ -187,6 +209,10 @@ def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
         lambda: (one(["db ", "url: ", "dsn="]), f"postgres://{word()}:{pick(mixed, size(10, 20))}@{word()}.{word()}:5432/{word()}"),
         lambda: (prose(3), "AIza" + pick(mixed + "-_", 35)),
         lambda: (prose(2), pick(mixed, size(32, 48))),
+        lambda: behind(f"http{one(['', 's'])}://{word()}:", key(), f"@{word()}.{one(['com', 'org', 'net'])}/{path(1, 6)}"),
+        lambda: behind(f"{host()}/{path(3, 16)}{one(['/', ':', '=', '/key='])}", key(), one(["", "", "/", "/" + path(1, 5)])),
+        lambda: behind(f"{path(2, 16)}{one(['/', ':', '=', '/auth='])}", key(), one(["", "", "/" + path(1, 4)])),
+        lambda: (one(["key = ", "bearer ", "private ", "credential=", "key: ", prose(3)]), pick(letters, size(24, 48))),
     ]
     clean = [
         lambda: (prose(4), "-".join(word() for _ in range(size(3, 6))) + one(["1", "2", "24"])),
@@ -201,29 +227,44 @@ def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
         lambda: (prose(2), f"{size(1000, 9999)}-{size(1000, 9999)}-{size(1000, 9999)}-{size(1000, 9999)}a"),
         lambda: (prose(2), f"v{size(1, 9)}.{size(0, 20)}.{size(0, 20)}-{one(['beta', 'alpha', 'release'])}.{size(1, 9)}"),
         lambda: (prose(2), name() + "=" * size(10, 20) + str(size(1, 9))),
+        lambda: (prose(2), f"{host()}/{path(3, 24)}{one(['', '/', '.html', '-' + str(size(1, 9999))])}"),
+        lambda: (prose(2), f"{host()}/20{size(10, 30)}/{size(10, 13)}/{size(10, 29)}/{path(2, 16)}"),
+        lambda: (prose(2), path(4, 24)),
+        lambda: (prose(2), one("/._-").join(f"{word()}{one(['', '', size(0, 99)])}" for _ in range(size(4, 16)))),
+        lambda: (prose(3), (pick(lower, size(16, 30)).capitalize() if r.random() < 0.3 else pick(lower, size(16, 30)))),
+        lambda: (prose(2), "".join(pick(lower, size(4, 9)).capitalize() for _ in range(size(3, 6)))),
+        lambda: (prose(2), "_".join(word().upper() for _ in range(size(3, 8)))),
+        lambda: (prose(2), "".join(one([a + b, a, a]) for a, b in [(one("=-_.:+/"), one("=-_.:+/"))] for _ in range(size(16, 80)))),
+        lambda: (prose(2), "-".join(pick(digits, size(4, 9)) for _ in range(size(3, 9)))),
+        lambda: (prose(2), pick(digits, size(16, 40))),
+        lambda: (prose(2), f"{word()}.{word()}@{word()}{one(['.', '-'])}{word()}.example.{one(['com', 'org'])}"),
+        lambda: (prose(2), (word() + word()) * size(4, 12)),
     ]
     x, y = np.zeros((n, WIDTH), np.int64), np.zeros(n)
     for i in range(n):
         y[i] = r.random() < 0.5
-        before, run = one(secret if y[i] else clean)()
+        before, run, *at = one(secret if y[i] else clean)()
         quote = one(["", "", '"', "'"])
         text = prose(3) + before + quote
-        x[i] = encode(text + run + quote + one([" ", "\n", ".", ", "]) + prose(2), len(text), len(text) + len(run))
+        seen = windows(len(text), len(text) + len(run))
+        core = len(text) + (at[0] if at else 0)
+        seen = max(seen, key=lambda w: min(w[0] + INSIDE, core + 24) - max(w[0], core)) if y[i] else one(seen)
+        x[i] = encode(text + run + quote + one([" ", "\n", ".", ", "]) + prose(2), *seen)
     return x, y
 
 
 @functools.cache
 def model(recall: float = 0.95, seed: int = 7) -> tuple[Network, float, dict]:
     """The trained network, its threshold, and recall and precision on findings held out from both."""
-    x, y = labelled_findings(8000, seed)
+    x, y = labelled_findings(15000, seed)
     net = Network(seed)
-    net.fit(x[:5000], y[:5000], seed)
-    net.calibrate(x[5000:6500], y[5000:6500])
-    p, true = net.probability(x[5000:6500]), y[5000:6500] == 1
+    net.fit(x[:11000], y[:11000], seed)
+    net.calibrate(x[11000:13000], y[11000:13000])
+    p, true = net.probability(x[11000:13000]), y[11000:13000] == 1
     cuts = np.sort(p[true])[: int((1 - recall) * true.sum()) + 1]  # all that keep the recall
     threshold = float(max(cuts, key=lambda t: (true[p >= t].mean(), -t)))
-    held = net.probability(x[6500:]) >= threshold
-    truth = y[6500:] == 1
+    held = net.probability(x[13000:]) >= threshold
+    truth = y[13000:] == 1
     return net, threshold, {"recall": float((held & truth).sum() / truth.sum()), "precision": float((held & truth).sum() / max(1, held.sum()))}
 
 
@@ -235,13 +276,13 @@ def _scan(text: str | None, net: Network, threshold: float) -> tuple[list[Span],
     """Base findings, and all."""
     text = text or ""
     base = base_spans(text)
-    runs = candidates(text, base)
-    more: list[Span] = []
-    for i in range(0, len(runs), 256):
-        part = runs[i : i + 256]
-        p = net.probability(np.stack([encode(text, s, e) for s, e in part]))
-        more += [(s, 3, e) for (s, e), x in zip(part, p, strict=True) if x >= threshold]
-    return base, sorted(base + more)
+    seen = [(w, run) for run in candidates(text, base) for w in windows(*run)]
+    more: set[Span] = set()
+    for i in range(0, len(seen), 256):
+        part = seen[i : i + 256]
+        p = net.probability(np.stack([encode(text, *w) for w, _ in part]))
+        more |= {(s, 3, e) for (_, (s, e)), x in zip(part, p, strict=True) if x >= threshold}
+    return base, sorted([*base, *more])
 
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"

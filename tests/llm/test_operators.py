@@ -94,6 +94,22 @@ def test_candidates_overlap_no_base_finding():
     assert [text[s:e] for s, e in secrets.candidates(text, base)] == ["zzzzzzzz1234567890zzzz"]
 
 
+def test_network_sees_every_candidate_whole(spark):
+    key = "ghp_A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5p6Q7r8"
+    letters = "QzRtYpLmXcVbNsDfGhJkWqZxTrPlMnBv"
+    far = "https://registry.internal.example.org/team/service/configuration/environment/production/auth:"
+    sha = "0123456789abcdef0123456789abcdef01234567"
+    texts = [f"see https://deploy:{key}@host.org/repo/commit/{sha} now", f"pull {far}{key} now", f"key = {letters} now", f"password=abcdefgh1:{key} now"]
+    clean = ["=" * 70, f"read {far[:-6]} first", "2024-01-01/2024-02-02/2024-03-03", "Donaudampfschifffahrtsgesellschaft and internationalization", f"commit {sha}"]
+    df = spark.createDataFrame(list(enumerate(texts + clean)), DDL)
+    masked = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert not any(k in masked[i] for i, k in enumerate([key, key, letters, key]))
+    assert [masked[len(texts) + i] for i in range(4)] == clean[:4] and masked[len(texts) + 4] == "commit [SECRET]"
+    run = "x" * 200
+    assert secrets.candidates(run, []) == [(0, 200)] and secrets.candidates(run, [(50, 2, 90), (60, 2, 95)]) == [(0, 50), (95, 200)]
+    assert {i for a, b in secrets.windows(0, 200) for i in range(a, min(b, a + 48))} == set(range(200))
+
+
 # media
 
 
