@@ -36,25 +36,27 @@ def contiguous(pages: DataFrame, group: list[str], page: str, first: int | None
 
 
 def incomplete_chains(cands: DataFrame, claims: DataFrame, evidence: DataFrame) -> DataFrame:
-    """Candidates without a claim or without evidence; a merge needs none."""
-    keys = ["batch_ord", "claim_id"]
-    return cands.join(claims.select(*keys), keys, "left_anti").unionByName(cands.join(evidence.select(*keys), keys, "left_anti")).dropDuplicates(["batch_ord", "candidate_id"])
+    """Candidates of any source without a claim or without evidence; a merge needs none. Ids repeat between sources and batches."""
+    keys = ["source_id", "batch_ord", "claim_id"]
+    return cands.join(claims.select(*keys), keys, "left_anti").unionByName(cands.join(evidence.select(*keys), keys, "left_anti")).dropDuplicates(["source_id", "batch_ord", "candidate_id"])
 
 
 def merged(cands: DataFrame, claims: DataFrame, evidence: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Candidates, claims and evidence of batches (batch_ord, position: a candidate's place in its batch) under new serials.
+    """Candidates, claims and evidence of batches (source_id, batch_ord, position: a candidate's place in its batch) under
+    new serials, from 1 in each source.
 
-    Old ids repeat between batches, so all joins are by batch and id. Neighbours are mapped one by one, unknown ones dropped.
+    Old ids repeat between sources and batches, so all joins are by source, batch and id. Neighbours are mapped one by one, unknown ones dropped.
     """
-    numbered = ordinal(cands, "serial", [], F.col("batch_ord") * 1_000_000 + F.floor(F.col("position") / 1024), "batch_ord", "position")
+    keys = ["source_id", "batch_ord"]
+    numbered = ordinal(cands, "serial", ["source_id"], F.col("batch_ord") * 1_000_000 + F.floor(F.col("position") / 1024), "batch_ord", "position")
     new = {p: F.format_string(f"{p}-%05d", "serial") for p in ("CAND", "CLM", "EV")}
-    ids = numbered.select("batch_ord", F.col("candidate_id").alias("old"), new["CAND"].alias("new"))
-    near = numbered.select("batch_ord", "candidate_id", F.posexplode("neighbor_candidate_ids").alias("pos", "old")).join(ids, ["batch_ord", "old"])
-    near = near.groupBy("batch_ord", "candidate_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "new"))), lambda x: x["new"]).alias("neighbor_candidate_ids"))
-    out = numbered.drop("neighbor_candidate_ids").join(near, ["batch_ord", "candidate_id"], "left").withColumn("neighbor_candidate_ids", F.coalesce("neighbor_candidate_ids", F.array().cast("array<string>")))
-    chain = numbered.select("batch_ord", "claim_id", "serial", new["CLM"].alias("new_claim"), new["EV"].alias("new_evidence"))
-    cl = claims.join(chain, ["batch_ord", "claim_id"]).withColumn("claim_id", F.col("new_claim")).withColumn("evidence_ids", F.array("new_evidence")).drop("new_claim", "new_evidence")
-    ev = evidence.join(chain, ["batch_ord", "claim_id"]).withColumn("claim_id", F.col("new_claim")).withColumn("evidence_id", F.col("new_evidence")).drop("new_claim", "new_evidence")
+    ids = numbered.select(*keys, F.col("candidate_id").alias("old"), new["CAND"].alias("new"))
+    near = numbered.select(*keys, "candidate_id", F.posexplode("neighbor_candidate_ids").alias("pos", "old")).join(ids, [*keys, "old"])
+    near = near.groupBy(*keys, "candidate_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "new"))), lambda x: x["new"]).alias("neighbor_candidate_ids"))
+    out = numbered.drop("neighbor_candidate_ids").join(near, [*keys, "candidate_id"], "left").withColumn("neighbor_candidate_ids", F.coalesce("neighbor_candidate_ids", F.array().cast("array<string>")))
+    chain = numbered.select(*keys, "claim_id", "serial", new["CLM"].alias("new_claim"), new["EV"].alias("new_evidence"))
+    cl = claims.join(chain, [*keys, "claim_id"]).withColumn("claim_id", F.col("new_claim")).withColumn("evidence_ids", F.array("new_evidence")).drop("new_claim", "new_evidence")
+    ev = evidence.join(chain, [*keys, "claim_id"]).withColumn("claim_id", F.col("new_claim")).withColumn("evidence_id", F.col("new_evidence")).drop("new_claim", "new_evidence")
     return out.withColumn("candidate_id", new["CAND"]).withColumn("claim_id", new["CLM"]), cl, ev
 
 

@@ -354,31 +354,41 @@ def _(f: Flow) -> DataFrame:
     return B.contiguous(f.table("lineitem"), ["l_orderkey"], "l_linenumber")
 
 
-def _by_batch(f: Flow) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _by_batch(candidates: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Packs of 25 pages of one source, each with serials of its own."""
-    rows = f.candidates.where("source_id = 'src0'").withColumn("batch_ord", F.floor((F.col("pdf_page") - 1) / 25).cast("int"))
+    rows = candidates.withColumn("batch_ord", F.floor((F.col("pdf_page") - 1) / 25).cast("int"))
     from pyspark.sql import Window
 
-    own = F.row_number().over(Window.partitionBy("batch_ord").orderBy("serial"))
-    old = F.min("serial").over(Window.partitionBy("batch_ord"))
+    own = F.row_number().over(Window.partitionBy("source_id", "batch_ord").orderBy("serial"))
+    old = F.min("serial").over(Window.partitionBy("source_id", "batch_ord"))
     rows = rows.withColumn("position", own).withColumn("old", old)
     local = lambda p, s: F.format_string(f"{p}-%05d", s)
     near = F.transform("neighbor_candidate_ids", lambda x: F.format_string("CAND-%05d", F.substring(x, 6, 9).cast("long") - F.col("old") + 1))
-    cands = rows.select("batch_ord", "position", local("CAND", "position").alias("candidate_id"), local("CLM", "position").alias("claim_id"), near.alias("neighbor_candidate_ids"), "chunk")
-    claims = rows.select("batch_ord", local("CLM", "position").alias("claim_id"), F.col("chunk").alias("neutral_fact"))
-    evidence = rows.select("batch_ord", local("EV", "position").alias("evidence_id"), local("CLM", "position").alias("claim_id"), F.col("chunk").alias("quote"))
+    cands = rows.select("source_id", "batch_ord", "position", local("CAND", "position").alias("candidate_id"), local("CLM", "position").alias("claim_id"), near.alias("neighbor_candidate_ids"), "chunk")
+    claims = rows.select("source_id", "batch_ord", local("CLM", "position").alias("claim_id"), F.col("chunk").alias("neutral_fact"))
+    evidence = rows.select("source_id", "batch_ord", local("EV", "position").alias("evidence_id"), local("CLM", "position").alias("claim_id"), F.col("chunk").alias("quote"))
     return cands, claims, evidence
 
 
+def _merged(candidates: DataFrame) -> DataFrame:
+    c, _, e = B.merged(*_by_batch(candidates))
+    return c.join(e.select("source_id", "claim_id", "evidence_id", "quote"), ["source_id", "claim_id"]).select("source_id", "candidate_id", "claim_id", "evidence_id", "neighbor_candidate_ids", "quote")
+
+
 @query("merged_batches", f"WITH {S.ENRICHED} SELECT candidate_id, 'CLM-' || substr(candidate_id, 6) AS claim_id, 'EV-' || substr(candidate_id, 6) AS evidence_id, concat_ws('|', lag(candidate_id) OVER w, lead(candidate_id) OVER w) AS neighbor_candidate_ids, chunk AS quote FROM candidates WHERE source_id = 'src0' WINDOW w AS (PARTITION BY source_id, pdf_page ORDER BY serial)")
 def _(f: Flow) -> DataFrame:
-    c, _, e = B.merged(*_by_batch(f))
-    return c.join(e.select("claim_id", "evidence_id", "quote"), "claim_id").select("candidate_id", "claim_id", "evidence_id", "neighbor_candidate_ids", "quote")
+    """One source, as its SQL has it; merged_batches_by_source has all."""
+    return _merged(f.candidates.where("source_id = 'src0'")).drop("source_id")
+
+
+@query("merged_batches_by_source", f"WITH {S.ENRICHED} SELECT source_id, candidate_id, 'CLM-' || substr(candidate_id, 6) AS claim_id, 'EV-' || substr(candidate_id, 6) AS evidence_id, concat_ws('|', lag(candidate_id) OVER w, lead(candidate_id) OVER w) AS neighbor_candidate_ids, chunk AS quote FROM candidates WINDOW w AS (PARTITION BY source_id, pdf_page ORDER BY serial)")
+def _(f: Flow) -> DataFrame:
+    return _merged(f.candidates)
 
 
 @query("incomplete_chains", "SELECT 0 AS batch_ord, 'x' AS candidate_id WHERE false")
 def _(f: Flow) -> DataFrame:
-    return B.incomplete_chains(*_by_batch(f)).select("batch_ord", "candidate_id")
+    return B.incomplete_chains(*_by_batch(f.candidates)).select("batch_ord", "candidate_id")
 
 
 @query("merged_terms", f"WITH {S.TERMS}, hits AS (SELECT DISTINCT t.term, t.source_id || '-P' || lpad(c.pdf_page::VARCHAR, 4, '0') AS page_id FROM terms t JOIN chunks c ON c.source_id = t.source_id AND contains({S.key('c.chunk')}, {S.key('t.term')}) AND NOT {S.NAV}) SELECT 'TERM-' || lpad((row_number() OVER (ORDER BY t.term))::VARCHAR, 4, '0') AS term_id, t.term, coalesce(p, '') AS source_page_ids FROM (SELECT DISTINCT term FROM terms) t LEFT JOIN (SELECT term, string_agg(page_id, '|' ORDER BY page_id) AS p FROM hits GROUP BY 1) h ON h.term = t.term")

@@ -149,6 +149,18 @@ def test_review_reasons(spark):
     assert got == [["low_native_text", "short_pdf_aware_output"], [], ["replacement_character"], ["probable_fragment"], ["probable_fragment"], []]
 
 
+def test_merging_batches_of_several_sources(spark):
+    rows = [(s, b, i, f"CAND-{i:05d}", f"CLM-{i:05d}", ["CAND-00001"]) for s in ("s", "t") for b in (0, 1) for i in (1, 2)]
+    cands = spark.createDataFrame(rows, "source_id string, batch_ord int, position int, candidate_id string, claim_id string, neighbor_candidate_ids array<string>")
+    claims = spark.createDataFrame([(*r[:2], r[4]) for r in rows if r[:3] != ("t", 0, 2)], "source_id string, batch_ord int, claim_id string")
+    evidence = spark.createDataFrame([(*r[:2], r[4], f"{r[0]}{r[1]}{r[2]}") for r in rows if r[:3] != ("s", 1, 1)], "source_id string, batch_ord int, claim_id string, quote string")
+    assert sorted((r.source_id, r.batch_ord, r.candidate_id) for r in B.incomplete_chains(cands, claims, evidence).collect()) == [("s", 1, "CAND-00001"), ("t", 0, "CAND-00002")]
+    c, _, e = B.merged(cands, claims, evidence)
+    assert sorted((r.source_id, r.candidate_id, r.neighbor_candidate_ids) for r in c.collect()) == [(s, f"CAND-{i:05d}", [f"CAND-{(i - 1) // 2 * 2 + 1:05d}"]) for s in ("s", "t") for i in (1, 2, 3, 4)]
+    want = {(s, f"CLM-{b * 2 + i:05d}", f"{s}{b}{i}") for s, b, i, *_ in rows}
+    assert {(r.source_id, r.claim_id, r.quote) for r in e.collect()} == want - {("s", "CLM-00003", "s11")}
+
+
 def test_batches_and_bisection(spark):
     ranges = B.page_batches(spark.createDataFrame([("s", 26), ("t", 25), ("u", 0)], "source_id string, page_count int"))
     assert sorted((r.source_id, r.batch_id, r.page_start, r.page_end) for r in ranges.collect()) == [("s", "B01", 1, 25), ("s", "B02", 26, 26), ("t", "B01", 1, 25)]
