@@ -3,7 +3,8 @@ only distinct misses are encoded, and their counts are appended to the cache.
 
 A digest stands for the exact UTF-8 bytes of a text, since byte-level tokenizers tell apart all that differ; the only
 normalisation is null to empty. Copies meet before the shuffle (partial aggregation), so that a text of which a third
-of all rows are copies travels once per map task. Appends are Spark's own commits: a lost executor repeats its task
+of all rows are copies travels once per map task; on the way back the few digests of very many rows meet their counts by
+broadcast. Stored counts lie apart by tokenizer version. Appends are Spark's own commits: a lost executor repeats its task
 and leaves no half rows; a digest that two runs append twice counts once when read.
 """
 
@@ -19,11 +20,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, small_batches, table_path
+from .common import cut, read, small_batches, table_path
 
 CACHE = "version string, digest binary, n_tokens long"
 #: Characters handed to the tokenizer at once, unless one text is longer.
 PART = 1 << 20
+HOT = 1000
 
 
 def encode_misses(misses: DataFrame, tokenizer_json: str, version: str) -> DataFrame:
@@ -75,10 +77,15 @@ def count_tokens(df: DataFrame, cache_path: str, tokenizer_path: str, id_col: st
     distinct = keyed.groupBy("digest").agg(F.first("text").alias("text"))
     known = cached(spark, cache_path, version)
     misses = distinct if known is None else distinct.join(known, "digest", "left_anti")
-    encode_misses(misses, spec.decode(), version).write.mode("append").parquet(cache_path)
+    encode_misses(misses, spec.decode(), version).write.mode("append").partitionBy("version").parquet(cache_path)
     known = cached(spark, cache_path, version)
-    wanted = keyed.select("id", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
-    return wanted.join(known, "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
+    # fewer than HOT digests have more than 1 / HOT of all rows
+    hot = keyed.groupBy("digest").agg(F.count("*").alias("copies")).where(F.col("copies") > max(64, rows.count() // HOT)).select("digest")
+    hot = cut(known.join(hot, "digest", "left_semi").withColumnRenamed("n_tokens", "hot_tokens"), HOT)
+    wanted = keyed.select("id", F.octet_length("text").cast("long").alias("n_bytes"), "digest").join(F.broadcast(hot), "digest", "left")
+    common = wanted.where("hot_tokens is not null").select("id", "n_bytes", F.col("hot_tokens").alias("n_tokens"))
+    others = wanted.where("hot_tokens is null").join(known, "digest").select("id", "n_bytes", "n_tokens")
+    return common.unionByName(others).withColumnRenamed("id", id_col)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
