@@ -26,7 +26,7 @@ TILE = (8, 9)
 
 
 def decode_netpbm(data: bytes) -> np.ndarray:
-    """P1 to P6 with at most 8 bits a sample, as (height, width, channels)."""
+    """P1 to P6, as (height, width, channels); samples are scaled to 8 bits where the largest is not 255."""
     head = re.match(rb"P([1-6])", data)
     if not head:
         raise ValueError("not a Netpbm image")
@@ -38,20 +38,25 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         fields.append(int(m[1]))
         at = m.end()
     width, height, top = (*fields, 1)[:3]
-    if not 0 < top < 256 or not width * height:
-        raise ValueError("samples of 8 bits at most, one pixel at least")
     channels = 3 if kind in (3, 6) else 1
+    n = width * height * channels
+    if not 0 < top < 65536 or not 0 < n <= 8 * len(data):
+        raise ValueError("samples of 16 bits at most, one pixel at least, and no more than there can be")
     if kind < 4:
         body = re.sub(rb"#[^\n\r]*", b"", data[at:])
         samples = re.findall(rb"[01]", body) if kind == 1 else body.split()
-        flat = np.array(samples[: width * height * channels]).astype(np.int64).astype(np.uint8)
+        flat = np.array([int(x) for x in samples[:n]], np.int64)
     elif kind == 4:
         rows = np.frombuffer(data, np.uint8, height * -(-width // 8), at + 1).reshape(height, -1)
         flat = np.unpackbits(rows, axis=1)[:, :width].reshape(-1)
     else:
-        flat = np.frombuffer(data, np.uint8, width * height * channels, at + 1)
+        flat = np.frombuffer(data, np.uint8 if top < 256 else ">u2", n, at + 1)
+    if flat.max() > top or flat.min() < 0:
+        raise ValueError("a sample beyond the largest")
     flat = flat.reshape(height, width, channels)
-    return np.uint8(255) * (1 - flat) if kind in (1, 4) else flat
+    if kind in (1, 4):
+        return np.uint8(255) * (1 - flat).astype(np.uint8)
+    return flat if top == 255 else ((flat.astype(np.int64) * 510 + top) // (2 * top)).astype(np.uint8)
 
 
 def decode_bmp(data: bytes) -> np.ndarray:
@@ -64,11 +69,15 @@ def decode_bmp(data: bytes) -> np.ndarray:
     if packed or bits not in (8, 24, 32) or width <= 0 or not height:
         raise ValueError("an uncompressed image of 8, 24 or 32 bits a pixel is needed")
     pitch = (width * bits + 31) // 32 * 4
+    if pitch * abs(height) > len(data):
+        raise ValueError("fewer pixels than stated")
     rows = np.frombuffer(data, np.uint8, pitch * abs(height), start).reshape(abs(height), pitch)
     rows = rows[:, : width * bits // 8].reshape(abs(height), width, bits // 8)
     if bits == 8:
         colours = int.from_bytes(data[46:50], "little") or 256
         palette = np.frombuffer(data, np.uint8, colours * 4, 14 + head).reshape(-1, 4)
+        if rows.max() >= len(palette):
+            raise ValueError("a colour beyond the palette")
         rows = palette[rows[:, :, 0]]
     rows = rows[:, :, 2::-1]
     return rows if height < 0 else rows[::-1]
@@ -118,7 +127,7 @@ def _one(media: bytes | None, tile: int) -> dict:
     out = {"media_bytes": len(media), "media_sha256": hashlib.sha256(media).hexdigest()}
     try:
         pixels = decode(media)
-    except ValueError:
+    except (ValueError, IndexError, OverflowError):
         return out
     payload = np.ascontiguousarray(pixels).data
     small = np.rint(area_resize(pixels, tile, tile)).astype(np.uint8)
@@ -132,7 +141,8 @@ def _one(media: bytes | None, tile: int) -> dict:
 def analyse(df: DataFrame, id_col: str, media_col: str, tile: int = 16) -> DataFrame:
     """For each row its id, what its image holds, its difference hash and an NPY tile of tile x tile pixels.
 
-    Rows with equal or null ids stay apart; other columns of df are not looked at.
+    A null image gives nulls; one that can't be decoded - broken, cut off, of another kind, with samples or colours
+    beyond those stated - its stored bytes and digest alone. Rows with equal or null ids stay apart; other columns of df are not looked at.
     """
     from pyspark.sql.types import _parse_datatype_string
 
@@ -168,4 +178,4 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), as_ppm(payload_of(F.col("text"))).alias("media"))
     key = F.struct("doc_id", "n_bytes")
     found = analyse(docs.select(key.alias("key"), "media"), "key", "media")
-    return found.select("key.doc_id", "key.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", F.sha2("tile", 256).alias("tile_sha256"))
+    return found.select("key.doc_id", "key.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile")
