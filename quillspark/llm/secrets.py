@@ -4,10 +4,16 @@ its context.
 A candidate is any run of at least 16 of the characters A-Za-z0-9+/_.=@:- or, where base findings overlap such a run,
 each part of at least 16 that they leave. The network sees windows of 48 characters, 24 apart and one at the end, so that
 all of a candidate is seen, each with 24 before and 8 after it, as character classes; one window over the threshold makes
-the candidate a finding. It is trained once on windows of labelled findings made by rule (below: keys, tokens and
-connection strings, alone and behind hosts and paths, against words, numbers, rules, URLs, addresses, dates and digests
-of files named as such), and its threshold is, of all that keep the wanted recall on findings held out, the most precise,
-and of such the lowest.
+the candidate a finding.
+
+It is trained on labelled findings of two kinds:
+- of the table itself, at most SAMPLE of a label (those of the smallest hashes): secret are the base findings, half of
+  them in the context of a run that isn't secret, so that the run and not the word before it is learnt; not secret are
+  candidates made of words and numbers alone (`plain`). Candidates that are neither stay unlabelled;
+- made by rule: keys, tokens and connection strings, alone and behind hosts and paths, against words, numbers, rules,
+  URLs, addresses, dates, UUIDs, integrity hashes, embedded images and digests of files named as such.
+Training, calibration, threshold and the reported figures each have findings of their own. The threshold is, of all that
+keep the wanted recall on its findings, the most precise, and of such the lowest.
 All of it is a map over Arrow batches: no shuffle; the model has some 10,000 weights whatever the corpus.
 """
 
@@ -33,6 +39,8 @@ KINDS = ("assign", "access", "hex", "cnn")
 SHORTEST = 16
 BEFORE, INSIDE, AFTER = 24, 48, 8
 STEP = INSIDE // 2
+#: Findings of each label that the network is fitted on, of a table.
+SAMPLE = 2000
 WIDTH = BEFORE + INSIDE + AFTER
 
 Span = tuple[int, int, int]  # start, kind's place in KINDS, end
@@ -57,12 +65,12 @@ def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
         s, e = m.span()
         while at < len(base) and ends[at] <= s:
             at += 1
-        for start, _, end in base[at:]:
-            if start >= e:
-                break
-            if start - s >= SHORTEST:
-                out.append((s, start))
-            s = max(s, end)
+        i = at
+        while i < len(base) and base[i][0] < e:
+            if base[i][0] - s >= SHORTEST:
+                out.append((s, base[i][0]))
+            s = max(s, base[i][2])
+            i += 1
         if e - s >= SHORTEST:
             out.append((s, e))
     return out
@@ -134,7 +142,7 @@ class Network:
         """Calibrated by Platt's scaling on held-out findings."""
         return 1 / (1 + np.exp(-np.clip(self.shift + self.scale * self.logits(x), -40, 40)))
 
-    def fit(self, x: np.ndarray, y: np.ndarray, seed: int, rounds: int = 6, rate: float = 0.003) -> None:
+    def fit(self, x: np.ndarray, y: np.ndarray, seed: int, rounds: int = 5, rate: float = 0.003) -> None:
         r = np.random.default_rng(seed)
         params = [self.conv, self.bias, self.w1, self.b1, self.w2]
         m, v, b2m, b2v, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0.0, 0.0, 0
@@ -154,9 +162,8 @@ class Network:
                 top = a.argmax(1)
                 np.add.at(dz, (np.arange(len(xb))[:, None], top, np.arange(self.FILTERS)[None, :]), df[:, : self.FILTERS])
                 dz *= z > 0
-                dconv = np.zeros_like(self.conv)
-                for k in range(self.SPAN):
-                    np.add.at(dconv[k], codes[:, k : k + wide], dz)
+                seen = np.eye(N_CLASSES * 3)[codes]
+                dconv = np.stack([np.tensordot(seen[:, k : k + wide], dz, ([0, 1], [0, 1])) for k in range(self.SPAN)])
                 t += 1
                 for j, g in enumerate([dconv, dz.sum((0, 1)), f.T @ dh, dh.sum(0), np.maximum(h, 0).T @ d]):
                     m[j] = 0.9 * m[j] + 0.1 * g
@@ -239,6 +246,10 @@ def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
         lambda: (prose(2), pick(digits, size(16, 40))),
         lambda: (prose(2), f"{word()}.{word()}@{word()}{one(['.', '-'])}{word()}.example.{one(['com', 'org'])}"),
         lambda: (prose(2), (word() + word()) * size(4, 12)),
+        lambda: (one(["integrity=", prose(2), "hash "]), one(["sha256-", "sha384-", "sha512-", "sha256:"]) + pick(mixed + "+/", size(42, 88)) + one(["", "=", "=="])),
+        lambda: (one(["id ", "uuid: ", prose(2)]), "-".join(pick(digits + "abcdef", k) for k in (8, 4, 4, 4, 12))),
+        lambda: (one(["src=", prose(2)]), "data:image/" + one(["png", "jpeg", "gif"])),
+        lambda: (f"data:image/{one(['png', 'jpeg'])};base64,", pick(mixed + "+/", size(300, 900))),
     ]
     x, y = np.zeros((n, WIDTH), np.int64), np.zeros(n)
     for i in range(n):
@@ -253,19 +264,94 @@ def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return x, y
 
 
-@functools.cache
-def model(recall: float = 0.95, seed: int = 7) -> tuple[Network, float, dict]:
-    """The trained network, its threshold, and recall and precision on findings held out from both."""
-    x, y = labelled_findings(15000, seed)
+PLAIN = re.compile(r"(?:[A-Za-z][a-z]{2,24}|[A-Z]{2,24}|[0-9]+)(?:[+/_.=@:-]+|$|(?=[A-Z])|(?<=[a-z])(?=[0-9]))")
+
+
+def plain(run: str) -> bool:
+    """Whether a run is words of three letters or more (small, capital or capitalised) and numbers, with signs between."""
+    return not PLAIN.sub("", run.strip("+/_.=@:-"))
+
+
+def _labelled(text: str | None) -> list[tuple[int, np.ndarray]]:
+    """Windows of a text's findings that have a label: 1 for base findings, 0 for plain candidates."""
+    text = text or ""
+    base = base_spans(text)
+    out = [(1, encode(text, *w)) for s, k, e in base for w in windows(max(s, e - len(VALUE.search(text, s, e)[0])) if k == 0 else s, e)[:1]]
+    return out + [(0, encode(text, *w)) for s, e in candidates(text, base) if plain(text[s:e]) for w in windows(s, e)[-1:]]
+
+
+VALUE = re.compile(r"[A-Za-z0-9+/_.=-]+\Z")
+
+
+def table_findings(df: DataFrame, text_col: str, limit: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Labelled windows of a table: of each label those of the smallest hashes, `limit` at most."""
+    rows = small_batches(df).select(F.col(text_col).alias("text"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[dict[bytes, bytes]] = [{}, {}]
+
+        def smallest() -> None:
+            for k, own in enumerate(best):
+                best[k] = dict(sorted(own.items())[:limit])
+
+        for batch in batches:
+            for x in batch.column(0):
+                for label, window in _labelled(x.as_py()):
+                    data = window.astype(np.uint8).tobytes()
+                    best[label][hashlib.blake2b(data, digest_size=8).digest()] = data
+            if max(map(len, best)) > 4 * limit:
+                smallest()
+        smallest()
+        rows = [(k, h, d) for k, own in enumerate(best) for h, d in own.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["label", "hash", "data"])
+
+    found = rows.mapInArrow(work, "label int, hash binary, data binary").dropDuplicates(["label", "hash"])
+    own = [r for label in (0, 1) for r in found.where(F.col("label") == label).orderBy("hash").limit(limit).collect()]
+    x = np.array([np.frombuffer(r["data"], np.uint8) for r in own], np.int64).reshape(-1, WIDTH)
+    return x, np.array([r["label"] for r in own], float)
+
+
+def _moved(x: np.ndarray, y: np.ndarray, seed: int) -> np.ndarray:
+    """x with half of the secrets in the context of one of the others."""
+    r, x, clean = np.random.default_rng(seed), x.copy(), x[y == 0]
+    some = np.flatnonzero((y == 1) & (r.random(len(y)) < 0.5))
+    if len(clean):
+        x[some, :BEFORE] = clean[r.integers(0, len(clean), len(some)), :BEFORE]
+        x[some, BEFORE + INSIDE :] = clean[r.integers(0, len(clean), len(some)), BEFORE + INSIDE :]
+    return x
+
+
+def trained(table: tuple[np.ndarray, np.ndarray], recall: float = 0.95, seed: int = 7) -> tuple[Network, float, dict]:
+    """The network, its threshold, and recall and precision on findings held out from both, made and of the table."""
+    r = np.random.default_rng(seed)
+    parts = []
+    for x, y in (labelled_findings(15000, seed), (_moved(*table, seed), table[1])):
+        order = r.permutation(len(x))
+        parts.append([(x[i], y[i]) for i in np.split(order, [int(len(x) * share) for share in (0.7, 0.8, 0.9)])])
+    fit, calibration, choice, held = ([np.concatenate([p[i][j] for p in parts]) for j in (0, 1)] for i in range(4))
     net = Network(seed)
-    net.fit(x[:11000], y[:11000], seed)
-    net.calibrate(x[11000:13000], y[11000:13000])
-    p, true = net.probability(x[11000:13000]), y[11000:13000] == 1
+    net.fit(*fit, seed)
+    net.calibrate(*calibration)
+    p, true = net.probability(choice[0]), choice[1] == 1
     cuts = np.sort(p[true])[: int((1 - recall) * true.sum()) + 1]  # all that keep the recall
     threshold = float(max(cuts, key=lambda t: (true[p >= t].mean(), -t)))
-    held = net.probability(x[13000:]) >= threshold
-    truth = y[13000:] == 1
-    return net, threshold, {"recall": float((held & truth).sum() / truth.sum()), "precision": float((held & truth).sum() / max(1, held.sum()))}
+    quality = {"held out": len(held[0])}
+    for name, (x, y) in (("", held), ("table ", parts[1][3])):
+        found, truth = net.probability(x) >= threshold, y == 1
+        both = float((found & truth).sum())
+        quality |= {f"{name}secrets": int(truth.sum()), f"{name}recall": both / max(1, truth.sum()), f"{name}precision": both / max(1, found.sum())}
+    return net, threshold, quality
+
+
+@functools.lru_cache(4)
+def _cached(x: bytes, y: bytes, recall: float, seed: int) -> tuple[Network, float, dict]:
+    return trained((np.frombuffer(x, np.uint8).astype(np.int64).reshape(-1, WIDTH), np.frombuffer(y, np.uint8).astype(float)), recall, seed)
+
+
+def model(df: DataFrame, text_col: str = "text", recall: float = 0.95, seed: int = 7) -> tuple[Network, float, dict]:
+    """trained() on the findings of a table; kept for tables of the same findings."""
+    x, y = table_findings(df, text_col)
+    return _cached(x.astype(np.uint8).tobytes(), y.astype(np.uint8).tobytes(), recall, seed)
 
 
 def joined(spans: list[Span]) -> str:
@@ -289,7 +375,7 @@ SPANS = "array<struct<kind:string,start:long,end:long>>"
 
 
 def _map(df: DataFrame, id_col: str, text_col: str, recall: float, schema: str, make) -> DataFrame:
-    net, threshold, _ = model(recall)
+    net, threshold, _ = model(df, text_col, recall)
     shared = df.sparkSession.sparkContext.broadcast((vars(net), threshold))
     rows = small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -310,7 +396,8 @@ def _map(df: DataFrame, id_col: str, text_col: str, recall: float, schema: str,
 def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = 0.95) -> DataFrame:
     """For each row its id and findings (kind, start, end in code points, end exclusive), by start and kind.
 
-    A null text counts as empty; rows with null or equal ids each give a row; other columns are not looked at.
+    A null text counts as empty; rows with null or equal ids each give a row; texts of any length are whole; findings
+    that begin together are in the order of KINDS; other columns are not looked at. An empty table gives no rows.
     """
 
     def make(texts, scans):
@@ -333,7 +420,7 @@ def masked(text: str | None, spans: list[Span], mask: str) -> str | None:
 
 
 def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = 0.95, mask: str = "[SECRET]") -> DataFrame:
-    """id and text with all findings masked; null texts stay null."""
+    """id and text with all findings masked; null texts stay null; rows with null or equal ids each give a row."""
 
     def make(texts, scans):
         return {"text": pa.array([masked(t, spans, mask) for t, (_, spans) in zip(texts, scans, strict=True)], pa.string())}
