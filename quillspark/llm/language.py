@@ -1,11 +1,13 @@
 """Language ID by Bayesian evidence fusion: text likelihoods, declared markup language, address suffix and host priors.
 
 1. Character trigrams (bytes of the lower-cased text without digits and ASCII punctuation, hashed) are counted by
-   declared language over all texts that have one; a language's model is their smoothed share. Its size is fixed.
+   declared language over all texts that have one; a language's model is their smoothed share. A language that fewer
+   than one in LABELS of the labelled rows declare is counted as OTHER, so that a model's size is bounded.
 2. Each text gets the mean log-likelihood of its trigrams in each language.
 3. Grouped aggregation of what the texts alone say gives how often each declared value and suffix goes with each
    language, and the priors: a host's counts smoothed by its domain's, and these by all.
-4. The posterior adds up the logs; the text counts with its trigrams up to SATURATION, since they aren't independent.
+4. The posterior adds up the logs. Trigrams aren't independent, so a text of n of them counts with a * n ** b; a and b
+   are those of GRID under which the declared languages of all rows are likeliest, of which DOUBT may be wrong.
 
 A document is rejected if it has no trigrams, if its best language explains it no better than chance, or if the
 posterior is under the threshold. Nulls in any column are missing evidence.
@@ -23,8 +25,9 @@ from pyspark.sql import functions as F
 from .common import cut, read, small_batches
 
 BITS = 14
-#: Trigrams after which more text adds no certainty.
-SATURATION = 60.0
+LABELS, OTHER = 256, "other"
+GRID = [(a, b) for b in (0.5, 0.75, 1.0) for a in (0.02, 0.05, 0.1, 0.2, 0.5, 1.0)]
+DOUBT = 0.02
 _BLANK = bytes.maketrans(bytes(i for i in range(128) if not chr(i).isalpha()), b" " * sum(not chr(i).isalpha() for i in range(128)))
 
 
@@ -39,8 +42,13 @@ def trigrams(text: str | None) -> np.ndarray:
 
 
 def train(df: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
-    """Languages and their log-shares of trigrams, over all rows with a label. At most 2**BITS rows a language come back."""
+    """Languages and their log-shares of trigrams, over all rows with a label. At most LABELS + 1 languages, and 2**BITS
+    rows of each, come back."""
     rows = small_batches(df).select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"))
+    counts = rows.where("label is not null").groupBy("label").agg(F.count("*").alias("c"))
+    n = counts.agg(F.sum("c").alias("n")).first()["n"] or 0
+    common = [r["label"] for r in counts.where(F.col("c") * LABELS >= n).select("label").collect()]
+    rows = rows.withColumn("label", F.when(F.col("label").isin(common), F.col("label")).when(F.col("label").isNotNull(), OTHER))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -91,14 +99,30 @@ def _shares(counts: Column, prior: Column, weight: float) -> Column:
     return F.zip_with(counts, prior, lambda c, p: (c + F.lit(weight) * p) / (F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) + F.lit(weight)))
 
 
+def text_weight(scored: DataFrame, languages: list[str]) -> Column:
+    """The weight of a text of n_trigrams trigrams, fitted on the rows that declare one of the languages."""
+    place = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("declared")).cast("int")
+    rows = scored.where((F.col("n_trigrams") > 0) & (place > 0)).select("means", "n_trigrams", place.alias("own"), F.array_max("means").alias("best"))
+
+    def loss(a: float, b: float) -> Column:
+        w = F.lit(a) * F.pow("n_trigrams", F.lit(b))
+        total = F.aggregate("means", F.lit(0.0), lambda acc, m: acc + F.exp((m - F.col("best")) * w))
+        p = F.exp((F.element_at("means", F.col("own")) - F.col("best")) * w) / total
+        return -F.sum(F.log(p * (1 - DOUBT) + DOUBT / len(languages)))
+
+    losses = rows.agg(*[loss(a, b).alias(f"l{i}") for i, (a, b) in enumerate(GRID)]).first()
+    a, b = min(((x, ab) for x, ab in zip(losses, GRID, strict=True) if x is not None), default=(0, (0.2, 0.75)))[1]
+    return F.lit(a) * F.pow("n_trigrams", F.lit(b))
+
+
 def identify(
     df: DataFrame, id_col: str, text_col: str, label_col: str, host: Column, domain: Column, declared: Column, suffix: Column,
     model: tuple[list[str], np.ndarray] | None = None, threshold: float = 0.5,
 ) -> DataFrame:
     """For each row its id, language, confidence (the posterior), text_language, n_trigrams and accepted.
 
-    language is null for texts without trigrams; rows with null or equal ids each give a row. Without any labelled text
-    there are no languages, and every row is rejected.
+    language is null for texts without trigrams; rows with null or equal ids each give a row. Of equally likely
+    languages the first by name counts. Without any labelled text there are no languages, and every row is rejected.
     """
     model = model or train(df, text_col, label_col)
     languages = model[0]
@@ -131,7 +155,7 @@ def identify(
     for column in ("declared", "suffix"):
         out = out.join(evidence(column), column, "left")
     none = F.array(*[F.lit(0.0)] * n)
-    weight = F.least(F.col("n_trigrams").cast("double"), F.lit(SATURATION))
+    weight = text_weight(scored, languages)
     logs = F.transform(F.col("means"), lambda x: x * weight)
     for more in (F.transform(F.coalesce("prior", everywhere), lambda p: F.log(p)), F.coalesce("log_declared", none), F.coalesce("log_suffix", none)):
         logs = F.zip_with(logs, more, lambda a, b: a + b)
@@ -147,9 +171,21 @@ def identify(
     )
 
 
-def identify_documents(docs: DataFrame) -> DataFrame:
-    """Documents have no address: source is the host; all sources are one domain; lang is the declared language."""
-    return identify(docs, "doc_id", "text", "lang", F.col("source"), F.lit("all"), F.col("lang"), F.lit(None))
+def _address(host: Column) -> tuple[Column, Column]:
+    """Domain and suffix of a host's name; of a name without dots what precedes its number, and none."""
+    named = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
+    domain = F.when(named != "", named).otherwise(F.nullif(F.regexp_replace(host, r"[0-9]+$", ""), F.lit("")))
+    return domain, F.nullif(F.regexp_extract(host, r"\.([^.0-9]+)$", 1), F.lit(""))
+
+
+def identify_documents(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Documents by text, source, and lang: source is the host, of whose name come domain and suffix; lang is the declared
+    language, or, where it is null, what markup in the text declares."""
+    host = F.lower("source")
+    markup = F.nullif(F.lower(F.regexp_extract("text", r"(?i)<html[^>]{0,500}\blang\s*=\s*[\"']?([a-z]+)", 1)), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), "text", host.alias("host"), F.coalesce("lang", markup).alias("declared"))
+    domain, suffix = _address(F.col("host"))
+    return identify(rows, "id", "text", "declared", F.col("host"), domain, F.col("declared"), suffix).withColumnRenamed("id", id_col)
 
 
 def visible_text(html: Column) -> Column:
@@ -158,10 +194,11 @@ def visible_text(html: Column) -> Column:
 
 def identify_pages(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """Models from the documents; the host and its domain, the html lang attribute, and the end of the host's name."""
-    host = F.lower(F.regexp_extract("url", r"^\w+://(?:[^/@]*@)?([^/:?#]+)", 1))
+    host = F.nullif(F.lower(F.regexp_extract("url", r"^\w+://(?:[^/@]*@)?([^/:?#]+)", 1)), F.lit(""))
+    domain, suffix = _address(host)
     rows = pages.select(
-        "page_id", visible_text(F.col("html")).alias("text"), F.nullif(host, F.lit("")).alias("host"), F.nullif(F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1), F.lit("")).alias("domain"),
-        F.nullif(F.lower(F.regexp_extract("html", r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-z]+)", 1)), F.lit("")).alias("declared"), F.nullif(F.regexp_extract(host, r"\.([^.]+)$", 1), F.lit("")).alias("suffix"),
+        "page_id", visible_text(F.col("html")).alias("text"), host.alias("host"), domain.alias("domain"),
+        F.nullif(F.lower(F.regexp_extract("html", r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-z]+)", 1)), F.lit("")).alias("declared"), suffix.alias("suffix"),
     )
     return identify(rows, "page_id", "text", "declared", F.col("host"), F.col("domain"), F.col("declared"), F.col("suffix"), model=train(docs, "text", "lang"))
 
