@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import cut, shared_dir, table_path
 
-__all__ = ["cut", "grams", "hash_words", "mixed", "read", "restored", "shared_dir", "small_batches", "table_path", "text_bytes", "words"]
+__all__ = ["cut", "grams", "mixed", "read", "restored", "shared_dir", "small_batches", "table_path", "text_bytes", "word_hashes", "words"]
 
 #: One step of the shingle mixer: an odd multiplier, so that the step can be undone and loses nothing.
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -39,10 +40,6 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def hash_words(ws: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, ws), dtype=np.uint64, count=len(ws))
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads them."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -50,6 +47,50 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: Words are hashed as sums of VALUES[byte] * FACTOR ** place, modulo 2**64, then mixed: sums over a text give all of its
+#: words at once. Texts are worked on in pieces of at most BLOCK bytes, unless one word is longer.
+FACTOR, BLOCK = 0x2545F4914F6CDD1D, 1 << 18
+BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * MIX)
+
+
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    up = lambda x: np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(BLOCK, x, np.uint64))])
+    return up(FACTOR), up(pow(FACTOR, -1, 1 << 64))
+
+
+def _word_sums(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    up, down = _powers()
+    if len(b) <= BLOCK:
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(VALUES[b] * up[: len(b)])])
+        return (sums[ends] - sums[starts]) * down[starts]
+    total, place = 0, 1  # one word
+    for at in range(0, len(b), BLOCK):
+        part = b[at : at + BLOCK]
+        total += int((VALUES[part] * up[: len(part)]).sum()) * place
+        place = place * int(up[BLOCK]) % (1 << 64)
+    return np.array([total % (1 << 64)], np.uint64)
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of words(text), in order."""
+    b = np.frombuffer(text.encode("utf-8", "surrogatepass").lower() if text else b"", np.uint8)
+    edges = np.flatnonzero(np.diff(~BLANK[b], prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    if len(b) <= BLOCK:
+        sums = _word_sums(b, starts, ends)
+    else:
+        parts, i = [], 0
+        while i < len(starts):
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, side="right")))
+            at = starts[i]
+            parts.append(_word_sums(b[at : ends[j - 1]], starts[i:j] - at, ends[i:j] - at))
+            i = j
+        sums = np.concatenate([np.empty(0, np.uint64), *parts])
+    return mixed(sums + (ends - starts).astype(np.uint64) * MIX)
+
+
 def grams(h: np.ndarray, n: int) -> np.ndarray:
     """The hashes of all runs of n words, in order; empty if there are fewer."""
     if len(h) < n:

@@ -1,114 +1,135 @@
-"""Corpus counts of hashed items, joined back to the rows that hold them, with little shuffle.
-
-Rows are dealt into batches of bounded size. Each batch sends its distinct hashes with their local counts to hash
-ranges ("buckets") as packed arrays, and a bucket sums them. To each batch it returns the sums alone, in the order in
-which the batch sent the hashes; the batch makes its hashes again and so knows whose they are. An item of which each
-third row has one crosses the shuffle once per batch, not once per row, and a count table is never in one place. The
-rows' own exchange is the same for both passes and is reused.
+"""Corpus counts of hashed items, joined back to the batches that hold them, with little shuffle.
+
+A batch of bounded size explodes its rows to hashed items and sends each distinct one with its local count to the hash
+range ("bucket") that holds its row of the count table; a bucket sums them. To each batch it returns the sums alone, in
+the order in which the batch sent the hashes; the batch makes its hashes again and so knows whose they are. An item of
+which each third row has one crosses the shuffle once per batch, not once per row, and a count table is never in one
+place. Items and counts travel as packed arrays, a row for each batch and bucket; a row for each item would be three to
+four times as much.
+
+With many batches and buckets a packed array would hold next to nothing. Beyond CELLS of them the counts go in two
+steps: to RANGES hash ranges, where GROUP batches are merged, and from there to the buckets; the sums come back the same
+way. It is the same join again, with merged groups in place of batches.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
-
 MB = 1 << 20
-BLOBS = "bucket int, batch int, hashes binary, counts binary"
+CELLS, RANGES, GROUP = 1 << 26, 1024, 1024
+BLOBS = "bucket long, batch long, hashes binary, counts binary"
+SUMS = "bucket long, batch long, sums binary"
+_BLOBS = pa.schema([("bucket", pa.int64()), ("batch", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
+_SUMS = pa.schema([("bucket", pa.int64()), ("batch", pa.int64()), ("sums", pa.binary())])
 
 
-def n_batches(total_bytes: int, most: int = 96) -> int:
-    """Batches of 2 MB of text for small inputs, so that all cores work; from `most` batches on larger ones, up to about
-    32 MB. Larger batches send an item less often; smaller ones need less memory."""
-    return math.ceil(max(1, total_bytes / (32 * MB), min(total_bytes / (2 * MB), most)))
+def batch_bytes(total_bytes: int, parts: int = 96) -> int:
+    """Text of a batch: up to 8 MB, whatever the input; less for small inputs, so that all cores work."""
+    return max(MB, min(8 * MB, total_bytes // parts))
 
 
 def n_buckets(items: float) -> int:
-    """Buckets of half a million to 8 million items."""
-    return math.ceil(max(1, items / 8e6, min(items / 5e5, 192)))
+    """Buckets of half a million to 4 million items."""
+    return math.ceil(max(1, items / 4e6, min(items / 5e5, 192)))
+
+
+def n_ranges(batches: int, buckets: int) -> int:
+    """Ranges to which batches send: the buckets themselves, or, if these are too many, RANGES of them (see totals)."""
+    return buckets if batches * buckets <= CELLS else min(RANGES, buckets)
 
 
-def _rows(columns: list[list], schema: pa.Schema) -> pa.Table:
+def _table(columns: list, schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-_BLOBS = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())])
+def pack_hashes(h: np.ndarray) -> bytes:
+    """Ascending hashes: how many there are of each value of the upper 16 bits, then the other six bytes of each."""
+    top = (h >> np.uint64(48)).astype(np.int64)
+    sizes = np.bincount(top - top[0])
+    if 2 * len(sizes) > len(h) or sizes.max() > 65535:
+        return b"\0" + h.astype("<u8").tobytes()
+    low = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+    return b"\1" + int(top[0]).to_bytes(2, "little") + len(sizes).to_bytes(4, "little") + sizes.astype("<u2").tobytes() + low.tobytes()
 
 
-def _packed(hashes: np.ndarray) -> bytes:
-    """Seven bytes a hash. The eighth says little more than the bucket does: with 256 buckets nothing is lost."""
-    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+def unpack_hashes(data: bytes) -> np.ndarray:
+    if data[:1] == b"\0":
+        return np.frombuffer(data, "<u8", offset=1)
+    first, n = int.from_bytes(data[1:3], "little"), int.from_bytes(data[3:7], "little")
+    sizes, low = np.frombuffer(data, "<u2", n, 7), np.frombuffer(data, np.uint8, offset=7 + 2 * n).reshape(-1, 6)
+    out = np.zeros((len(low), 8), np.uint8)
+    out[:, :6] = low
+    return out.view("<u8").reshape(-1) | np.repeat(np.arange(first, first + n, dtype=np.uint64), sizes) << np.uint64(48)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 7, 8), np.uint8)
-    out[:, :7] = np.frombuffer(data, np.uint8).reshape(-1, 7)
-    return out.view("<u8").reshape(-1)
+def pack_counts(c: np.ndarray) -> bytes:
+    """A byte each; those of 255 and more follow whole."""
+    large = c[c >= 255]
+    return len(large).to_bytes(8, "little") + large.astype("<u8").tobytes() + np.minimum(c, 255).astype(np.uint8).tobytes()
 
 
-def _emit(extract: Callable[[pa.Table], np.ndarray], buckets: int) -> Callable[[pa.Table], pa.Table]:
-    def emit(table: pa.Table) -> pa.Table:
-        batch = table.column("batch")[0].as_py()
-        hashes, counts = extract(table)
-        edges = np.searchsorted(((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32), np.arange(buckets + 1))
-        full = [b for b in range(buckets) if edges[b] < edges[b + 1]]
-        return _rows([full, [batch] * len(full), [_packed(hashes[edges[b] : edges[b + 1]]) for b in full], [counts[edges[b] : edges[b + 1]].astype("<u4").tobytes() for b in full]], _BLOBS)
+def unpack_counts(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    out = np.frombuffer(data, np.uint8, offset=8 + 8 * n).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, "<u8", n, 8)
+    return out
 
-    return emit
+
+def emit(batch: int, hashes: np.ndarray, counts: np.ndarray, buckets: int, first: int = 0) -> pa.Table:
+    """What a batch sends: its distinct hashes, ascending, and their counts, by bucket; buckets number from `first`."""
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    full, at = np.unique(bucket, return_index=True)
+    at = [*at.tolist(), len(hashes)]
+    cuts = list(zip(at, at[1:], strict=False))
+    return _table([full.astype(np.int64) - first, [batch] * len(full), [pack_hashes(hashes[a:b]) for a, b in cuts], [pack_counts(counts[a:b]) for a, b in cuts]], _BLOBS)
+
+
+def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes of all blobs, their counts, where each blob's hashes are among them, and where blobs end."""
+    parts = [unpack_hashes(x.as_py()) for x in table.column("hashes")]
+    local = np.concatenate([unpack_counts(x.as_py()) for x in table.column("counts")])
+    found, place = np.unique(np.concatenate(parts), return_inverse=True)
+    return found, np.bincount(place, weights=local, minlength=len(found)).astype(np.int64), place, np.cumsum([len(x) for x in parts])
 
 
-_SUMS = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("n", pa.int64()), ("sums", pa.binary())])
-SUMS = "bucket int, batch int, n long, sums binary"
+def _returned(table: pa.Table, sums: np.ndarray, ends: np.ndarray) -> pa.Table:
+    own = [pack_counts(sums[a:b]) for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+    return _table([table.column("bucket").to_pylist(), table.column("batch").to_pylist(), own], _SUMS)
 
 
 def _sum(table: pa.Table) -> pa.Table:
-    parts = [_unpacked(x.as_py()) for x in table.column("hashes")]
-    local = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("counts")])
-    found, place = np.unique(np.concatenate(parts), return_inverse=True)
-    totals = np.bincount(place, weights=local, minlength=len(found)).astype("<u8")
-    ends = np.cumsum([len(x) for x in parts])
-    sums = (totals.astype("<u4") if totals.max() < 1 << 32 else totals)[place]
-    own = [sums[e - len(x) : e].tobytes() for e, x in zip(ends, parts, strict=True)]
-    return _rows([table.column("bucket").to_pylist(), table.column("batch").to_pylist(), [len(x) for x in parts], own], _SUMS)
-
-
-def count_join(
-    rows: DataFrame,
-    key: Column,
-    batches: int,
-    buckets: int,
-    extract: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]],
-    finish: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table],
-    schema: str,
-    least: int = 2,
-) -> DataFrame:
-    """extract(batch's rows): its distinct hashes (uint64, ascending) and their counts. finish(batch's rows, hashes,
-    totals): result rows; of the batch's hashes (ascending) it gets those whose total over all rows is at least `least`.
-    key deals the rows into batches: it should differ for nearly all rows."""
-    dealt = small_batches(rows).withColumn("batch", F.pmod(F.xxhash64(key), F.lit(batches)).cast("int")).repartition(batches, "batch")
-    blobs = dealt.groupBy("batch").applyInArrow(_emit(extract, buckets), BLOBS)
-    totals = blobs.groupBy("bucket").applyInArrow(_sum, SUMS)
-
-    def end(left: pa.Table, right: pa.Table) -> pa.Table:
-        hashes, _ = extract(left)
-        order = np.argsort(right.column("bucket").to_numpy())
-        n, packed = right.column("n").to_pylist(), right.column("sums").to_pylist()
-        sums = np.concatenate([np.empty(0, "<u8"), *(np.frombuffer(packed[i], f"<u{len(packed[i]) // n[i]}") for i in order)])
-        keep = sums >= least
-        return finish(left, hashes[keep], sums[keep])
-
-    return dealt.groupBy("batch").cogroup(totals.groupBy("batch")).applyInArrow(end, schema)
-
-
-def look_up(hashes: np.ndarray, sums: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The sums of wanted; 0 where hashes has none."""
-    if not len(hashes):
-        return np.zeros(len(wanted), np.uint64)
-    at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-    return np.where(hashes[at] == wanted, sums[at], np.uint64(0))
+    _, counts, place, ends = _merged(table)
+    return _returned(table, counts[place], ends)
+
+
+def totals(blobs: DataFrame, batches: int, buckets: int) -> DataFrame:
+    """The sums of what was emitted to n_ranges(batches, buckets) ranges: SUMS rows, one for each blob."""
+    ranges = n_ranges(batches, buckets)
+    if ranges == buckets:
+        return blobs.groupBy("bucket").applyInArrow(_sum, SUMS)
+    each = -(-buckets // ranges)
+
+    def send(table: pa.Table) -> pa.Table:
+        found, counts, _, _ = _merged(table)
+        return emit(table.column("many")[0].as_py(), found, counts, ranges * each)
+
+    def back(left: pa.Table, right: pa.Table) -> pa.Table:
+        _, _, place, ends = _merged(left)
+        return _returned(left, in_order(right)[place], ends)
+
+    grouped = blobs.withColumn("many", (F.col("batch") / GROUP).cast("long"))
+    fine = grouped.groupBy("bucket", "many").applyInArrow(send, BLOBS)
+    sums = fine.groupBy("bucket").applyInArrow(_sum, SUMS).select("bucket", "batch", "sums", (F.col("bucket") / each).cast("long").alias("range"))
+    return grouped.groupBy("bucket", "many").cogroup(sums.groupBy("range", "batch")).applyInArrow(back, SUMS)
+
+
+def in_order(sums: pa.Table) -> np.ndarray:
+    """A batch's sums, in the order of its hashes."""
+    order, packed = np.argsort(sums.column("bucket").to_numpy()), sums.column("sums")
+    return np.concatenate([np.empty(0, np.int64), *(unpack_counts(packed[i].as_py()) for i in order.tolist())])

@@ -6,7 +6,9 @@ words scores the passages, so that paraphrased or edited copies count too.
    Those in at most `rare` of the documents lead to the item at once; of an item that a document meets by common ones
    alone, the words that the two share must first be enough to reach the score. So `rare` changes no result.
 3. Each document's seed hits are gathered by item and diagonal into windows; a window is aligned when the words that it
-   shares with the item could reach the score at all.
+   shares with the item could reach the score at all, and what stands before and after a passage is aligned again, so
+   that all passages of an item are found.
+4. An item of fewer words than an n-gram is matched as a whole sequence, by texts that are it and nothing else.
 
 Both passes are maps over the documents; what is shuffled is one count per n-gram and task. Items travel by broadcast in
 slices of bounded size: more items mean more slices, each a pass of its own.
@@ -14,14 +16,16 @@ slices of bounded size: more items mean more slices, each a pass of its own.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, grams, hash_words, read, restored, small_batches, words
+from .common import grams, read, restored, small_batches, word_hashes
 
 #: Bytes of item texts in a slice.
 SLICE = 8 << 20
@@ -55,9 +59,13 @@ class Items:
     """A slice of test items and, once frequencies are known, its seeds."""
 
     def __init__(self, rows: list[tuple], n: int):
-        own = [(i, hash_words(words(t))) for i, t in rows]
-        own = [(i, h) for i, h in own if len(h) >= n]
+        own = [(i, word_hashes(t)) for i, t in rows]
+        own = [(i, h) for i, h in own if len(h)]
         self.n, self.ids, self.words = n, [i for i, _ in own], [h for _, h in own]
+        self.short: dict[bytes, list[int]] = {}
+        for k, h in enumerate(self.words):
+            if len(h) < n:
+                self.short.setdefault(h.tobytes(), []).append(k)
         self.grams = [grams(h, n) for h in self.words]
         self.all = np.unique(np.concatenate([np.empty(0, np.uint64), *self.grams]))
 
@@ -83,9 +91,25 @@ def _at(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hit, at[hit]
 
 
+def _aligned(item: np.ndarray, h: np.ndarray, low: int, high: int, need: float) -> list[tuple[int, int, int]]:
+    """All passages between two places: the best, then the best before and after it, and so on."""
+    found, parts = [], [(low, high)]
+    while parts:
+        low, high = parts.pop()
+        window = h[low:high]
+        if MATCH * int(np.isin(window, item).sum()) < need:
+            continue
+        score, a, b = align(item, window)
+        if score >= need:
+            found.append((score, low + a, low + b))
+            parts += [(low, low + a), (low + b, high)]
+    return found
+
+
 def passages(text: str | None, items: Items, share: float) -> list[tuple[int, int, float, int, int]]:
-    """Of each item that text has a passage of: its place, score, similarity, and the first and last word (exclusive)."""
-    h = hash_words(words(text))
+    """Each passage of an item in text: the item's place, score, similarity, and the first and last word (exclusive)."""
+    h = word_hashes(text)
+    out = [(k, MATCH * len(h), 1.0, 0, len(h)) for k in items.short.get(h.tobytes(), ())] if len(h) < items.n else []
     hits, seeds = _at(items.seeds, grams(h, items.n))
     diagonals: dict[int, list[int]] = {}
     sure: set[int] = set()  # items met by a rare seed
@@ -94,28 +118,23 @@ def passages(text: str | None, items: Items, share: float) -> list[tuple[int, in
             diagonals.setdefault(int(items.item_of[j]), []).append(p - int(items.place_of[j]))
             if items.rare[s]:
                 sure.add(int(items.item_of[j]))
-    out = []
     for k, ds in sorted(diagonals.items()):
         item = items.words[k]
-        m, best = len(item), (0, 0, 0)
+        m = len(item)
         need, pad = min(share * m, LONG) * MATCH, m // 4 + 2
         if k not in sure and MATCH * int(np.isin(item, h).sum()) < need:
             continue
-        ds = sorted(set(ds))
+        found: list[tuple[int, int, int]] = []
+        ds, done = sorted(set(ds)), 0
         start = last = ds[0]
         for d in [*ds[1:], None]:
             if d is not None and d - last <= pad:
                 last = d
                 continue
-            low = max(0, start - pad)
-            window = h[low : max(0, last + m + pad)]
-            if MATCH * int(np.isin(window, item).sum()) >= need:
-                score, a, b = align(item, window)
-                if score >= need and score > best[0]:
-                    best = (score, low + a, low + b)
+            found += _aligned(item, h, max(done, start - pad), max(done, last + m + pad), need)
+            done = max([done, *(b for _, _, b in found)])
             start = last = d
-        if best[0]:
-            out.append((k, best[0], best[0] / (MATCH * m), best[1], best[2]))
+        out += [(k, score, score / (MATCH * m), a, b) for score, a, b in sorted(found, key=lambda x: x[1])]
     return out
 
 
@@ -128,7 +147,7 @@ def _frequencies(docs: DataFrame, items: Items) -> dict[int, int]:
         counts = np.zeros(len(table), np.int64)
         for batch in batches:
             for x in batch.column(0):
-                _, at = _at(table, grams(hash_words(words(x.as_py())), n))
+                _, at = _at(table, grams(word_hashes(x.as_py()), n))
                 if len(at):
                     counts[np.unique(at)] += 1
         some = np.flatnonzero(counts)
@@ -138,28 +157,36 @@ def _frequencies(docs: DataFrame, items: Items) -> dict[int, int]:
     return {r["gram"]: r["c"] for r in found.collect()}
 
 
-def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 3, rare: float = 0.0005, share: float = 0.5) -> DataFrame:
-    """A row for each row of df and item of which it has a passage: id, item id, score, similarity, first and last word.
-
-    A passage counts when its alignment reaches `share` of the score of the whole item, or LONG matching words, and
-    when it has n words of the item in a row. Null and empty texts have no passages; items of fewer than n words are too
-    short to tell a copy from chance and match nothing.
-    Equal rows, and rows with equal or null ids, each give their rows; equal items each give theirs.
-    """
+def _slices(df: DataFrame, text: Column, benchmark: DataFrame, item_id: str, item_text: str, n: int, rare: float) -> Iterator[Broadcast]:
+    """The items, slice by slice, with their seeds, as broadcasts."""
     spark = small_batches(df).sparkSession
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = df.select(text.alias("text"))
     bench = benchmark.select(F.col(item_id).alias("item"), F.col(item_text).alias("text"))
     size = bench.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     slices = -(-size // SLICE) or 1
     limit = max(5.0, rare * docs.count())
-    kind, item_kind = docs.schema["id"].dataType.simpleString(), bench.schema["item"].dataType.simpleString()
-    item_type = pa.array([None], _arrow(bench.schema["item"].dataType)).type
-
-    def pass_over(items: Items) -> DataFrame:
+    for s in range(slices):
+        part = bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(slices)) == s) if slices > 1 else bench
+        items = Items([tuple(r) for r in part.collect()], n)
         items.choose(_frequencies(docs, items), limit)
         items.grams, items.all = [], np.empty(0)
-        shared = spark.sparkContext.broadcast(vars(items))
+        yield spark.sparkContext.broadcast(vars(items))
+
+
+def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 3, rare: float = 0.0005, share: float = 0.5) -> DataFrame:
+    """A row for each passage of an item in a row of df: id, item id, score, similarity, first and last word (exclusive).
 
+    A passage counts when its alignment reaches `share` of the score of the whole item, or LONG matching words, and
+    when it has n words of the item in a row; passages of one item don't overlap. An item of fewer than n words is found
+    in texts that are that sequence of words; one without words in none. Null and empty texts have no passages.
+    Equal rows, and rows with equal or null ids, each give their rows; equal items each give theirs. Of equal alignments
+    the first counts. Other columns are not looked at.
+    """
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind, item_kind = docs.schema["id"].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
+    item_type = _arrow(benchmark.schema[item_id].dataType)
+
+    def one_slice(shared: Broadcast) -> DataFrame:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = restored(Items, shared.value)
             for batch in batches:
@@ -176,12 +203,8 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
         return docs.mapInArrow(work, f"id {kind}, item {item_kind}, score long, similarity double, first_word long, last_word long")
 
-    out = None
-    for s in range(slices):
-        part = bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(slices)) == s) if slices > 1 else bench
-        found = pass_over(Items([tuple(r) for r in part.collect()], n))
-        out = found if out is None else out.unionByName(found)
-    return out.withColumnsRenamed({"id": id_col, "item": item_id})
+    found = [one_slice(x) for x in _slices(df, F.col(text_col), benchmark, item_id, item_text, n, rare)]
+    return functools.reduce(DataFrame.unionByName, found).withColumnsRenamed({"id": id_col, "item": item_id})
 
 
 def _arrow(kind) -> pa.DataType:
@@ -190,10 +213,21 @@ def _arrow(kind) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def drop_leaks(df: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The rows of df without a passage of any item."""
-    leaks = cut(find_leaks(df, benchmark, **how).select("doc_id").distinct(), df.count())
-    return df.join(leaks, "doc_id", "left_anti")
+def drop_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 3, rare: float = 0.0005, share: float = 0.5) -> DataFrame:
+    """The rows of df without a passage of any item. Rows are judged one by one: ids, null or repeated, play no part."""
+    place, out = df.columns.index(text_col), df
+
+    def without(out: DataFrame, shared: Broadcast) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            items = restored(Items, shared.value)
+            for batch in batches:
+                yield batch.filter(pa.array([not passages(x.as_py(), items, share) for x in batch.column(place)], pa.bool_()))
+
+        return out.mapInArrow(work, df.schema)
+
+    for shared in _slices(df, F.col(text_col), benchmark, item_id, item_text, n, rare):
+        out = without(out, shared)
+    return out
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,11 +3,14 @@ sampled by Gumbel top-k (Xie et al., 2023).
 
 1. Words and word pairs are hashed to 2**BITS features. Raw shares are counted over all documents, target shares over
    the target documents; both are added up by feature, at most 2**BITS rows a task.
-2. A document's log weight is the mean over its features of log target share - log raw share. The mean, not the sum,
-   so that length does not decide.
-3. The k documents with the largest log weight / temperature + Gumbel noise are a sample without replacement by
-   weight. The noise comes from a hash of id and seed, so a rerun task draws the same. The k-th key is found by
-   counting keys in ever finer ranges, a few thousand counts a round; nothing is sorted in one place.
+2. A document's log weight is the log ratio of the two models: the sum over its features of log target share - log raw
+   share. A long document's weight would be that of a short one to the power of their lengths' ratio, and length would
+   decide what is drawn. So documents are drawn by the weight of a passage of PASSAGE of their features: the log weight
+   tempered by PASSAGE / n_features.
+3. The k documents with the largest tempered log weight + Gumbel noise are a sample without replacement by weight. The
+   noise comes from a hash of id, text and seed, so a rerun task draws the same. The k-th key is found by counting keys
+   in ever finer ranges, a few thousand counts a round; nothing is sorted in one place. Of ties at the k-th key, which
+   only equal rows have, as many are drawn as are wanted, by their place in the written table.
 """
 
 from __future__ import annotations
@@ -19,16 +22,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, grams, hash_words, read, small_batches, words
+from .common import cut, grams, read, small_batches, word_hashes
 
 BITS = 15
 #: Labelled rows that the target model may be fitted on; of more, those with the smallest hashes of their ids.
 TARGET_ROWS = 20_000
 STEPS = 4096
+#: Features of the passage by whose weight a document is drawn.
+PASSAGE = 20
 
 
 def features(text: str | None) -> np.ndarray:
-    h = hash_words(words(text))
+    h = word_hashes(text)
     return (np.concatenate([grams(h, 1), grams(h, 2)]) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
@@ -79,12 +84,12 @@ def kth_largest(keys: DataFrame, k: int) -> float:
     return low
 
 
-def resample(df: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: float = 0.8, temperature: float = 0.05, seed: int = 1) -> DataFrame:
-    """For each row its id, n_features, log_weight, sample_key and selected; round(keep * rows) or so are selected.
+def resample(df: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: float = 0.8, passage: int = PASSAGE, seed: int = 1) -> DataFrame:
+    """For each row its id, n_features, log_weight, sample_key and selected; exactly round(keep * rows) are selected.
 
     target: ids of target rows (a row's repeats count once); at most TARGET_ROWS of them fit the target model. Rows of
-    equal id and text tie and are selected together, so ties at the k-th key may add rows. A null or empty text has no
-    features and log weight 0. A null id is an id like others.
+    equal id and text have the same key. A null or empty text has no features and log weight 0. A null id is an id like
+    others, but never a target. Other columns of both tables are not looked at.
     """
     docs = small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     ids = target.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()).distinct()
@@ -96,15 +101,21 @@ def resample(df: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio = shared.value
         for batch in batches:
-            found = [features(x.as_py()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) for f in found], pa.int64()), pa.array([float(ratio[f].mean()) if len(f) else 0.0 for f in found], pa.float64())], ["id", "n_features", "log_weight"])
+            found = [features(x.as_py()) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([len(f) for f in found], pa.int64()), pa.array([float(ratio[f].sum()) for f in found], pa.float64())], ["id", "noise", "n_features", "log_weight"])
 
-    scored = docs.mapInArrow(work, f"id {kind}, n_features long, log_weight double")
-    uniform = (F.pmod(F.xxhash64("id", "n_features", F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
-    scored = cut(scored.withColumn("key", F.col("log_weight") / temperature - F.log(-F.log(uniform))))
+    scored = docs.select("id", F.xxhash64("id", "text", F.lit(seed)).alias("noise"), "text").mapInArrow(work, f"id {kind}, noise long, n_features long, log_weight double")
+    uniform = (F.pmod("noise", F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+    tempered = F.col("log_weight") * passage / F.greatest("n_features", F.lit(1))
+    scored = cut(scored.select("id", "n_features", "log_weight", (tempered - F.log(-F.log(uniform))).alias("key"), F.monotonically_increasing_id().alias("place")))
     k = round(keep * scored.count())
     limit = kth_largest(scored, k) if k else float("inf")
-    return scored.select(F.col("id").alias(id_col), "n_features", "log_weight", F.col("key").alias("sample_key"), (F.col("key") >= limit).alias("selected"))
+    chosen = F.col("key") >= limit
+    extra = scored.where(chosen).count() - k
+    if extra:
+        ties = scored.where(F.col("key") == limit).select((-F.col("place")).cast("double").alias("key"))
+        chosen = (F.col("key") > limit) | ((F.col("key") == limit) & (-F.col("place") >= kth_largest(ties, ties.count() - extra)))
+    return scored.select(F.col("id").alias(id_col), "n_features", "log_weight", F.col("key").alias("sample_key"), chosen.alias("selected"))
 
 
 def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """N-gram Jaccard join by a prefix tree.
 
-1. Copies: one row per distinct text goes on.
+1. Copies: one row per distinct text goes on. Map tasks drop the copies that they meet, and what is left of a text's
+   copies is streamed through a sorted aggregate, so that no task holds them.
 2. Each set of n-grams is put in one global order, rare n-grams first, by counts over all distinct texts
-   (counting.count_join). N-grams of one text alone can link nothing; they are counted, not stored. A text whose rare
+   (counting.totals). N-grams of one text alone can link nothing; they are counted, not stored. A text whose rare
    n-grams already rule out the threshold has no link and leaves here - most texts do.
 3. Two sets that link share an n-gram of their prefixes (the first |x| - ceil(t |x|) + 1 in the order). Sets that share
    one, directly or through others, form a block; a set is in one block, so it is shipped once.
@@ -19,37 +20,43 @@ The threshold is exact in integers. Hashes have 64 bits.
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, grams, hash_words, read, words
+from .common import cut, grams, read, small_batches, word_hashes
 from .components import components
-from .counting import count_join, look_up, n_batches, n_buckets
+from .counting import BLOBS, batch_bytes, emit, in_order, n_buckets, n_ranges, totals
 
 #: N-grams of a group of the trie join, about.
 GROUP = 2_000_000
-#: Texts of a file of sets.
-SETS_FILE = 10_000
+#: Digests that a map task remembers.
+SEEN = 1 << 18
 #: Bands of sizes; a little over 4/3, so that rounding can't part two sizes in the ratio 3 : 4 by two bands.
 BAND = 1.34
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
     """Distinct hashes of the runs of n words, ascending; of the whole sequence if there are fewer words."""
-    ws = words(text)
-    if not ws:
-        return np.empty(0, np.uint64)
-    return np.unique(grams(hash_words(ws), n if len(ws) >= n else len(ws)))
+    h = word_hashes(text)
+    return np.unique(grams(h, min(n, len(h)))) if len(h) else h
 
 
-def _sets(table: pa.Table, n: int) -> tuple[list[bytes], list[np.ndarray]]:
-    texts: dict[bytes, str | None] = {}
-    for digest, text in zip(table.column("digest"), table.column("text"), strict=True):
-        texts.setdefault(digest.as_py(), text)
-    return list(texts), [shingles(x.as_py(), n) for x in texts.values()]
+def _without_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """digest, text: without copies of what this task has met lately."""
+    seen: set[bytes] = set()
+    for batch in batches:
+        fresh = []
+        for i, d in enumerate(batch.column(0).to_pylist()):
+            if d not in seen:
+                seen.add(d)
+                fresh.append(i)
+        if len(seen) > SEEN:
+            seen = set()
+        yield batch.take(pa.array(fresh, pa.int64()))
 
 
 def least_overlap(n: int, m: int, percent: int) -> int:
@@ -180,34 +187,42 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
     n_rows = df.count()
-    texts = cut(rows.groupBy("digest").agg(F.min("id").alias("least_id"), F.count("*").alias("copies"), F.max(F.octet_length("text")).alias("bytes")), n_rows)
+    texts = cut(rows.groupBy("digest").agg(F.min("id").alias("least_id"), F.max(F.octet_length("text")).alias("bytes")), n_rows)
     total = texts.agg(F.sum("bytes").alias("n")).first()["n"] or 0
-    # Of a text with over a thousandth of all rows (there are fewer than 1,000 such) only the copy with the least id is dealt.
-    hot = texts.where(F.col("copies") > max(16, n_rows // 1000)).select("digest", "least_id")
-    single = rows.join(F.broadcast(hot), "digest", "left").where(F.col("least_id").isNull() | (F.col("id") == F.col("least_id"))).select("digest", "text")
-
-    def extract(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(np.concatenate([np.empty(0, np.uint64), *_sets(table, n)[1]]), return_counts=True)
-
-    def finish(table: pa.Table, hashes: np.ndarray, sums: np.ndarray) -> pa.Table:
-        digests, sets = _sets(table, n)
+    batches, buckets = -(-total // batch_bytes(total)) or 1, n_buckets(total / 6)
+    ranges = n_ranges(batches, buckets)
+    single = small_batches(rows).select("digest", "text").mapInArrow(_without_copies, "digest binary, text string")
+    # dealt by batch alone, so that neither the aggregate nor the groups need another exchange
+    dealt = single.withColumn("batch", F.pmod(F.xxhash64("digest"), F.lit(batches))).repartition(batches, "batch")
+    dealt = dealt.groupBy("batch", "digest").agg(F.first("text").alias("text"))
+
+    def send(table: pa.Table) -> pa.Table:
+        own = [shingles(x.as_py(), n) for x in table.column("text")]
+        found, counts = np.unique(np.concatenate(own), return_counts=True)
+        return emit(table.column("batch")[0].as_py(), found, counts, ranges)
+
+    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by("digest")
+        own = [shingles(x.as_py(), n) for x in left.column("text")]
+        sizes = [len(x) for x in own]
+        _, place = np.unique(np.concatenate([np.empty(0, np.uint64), *own]), return_inverse=True)
+        found, at = in_order(right)[place], np.cumsum([0, *sizes])
         kept: list = []
         prefix: list[int] = []
-        for own in sets:
-            df_of = look_up(hashes, sums, own)
-            shared = own[df_of > 0]
+        for i, hashes in enumerate(own):
+            df_of = found[at[i] : at[i + 1]]
+            some = df_of > 1
+            shared = hashes[some]
             # of the prefix, what is left when the n-grams of this text alone have taken their places
-            k = len(own) + percent * len(own) // -100 + 1 - (len(own) - len(shared)) if len(own) else 0
+            k = len(hashes) + percent * len(hashes) // -100 + 1 - (len(hashes) - len(shared)) if len(hashes) else 0
             prefix.append(max(k, 0))
-            kept.append(shared[np.lexsort((shared, df_of[df_of > 0]))].view(np.int64) if k > 0 and len(shared) else None)
-        batch = table.column("batch")[0].as_py()
-        return pa.table({
-            "digest": pa.array(digests, pa.binary()), "iid": (np.int64(batch) << np.int64(32)) + np.arange(len(digests), dtype=np.int64), "n": pa.array([len(x) for x in sets], pa.int64()),
-            "prefix": pa.array(prefix, pa.int32()), "tokens": pa.array(kept, pa.list_(pa.int64())),
-        })
+            kept.append(shared[np.lexsort((shared, df_of[some]))].view(np.int64) if k > 0 and len(shared) else None)
+        iid = (left.column("batch")[0].as_py() << 24) + np.arange(len(own), dtype=np.int64)
+        return pa.table({"digest": left.column("digest"), "iid": iid, "n": pa.array(sizes, pa.int64()), "prefix": pa.array(prefix, pa.int32()), "tokens": pa.array(kept, pa.list_(pa.int64()))})
 
     schema = "digest binary, iid long, n long, prefix int, tokens array<long>"
-    sets = cut(count_join(single, F.col("digest"), n_batches(total), n_buckets(total / 7), extract, finish, schema), n_rows, SETS_FILE)
+    sums = totals(dealt.groupBy("batch").applyInArrow(send, BLOBS), batches, buckets)
+    sets = cut(dealt.groupBy("batch").cogroup(sums.groupBy("batch")).applyInArrow(finish, schema))
     open_sets = sets.where(F.col("tokens").isNotNull())
     seen = open_sets.agg(F.count("*").alias("n"), F.sum("prefix").alias("heads")).first()
     n_open, n_heads = seen["n"], seen["heads"] or 0
