@@ -30,8 +30,8 @@ _SUMS = pa.schema([("bucket", pa.int64()), ("batch", pa.int64()), ("sums", pa.bi
 
 
 def batch_bytes(total_bytes: int, parts: int = 96) -> int:
-    """Text of a batch: up to 8 MB, whatever the input; less for small inputs, so that all cores work."""
-    return max(MB, min(8 * MB, total_bytes // parts))
+    """Text of a batch: up to 6 MB, whatever the input; less for small inputs, so that all cores work."""
+    return max(MB, min(6 * MB, total_bytes // parts))
 
 
 def n_buckets(items: float) -> int:
@@ -49,35 +49,41 @@ def _table(columns: list, schema: pa.Schema) -> pa.Table:
 
 
 def pack_hashes(h: np.ndarray) -> bytes:
-    """Ascending hashes: how many there are of each value of the upper 16 bits, then the other six bytes of each."""
-    top = (h >> np.uint64(48)).astype(np.int64)
-    sizes = np.bincount(top - top[0])
-    if 2 * len(sizes) > len(h) or sizes.max() > 65535:
-        return b"\0" + h.astype("<u8").tobytes()
-    low = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
-    return b"\1" + int(top[0]).to_bytes(2, "little") + len(sizes).to_bytes(4, "little") + sizes.astype("<u2").tobytes() + low.tobytes()
+    """Ascending hashes by Elias and Fano: the lower bytes of each as they are, the upper parts as a row of bits in which
+    each hash is a one behind as many zeros as the upper part has grown."""
+    base, n = int(h[0]), len(h)
+    k = min(range(4, 9), key=lambda k: 8 * k * n + n + ((int(h[-1]) >> 8 * k) - (base >> 8 * k)))
+    if k == 8:
+        return b"\x08" + h.astype("<u8").tobytes()
+    upper = (h >> np.uint64(8 * k)).astype(np.int64) - (base >> 8 * k)
+    bits = np.zeros(int(upper[-1]) + n, bool)
+    bits[upper + np.arange(n)] = True
+    low = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k])
+    return bytes([k]) + (base >> 8 * k).to_bytes(8, "little") + len(bits).to_bytes(8, "little") + np.packbits(bits).tobytes() + low.tobytes()
 
 
 def unpack_hashes(data: bytes) -> np.ndarray:
-    if data[:1] == b"\0":
+    k = data[0]
+    if k == 8:
         return np.frombuffer(data, "<u8", offset=1)
-    first, n = int.from_bytes(data[1:3], "little"), int.from_bytes(data[3:7], "little")
-    sizes, low = np.frombuffer(data, "<u2", n, 7), np.frombuffer(data, np.uint8, offset=7 + 2 * n).reshape(-1, 6)
-    out = np.zeros((len(low), 8), np.uint8)
-    out[:, :6] = low
-    return out.view("<u8").reshape(-1) | np.repeat(np.arange(first, first + n, dtype=np.uint64), sizes) << np.uint64(48)
+    base, n = int.from_bytes(data[1:9], "little"), int.from_bytes(data[9:17], "little")
+    places = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, -(-n // 8), 17), count=n))
+    out = np.zeros((len(places), 8), np.uint8)
+    out[:, :k] = np.frombuffer(data, np.uint8, offset=17 - (-n // 8)).reshape(-1, k)
+    return out.view("<u8").reshape(-1) | (places - np.arange(len(places)) + base).astype(np.uint64) << np.uint64(8 * k)
 
 
 def pack_counts(c: np.ndarray) -> bytes:
-    """A byte each; those of 255 and more follow whole."""
+    """A byte each; those of 255 and more follow whole. Most are equal, so what Zstandard leaves is a fraction of it."""
     large = c[c >= 255]
-    return len(large).to_bytes(8, "little") + large.astype("<u8").tobytes() + np.minimum(c, 255).astype(np.uint8).tobytes()
+    return len(c).to_bytes(8, "little") + len(large).to_bytes(8, "little") + pa.compress(large.astype("<u8").tobytes() + np.minimum(c, 255).astype(np.uint8).tobytes(), "zstd", asbytes=True)
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    n = int.from_bytes(data[:8], "little")
-    out = np.frombuffer(data, np.uint8, offset=8 + 8 * n).astype(np.int64)
-    out[out == 255] = np.frombuffer(data, "<u8", n, 8)
+    n, many = (int.from_bytes(data[i : i + 8], "little") for i in (0, 8))
+    plain = pa.decompress(data[16:], n + 8 * many, "zstd", asbytes=True)
+    out = np.frombuffer(plain, np.uint8, offset=8 * many).astype(np.int64)
+    out[out == 255] = np.frombuffer(plain, "<u8", many)
     return out
 
 
@@ -123,7 +129,7 @@ def totals(blobs: DataFrame, batches: int, buckets: int) -> DataFrame:
         _, _, place, ends = _merged(left)
         return _returned(left, in_order(right)[place], ends)
 
-    grouped = blobs.withColumn("many", (F.col("batch") / GROUP).cast("long"))
+    grouped = blobs.withColumn("many", F.pmod(F.xxhash64("batch"), F.lit(batches // GROUP + 1)))
     fine = grouped.groupBy("bucket", "many").applyInArrow(send, BLOBS)
     sums = fine.groupBy("bucket").applyInArrow(_sum, SUMS).select("bucket", "batch", "sums", (F.col("bucket") / each).cast("long").alias("range"))
     return grouped.groupBy("bucket", "many").cogroup(sums.groupBy("range", "batch")).applyInArrow(back, SUMS)

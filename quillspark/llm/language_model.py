@@ -1,7 +1,8 @@
 """Language-model scores by stupid backoff, computed relationally: n-gram count tables partitioned by hash, joined to
 the exploded n-grams of the texts, and summed by document.
 
-1. Rows become batches of bounded bytes, a table in the shared folder; a lost executor finds the same batches again.
+1. Rows become batches of bounded bytes, in their order, compressed; a batch is named by its contents, so that no other
+   can take its place when a lost task repeats.
 2. Each batch explodes its texts to n-grams of 1 to `order` words and sends the distinct ones with their counts to the
    hash ranges of the count tables (counting.totals), which return the corpus counts.
 3. The batch's n-grams meet their counts, and the scores of a document's words are summed.
@@ -14,6 +15,8 @@ c(w) / N, and an unseen word UNSEEN / N.
 
 from __future__ import annotations
 
+import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, grams, read, small_batches, text_bytes, word_hashes
+from .common import grams, read, small_batches, text_bytes, word_hashes
 from .counting import BLOBS, batch_bytes, emit, in_order, n_buckets, n_ranges, totals
 
 BACKOFF, UNSEEN = 0.4, 0.5
@@ -30,17 +33,21 @@ BACKOFF, UNSEEN = 0.4, 0.5
 ALL = np.zeros(1, np.uint64)
 
 
-def in_batches(rows: DataFrame, size: int) -> DataFrame:
-    """rows (id, text) as a table of batches: batch, and data, the rows of about `size` bytes of text as compressed Arrow."""
+def in_batches(rows: DataFrame, size: int, n: int) -> DataFrame:
+    """rows (id, text) as batches, dealt to n partitions: batch, and data, the rows of about `size` bytes of text as
+    compressed Arrow."""
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, n, held, kept = TaskContext.get().partitionId() << 32, 0, 0, []
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
+        part_id, n, held, kept = TaskContext.get().partitionId(), 0, 0, []
 
         def batch() -> pa.RecordBatch:
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, kept[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, kept[0].schema, options=options) as out:
                 out.write_table(pa.Table.from_batches(kept).combine_chunks())
-            return pa.RecordBatch.from_arrays([pa.array([first + n]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["batch", "data"])
+            data = sink.getvalue().to_pybytes()
+            name = hashlib.blake2b(data, digest_size=8, salt=struct.pack("<QQ", part_id, n)).digest()
+            return pa.RecordBatch.from_arrays([pa.array([int.from_bytes(name, "little", signed=True)]), pa.array([data], pa.binary())], ["batch", "data"])
 
         for part in parts:
             if not part.num_rows:
@@ -57,7 +64,7 @@ def in_batches(rows: DataFrame, size: int) -> DataFrame:
         if kept:
             yield batch()
 
-    return cut(rows.mapInArrow(work, "batch long, data binary"))
+    return rows.mapInArrow(work, "batch long, data binary").repartition(n, "batch")
 
 
 def _texts(data: bytes) -> pa.Table:
@@ -95,13 +102,14 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     The corpus is all rows of df, copies too; with leave_out, all but the row itself. A null or empty text has 0 words
     and score 0. Rows with null or equal ids each count and give a row. Texts of any length are one piece; only the two
-    columns are looked at.
+    columns are looked at. df should give the same partitions again when it is read again, as files do; if not, and an
+    executor is lost, the job fails and has to be run again on a written table.
     """
     rows = small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     total = text_bytes(rows)
-    table = in_batches(rows, batch_bytes(total))
-    batches, buckets = table.count(), n_buckets(total / 6 * order)
-    ranges = n_ranges(batches, buckets)
+    size = batch_bytes(total)
+    batches, buckets = -(-total // size) or 1, n_buckets(total / 6 * order)
+    table, ranges = in_batches(rows, size, batches), n_ranges(batches, buckets)
 
     def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -111,6 +119,8 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 yield from emit(batch, np.concatenate([ALL, found]), np.concatenate([[sum(sizes)], counts]), ranges).to_batches()
 
     def end(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            raise RuntimeError("a repeated task had other batches: write the table before it is scored")
         rows = _texts(left.column("data")[0].as_py())
         sizes, every = _exploded(rows, order)
         _, place = np.unique(every, return_inverse=True)
