@@ -1,8 +1,9 @@
 """Corpus counts of hashed items, joined back to the batches that hold them, with little shuffle.
 
 A batch of bounded size explodes its rows to hashed items and sends each distinct one with its local count to the hash
-range ("bucket") that holds its row of the count table; a bucket sums them. To each batch it returns the sums alone, in
-the order in which the batch sent the hashes; the batch makes its hashes again and so knows whose they are. An item of
+range ("bucket") that holds its row of the count table; a bucket sums them. To each batch it returns the sums alone, less
+what the batch itself sent (mostly nothing is left, which packs well), in the order in which the batch sent the hashes;
+the batch makes its hashes again and so knows whose they are. An item of
 which each third row has one crosses the shuffle once per batch, not once per row, and a count table is never in one
 place. Items and counts travel as packed arrays, a row for each batch and bucket; a row for each item would be three to
 four times as much.
@@ -96,26 +97,28 @@ def emit(batch: int, hashes: np.ndarray, counts: np.ndarray, buckets: int, first
     return _table([full.astype(np.int64) - first, [batch] * len(full), [pack_hashes(hashes[a:b]) for a, b in cuts], [pack_counts(counts[a:b]) for a, b in cuts]], _BLOBS)
 
 
-def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes of all blobs, their counts, where each blob's hashes are among them, and where blobs end."""
+def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray], list[int]]:
+    """Distinct hashes of all blobs and their counts; of each hash of each blob where it is among them and what all other
+    blobs have of it; and where blobs end."""
     parts = [unpack_hashes(x.as_py()) for x in table.column("hashes")]
     local = np.concatenate([unpack_counts(x.as_py()) for x in table.column("counts")])
     found, place = np.unique(np.concatenate(parts), return_inverse=True)
-    return found, np.bincount(place, weights=local, minlength=len(found)).astype(np.int64), place, np.cumsum([len(x) for x in parts])
+    counts = np.bincount(place, weights=local, minlength=len(found)).astype(np.int64)
+    return found, counts, (place, counts[place] - local), np.cumsum([len(x) for x in parts]).tolist()
 
 
-def _returned(table: pa.Table, sums: np.ndarray, ends: np.ndarray) -> pa.Table:
-    own = [pack_counts(sums[a:b]) for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+def _returned(table: pa.Table, others: np.ndarray, ends: list[int]) -> pa.Table:
+    own = [pack_counts(others[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
     return _table([table.column("bucket").to_pylist(), table.column("batch").to_pylist(), own], _SUMS)
 
 
 def _sum(table: pa.Table) -> pa.Table:
-    _, counts, place, ends = _merged(table)
-    return _returned(table, counts[place], ends)
+    _, _, (_, others), ends = _merged(table)
+    return _returned(table, others, ends)
 
 
 def totals(blobs: DataFrame, batches: int, buckets: int) -> DataFrame:
-    """The sums of what was emitted to n_ranges(batches, buckets) ranges: SUMS rows, one for each blob."""
+    """What other batches emitted to n_ranges(batches, buckets) ranges: SUMS rows, one for each blob."""
     ranges = n_ranges(batches, buckets)
     if ranges == buckets:
         return blobs.groupBy("bucket").applyInArrow(_sum, SUMS)
@@ -126,8 +129,8 @@ def totals(blobs: DataFrame, batches: int, buckets: int) -> DataFrame:
         return emit(table.column("many")[0].as_py(), found, counts, ranges * each)
 
     def back(left: pa.Table, right: pa.Table) -> pa.Table:
-        _, _, place, ends = _merged(left)
-        return _returned(left, in_order(right)[place], ends)
+        _, _, (place, others), ends = _merged(left)
+        return _returned(left, in_order(right)[place] + others, ends)
 
     grouped = blobs.withColumn("many", F.pmod(F.xxhash64("batch"), F.lit(batches // GROUP + 1)))
     fine = grouped.groupBy("bucket", "many").applyInArrow(send, BLOBS)
@@ -136,6 +139,6 @@ def totals(blobs: DataFrame, batches: int, buckets: int) -> DataFrame:
 
 
 def in_order(sums: pa.Table) -> np.ndarray:
-    """A batch's sums, in the order of its hashes."""
+    """What other batches have of a batch's hashes, in their order."""
     order, packed = np.argsort(sums.column("bucket").to_numpy()), sums.column("sums")
     return np.concatenate([np.empty(0, np.int64), *(unpack_counts(packed[i].as_py()) for i in order.tolist())])

@@ -123,8 +123,8 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             raise RuntimeError("a repeated task had other batches: write the table before it is scored")
         rows = _texts(left.column("data")[0].as_py())
         sizes, every = _exploded(rows, order)
-        _, place = np.unique(every, return_inverse=True)
-        sums = in_order(right)
+        _, place, own = np.unique(every, return_inverse=True, return_counts=True)
+        sums = in_order(right) + np.concatenate([[sum(sizes)], own])
         seen, sums = int(sums[0]), sums[1:]
         backoffs, scores, at = [], [], 0
         for n in sizes:

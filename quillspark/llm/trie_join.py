@@ -205,8 +205,8 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         left = left.sort_by("digest")
         own = [shingles(x.as_py(), n) for x in left.column("text")]
         sizes = [len(x) for x in own]
-        _, place = np.unique(np.concatenate([np.empty(0, np.uint64), *own]), return_inverse=True)
-        found, at = in_order(right)[place], np.cumsum([0, *sizes])
+        _, place, here = np.unique(np.concatenate([np.empty(0, np.uint64), *own]), return_inverse=True, return_counts=True)
+        found, at = (in_order(right) + here)[place], np.cumsum([0, *sizes])
         kept: list = []
         prefix: list[int] = []
         for i, hashes in enumerate(own):
