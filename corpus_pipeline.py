@@ -32,6 +32,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Rows of equal id are told apart by their contents: those of different texts that don't link stay all, those of
     linked texts become one, and so do equal rows, whatever their text.
     """
+    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").isEmpty():
+        goes = cut(trie_join.jaccard_classes(docs).where("doc_id <> component_id").select("doc_id"), docs.count())
+        return docs.join(goes, "doc_id", "left_anti").select(docs.columns)
     keyed = _keyed(docs).withColumn("row_id", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
     classes = trie_join.jaccard_classes(keyed, "row_id")
     goes = cut(classes.where("row_id <> component_id").select("row_id.row_key").distinct(), docs.count())
