@@ -28,7 +28,7 @@ SENTENCE_END = r"[。！？；;]"
 @F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Unicode compatibility composition."""
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+    return s.map(lambda x: x if x is None or unicodedata.is_normalized("NFKC", x) else unicodedata.normalize("NFKC", x))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -41,6 +41,51 @@ def incomplete_chains(cands: DataFrame, claims: DataFrame, evidence: DataFrame)
     return cands.join(claims.select(*keys), keys, "left_anti").unionByName(cands.join(evidence.select(*keys), keys, "left_anti")).dropDuplicates(["source_id", "batch_ord", "candidate_id"])
 
 
+def blocked(batches: DataFrame, regions: DataFrame) -> DataFrame:
+    """Batches (source_id, batch_id, page_start, page_end) that can't be merged yet, with their pending regions' ids."""
+    own = regions.where("status = 'pending'").select(F.col("source_id").alias("s"), F.col("pdf_page").alias("p"), "region_id")
+    rows = batches.join(own, (F.col("source_id") == F.col("s")) & F.col("p").between(F.col("page_start"), F.col("page_end")))
+    return rows.groupBy("source_id", "batch_id").agg(F.array_sort(F.collect_list("region_id")).alias("pending_region_ids"))
+
+
+def shifted(items: DataFrame, batches: DataFrame) -> DataFrame:
+    """items (source_id, batch_id, pdf_page, region_id) of cut-out page ranges, with the numbers of the whole source: each
+    batch's page_offset goes onto the page, and onto the page in the region's id."""
+    rows = items.join(batches.select("source_id", "batch_id", "page_offset"), ["source_id", "batch_id"])
+    page = (F.col("pdf_page") + F.col("page_offset")).cast("int")
+    parts = [F.regexp_extract("region_id", r"^(.*-P)\d+(-\d+)$", i) for i in (1, 2)]
+    region = F.when(parts[0] != "", F.concat(parts[0], F.lpad(page.cast("string"), 4, "0"), parts[1])).otherwise(F.col("region_id"))
+    return rows.select(*[page.alias(c) if c == "pdf_page" else region.alias(c) if c == "region_id" else F.col(c) for c in items.columns])
+
+
+def source_errors(batches: DataFrame, sources: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, rule: batches (source_id, source_sha256, page_start, page_end) that are not of the source that they name, or
+    whose pages it hasn't. sources: source_id, sha256, page_count."""
+    rows = batches.join(sources.select("source_id", F.lower("sha256").alias("sha256"), "page_count"), "source_id", "left")
+    rules = [
+        (F.col("page_count").isNull(), "unknown source"), (F.lower("source_sha256") != F.col("sha256"), "batch of another source"),
+        (~((F.col("page_start") >= 1) & (F.col("page_start") <= F.col("page_end")) & (F.col("page_end") <= F.col("page_count"))), "pages outside the source"),
+    ]
+    failed = F.coalesce(*[F.when(F.coalesce(test, F.lit(True)), F.lit(name)) for test, name in rules])
+    return rows.select(*keys, failed.alias("rule")).where("rule is not null")
+
+
+def advanced(batches: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """One step of all batches (source_id, batch_id, page_start, page_end, status): pending ones take the status of their
+    outcome (source_id, batch_id, ok), complete or failed; a failed range is split in two pending halves, and one page
+    that fails is terminal. Other batches stay as they are."""
+    keys = ["source_id", "batch_id"]
+    one = outcomes.groupBy(*keys).agg(F.bool_or("ok").alias("ok"))
+    rows = batches.join(one, keys, "left")
+    tried = (F.col("status") == "pending") & F.col("ok").isNotNull()
+    middle = F.floor((F.col("page_start") + F.col("page_end")) / 2).cast("int")
+    row = lambda suffix, a, b, status: F.struct(F.concat("batch_id", F.lit(suffix)).alias("batch_id"), a.cast("int").alias("page_start"), b.cast("int").alias("page_end"), F.lit(status).alias("status") if isinstance(status, str) else status.alias("status"))
+    a, b = F.col("page_start"), F.col("page_end")
+    split = F.array(row("A", a, middle, "pending"), row("B", middle + 1, b, "pending"))
+    parts = F.when(tried & ~F.col("ok") & (b > a), split).otherwise(F.array(row("", a, b, F.when(~tried, F.col("status")).when(F.col("ok"), "complete").otherwise("terminal"))))
+    return rows.select("source_id", F.explode(parts).alias("x")).select("source_id", "x.*")
+
+
 def merged(cands: DataFrame, claims: DataFrame, evidence: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Candidates, claims and evidence of batches (source_id, batch_ord, position: a candidate's place in its batch) under
     new serials, from 1 in each source.
@@ -67,6 +112,6 @@ def merged_terms(terms: DataFrame) -> DataFrame:
 
 
 def remaining(manifest: DataFrame) -> DataFrame:
-    """Batches and regions that are still open: pending batches' ids in order, and the count of pending regions."""
+    """Of each source with open batches or regions: those batches' ids in order, and the count of pending regions."""
     open_ = manifest.where("NOT complete OR size(pending_region_ids) > 0")
-    return open_.agg(F.array_sort(F.collect_list("batch_id")).alias("batch_ids"), F.coalesce(F.sum(F.size("pending_region_ids")), F.lit(0)).alias("pending_regions"))
+    return open_.groupBy("source_id").agg(F.array_sort(F.collect_list("batch_id")).alias("batch_ids"), F.coalesce(F.sum(F.size("pending_region_ids")), F.lit(0)).alias("pending_regions"))

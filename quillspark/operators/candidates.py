@@ -26,7 +26,8 @@ def context_headings(blocks: DataFrame, lex: L.Lexicon = L.DOMAIN) -> DataFrame:
     """For each block the heading above it: the last one of earlier blocks of its page, else the first of the page, else
     a fallback; and its basis. A page's blocks are one window: pages are small whatever the corpus."""
     heads = F.filter(T.lines(F.col("block")), lambda x: is_heading(x, lex))
-    rows = blocks.select("source_id", "pdf_page", "block_index", F.try_element_at(heads, F.lit(1)).alias("first"), F.try_element_at(heads, F.lit(-1)).alias("last"))
+    ends = T.let(heads, lambda h: F.struct(F.try_element_at(h, F.lit(1)).alias("first"), F.try_element_at(h, F.lit(-1)).alias("last")))
+    rows = blocks.select("source_id", "pdf_page", "block_index", ends.alias("h")).select("source_id", "pdf_page", "block_index", "h.first", "h.last")
     w = Window.partitionBy("source_id", "pdf_page").orderBy("block_index")
     before = F.last("last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     on_page = F.first("first", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))

@@ -51,7 +51,8 @@ def chunks_of(block: Column, lex: L.Lexicon = L.DOMAIN, limit: int = LIMIT, over
             .otherwise(F.struct(acc["done"].alias("done"), F.concat(now, F.lit("\n"), part).alias("now")))
         )
 
-    return F.aggregate(parts_of(block), empty, step, with_now)
+    # most blocks are one part, which needs no fold
+    return T.let(parts_of(block), lambda parts: F.when((F.size(parts) == 1) & (F.length(parts[0]) <= limit), parts).otherwise(F.aggregate(parts, empty, step, with_now)))
 
 
 def chunks(blocks: DataFrame, lex: L.Lexicon = L.DOMAIN, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:

@@ -29,11 +29,12 @@ def records(cands: DataFrame) -> DataFrame:
         keyed = keyed.withColumn("origin_kind", F.lit("source"))
     if "confidence" not in keyed.columns:
         keyed = keyed.withColumn("confidence", F.lit("not_applicable"))
-    one = lambda c, name: F.array_distinct(in_order(c)).alias(name)
-    out = keyed.groupBy("source_id", "key").agg(
-        F.min("serial").alias("ord"), F.min_by("chunk", "serial").alias("quote"), F.min_by("source_shape", "serial").alias("source_shape"), in_order("candidate_id").alias("candidate_ids"),
+    held = F.struct("serial", "chunk", "source_shape", "candidate_id", "pdf_page", "heading", "heading_basis", "origin_kind", "confidence", *UNIONS)
+    one = lambda c, name: F.array_distinct(F.col(f"own.{c}")).alias(name)
+    out = keyed.groupBy("source_id", "key").agg(F.array_sort(F.collect_list(held)).alias("own")).select(
+        "source_id", "key", F.col("own")[0]["serial"].alias("ord"), F.col("own")[0]["chunk"].alias("quote"), F.col("own")[0]["source_shape"].alias("source_shape"), F.col("own.candidate_id").alias("candidate_ids"),
         one("pdf_page", "pdf_pages"), one("heading", "context_headings"), one("heading_basis", "context_heading_bases"), one("origin_kind", "origin_kinds"), one("confidence", "source_confidences"),
-        *[F.array_distinct(F.flatten(in_order(c))).alias(c) for c in UNIONS],
+        *[F.array_distinct(F.flatten(f"own.{c}")).alias(c) for c in UNIONS],
     )
     near = F.col("neighbor_candidate_ids")
     out = out.withColumn("neighbor_candidate_count", F.size(near)).withColumn("neighbor_candidate_ids", F.slice(near, 1, 12)).drop("key")
@@ -41,19 +42,20 @@ def records(cands: DataFrame) -> DataFrame:
 
 
 def packed(items: Column, weights: tuple[tuple[str, int], ...]) -> Column:
-    """The ordinal of each item's bin: a new one begins when an item would take any weight over its limit."""
-    first = F.struct(F.array().cast("array<int>").alias("bins"), F.lit(0).alias("bin"), *[F.lit(0).cast("long").alias(n) for n, _ in weights])
+    """The bins, as arrays of items: a new one begins when an item would take any weight over its limit. The fold holds
+    the places where bins begin, so that an array is copied once a bin."""
+    first = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("at"), *[F.lit(0).cast("long").alias(n) for n, _ in weights])
 
     def step(acc: Column, x: Column) -> Column:
         over = F.lit(False)
         for name, limit in weights:
             over = over | (acc[name] + x[name] > limit)
-        fresh = (acc["bin"] == 0) | over
-        bin_ = F.when(fresh, acc["bin"] + 1).otherwise(acc["bin"])
+        fresh = (acc["at"] == 0) | over
         sums = [F.when(fresh, x[n].cast("long")).otherwise(acc[n] + x[n]).alias(n) for n, _ in weights]
-        return F.struct(F.concat(acc["bins"], F.array(bin_)).alias("bins"), bin_.alias("bin"), *sums)
+        return F.struct(F.when(fresh, F.concat(acc["starts"], F.array(acc["at"]))).otherwise(acc["starts"]).alias("starts"), (acc["at"] + 1).alias("at"), *sums)
 
-    return F.aggregate(items, first, step, lambda acc: acc["bins"])
+    starts = F.aggregate(items, first, step, lambda acc: F.concat(acc["starts"], F.array(acc["at"])))
+    return T.let(starts, lambda s: F.transform(F.slice(s, 1, F.size(s) - 1), lambda a, i: F.slice(items, a + 1, F.element_at(s, i + 2) - a)))
 
 
 def groups(recs: DataFrame, max_candidates: int = MAX_CANDIDATES, max_chars: int = MAX_CHARS) -> DataFrame:
@@ -62,8 +64,8 @@ def groups(recs: DataFrame, max_candidates: int = MAX_CANDIDATES, max_chars: int
     rows = rows.withColumn("ocr", ~F.array_contains("origin_kinds", "source"))  # recognised text follows the native text
     item = F.struct("record_no", "chars", "cands")
     runs = rows.groupBy("source_id", "ocr", "page").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    runs = runs.withColumn("bins", packed(F.col("items"), (("chars", max_chars), ("cands", max_candidates))))
-    placed = runs.select("source_id", "ocr", "page", F.explode(F.arrays_zip("items", "bins")).alias("x")).select("source_id", F.col("x.items.record_no").alias("record_no"), "ocr", F.col("page").alias("first_page"), F.col("x.bins").alias("bin"))
+    runs = runs.select("source_id", "ocr", "page", F.posexplode(packed(F.col("items"), (("chars", max_chars), ("cands", max_candidates)))).alias("bin", "own"))
+    placed = runs.select("source_id", F.explode("own.record_no").alias("record_no"), "ocr", F.col("page").alias("first_page"), "bin")
     segment = F.struct("record_no", "candidate_ids", "pdf_pages", "context_headings", "quote", "system_hints", "space_hints", "business_axes", "preservation_terms", "source_shape", "origin_kinds", "source_confidences", "text_quality_flags", "signal_flags")
     out = rows.join(placed, ["source_id", "record_no", "ocr"]).groupBy("source_id", "ocr", "first_page", "bin").agg(F.array_sort(F.collect_list(segment)).alias("segments"), F.min("record_no").alias("first"), F.max("record_no").alias("last"))
     out = ordinal(out, "group_no", ["source_id"], F.floor(F.col("first") / 512), "first")
@@ -112,7 +114,8 @@ def screening_batches(sized: DataFrame, max_groups: int = MAX_GROUPS, max_chars:
         raise ValueError("screening batch limits are too small")
     item = F.struct("group_no", F.col("chars").cast("long").alias("chars"), F.lit(1).cast("long").alias("one"), "evidence_group_id", "pdf_pages")
     rows = sized.groupBy("source_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    rows = rows.withColumn("bins", packed(F.col("items"), (("one", max_groups), ("chars", max_chars))))
-    rows = rows.select("source_id", F.explode(F.arrays_zip("items", "bins")).alias("x")).select("source_id", "x.items.*", F.col("x.bins").alias("batch_no"))
-    out = rows.groupBy("source_id", "batch_no").agg(in_order("evidence_group_id", "group_no").alias("evidence_group_ids"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("pdf_pages")))).alias("pdf_pages"), F.sum("chars").alias("source_chars"))
-    return out.select("source_id", F.format_string("SB-%03d", "batch_no").alias("batch_id"), "evidence_group_ids", "pdf_pages", "source_chars")
+    rows = rows.select("source_id", F.posexplode(packed(F.col("items"), (("one", max_groups), ("chars", max_chars)))).alias("k", "own"))
+    return rows.select(
+        "source_id", F.format_string("SB-%03d", F.col("k") + 1).alias("batch_id"), F.col("own.evidence_group_id").alias("evidence_group_ids"),
+        F.array_sort(F.array_distinct(F.flatten("own.pdf_pages"))).alias("pdf_pages"), F.aggregate("own.chars", F.lit(0).cast("long"), lambda a, x: a + x).alias("source_chars"),
+    )

@@ -77,8 +77,9 @@ def needs_second_pass(pages: DataFrame) -> DataFrame:
     return pages.where(F.size("review_reasons") > 0)
 
 
-def coverage(expected: DataFrame, done: DataFrame, markers: DataFrame, review: DataFrame, keys: list[str]) -> DataFrame:
-    """Per source: expected pages (source_id, page_start, page_end) without a finished page, a marker or a review marker."""
+def coverage(expected: DataFrame, done: DataFrame, markers: DataFrame, review: DataFrame, keys: list[str], texts: DataFrame | None = None, failures: DataFrame | None = None) -> DataFrame:
+    """Per source: expected pages (source_id, page_start, page_end) without a finished page, a marker or a review marker;
+    replacement characters in the texts (source_id, text) and failed pages (source_id). It passes when there is none."""
     pages = expected.select("source_id", F.explode(F.sequence("page_start", "page_end")).alias("pdf_page"))
     missing = lambda base, other, name: base.join(other.select(*keys).distinct(), keys, "left_anti").groupBy("source_id").agg(F.array_sort(F.collect_list("pdf_page")).alias(name))
     out = pages.groupBy("source_id").agg(F.count("*").alias("expected_pages"))
@@ -86,8 +87,13 @@ def coverage(expected: DataFrame, done: DataFrame, markers: DataFrame, review: D
     for part in (missing(pages, done, "missing_pages"), missing(pages, markers, "missing_page_markers"), missing(wanted, markers, "missing_review_page_markers")):
         out = out.join(part, "source_id", "left")
     names = ["missing_pages", "missing_page_markers", "missing_review_page_markers"]
-    out = out.select("source_id", "expected_pages", *[F.coalesce(n, F.array().cast("array<bigint>")).alias(n) for n in names])
-    return out.withColumn("pass", (F.size(names[0]) == 0) & (F.size(names[1]) == 0) & (F.size(names[2]) == 0))
+    if texts is not None:
+        out = out.join(texts.groupBy("source_id").agg(F.sum(F.regexp_count("text", F.lit("\ufffd"))).alias("replacement_characters")), "source_id", "left")
+    if failures is not None:
+        out = out.join(failures.groupBy("source_id").agg(F.count("*").alias("page_failures")), "source_id", "left")
+    counts = ["replacement_characters", "page_failures"]
+    out = out.select("source_id", "expected_pages", *[F.coalesce(n, F.array().cast("array<bigint>")).alias(n) for n in names], *[F.coalesce(F.col(n) if n in out.columns else F.lit(None), F.lit(0)).cast("long").alias(n) for n in counts])
+    return out.withColumn("pass", (F.size(names[0]) == 0) & (F.size(names[1]) == 0) & (F.size(names[2]) == 0) & (F.col(counts[0]) == 0) & (F.col(counts[1]) == 0))
 
 
 def consecutive_duplicates(blocks: DataFrame) -> DataFrame:

@@ -19,8 +19,10 @@ from ..sources.shared import cut
 
 @dataclass
 class Flow:
-    """From pages to groups. Steps that several others read - pages, blocks, enriched chunks, records - are tables in the
-    shared folder, as a pipeline would keep them; all between is one plan."""
+    """From pages to groups. Steps that several others read - pages, blocks, chunks, enriched chunks, records - are tables in the
+    shared folder, as a pipeline would keep them; all between is one plan.
+
+    A source is a document of bounded size: the rows of one source that share their doc_id's thousand."""
 
     spark: SparkSession
     sf_dir: str
@@ -31,11 +33,11 @@ class Flow:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return D.spread(self.table("documents"))
+        return D.normalised(D.spread(self.table("documents")))
 
     @cached_property
     def pages(self) -> DataFrame:
-        return cut(D.pages(self.documents))
+        return cut(D.pages(self.documents.withColumn("source", F.concat_ws("-", "source", F.expr("doc_id div 1000")))))
 
     @cached_property
     def raw_blocks(self) -> DataFrame:
@@ -51,7 +53,7 @@ class Flow:
 
     @cached_property
     def chunks(self) -> DataFrame:
-        return K.chunks(self.blocks, self.lex)
+        return cut(K.chunks(self.blocks, self.lex))
 
     @cached_property
     def terms(self) -> DataFrame:

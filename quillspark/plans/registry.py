@@ -19,6 +19,8 @@ from ..operators import quality as Q
 from ..operators import receipts as X
 from ..operators import regions as V
 from ..operators import requirements as R
+from ..sources import documents as D2
+from ..sources import files as W
 from ..streaming import progress as P
 from . import render as D
 from . import sqltext as S
@@ -83,10 +85,13 @@ def _(f: Flow) -> DataFrame:
     return f.documents.select("doc_id", F.sha2(T.clean_text(text), 256).alias("clean_sha256"), F.sha2(T.semantic_key(text), 256).alias("key_sha256"), F.sha2(text, 256).alias("text_sha256"))
 
 
-@query("unicode_keys", f"SELECT doc_id, sha256({S.key('nfc_normalize(text)')}) AS key_sha256 FROM documents")
+@query("unicode_keys", f"SELECT doc_id, sha256({S.key('text')}) AS key_sha256 FROM documents")
 def _(f: Flow) -> DataFrame:
-    """Keys after compatibility composition, which changes none of these texts."""
-    return f.documents.select("doc_id", F.sha2(T.semantic_key(T.nfkc("text")), 256).alias("key_sha256"))
+    """Keys of texts in full-width letters and digits are those of the texts as they are."""
+    narrow = "".join(chr(i) for i in range(0x21, 0x7F))
+    wide = F.translate("text", narrow, "".join(chr(ord(c) + 0xFEE0) for c in narrow))
+    rows = D2.normalised(f.table("documents").withColumn("text", wide))
+    return rows.select("doc_id", F.sha2(T.semantic_key(F.col("text")), 256).alias("key_sha256"))
 
 
 @query("content_addressed", "SELECT sha256(text) AS sha256, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
@@ -97,18 +102,18 @@ def _(f: Flow) -> DataFrame:
 
 @query(
     "text_scalars",
-    rf"""SELECT doc_id, coalesce(len(regexp_extract_all(regexp_replace(text, '[\x{{C0}}-\x{{24F}}]', 'a', 'g'), '\b[A-Z][A-Z0-9+./_-]{{1,14}}\b')), 0) AS capitals, CAST(regexp_extract_all(text, '(?i)PDF\s*(\d+)', 1) AS INT[]) IS NOT NULL AS has_list,
+    rf"""SELECT doc_id, coalesce(len(regexp_extract_all(regexp_replace(text, '[\x{{C0}}-\x{{24F}}]', 'a', 'g'), '\b[A-Z][A-Z0-9+./_-]{{1,14}}\b')), 0) AS capitals, doc_id % 50 || '|' || length(text) AS pdf_pages,
     (length(regexp_replace(text, '\s+', '', 'g')) >= 4 AND regexp_matches(text, '[\x{{3400}}-\x{{9fff}}A-Za-z0-9]')) AS usable,
     array_to_string(list_transform(list_filter(list_transform(string_split(source || '、b, c／' || lang, '、'), lambda x: {S.strip('x')}), lambda x: x <> ''), lambda x: x), '#') AS parts,
     'sys-' || lpad(CAST(list_sum(list_transform(generate_series(1, length(source)), lambda i: i * unicode(substring(source, i, 1)))) % 1000003 AS VARCHAR), 6, '0') AS slug,
-    replace(replace(replace(replace(replace(substring(text, 1, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS escaped FROM documents""",
+    sha256(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;')) AS escaped FROM documents""",
 )
 def _(f: Flow) -> DataFrame:
     text = F.col("text")
     tokens = F.array_join(F.filter(F.transform(F.split(F.concat("source", F.lit("、b, c／"), "lang"), "、"), T.strip), lambda x: x != ""), "#")
     return f.documents.select(
-        "doc_id", F.size(F.regexp_extract_all("text", F.lit(r"(\b[A-Z][A-Z0-9+./_-]{1,14}\b)"), F.lit(1))).alias("capitals"), T.pdf_pages(text).isNotNull().alias("has_list"), T.ocr_usable(text, F.lit(0)).alias("usable"),
-        tokens.alias("parts"), T.slug(F.col("source")).alias("slug"), T.html_escape(F.substring("text", 1, 200)).alias("escaped"),
+        "doc_id", F.size(F.regexp_extract_all("text", F.lit(r"(\b[A-Z][A-Z0-9+./_-]{1,14}\b)"), F.lit(1))).alias("capitals"), T.pdf_pages(F.concat(F.lit("see PDF "), (F.col("doc_id") % 50).cast("string"), F.lit(" and pdf"), F.length("text").cast("string"))).alias("pdf_pages"), T.ocr_usable(text, F.lit(0)).alias("usable"),
+        tokens.alias("parts"), T.slug(F.col("source")).alias("slug"), F.sha2(T.html_escape(text), 256).alias("escaped"),
     )
 
 
@@ -314,13 +319,13 @@ def _screened(f: Flow) -> tuple[DataFrame, DataFrame]:
     return batches, D.screening_sources(rendered, batches).select("source_id", "batch_id", F.concat("markers", F.lit("\n"), "text").alias("text"), "markers")
 
 
-_BAD = "CAST(substr(source_id, 4) AS INT) % 4"
+_BAD = "CAST(regexp_extract(source_id, '([0-9]+)-', 1) AS INT) % 4"
 
 
 @query("screening_errors", f"WITH {S.PAGES} SELECT DISTINCT source_id, 'SB-001' AS batch_id, CASE {_BAD} WHEN 1 THEN 'missing screening result' WHEN 2 THEN 'marker missing or duplicated' ELSE 'reviewed page marker mismatch' END AS rule FROM pages WHERE {_BAD} > 0")
 def _(f: Flow) -> DataFrame:
     batches, results = _screened(f)
-    kind, first = F.substring("source_id", 4, 9).cast("int") % 4, F.col("batch_id") == "SB-001"
+    kind, first = F.regexp_extract("source_id", "([0-9]+)-", 1).cast("int") % 4, F.col("batch_id") == "SB-001"
     results = results.where(~(first & (kind == 1))).withColumn("text", F.when(first & (kind == 2), F.concat("markers", "text")).when(first & (kind == 3), F.replace("markers", F.lit("reviewed-pages:"), F.lit("reviewed-pages:1,"))).otherwise(F.col("markers")))
     return X.screening_errors(batches, results, ["source_id", "batch_id"])
 
@@ -375,20 +380,17 @@ def _merged(candidates: DataFrame) -> DataFrame:
     return c.join(e.select("source_id", "claim_id", "evidence_id", "quote"), ["source_id", "claim_id"]).select("source_id", "candidate_id", "claim_id", "evidence_id", "neighbor_candidate_ids", "quote")
 
 
-@query("merged_batches", f"WITH {S.ENRICHED} SELECT candidate_id, 'CLM-' || substr(candidate_id, 6) AS claim_id, 'EV-' || substr(candidate_id, 6) AS evidence_id, concat_ws('|', lag(candidate_id) OVER w, lead(candidate_id) OVER w) AS neighbor_candidate_ids, chunk AS quote FROM candidates WHERE source_id = 'src0' WINDOW w AS (PARTITION BY source_id, pdf_page ORDER BY serial)")
-def _(f: Flow) -> DataFrame:
-    """One source, as its SQL has it; merged_batches_by_source has all."""
-    return _merged(f.candidates.where("source_id = 'src0'")).drop("source_id")
-
-
-@query("merged_batches_by_source", f"WITH {S.ENRICHED} SELECT source_id, candidate_id, 'CLM-' || substr(candidate_id, 6) AS claim_id, 'EV-' || substr(candidate_id, 6) AS evidence_id, concat_ws('|', lag(candidate_id) OVER w, lead(candidate_id) OVER w) AS neighbor_candidate_ids, chunk AS quote FROM candidates WINDOW w AS (PARTITION BY source_id, pdf_page ORDER BY serial)")
+@query("merged_batches", f"WITH {S.ENRICHED} SELECT source_id, candidate_id, 'CLM-' || substr(candidate_id, 6) AS claim_id, 'EV-' || substr(candidate_id, 6) AS evidence_id, concat_ws('|', lag(candidate_id) OVER w, lead(candidate_id) OVER w) AS neighbor_candidate_ids, chunk AS quote FROM candidates WINDOW w AS (PARTITION BY source_id, pdf_page ORDER BY serial)")
 def _(f: Flow) -> DataFrame:
     return _merged(f.candidates)
 
 
-@query("incomplete_chains", "SELECT 0 AS batch_ord, 'x' AS candidate_id WHERE false")
+@query("incomplete_chains", f"WITH {S.ENRICHED}, b AS (SELECT *, CAST((pdf_page - 1) // 25 AS INT) AS batch_ord FROM candidates), n AS (SELECT *, row_number() OVER (PARTITION BY source_id, batch_ord ORDER BY serial) AS place FROM b) SELECT source_id, batch_ord, 'CAND-' || lpad(place::VARCHAR, 5, '0') AS candidate_id FROM n WHERE place % 17 = 3 OR place % 19 = 4")
 def _(f: Flow) -> DataFrame:
-    return B.incomplete_chains(*_by_batch(f.candidates)).select("batch_ord", "candidate_id")
+    """Some candidates without their claim, some without evidence, some without either."""
+    cands, claims, evidence = _by_batch(f.candidates)
+    number = F.substring("claim_id", 5, 9).cast("int")
+    return B.incomplete_chains(cands, claims.where(number % 17 != 3), evidence.where(number % 19 != 4)).select("source_id", "batch_ord", "candidate_id")
 
 
 @query("merged_terms", f"WITH {S.TERMS}, hits AS (SELECT DISTINCT t.term, t.source_id || '-P' || lpad(c.pdf_page::VARCHAR, 4, '0') AS page_id FROM terms t JOIN chunks c ON c.source_id = t.source_id AND contains({S.key('c.chunk')}, {S.key('t.term')}) AND NOT {S.NAV}) SELECT 'TERM-' || lpad((row_number() OVER (ORDER BY t.term))::VARCHAR, 4, '0') AS term_id, t.term, coalesce(p, '') AS source_page_ids FROM (SELECT DISTINCT term FROM terms) t LEFT JOIN (SELECT term, string_agg(page_id, '|' ORDER BY page_id) AS p FROM hits GROUP BY 1) h ON h.term = t.term")
@@ -421,8 +423,8 @@ def _(f: Flow) -> DataFrame:
     rf"WITH b AS (SELECT doc_id, text AS t, regexp_replace(text, '\s+', '', 'g') AS c FROM documents), r AS (SELECT *, len(regexp_extract_all(c, '[0-9A-Za-z\x{{3400}}-\x{{9fff}}]')) AS readable FROM b) SELECT doc_id, readable, CAST({_SCORE} AS DOUBLE) AS score FROM r WHERE length(c) > 0",
 )
 def _(f: Flow) -> DataFrame:
-    rows = f.documents.select("doc_id", F.regexp_count(Q.compact(F.col("text")), F.lit(f"[0-9A-Za-z{T.CJK}]")).alias("readable"), Q.quality_score(F.col("text")).alias("score"))
-    return rows.where("score is not null")
+    some = f.documents.where(F.col("text").rlike(f"[^{T.SPACE}]"))  # the test is on the text, so that the score is computed once
+    return some.select("doc_id", F.regexp_count("text", F.lit(f"[0-9A-Za-z{T.CJK}]")).alias("readable"), Q.quality_score(F.col("text")).alias("score"))
 
 
 @query("canonical_pages")
@@ -448,11 +450,12 @@ def _(f: Flow) -> DataFrame:
     return rows.select("source_id", "pdf_page", F.size("kept").cast("long").alias("n"), F.sha2(F.array_join("kept", "\n"), 256).alias("text_sha256"))
 
 
-@query("coverage_report", f"WITH {S.PAGES} SELECT source_id, count(*) AS expected_pages, coalesce(string_agg(pdf_page::VARCHAR, '|' ORDER BY pdf_page) FILTER (length(text) < 150), '') AS missing_pages, coalesce(string_agg(pdf_page::VARCHAR, '|' ORDER BY pdf_page) FILTER (doc_id % 10 = 0), '') AS missing_page_markers, coalesce(string_agg(pdf_page::VARCHAR, '|' ORDER BY pdf_page) FILTER (doc_id % 10 = 0 AND doc_id % 3 = 0), '') AS missing_review_page_markers, (count(*) FILTER (length(text) < 150 OR doc_id % 10 = 0)) = 0 AS pass FROM pages GROUP BY 1")
+@query("coverage_report", f"WITH {S.PAGES} SELECT source_id, count(*) AS expected_pages, coalesce(string_agg(pdf_page::VARCHAR, '|' ORDER BY pdf_page) FILTER (length(text) < 150), '') AS missing_pages, coalesce(string_agg(pdf_page::VARCHAR, '|' ORDER BY pdf_page) FILTER (doc_id % 10 = 0), '') AS missing_page_markers, coalesce(string_agg(pdf_page::VARCHAR, '|' ORDER BY pdf_page) FILTER (doc_id % 10 = 0 AND doc_id % 3 = 0), '') AS missing_review_page_markers, 2 * count(*) FILTER (doc_id % 100 = 7) AS replacement_characters, count(*) FILTER (doc_id % 50 = 1) AS page_failures, (count(*) FILTER (length(text) < 150 OR doc_id % 10 = 0 OR doc_id % 100 = 7 OR doc_id % 50 = 1)) = 0 AS pass FROM pages GROUP BY 1")
 def _(f: Flow) -> DataFrame:
     p = f.pages
     expected = p.groupBy("source_id").agg(F.lit(1).cast("long").alias("page_start"), F.max("pdf_page").cast("long").alias("page_end"))
-    return Q.coverage(expected, p.where(F.length("text") >= 150), p.where("doc_id % 10 <> 0"), p.where("doc_id % 3 = 0"), ["source_id", "pdf_page"])
+    texts = p.select("source_id", F.when(F.col("doc_id") % 100 == 7, F.concat(F.lit("\ufffd"), "text", F.lit("\ufffd"))).otherwise(F.col("text")).alias("text"))
+    return Q.coverage(expected, p.where(F.length("text") >= 150), p.where("doc_id % 10 <> 0"), p.where("doc_id % 3 = 0"), ["source_id", "pdf_page"], texts, p.where("doc_id % 50 = 1"))
 
 
 @query("page_documents", f"WITH {S.PAGES} SELECT source_id, sha256(string_agg('<!-- source_pdf_page: ' || pdf_page || ' -->' || chr(10) || '<!-- printed_page: ' || (doc_id % 40) || ' -->' || chr(10) || chr(10) || text || chr(10), chr(10) ORDER BY pdf_page)) AS text_sha256, count(*) AS pages FROM pages GROUP BY 1")
@@ -461,24 +464,27 @@ def _(f: Flow) -> DataFrame:
 
 
 def _documents(f: Flow) -> DataFrame:
-    rows = f.table("documents").groupBy("source", "lang").agg(F.count("*").alias("source_total_pages"), F.sha2(F.min("text"), 256).alias("source_sha256"))
-    return rows.select(F.col("source").alias("package_id"), F.col("lang").alias("ord"), F.concat_ws("-", "lang", F.substring("source_sha256", 1, 16)).alias("document_id"), F.when(F.col("lang") == "en", "primary_requirements").otherwise("review_comments").alias("role"), F.concat("lang", F.lit("`.pdf")).alias("original_name"), "source_total_pages", "source_sha256", F.col("source_sha256").alias("text"))
+    """Forty rows of a source are a package; those of a language are a document, whose text is theirs."""
+    own = f.table("documents").select(F.concat_ws("-", "source", F.expr("doc_id div 40")).alias("package_id"), "lang", F.col("doc_id").alias("ord"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = own.groupBy("package_id", "lang").agg(F.count("*").alias("source_total_pages"), D.joined("text", "ord").alias("text"))
+    rows = rows.withColumn("source_sha256", F.sha2("text", 256))
+    return rows.select("package_id", F.col("lang").alias("ord"), F.concat_ws("-", "lang", F.substring("source_sha256", 1, 16)).alias("document_id"), F.when(F.col("lang") == "en", "primary_requirements").otherwise("review_comments").alias("role"), F.concat("lang", F.lit("`.pdf")).alias("original_name"), "source_total_pages", "source_sha256", "text")
 
 
-_DOCS = "d AS (SELECT source, lang, count(*) AS n, sha256(min(text)) AS h, CASE WHEN lang = 'en' THEN 'primary_requirements' ELSE 'review_comments' END AS role FROM documents GROUP BY 1, 2)"
+_DOCS = "d AS (SELECT *, sha256(t) AS h FROM (SELECT source || '-' || (doc_id // 40) AS package, lang, count(*) AS n, string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id) AS t, CASE WHEN lang = 'en' THEN 'primary_requirements' ELSE 'review_comments' END AS role FROM documents GROUP BY 1, 2))"
 
 
-@query("document_packages", rf"WITH {_DOCS} SELECT source AS package_id, count(*) AS document_count, CAST(sum(n) AS BIGINT) AS total_pages, sha256(string_agg('# ' || lang || '\`.pdf' || chr(10) || chr(10) || '- document_id: ' || lang || '-' || h[1:16] || chr(10) || '- role: ' || role || chr(10) || chr(10) || '<!-- document_start: ' || lang || '-' || h[1:16] || ' -->' || chr(10) || chr(10) || h || chr(10) || '<!-- document_end: ' || lang || '-' || h[1:16] || ' -->' || chr(10), chr(10) ORDER BY lang)) AS text_sha256 FROM d GROUP BY 1")
+@query("document_packages", rf"WITH {_DOCS} SELECT package AS package_id, count(*) AS document_count, CAST(sum(n) AS BIGINT) AS total_pages, sha256(string_agg('# ' || lang || '\`.pdf' || chr(10) || chr(10) || '- document_id: ' || lang || '-' || h[1:16] || chr(10) || '- role: ' || role || chr(10) || chr(10) || '<!-- document_start: ' || lang || '-' || h[1:16] || ' -->' || chr(10) || chr(10) || t || chr(10) || '<!-- document_end: ' || lang || '-' || h[1:16] || ' -->' || chr(10), chr(10) ORDER BY lang)) AS text_sha256 FROM d GROUP BY 1")
 def _(f: Flow) -> DataFrame:
     return D.package(_documents(f)).select("package_id", "document_count", "total_pages", F.sha2("text", 256).alias("text_sha256"))
 
 
-@query("package_ids", f"WITH {_DOCS} SELECT source AS key, sha256(string_agg(role || ':' || h, '|' ORDER BY lang))[1:16] AS package_id FROM d GROUP BY 1")
+@query("package_ids", f"WITH {_DOCS} SELECT package AS key, sha256(string_agg(role || ':' || h, '|' ORDER BY lang))[1:16] AS package_id FROM d GROUP BY 1")
 def _(f: Flow) -> DataFrame:
     return D.package_ids(_documents(f).withColumnRenamed("package_id", "key"), "key")
 
 
-@query("governed_documents", f"WITH {_DOCS} SELECT source AS key, lang, role FROM d WHERE role = 'primary_requirements' OR NOT EXISTS (SELECT 1 FROM d e WHERE e.source = d.source AND e.role = 'primary_requirements')")
+@query("governed_documents", f"WITH {_DOCS} SELECT package AS key, lang, role FROM d WHERE role = 'primary_requirements' OR NOT EXISTS (SELECT 1 FROM d e WHERE e.package = d.package AND e.role = 'primary_requirements')")
 def _(f: Flow) -> DataFrame:
     return R.governed(_documents(f).select(F.col("package_id").alias("key"), F.col("ord").alias("lang"), "role"))
 
@@ -502,21 +508,21 @@ def _(f: Flow) -> DataFrame:
 
 
 def _regions(f: Flow) -> DataFrame:
-    """One open region on each page that is a multiple of five."""
-    p = f.pages.where("pdf_page % 5 = 0")
+    """One open region on each page."""
+    p = f.pages
     none = lambda t: F.lit(None).cast(t)
     return p.select(F.format_string("VR-%s-P%04d-001", "source_id", F.col("pdf_page")).alias("region_id"), F.format_string("%s-P%04d", "source_id", F.col("pdf_page")).alias("page_id"), "source_id", F.col("pdf_page").cast("int").alias("pdf_page"), F.lit(1).alias("image_count"), F.lit("h").alias("context_heading"), F.lit("page_heading").alias("context_heading_basis"), F.lit("pending").alias("status"), F.lit("").alias("transcribed_text"), none("string").alias("ocr_draft"), F.lit("unknown").alias("confidence"), none("double").alias("mean_confidence"), none("string").alias("engine"))
 
 
 def _transcribed(f: Flow) -> DataFrame:
     """Readings of three of four regions: read, unreadable, or too short to be used."""
-    kind = (F.col("pdf_page") / 5).cast("int") % 4
+    kind = F.col("pdf_page") % 4
     rows = _regions(f).select("region_id", F.lit(1).alias("ord"), kind.alias("k"), "pdf_page")
     status = F.when(F.col("k") == 2, "unreadable").otherwise("read")
     return rows.where("k < 3").select("region_id", "ord", status.alias("status"), F.when(F.col("k") == 0, F.concat(F.lit("transcribed page "), F.col("pdf_page").cast("string"))).when(F.col("k") == 1, "ab").otherwise("").alias("text"), F.lit("high").alias("confidence"), F.lit(90.0).alias("mean_confidence"), F.lit("tesseract").alias("engine"))
 
 
-_REG = f"{S.PAGES}, reg AS (SELECT source_id, pdf_page, CAST(pdf_page / 5 AS INT) % 4 AS k, source_id || '-P' || lpad(pdf_page::VARCHAR, 4, '0') AS page_id FROM pages WHERE pdf_page % 5 = 0)"
+_REG = f"{S.PAGES}, reg AS (SELECT source_id, pdf_page, pdf_page % 4 AS k, source_id || '-P' || lpad(pdf_page::VARCHAR, 4, '0') AS page_id FROM pages)"
 
 
 @query("merged_regions", f"WITH {_REG} SELECT 'VR-' || page_id || '-001' AS region_id, CASE k WHEN 0 THEN 'read' WHEN 2 THEN 'unreadable' ELSE 'pending' END AS status, CASE k WHEN 0 THEN 'transcribed page ' || pdf_page ELSE '' END AS transcribed_text, CASE k WHEN 1 THEN 'ab' ELSE '' END AS ocr_draft FROM reg")
@@ -526,7 +532,7 @@ def _(f: Flow) -> DataFrame:
 
 @query("late_chunks", f"WITH {_REG} SELECT page_id, 'transcribed page ' || pdf_page AS chunk, 'ocr_fragment' AS text_quality_flags FROM reg WHERE k = 0")
 def _(f: Flow) -> DataFrame:
-    known = f.candidates.select("page_id", F.col("chunk").alias("quote"))
+    known = f.chunks.where("NOT is_navigation").select(D2.page_id(F.col("source_id"), F.col("pdf_page")).alias("page_id"), F.col("chunk").alias("quote"))
     return O.late_chunks(O.merge_regions(_regions(f), _transcribed(f)), known, f.lex).select("page_id", "chunk", "text_quality_flags")
 
 
@@ -550,7 +556,7 @@ def _(f: Flow) -> DataFrame:
 
 @query("invalid_transcriptions", f"WITH {_REG} SELECT 'VR-' || page_id || '-001' AS region_id, CASE k WHEN 0 THEN 'invalid status' WHEN 1 THEN 'skipped without a review note' END AS rule FROM reg WHERE k IN (0, 1) UNION ALL SELECT 'nowhere', 'unknown visual region'")
 def _(f: Flow) -> DataFrame:
-    kind = (F.col("pdf_page") / 5).cast("int") % 4
+    kind = F.col("pdf_page") % 4
     regions = _regions(f)
     records = regions.select("region_id", F.when(kind == 0, "odd").when(kind == 1, "skipped_non_text").otherwise("unreadable").alias("status"), F.lit("model_vision").alias("engine"), F.lit("short").alias("review_note"))
     extra = f.spark.createDataFrame([("nowhere", "pending", "x", "y")], "region_id string, status string, engine string, review_note string")
@@ -700,12 +706,19 @@ def _(f: Flow) -> DataFrame:
     return html.select("system", F.size(back["requirements"]).cast("long").alias("n"), (~F.contains("html", F.lit("</script"))).alias("safe"))
 
 
-@query("layout_errors", """SELECT page_id, unnest(['required ids missing', 'layout version missing', 'tabs', 'separator missing', 'embedded data invalid']) AS rule FROM pages""")
+_TABS, _LINE = '<i class="tab-button">' * 4, '<i role="separator" aria-orientation="vertical">'
+_OWN = f"""html || CASE WHEN page_id % 2 = 0 THEN '<i id="details-list"><meta name="layout" content="v2">' ELSE '' END || CASE WHEN page_id % 3 = 0 THEN '{_TABS}' ELSE '' END || CASE WHEN page_id % 5 = 0 THEN '{_LINE}' ELSE '' END"""
+
+
+@query("layout_errors", f"""WITH h AS (SELECT page_id, {_OWN} || CASE WHEN page_id % 4 = 1 THEN 'x' ELSE '' END AS h FROM pages)
+  SELECT page_id, unnest(list_filter([CASE WHEN page_id % 4 = 1 THEN 'shell differs' END, CASE WHEN page_id % 2 = 1 THEN 'layout version missing' END, CASE WHEN page_id % 2 = 1 THEN 'required ids missing' END, CASE WHEN page_id % 3 <> 0 THEN 'tabs' END, CASE WHEN page_id % 5 <> 0 THEN 'separator missing' END,
+  CASE WHEN contains(h, '{{{{') OR contains(h, '}}}}') THEN 'placeholders' END, CASE WHEN regexp_matches(h, '(?i)<(script|link)[^>]+(src|href)=["'']https?://') THEN 'external script or stylesheet' END, CASE WHEN page_id % 7 <> 0 THEN 'embedded data invalid' END], lambda x: x IS NOT NULL)) AS rule FROM h""")
 def _(f: Flow) -> DataFrame:
-    rows = f.table("pages").select("page_id", F.concat("html", F.lit(f"{D.START}{{}}"), F.lit(D.END)).alias("template"))
-    rows = rows.select("page_id", F.replace("template", F.lit(f"{D.START}{{}}"), F.lit(f"{D.START}no json")).alias("html"), "template")
-    found = X.layout_errors(rows, ["page_id"], D.START, D.END, ["details-list"], '<meta name="layout" content="v2">')
-    return found.where("rule not in ('placeholders', 'external script or stylesheet')")
+    """Pages of which each breaks rules of its own, against a template."""
+    rows = f.table("pages").withColumn("own", F.expr(_OWN))
+    data = F.concat(F.lit(D.START), F.when(F.col("page_id") % 7 == 0, "{}").otherwise("no json"), F.lit(D.END))
+    rows = rows.select("page_id", F.concat("own", data, F.when(F.col("page_id") % 4 == 1, "x").otherwise("")).alias("html"), F.concat("own", data).alias("template"))
+    return X.layout_errors(rows, ["page_id"], D.START, D.END, ["details-list"], '<meta name="layout" content="v2">')
 
 
 # Progress
@@ -772,7 +785,7 @@ def _(f: Flow) -> DataFrame:
     return X.disagreements(f.requirements, tree.unionByName(hand))
 
 
-@query("package_role_errors", "SELECT source AS package_id, count(DISTINCT lang) FILTER (lang IN ('en', 'fr')) AS primaries FROM documents GROUP BY 1 HAVING count(DISTINCT lang) FILTER (lang IN ('en', 'fr')) <> 1")
+@query("package_role_errors", "SELECT source || '-' || (doc_id // 40) AS package_id, count(DISTINCT lang) FILTER (lang IN ('en', 'fr')) AS primaries FROM documents GROUP BY 1 HAVING count(DISTINCT lang) FILTER (lang IN ('en', 'fr')) <> 1")
 def _(f: Flow) -> DataFrame:
     rows = _documents(f).withColumn("role", F.when(F.col("ord").isin("en", "fr"), "primary_requirements").otherwise("review_comments"))
     return X.role_errors(rows, "package_id")
@@ -789,9 +802,9 @@ def _(f: Flow) -> DataFrame:
     return P.failure_messages(f.table("events").withColumn("line", line), "user_id", "line", "event_id")
 
 
-@query("open_batches", f"WITH {S.PAGES}, b AS (SELECT source_id, 'B' || lpad(CAST((pdf_page - 1) // 25 + 1 AS VARCHAR), 2, '0') AS b, max(doc_id) % 3 AS k FROM pages GROUP BY 1, 2) SELECT string_agg(source_id || '-' || b, '|' ORDER BY source_id || '-' || b) AS batch_ids, CAST(count(*) FILTER (k = 1) AS BIGINT) AS pending_regions FROM b WHERE k < 2")
+@query("open_batches", f"WITH {S.PAGES}, b AS (SELECT source_id, 'B' || lpad(CAST((pdf_page - 1) // 25 + 1 AS VARCHAR), 2, '0') AS b, max(doc_id) % 3 AS k FROM pages GROUP BY 1, 2) SELECT source_id, string_agg(source_id || '-' || b, '|' ORDER BY source_id || '-' || b) AS batch_ids, CAST(count(*) FILTER (k = 1) AS BIGINT) AS pending_regions FROM b WHERE k < 2 GROUP BY 1")
 def _(f: Flow) -> DataFrame:
     """Batches that are incomplete, or have open regions."""
     rows = f.pages.withColumn("b", F.format_string("B%02d", F.floor((F.col("pdf_page") - 1) / 25) + 1)).groupBy("source_id", "b").agg((F.max("doc_id") % 3).alias("k"))
-    rows = rows.select(F.concat_ws("-", "source_id", "b").alias("batch_id"), (F.col("k") > 0).alias("complete"), F.when(F.col("k") == 1, F.array(F.lit("VR"))).otherwise(F.array().cast("array<string>")).alias("pending_region_ids"))
+    rows = rows.select("source_id", F.concat_ws("-", "source_id", "b").alias("batch_id"), (F.col("k") > 0).alias("complete"), F.when(F.col("k") == 1, F.array(F.lit("VR"))).otherwise(F.array().cast("array<string>")).alias("pending_region_ids"))
     return B.remaining(rows)

@@ -66,7 +66,7 @@ def joined(xs: str) -> str:
 _SYSTEMS = [t for ts in LEX.systems.values() for t in ts]
 _NOISE = f"(length(line_key) BETWEEN 2 AND 45 AND NOT {has_obligation('block', 'line_key')} AND NOT {any_term('line_key', LEX.semantic + _SYSTEMS)})"
 
-PAGES = "pages AS (SELECT source AS source_id, doc_id, coalesce(text, '') AS text, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS pdf_page FROM documents)"
+PAGES = "pages AS (SELECT source || '-' || (doc_id // 1000) AS source_id, doc_id, coalesce(text, '') AS text, row_number() OVER (PARTITION BY source, doc_id // 1000 ORDER BY doc_id) AS pdf_page FROM documents)"
 RAW = f"""{PAGES},
 raw_lists AS (SELECT source_id, pdf_page, list_filter(list_transform(string_split(text, chr(10)), lambda x: {clean('x')}), lambda x: x <> '') AS ls FROM pages),
 raw_blocks AS (SELECT source_id, pdf_page, unnest(ls) AS block, generate_subscripts(ls, 1) AS block_index FROM raw_lists)"""
