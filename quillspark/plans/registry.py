@@ -22,6 +22,7 @@ from ..operators import requirements as R
 from ..sources import documents as D2
 from ..sources import files as W
 from ..streaming import progress as P
+from . import delivery as Y
 from . import render as D
 from . import sqltext as S
 from .flows import Flow, flat
@@ -759,7 +760,7 @@ def _(f: Flow) -> DataFrame:
     return P.flagged(f.pages, "text").select("source_id", "pdf_page", "needs_ai_review")
 
 
-@query("prefixed_ids", "SELECT c_custkey, 'see CAND-B' || (c_nationkey % 10) || '-' || lpad(c_custkey::VARCHAR, 5, '0') || ', EV-B' || (c_nationkey % 10) || '-7' AS ids FROM customer")
+@query("prefixed_ids", "SELECT c_custkey, 'see B' || (c_nationkey % 10) || '-CAND-' || lpad(c_custkey::VARCHAR, 5, '0') || ', B' || (c_nationkey % 10) || '-EV-7' AS ids FROM customer")
 def _(f: Flow) -> DataFrame:
     text = F.format_string("see CAND-%05d, EV-7", "c_custkey")
     batch = F.concat(F.lit("B"), (F.col("c_nationkey") % 10).cast("string"))
@@ -808,3 +809,165 @@ def _(f: Flow) -> DataFrame:
     rows = f.pages.withColumn("b", F.format_string("B%02d", F.floor((F.col("pdf_page") - 1) / 25) + 1)).groupBy("source_id", "b").agg((F.max("doc_id") % 3).alias("k"))
     rows = rows.select("source_id", F.concat_ws("-", "source_id", "b").alias("batch_id"), (F.col("k") > 0).alias("complete"), F.when(F.col("k") == 1, F.array(F.lit("VR"))).otherwise(F.array().cast("array<string>")).alias("pending_region_ids"))
     return B.remaining(rows)
+
+
+# Delivery
+
+
+def _masters(f: Flow) -> DataFrame:
+    """A whole master for each region; that of EUROPE has a placeholder left, that of ASIA a review without impact."""
+    item = F.concat(F.lit("- ["), "requirement_id", F.lit("] "), "text", F.lit("\n  - 空間："), "space", F.lit("\n  - 狀態："), "status", F.lit("\n  - 來源："), "source", F.lit("\n  - 原文："), "quote")
+    topics = f.requirements.where("requirement_id rlike '^REQ-M1-[0-9]{4}$'").withColumn("item", item).groupBy("system", "group").agg(F.min("ord").alias("o"), D.joined("item", "ord").alias("items"))
+    part = F.concat(F.lit("#### "), "group", F.lit("\n\n- 主題說明：about the topic "), "group", F.lit("\n- 主題設計重點：focus on "), "group", F.lit("\n- 主題圖說／文件：drawings\n\n"), "items", F.lit("\n"))
+    body = topics.withColumn("part", part).groupBy("system").agg(D.joined("part", "o").alias("body"))
+    s, here = F.col("system"), lambda name, text: F.when(F.col("system") == name, text).otherwise("")
+    head = F.concat(F.lit("# "), s, F.lit(" | master\n\n- 來源文件："), s, F.lit(".pdf\n- 來源 SHA-256：`"), F.sha2(s, 256), F.lit("`\n- 產出日期：2024-01-01\n\n## 專案摘要\n\n- one line of "), s, F.lit("\n"), here("EUROPE", "- TODO\n"))
+    tree = F.concat(F.lit("\n## 需求樹\n\n### "), s, F.lit("\n\n- 系統摘要：summary of region "), s, F.lit("\n- 系統設計重點：focus of region "), s, F.lit("\n- 主要圖說／文件：plans and lists\n\n"), "body")
+    rest = F.concat(F.lit("\n## 需要人工確認\n\n- [REV-M1-0001] is it whole\n"), F.when(s == "ASIA", "").otherwise("  - 影響：cost\n"), F.lit("  - 建議確認：owner\n  - 來源：PDF 3\n  - 原文：as said\n\n## 背景與排除紀錄\n\n- [CTX-M1-0001] not part\n  - 理由：scope\n  - 來源：PDF 4\n"))
+    return body.select(s.alias("doc"), F.concat(head, tree, rest).alias("text"))
+
+
+def _delivered(f: Flow) -> tuple[DataFrame, DataFrame]:
+    """Outputs and errors of all masters; the package of MIDDLE EAST was changed after its receipt."""
+    docs = _masters(f)
+    name = F.concat("doc", F.lit(".pdf"))
+    package = F.concat(F.lit("# 弱電來源包\n\n- 來源文件："), name, F.lit("\n- 來源 SHA-256：`"), F.sha2("doc", 256), F.lit("`\n- 已閱讀批次：1 / 1\n\n<!-- screened:SB-001 -->\n"))
+    made = docs.select("doc", package.alias("text"))
+    receipt = F.struct(
+        F.lit("weak_current_source_complete").alias("stage"), name.alias("source_name"), F.sha2("doc", 256).alias("source_sha256"), F.lit(20).alias("pdf_page_count"), F.lit(1).alias("extraction_batch_count"),
+        F.lit(1).alias("screening_batch_count"), F.array(F.lit("SB-001")).alias("screened_batch_ids"), F.lit(3).alias("screened_evidence_group_count"), F.sha2("text", 256).alias("package_sha256"),
+    )
+    template = "<html>" + "".join("{{" + m + "}}\n" for m in Y.MARKERS) + "</html>"
+    packages = made.withColumn("text", F.when(F.col("doc") == "MIDDLE EAST", F.concat("text", F.lit("more"))).otherwise(F.col("text")))
+    return Y.deliver(docs, template, packages, made.select("doc", receipt.alias("r")))
+
+
+_GOOD = f"{S.REQ}, good AS (SELECT * FROM req WHERE system IN ('AFRICA', 'AMERICA') AND length(requirement_id) = 11)"
+
+
+@query("delivery_errors", f"WITH {S.REQ} SELECT DISTINCT system AS doc, CASE system WHEN 'EUROPE' THEN 'unresolved placeholders' WHEN 'ASIA' THEN 'incomplete review' ELSE 'package hash mismatch' END AS rule, CASE system WHEN 'EUROPE' THEN '' WHEN 'ASIA' THEN 'REV-M1-0001' ELSE 'gate' END AS key FROM req WHERE system IN ('ASIA', 'EUROPE', 'MIDDLE EAST')")
+def _(f: Flow) -> DataFrame:
+    return _delivered(f)[1]
+
+
+@query("delivery_outlines", f"""WITH {_GOOD}, t AS (SELECT system, "group", min(ord) AS o, '#### ' || "group" || chr(10) || chr(10) || string_agg('- ' || text || chr(10), '' ORDER BY ord) || chr(10) AS part FROM good GROUP BY 1, 2) SELECT system AS doc, sha256(rtrim('# ' || system || chr(10) || chr(10) || '## 需求樹' || chr(10) || chr(10) || '### ' || system || chr(10) || chr(10) || string_agg(part, '' ORDER BY o), chr(10)) || chr(10)) AS text_sha256 FROM t GROUP BY 1""")
+def _(f: Flow) -> DataFrame:
+    return _delivered(f)[0].where(F.col("output") == Y.OUTLINE).select("doc", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("delivery_handoffs", f"""WITH {_GOOD}, t AS (SELECT system, "group", min(ord) AS o, count(*) AS n, '#### ' || "group" || chr(10) || chr(10) || '- 主題說明：about the topic ' || "group" || chr(10) || '- 主題設計重點：focus on ' || "group" || chr(10) || '- 主題圖說／文件：drawings' || chr(10) || chr(10) || string_agg('- ' || text || '（' || source || '）' || chr(10), '' ORDER BY ord) || chr(10) AS part FROM good GROUP BY 1, 2),
+s AS (SELECT system AS d, sum(n)::BIGINT AS n, string_agg(part, '' ORDER BY o) AS body FROM t GROUP BY 1)
+SELECT d AS doc, sha256('# ' || d || ' | 弱電需求交接' || chr(10) || chr(10) || '- 來源文件：' || d || '.pdf' || chr(10) || '- 正式需求：' || n || ' 筆' || chr(10) || '- 涉及系統：1 個' || chr(10) || '- 需人工確認：1 筆' || chr(10) || '- 來源處理：PDF 20 頁；來源篩選 1 / 1 批完成' || chr(10)
+  || '- 第一階段來源包 SHA-256：`' || sha256('# 弱電來源包' || chr(10) || chr(10) || '- 來源文件：' || d || '.pdf' || chr(10) || '- 來源 SHA-256：`' || sha256(d) || '`' || chr(10) || '- 已閱讀批次：1 / 1' || chr(10) || chr(10) || '<!-- screened:SB-001 -->' || chr(10)) || '`' || chr(10)
+  || chr(10) || '## 專案摘要' || chr(10) || chr(10) || '- one line of ' || d || chr(10) || chr(10) || '## 系統需求摘要' || chr(10) || chr(10) || '### ' || d || '（' || n || ' 筆）' || chr(10) || chr(10) || '- 系統摘要：summary of region ' || d || chr(10) || '- 設計重點：focus of region ' || d || chr(10) || '- 主要介面：來源未明示額外介面' || chr(10) || '- 圖說／文件：plans and lists' || chr(10) || chr(10)
+  || body || chr(10) || '## 需要人工確認' || chr(10) || chr(10) || '### REV-M1-0001 | is it whole' || chr(10) || chr(10) || '- 影響：cost' || chr(10) || '- 建議確認：owner' || chr(10) || '- 來源：PDF 3' || chr(10) || '- 原文：as said' || chr(10) || chr(10) || '## 背景與排除紀錄' || chr(10) || chr(10) || '- not part；理由：scope；來源：PDF 4' || chr(10)) AS text_sha256 FROM s""")
+def _(f: Flow) -> DataFrame:
+    return _delivered(f)[0].where(F.col("output") == Y.HANDOFF).select("doc", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("delivery_pages", f"""WITH {_GOOD} SELECT system AS doc, count(*) AS n_rows, count(*) AS n_details, count(DISTINCT "group") AS n_groups, count(DISTINCT space) + count(DISTINCT status) + 4 AS n_options, 1::BIGINT AS n_reviews, 1::BIGINT AS n_context, sha256(string_agg(requirement_id, '|' ORDER BY o, ord)) AS ids_sha256 FROM (SELECT *, min(ord) OVER (PARTITION BY system, "group") AS o FROM good) GROUP BY 1""")
+def _(f: Flow) -> DataFrame:
+    """What the pages hold, read back from them."""
+    rows = _delivered(f)[0].where(F.col("output") == Y.PAGE)
+    n = lambda part: X.count_of(F.col("text"), F.lit(part)).cast("long")
+    details = F.from_json(F.regexp_extract("text", r"(?s)(\[\{.*?\}\])", 1), "array<struct<id:string>>")
+    return rows.select("doc", n('class="requirement-row"').alias("n_rows"), F.size(details).cast("long").alias("n_details"), n('class="group-block"').alias("n_groups"), n("<option ").alias("n_options"), n('class="review-card"').alias("n_reviews"), n('class="context-card"').alias("n_context"), F.sha2(F.array_join(details["id"], "|"), 256).alias("ids_sha256"))
+
+
+@query("merged_dossiers", f"""WITH {S.PAGES}, b AS (SELECT source_id, (pdf_page - 1) // 25 AS k, min(pdf_page) AS a, max(pdf_page) AS z, string_agg('x' || chr(10) || '## EG-' || pdf_page || ' of CAND-7', chr(10) ORDER BY pdf_page) AS t FROM pages GROUP BY 1, 2),
+p AS (SELECT *, 'B' || lpad((k + 1)::VARCHAR, 2, '0') AS id, regexp_replace(regexp_replace(t, '^x\n', ''), '(EG|CAND)-([0-9]+)', 'B' || lpad((k + 1)::VARCHAR, 2, '0') || '-\\1-\\2', 'g') AS body FROM b)
+SELECT source_id, sha256(rtrim('# 弱電來源卷宗' || chr(10) || chr(10) || '## 文件資訊' || chr(10) || chr(10) || '- 來源文件：' || source_id || '.pdf' || chr(10) || '- 來源 SHA-256：`' || sha256(source_id) || '`' || chr(10) || '- PDF 頁數：' || max(z) || chr(10) || '- 擷取批次：' || count(*) || chr(10) || chr(10) || string_agg('---' || chr(10) || chr(10) || '# ' || id || ' | PDF ' || a || '-' || z || chr(10) || chr(10) || body || chr(10) || chr(10), '' ORDER BY a), chr(10)) || chr(10)) AS text_sha256 FROM p GROUP BY 1 HAVING source_id NOT LIKE '%9-%'""")
+def _(f: Flow) -> DataFrame:
+    """Sources whose number ends with a nine lack a batch, and so have no dossier."""
+    batches = B.page_batches(_sources(f).select("source_id", "page_count"))
+    rows = f.pages.select("source_id", F.format_string("B%02d", F.floor((F.col("pdf_page") - 1) / 25) + 1).alias("batch_id"), "pdf_page", F.concat(F.lit("x\n## EG-"), F.col("pdf_page").cast("string"), F.lit(" of CAND-7")).alias("part"))
+    texts = rows.groupBy("source_id", "batch_id").agg(D.joined("part", "pdf_page").alias("text")).where("NOT (source_id LIKE '%9-%' AND batch_id = 'B01')")
+    return Y.merged_dossiers(batches, texts, _sources(f))[0].select("source_id", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("planned_packages", f"WITH {_DOCS} SELECT package AS package_id, lang AS document_id, 'manifest missing' AS rule FROM d WHERE n = 3 UNION ALL SELECT package, lang, 'document missing' FROM d WHERE n = 2")
+def _(f: Flow) -> DataFrame:
+    """Documents of three pages lack their manifest, those of two their text."""
+    docs = _documents(f).withColumn("run", F.concat_ws("/", "package_id", "ord")).withColumn("document_id", F.col("ord"))
+    manifests, texts = docs.where("source_total_pages <> 3").select("run", "source_sha256", "source_total_pages"), docs.where("source_total_pages <> 2").select("run", "text")
+    return Y.planned_documents(docs.select("package_id", "ord", "document_id", "role", "original_name", "run"), manifests, texts)[1]
+
+
+@query("reading_documents", rf"""WITH {S.PAGES}, r AS (SELECT *, CASE WHEN length(text) < 200 THEN 'low_native_text' END AS a, CASE WHEN length({S.strip('text')}) < 150 THEN 'short_pdf_aware_output' END AS b, '<!-- source_pdf_page: ' || pdf_page || ' -->' || chr(10) || '<!-- printed_page: unknown -->' AS head, {S.strip('text')} AS t FROM pages WHERE text <> '')
+SELECT source_id, 'source_document.md' AS output, sha256('# AI-readable source document' || chr(10) || chr(10) || '- Source file: `' || source_id || '.pdf`' || chr(10) || '- Source SHA-256: `' || sha256(source_id) || '`' || chr(10) || string_agg(chr(10) || '---' || chr(10) || head || chr(10) || CASE WHEN a IS NOT NULL OR b IS NOT NULL THEN chr(10) || '> `needs_ocr_review`: ' || concat_ws(', ', a, b) || chr(10) ELSE '' END || chr(10) || '## Primary extraction' || chr(10) || chr(10) || t || chr(10), '' ORDER BY pdf_page)) AS text_sha256 FROM r GROUP BY 1
+UNION ALL SELECT source_id, 'ocr_review_alternatives.md', sha256('# OCR review alternatives' || chr(10) || chr(10) || '- Source file: `' || source_id || '.pdf`' || chr(10) || '- Source SHA-256: `' || sha256(source_id) || '`' || chr(10) || coalesce(string_agg(chr(10) || '---' || chr(10) || head || chr(10) || chr(10) || '## Full-page OCR alternative' || chr(10) || chr(10) || '> Review reasons: `' || concat_ws(', ', a, b) || '`' || chr(10) || chr(10) || CASE WHEN pdf_page % 2 = 0 THEN 'second ' || pdf_page ELSE '> Full-page OCR alternative is unavailable.' END || chr(10), '' ORDER BY pdf_page) FILTER (a IS NOT NULL OR b IS NOT NULL), '')) FROM r GROUP BY 1""")
+def _(f: Flow) -> DataFrame:
+    text = F.col("text")
+    readings = f.pages.where("text <> ''").select("source_id", "pdf_page", F.lit(None).cast("int").alias("printed_page_candidate"), text.alias("primary"), F.when(F.col("pdf_page") % 2 == 0, F.concat(F.lit("second "), F.col("pdf_page").cast("string"))).alias("alternate"), F.filter(Q.review_reasons(text, F.length(text)), lambda x: x.isin("low_native_text", "short_pdf_aware_output")).alias("review_reasons"))
+    return Y.reading_documents(readings, _sources(f)).where("output <> 'source_document_clean.md'").select("source_id", "output", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("batch_states", f"WITH {S.PAGES}, s AS (SELECT source_id, count(*) AS n FROM pages GROUP BY 1), k AS (SELECT source_id, n, unnest(range(0, CAST(ceil(n / 25.0) AS BIGINT))) AS k FROM s), b AS (SELECT source_id, 'B' || lpad((k + 1)::VARCHAR, 2, '0') AS id, k * 25 + 1 AS a, least(n, k * 25 + 25) AS z, k % 3 AS r FROM k) SELECT source_id, id AS batch_id, CAST(a AS INT) AS page_start, CAST(z AS INT) AS page_end, CASE WHEN r = 0 THEN 'complete' WHEN r = 2 THEN 'pending' ELSE 'terminal' END AS status FROM b WHERE r <> 1 OR a = z UNION ALL SELECT source_id, id || 'A', CAST(a AS INT), CAST((a + z) // 2 AS INT), 'pending' FROM b WHERE r = 1 AND a < z UNION ALL SELECT source_id, id || 'B', CAST((a + z) // 2 + 1 AS INT), CAST(z AS INT), 'pending' FROM b WHERE r = 1 AND a < z")
+def _(f: Flow) -> DataFrame:
+    """Of three batches one succeeds, one fails and one isn't tried."""
+    batches = B.page_batches(_sources(f).select("source_id", "page_count")).withColumn("status", F.lit("pending"))
+    kind = (F.col("page_offset") / 25).cast("int") % 3
+    return B.advanced(batches, batches.where(kind < 2).select("source_id", "batch_id", (kind == 0).alias("ok")))
+
+
+@query("batch_source_errors", f"WITH {S.PAGES}, s AS (SELECT source_id, count(*) AS n FROM pages GROUP BY 1), k AS (SELECT source_id, n, unnest(range(0, CAST(ceil(n / 25.0) AS BIGINT))) AS k FROM s) SELECT source_id, 'B' || lpad((k + 1)::VARCHAR, 2, '0') AS batch_id, CASE WHEN k % 3 = 1 THEN 'batch of another source' ELSE 'pages outside the source' END AS rule FROM k WHERE k % 3 = 1 OR (k % 3 = 0 AND k * 25 + 25 > n)")
+def _(f: Flow) -> DataFrame:
+    """Each third batch has another source's hash; each first of three claims a full range."""
+    kind = (F.col("page_offset") / 25).cast("int") % 3
+    batches = B.page_batches(_sources(f).select("source_id", "page_count")).select("source_id", "batch_id", F.when(kind == 1, "x").otherwise(F.upper(F.sha2("source_id", 256))).alias("source_sha256"), "page_start", F.when(kind == 0, F.col("page_offset") + 25).otherwise(F.col("page_end")).alias("page_end"))
+    return B.source_errors(batches, _sources(f), ["source_id", "batch_id"])
+
+
+@query("shifted_regions", f"WITH {_REG} SELECT source_id, CAST(pdf_page AS INT) AS pdf_page, 'VR-' || page_id || '-001' AS region_id FROM reg")
+def _(f: Flow) -> DataFrame:
+    """Regions numbered inside batches of 25 pages, with the numbers of their sources again."""
+    inside = ((F.col("pdf_page") - 1) % 25 + 1).cast("int")
+    local = f.pages.select("source_id", F.format_string("B%02d", F.floor((F.col("pdf_page") - 1) / 25) + 1).alias("batch_id"), inside.alias("pdf_page"), F.format_string("VR-%s-P%04d-001", "source_id", inside).alias("region_id"))
+    return B.shifted(local, B.page_batches(_sources(f).select("source_id", "page_count"))).drop("batch_id")
+
+
+@query("blocked_batches", f"WITH {_REG} SELECT source_id, 'B' || lpad(((pdf_page - 1) // 25 + 1)::VARCHAR, 2, '0') AS batch_id, string_agg('VR-' || page_id || '-001', '|' ORDER BY page_id) AS pending_region_ids FROM reg WHERE k IN (1, 3) GROUP BY 1, 2")
+def _(f: Flow) -> DataFrame:
+    return B.blocked(B.page_batches(_sources(f).select("source_id", "page_count")), O.merge_regions(_regions(f), _transcribed(f)))
+
+
+@query("draft_groups", f"WITH {_REG} SELECT source_id, 'EGRP-' || lpad((row_number() OVER (PARTITION BY source_id ORDER BY pdf_page))::VARCHAR, 4, '0') AS evidence_group_id, 'VR-' || page_id || '-001' AS route_visual_region_ids, pdf_page::VARCHAR AS pdf_pages FROM reg WHERE k = 1")
+def _(f: Flow) -> DataFrame:
+    """Groups of the drafts that weren't good enough to read, of sources without other groups."""
+    found = G.draft_groups(O.merge_regions(_regions(f), _transcribed(f)), f.groups.limit(0))
+    return found.select("source_id", "evidence_group_id", "route_visual_region_ids", "pdf_pages")
+
+
+@query("token_tables", "SELECT l_orderkey, count(*) AS tokens, sum(l_linenumber) AS lines, string_agg(l_returnflag || l_partkey, '|' ORDER BY l_linenumber) AS texts FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) = 1) GROUP BY 1")
+def _(f: Flow) -> DataFrame:
+    """Tokens written as tab-separated text, one table an order, and read again."""
+    first = f.table("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_returnflag")).alias("x"))
+    names = [x.split()[0] for x in O.TOKENS.split(", ")]
+    line = F.concat_ws("\t", *[F.concat("x.l_returnflag", F.col("x.l_partkey").cast("string")) if n == "text" else F.col("l_linenumber").cast("string") if n == "line_num" else F.lit("1") for n in names])
+    texts = first.withColumn("line", line).groupBy("l_orderkey").agg(F.concat(F.lit("\t".join(names) + "\n"), D.joined("line", "l_linenumber")).alias("text"))
+    rows = W.token_tables(texts, "l_orderkey", "text")
+    return rows.groupBy("l_orderkey").agg(F.count("*").alias("tokens"), F.sum("line_num").alias("lines"), D.joined("text", "ord", "|").alias("texts"))
+
+
+@query("joined_readings", "SELECT page_id, sha256(html) AS primary_sha256, CASE WHEN page_id % 3 = 0 THEN sha256(url) END AS alternate_sha256 FROM pages WHERE page_id % 5 <> 0")
+def _(f: Flow) -> DataFrame:
+    """Long readings as a row a page; pages without a primary reading go."""
+    p = f.table("pages")
+    rows = p.where("page_id % 5 <> 0").select("page_id", F.lit("pdf_aware").alias("mode"), F.col("html").alias("markdown")).unionByName(p.where("page_id % 3 = 0").select("page_id", F.lit("full_page").alias("mode"), F.col("url").alias("markdown")))
+    return Q.join_readings(rows, ["page_id"]).select("page_id", F.sha2("primary", 256).alias("primary_sha256"), F.sha2("alternate", 256).alias("alternate_sha256"))
+
+
+@query("second_pass_pages", rf"WITH {S.PAGES} SELECT source_id, pdf_page FROM pages WHERE length(text) < 200 OR length({S.strip('text')}) < 150 OR contains(text, '�') OR regexp_matches(text, '(、\s*){{3,}}|([，。]\s*){{4,}}')")
+def _(f: Flow) -> DataFrame:
+    return Q.needs_second_pass(f.pages.withColumn("review_reasons", Q.review_reasons(F.col("text"), F.length("text")))).select("source_id", "pdf_page")
+
+
+@query("screening_totals", f"WITH {S.PAGES}, s AS (SELECT source_id, count(*) AS n FROM pages GROUP BY 1) SELECT source_id, CASE n % 4 WHEN 1 THEN 'batch count mismatch' WHEN 2 THEN 'page coverage mismatch' ELSE 'evidence-group coverage mismatch' END AS rule FROM s WHERE n % 4 > 0")
+def _(f: Flow) -> DataFrame:
+    """Batches of four pages against manifests, of which some claim too much."""
+    p = f.pages.withColumn("b", F.floor((F.col("pdf_page") - 1) / 4)).withColumn("g", F.format_string("G%05d", "pdf_page"))
+    batches = p.groupBy("source_id", "b").agg(F.array_sort(F.collect_list("pdf_page")).alias("pdf_pages"), F.array_sort(F.collect_list("g")).alias("evidence_group_ids"))
+    n = F.col("page_count")
+    extra = lambda k: F.when(n % 4 == k, 1).otherwise(0)
+    manifest = _sources(f).select("source_id", (F.ceil(n / 4) + extra(1)).alias("batch_count"), F.sequence(F.lit(1).cast("long"), n + extra(2)).alias("covered_pdf_pages"), (n + extra(3)).alias("evidence_group_count"))
+    return X.total_errors(batches, manifest)

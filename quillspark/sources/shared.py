@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where it is unset (tests), an own one."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, local mode has one of its own;
+    a cluster has none, and fails."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='quillspark-')}"
+        found = spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='quillspark-')}"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(found)
     return found
