@@ -148,16 +148,16 @@ def parse_diagnostic(line: Column) -> Column:
     return F.when(good, F.struct(parts[1].alias("code"), parts[2].alias("message"), parts[3].alias("action")))
 
 
-# Diagnostic codes with exit numbers; those of them that a page can cause aren't fatal.
+# Diagnostic codes with exit numbers, and those that end a run.
 EXIT_CODES = {
     "E_PLATFORM": 10, "E_ARCH": 11, "E_PERMISSION": 12, "E_DISK_SPACE": 13, "E_PATH_TOO_LONG": 14, "E_NETWORK": 15, "E_VC_RUNTIME": 20,
     "E_TORCH_RUNTIME": 21, "E_DEPENDENCY_MISSING": 22, "E_DOCLING_RUNTIME": 23, "E_MEMORY": 24, "E_PDF_INVALID": 30, "E_RUNTIME": 99,
 }
-NOT_FATAL = ("E_PDF_INVALID", "E_RUNTIME")
+FATAL = ["E_PLATFORM", "E_ARCH", "E_PERMISSION", "E_DISK_SPACE", "E_PATH_TOO_LONG", "E_NETWORK", "E_VC_RUNTIME", "E_TORCH_RUNTIME", "E_DEPENDENCY_MISSING", "E_DOCLING_RUNTIME", "E_MEMORY"]
 
 
 def diagnostic_code(kind: Column, message: Column, winerror: Column, errno: Column) -> Column:
-    """The class of an error, by rules of which the first that holds counts."""
+    """The class of an error, by rules of which the first that holds counts. Their numbers and words are fixed values."""
     text = F.lower(F.concat(kind, F.lit(": "), message))
     has = lambda *ws: text.rlike("|".join(rf"\Q{w}\E" for w in ws))
     rules = [
@@ -176,7 +176,7 @@ def diagnostic_code(kind: Column, message: Column, winerror: Column, errno: Colu
 
 
 def is_fatal(code: Column) -> Column:
-    return code.isin(*[c for c in EXIT_CODES if c not in NOT_FATAL])
+    return code.isin(FATAL)
 
 
 def shell(html: Column, start: str, end: str) -> Column:

@@ -80,6 +80,7 @@ def preservation_terms(text: Column, lex: L.Lexicon = L.DOMAIN, key: Column | No
 
 def signal_flags(text: Column, n_systems: Column, lex: L.Lexicon = L.DOMAIN, key: Column | None = None) -> Column:
     key, low = T.semantic_key(text) if key is None else key, F.lower(text)
+    # fixed value: what a specification looks like
     unit = low.rlike(r"(\d+(\.\d+)?\s*(mhz|ghz|mbps|gbps|mm|cm|m|v|a|w)\b|iso\s*\d+|ieee\s*[\d.]+)")
     open_end = (F.length(text) < 120) & ~text.rlike(r"[.?!。！？；;:]」?）?\s*$")
     flags = [(L.any_term(key, lex.negations), "negation_or_exclusion"), (L.any_term(key, lex.conditions), "condition_or_exception"), (n_systems >= 2, "cross_system"), (unit, "specification_signal"), (open_end, "possible_fragment")]
@@ -111,6 +112,7 @@ def enriched(chunks: DataFrame, headings: DataFrame, terms: DataFrame | None = N
     )
     n = lambda c: F.size(c)
     one = lambda test: F.when(test, 1).otherwise(0)
+    # fixed values: the weights of the score
     score = (
         F.least(F.lit(6), n("system_terms") * 2) + one(n("semantic") > 0) + one(n("business_axes") > 0) + one(n("business_axes") >= 2) + one(n("obligation_terms") > 0)
         + one(L.any_term(F.col("heading_key"), lex.headings)) * 2 + one((n("interfaces") > 0) & (n("semantic") > 0)) + one((n("dynamic") > 0) & ((n("semantic") > 0) | (n("obligation_terms") > 0)))

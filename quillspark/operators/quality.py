@@ -35,7 +35,7 @@ def compact(s: Column) -> Column:
 
 def quality_score(cleaned: Column) -> Column:
     """Share of readable characters, length, structure and sentences against garbage and replacement characters; null
-    for a page without any. Half-even at three places."""
+    for a page without any. The weights are fixed values. Half-even at three places, on decimals: binary ties may differ."""
     def score(text: Column) -> Column:
         count = lambda p: F.regexp_count(text, F.lit(p))
         sizes = F.struct(F.length(compact(text)).alias("all"), F.length(F.regexp_replace(text, f"[^0-9A-Za-z{T.CJK}]+", "")).alias("readable"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
+# The fields, statuses, markers and headers of the formats that are checked here.
 PAYLOAD = (
     "project STRUCT<name:STRING,source:STRING>, requirements ARRAY<STRUCT<id:STRING,navTitle:STRING,system:STRING,`group`:STRING,space:STRING,title:STRING,source:STRING,evidence:STRING,conditions:STRING,status:STRING,review:STRING,docs:STRING>>, "
     "system_summaries ARRAY<STRUCT<system:STRING,summary:STRING>>, project_info ARRAY<STRING>, smart_building ARRAY<STRING>"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
+# Markers and labels of the Markdown and HTML formats, here and below.
 START, END = "<!--DATA_START-->", "<!--DATA_END-->"
 POINTER = "> 內容已完整收錄於其他來源片段，依候選 ID 交叉核對。"
 
