@@ -2,11 +2,10 @@
 
 A batch of bounded size explodes its rows to hashed items and sends each distinct one with its local count to the hash
 range ("bucket") that holds its row of the count table; a bucket sums them. To each batch it returns the sums alone, less
-what the batch itself sent (mostly nothing is left, which packs well), in the order in which the batch sent the hashes;
-the batch makes its hashes again and so knows whose they are. An item of
-which each third row has one crosses the shuffle once per batch, not once per row, and a count table is never in one
-place. Items and counts travel as packed arrays, a row for each batch and bucket; a row for each item would be three to
-four times as much.
+what the batch itself sent, in the order in which the batch sent the hashes; the batch makes its hashes again and so
+knows whose they are. An item of which each third row has one crosses the shuffle once per batch, not once per row, and a
+count table is never in one place. Items and counts travel as packed arrays, a row for each batch and bucket; a row for each item would by estimate be
+a multiple of that.
 
 With many batches and buckets a packed array would hold next to nothing. Beyond CELLS of them the counts go in two
 steps: to RANGES hash ranges, where GROUP batches are merged, and from there to the buckets; the sums come back the same
