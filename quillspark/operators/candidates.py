@@ -96,7 +96,11 @@ def ocr_flags(text: Column, confidence: Column, mean_confidence: Column, lex: L.
 
 def enriched(chunks: DataFrame, headings: DataFrame, terms: DataFrame | None = None, lex: L.Lexicon = L.DOMAIN) -> DataFrame:
     """Chunks that don't only navigate, with heading, hints and score. terms: each source's dynamic terms."""
-    rows = chunks.where(~F.col("is_navigation")).join(headings, ["source_id", "pdf_page", "block_index"])
+    return hinted(chunks.where(~F.col("is_navigation")).join(headings, ["source_id", "pdf_page", "block_index"]), terms, lex)
+
+
+def hinted(rows: DataFrame, terms: DataFrame | None = None, lex: L.Lexicon = L.DOMAIN, keep: tuple[str, ...] = ()) -> DataFrame:
+    """rows (chunk, heading and their places) with hints and score, and the columns in keep."""
     if terms is not None:
         own = terms.groupBy("source_id").agg(F.collect_list(F.struct("term", T.semantic_key(F.col("term")).alias("key"))).alias("terms"))
         rows = rows.join(own, "source_id", "left")
@@ -118,7 +122,7 @@ def enriched(chunks: DataFrame, headings: DataFrame, terms: DataFrame | None = N
         + one(L.any_term(F.col("heading_key"), lex.headings)) * 2 + one((n("interfaces") > 0) & (n("semantic") > 0)) + one((n("dynamic") > 0) & ((n("semantic") > 0) | (n("obligation_terms") > 0)))
     )
     return rows.select(
-        "source_id", "pdf_page", "block_index", "chunk_index", "chunk", "heading", "heading_basis", score.alias("score"), "system_hints", "business_axes", "obligation_terms",
+        *keep, "source_id", "pdf_page", "block_index", "chunk_index", "chunk", "heading", "heading_basis", score.alias("score"), "system_hints", "business_axes", "obligation_terms",
         F.array_sort(F.array_distinct(F.concat("system_terms", "semantic", "business_axes", "interfaces", "dynamic"))).alias("matched_terms"),
         preservation_terms(chunk, lex, key).alias("preservation_terms"), signal_flags(chunk, n("system_hints"), lex, key).alias("signal_flags"),
         F.array_union("direct_spaces", "heading_spaces").alias("space_hints"),
@@ -134,9 +138,18 @@ def candidates(rows: DataFrame) -> DataFrame:
     """enriched rows with serials by source (page, block, chunk), place on the page, ids, and neighbours on the page."""
     rows = rows.where(T.clean_text(F.col("chunk")) != "")
     rows = ordinal(rows, "serial", ["source_id"], F.floor(F.col("pdf_page") / 64), "pdf_page", "block_index", "chunk_index")
+    return placed(identified(rows))
+
+
+def identified(rows: DataFrame) -> DataFrame:
+    """rows with the ids of their candidates, claims and evidence by serial, and of their pages."""
     ids = {p: F.format_string(f"{p}-%05d", "serial") for p in ("CAND", "CLM", "EV")}
+    return rows.select("*", ids["CAND"].alias("candidate_id"), ids["CLM"].alias("claim_id"), ids["EV"].alias("evidence_id"), page_id(F.col("source_id"), F.col("pdf_page")).alias("page_id"))
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """rows with their place on the page and their neighbours there, by serial."""
     w = Window.partitionBy("source_id", "pdf_page").orderBy("serial")
-    rows = rows.select("*", ids["CAND"].alias("candidate_id"), ids["CLM"].alias("claim_id"), ids["EV"].alias("evidence_id"), page_id(F.col("source_id"), F.col("pdf_page")).alias("page_id"))
     near = F.array_compact(F.array(F.lag("candidate_id").over(w), F.lead("candidate_id").over(w)))
     return rows.withColumn("sequence_on_page", F.row_number().over(w)).withColumn("neighbor_candidate_ids", near)
 
@@ -146,7 +159,8 @@ def claims(cands: DataFrame) -> DataFrame:
 
 
 def evidence(cands: DataFrame) -> DataFrame:
-    return cands.select("source_id", "evidence_id", "claim_id", "pdf_page", F.col("pdf_page").cast("string").alias("printed_page"), F.col("heading").alias("section"), F.col("heading_basis").alias("section_basis"), F.col("chunk").alias("quote"), F.lit("source").alias("origin_kind"))
+    origin = F.col("origin_kind") if "origin_kind" in cands.columns else F.lit("source")
+    return cands.select("source_id", "evidence_id", "claim_id", "pdf_page", F.col("pdf_page").cast("string").alias("printed_page"), F.col("heading").alias("section"), F.col("heading_basis").alias("section_basis"), F.col("chunk").alias("quote"), origin.alias("origin_kind"))
 
 
 def page_records(pages: DataFrame, blocks: DataFrame, cands: DataFrame, heads: DataFrame, regions: DataFrame | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from ..functions import lexicon as L
 from ..functions import text as T
 from . import candidates as C
 from .chunks import chunks_of
+from .ordinals import ordinal
 
 ACCEPT = 72.0
 TOKENS = "level INT, page_num INT, block_num INT, par_num INT, line_num INT, word_num INT, left INT, top INT, width INT, height INT, conf DOUBLE, text STRING"
@@ -69,15 +70,39 @@ def late_chunks(regions: DataFrame, known: DataFrame, lex: L.Lexicon = L.DOMAIN)
     rows = rows.withColumn("quote_key", T.semantic_key(F.col("chunk"))).where("quote_key <> ''")
     seen = known.select("page_id", T.semantic_key(F.col("quote")).alias("quote_key")).distinct()
     rows = rows.join(seen, ["page_id", "quote_key"], "left_anti")
-    first = rows.groupBy("page_id", "quote_key").agg(F.min_by(F.struct("region_id", "source_id", "pdf_page", "pos", "chunk", "context_heading", "context_heading_basis", "confidence", "mean_confidence"), F.struct("region_id", "pos")).alias("x"))
+    first = rows.groupBy("page_id", "quote_key").agg(F.min_by(F.struct("region_id", "source_id", "pdf_page", "pos", "chunk", "context_heading", "context_heading_basis", "confidence", "mean_confidence", "engine"), F.struct("region_id", "pos")).alias("x"))
     numbered = F.when(F.col("chunk").rlike(r"^[一二三四五六七八九十百\d]+[、.]"), "list_item").otherwise("sentence")
     out = first.select("page_id", "x.*")
     return out.select(
         "source_id", "page_id", "pdf_page", "region_id", (F.col("pos") + 1).alias("chunk_index"), (F.col("pos") + 100_001).alias("block_index"), "chunk", F.col("context_heading").alias("heading"), F.col("context_heading_basis").alias("heading_basis"),
-        numbered.alias("source_shape"), C.ocr_flags(F.col("chunk"), F.col("confidence"), F.col("mean_confidence"), lex).alias("text_quality_flags"),
+        numbered.alias("source_shape"), C.ocr_flags(F.col("chunk"), F.col("confidence"), F.col("mean_confidence"), lex).alias("text_quality_flags"), "confidence", "engine",
     )
 
 
+def late_candidates(late: DataFrame, known: DataFrame, terms: DataFrame | None = None, lex: L.Lexicon = L.DOMAIN) -> DataFrame:
+    """late (late_chunks) as candidates with hints and ids; serials go on after the last of the source in known. Of known
+    only each source's largest serial is read."""
+    own = {"source_shape": "own_shape", "text_quality_flags": "own_flags"}  # by rules for recognised text
+    rows = late.where(accepted(F.col("chunk"))).withColumnsRenamed(own)
+    rows = C.hinted(rows, terms, lex, ("region_id", "confidence", "engine", *own.values())).drop(*own).withColumnsRenamed({b: a for a, b in own.items()})
+    rows = ordinal(rows, "k", ["source_id"], F.floor(F.col("pdf_page") / 64), "pdf_page", "region_id", "block_index")
+    last = known.groupBy("source_id").agg(F.max("serial").alias("last"))
+    rows = rows.join(last, "source_id", "left").withColumn("serial", F.coalesce("last", F.lit(0)) + F.col("k")).drop("last", "k")
+    return C.identified(rows).withColumn("origin_kind", F.lit("source_ocr"))
+
+
+def with_late(known: DataFrame, late: DataFrame) -> DataFrame:
+    """known and late candidates as one table, with places and neighbours by page anew; ids stay."""
+    native = known.drop("sequence_on_page", "neighbor_candidate_ids").withColumn("origin_kind", F.lit("source")).withColumn("confidence", F.lit("not_applicable"))
+    return C.placed(native.unionByName(late, allowMissingColumns=True))
+
+
+def pages_with(pages: DataFrame, cands: DataFrame) -> DataFrame:
+    """pages with the candidate ids that they now have, in order."""
+    ids = cands.groupBy("page_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("serial", "candidate_id"))), lambda x: x["candidate_id"]).alias("candidate_ids"))
+    return pages.drop("candidate_ids").join(ids, "page_id", "left").withColumn("candidate_ids", F.coalesce("candidate_ids", F.array().cast("array<string>")))
+
+
 def page_status(pages: DataFrame, regions: DataFrame) -> DataFrame:
     """pages (page_id, candidate_ids, native_text_present, fingerprint, …) that own regions, with status after a merge."""
     texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("region_id", "transcribed_text"))), lambda x: x["transcribed_text"]), "\n")

@@ -20,6 +20,8 @@ LABELS = {
 }
 STATUSES = ("來源明示", "跨章整合", "需人工確認")
 BOILERPLATE = ("依來源規格納入", "未辨識出明示跨系統協作", "統包商應確認涵蓋範圍、供電及介面責任")
+#: What a system's overview looks for in its texts.
+RELATED = ("智慧建築",)
 PLACEHOLDER = r"(?i)\{\{.+?\}\}|<待填|TODO"
 
 
@@ -178,12 +180,22 @@ def filtered(req: DataFrame, query: str | None = None, system: str | None = None
     return req.where(test)
 
 
-def system_overview(req: DataFrame, questions: DataFrame, top: int = 3) -> DataFrame:
-    """Per system its topics and items, and the first open questions by priority."""
+def system_overview(req: DataFrame, questions: DataFrame, guidance: DataFrame | None = None, related: tuple[str, ...] = RELATED, top: int = 3) -> DataFrame:
+    """Per system a guide to its details: topics and items, its topics' names as labels, its drawings and documents
+    (guidance: system, deliverables), which of the related terms its texts hold, the first open questions by priority
+    and how many there are, the priority of the first, and the link to its details (the id that tree_html gives)."""
     rank = F.row_number().over(Window.partitionBy("system").orderBy("priority", "ord"))
+    asked = questions.groupBy("system").agg(F.count("*").alias("open_items"), F.min("priority").alias("priority"))
     first = questions.withColumn("rank", rank).where(F.col("rank") <= top).groupBy("system").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "question"))), lambda x: x["question"]).alias("open_questions"))
-    out = req.groupBy("system").agg(F.count_distinct("group").alias("topics"), F.count("*").alias("items"), F.min("ord").alias("first_ord"))
-    return out.join(first, "system", "left").withColumn("open_questions", F.coalesce("open_questions", F.array().cast("array<string>")))
+    rows = req.withColumn("key", T.semantic_key(F.col("text")))
+    held = [F.max(F.contains("key", F.lit(T.key_of(t)))).alias(f"has_{i}") for i, t in enumerate(related)]
+    topics = rows.groupBy("system", "group").agg(F.count("*").alias("n"), F.min("ord").alias("o"), *held)
+    labels = F.transform(F.array_sort(F.collect_list(F.struct("o", "group"))), lambda x: x["group"])
+    terms = F.array_compact(F.array(*[F.when(F.max(f"has_{i}"), F.lit(t)) for i, t in enumerate(related)])) if related else F.array().cast("array<string>")
+    out = topics.groupBy("system").agg(F.count("*").alias("topics"), F.sum("n").alias("items"), F.min("o").alias("first_ord"), labels.alias("labels"), terms.alias("related_terms"))
+    out = out.join(first, "system", "left").join(asked, "system", "left").withColumn("open_questions", F.coalesce("open_questions", F.array().cast("array<string>"))).fillna(0, ["open_items"])
+    out = out.join(guidance.select("system", F.col("deliverables").alias("documents")), "system", "left") if guidance is not None else out.withColumn("documents", F.lit(None).cast("string"))
+    return out.withColumn("documents", F.coalesce("documents", F.lit(""))).withColumn("details", F.concat(F.lit("#"), T.slug(F.col("system"))))
 
 
 def paired_replies(turns: DataFrame, conv: str, turn: str, role: str, text: str, ask: str = "user", reply: str = "assistant") -> DataFrame:
@@ -195,10 +207,11 @@ def paired_replies(turns: DataFrame, conv: str, turn: str, role: str, text: str,
 
 
 def todo(*parts: tuple[str, int, DataFrame]) -> DataFrame:
-    """One list of open points: (kind, priority, rows with key and note)."""
+    """One list of open points: (kind, priority, rows with key and note, and where known system, source, reason, reviewer)."""
     out = None
     for kind, priority, df in parts:
-        rows = df.select(F.lit(kind).alias("kind"), F.lit(priority).alias("priority"), F.col("key").cast("string").alias("key"), F.col("note").cast("string").alias("note"))
+        more = [(F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")).alias(c) for c in ("system", "source", "reason", "reviewer")]
+        rows = df.select(F.lit(kind).alias("kind"), F.lit(priority).alias("priority"), F.col("key").cast("string").alias("key"), F.col("note").cast("string").alias("note"), *more)
         out = rows if out is None else out.unionByName(rows)
     return out
 

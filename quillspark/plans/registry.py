@@ -233,7 +233,7 @@ def _(f: Flow) -> DataFrame:
     return C.evidence(f.candidates)
 
 
-@query("preservation_terms")
+@query("preservation_terms", f"WITH {S.PRESERVED} SELECT source_id, candidate_id, {S.joined(S.firsts('ts'))} AS preservation_terms FROM spoken")
 def _(f: Flow) -> DataFrame:
     return f.candidates.select("source_id", "candidate_id", "preservation_terms")
 
@@ -298,7 +298,7 @@ def _(f: Flow) -> DataFrame:
     return G.outline(f.groups).drop("section_path")
 
 
-@query("rendered_groups")
+@query("rendered_groups", f"WITH RECURSIVE {S.RENDERED} SELECT source_id, evidence_group_id, length(markdown) AS chars, markdown FROM rendered")
 def _(f: Flow) -> DataFrame:
     return D.rendered_groups(f.groups).select("source_id", "evidence_group_id", "chars", "markdown")
 
@@ -308,9 +308,18 @@ def _sources(f: Flow) -> DataFrame:
     return rows.select("source_id", F.concat("source_id", F.lit(".pdf")).alias("name"), F.sha2("source_id", 256).alias("sha256"), "page_count")
 
 
-@query("dossiers")
+_HEAD = "concat_ws(chr(10), '# 全文來源閱讀包', '', " + S.q(D.DOSSIER_NOTICE) + ", '', '## 文件資訊', '', '- 卷宗版本：1.2', '- 來源文件：' || source_id || '.pdf', '- 來源 SHA-256：`' || sha256(source_id) || '`', '- PDF 頁數：' || pages, '- 證據群組：' || n, '- 來源片段：' || k, '- 尚待人工判讀的低信心影像區：' || open, '- 無法可靠讀取頁：' || bad, '- 視覺已覆核但未形成可用文字頁：' || coalesce(list, '無'), '', '## 轉譯原則', '', " + ", ".join(map(S.q, D.DOSSIER_RULES)) + ", '', '---', '', '')"
+
+
+@query(
+    "dossiers",
+    f"""WITH RECURSIVE {S.RENDERED}, p AS (SELECT source_id, count(*) AS pages, count(*) FILTER (pdf_page % 4 IN (1, 3)) AS open, count(*) FILTER (pdf_page % 4 = 2) AS bad, string_agg(pdf_page::VARCHAR, ',' ORDER BY pdf_page) FILTER (pdf_page % 4 = 2) AS list FROM pages GROUP BY 1),
+g AS (SELECT source_id, count(*) AS n, sum(n)::BIGINT AS k, string_agg(markdown, chr(10) ORDER BY group_no) AS body FROM rendered GROUP BY 1), t AS (SELECT source_id, {_HEAD} || rtrim(body, chr(10)) || chr(10) AS text FROM g JOIN p USING (source_id)) SELECT source_id, length(text) AS chars, sha256(text) AS sha256 FROM t""",
+)
 def _(f: Flow) -> DataFrame:
-    return D.dossier(D.rendered_groups(f.groups), _sources(f)).select("source_id", F.length("text").alias("chars"), F.sha2("text", 256).alias("sha256"))
+    regions = O.merge_regions(_regions(f), _transcribed(f))
+    made = D.dossier(D.rendered_groups(f.groups), _sources(f), regions, regions.where("status = 'unreadable'"))
+    return made.select("source_id", F.length("text").alias("chars"), F.sha2("text", 256).alias("sha256"))
 
 
 def _screened(f: Flow) -> tuple[DataFrame, DataFrame]:
@@ -428,7 +437,19 @@ def _(f: Flow) -> DataFrame:
     return some.select("doc_id", F.regexp_count("text", F.lit(f"[0-9A-Za-z{T.CJK}]")).alias("readable"), Q.quality_score(F.col("text")).alias("score"))
 
 
-@query("canonical_pages")
+_TWO = rf"""rd AS (SELECT source_id, pdf_page, 'p' AS kind, text FROM pages UNION ALL SELECT source_id, pdf_page, 'a', regexp_replace(text, '{_JUNK}', '', 'g') FROM pages WHERE regexp_matches(text, '{_JUNK}')),
+ll AS (SELECT source_id, pdf_page, kind, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS ls FROM rd), ln AS (SELECT source_id, pdf_page, kind, unnest(ls) AS x, generate_subscripts(ls, 1) AS i FROM ll),
+rs AS (SELECT source_id, pdf_page, kind, i, regexp_replace(x, '\s+$', '') AS r, {S.strip('x')} AS s FROM ln WHERE NOT regexp_matches({S.strip('x')}, '(?i)^<!--\s*image\s*-->$|^page\s+\d+\s+of\s+\d+$')),
+kp AS (SELECT *, last_value(nullif(s, '') IGNORE NULLS) OVER (PARTITION BY source_id, pdf_page, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM rs),
+cl AS (SELECT source_id, pdf_page, kind, {S.strip("regexp_replace(string_agg(r, chr(10) ORDER BY i), chr(10) || '{3,}', chr(10) || chr(10), 'g')")} AS t FROM kp WHERE s = '' OR before IS NULL OR s <> before GROUP BY 1, 2, 3),
+cc AS (SELECT *, regexp_replace(t, '\s+', '', 'g') AS c FROM cl), rr AS (SELECT *, len(regexp_extract_all(c, '[0-9A-Za-z\x{{3400}}-\x{{9fff}}]')) AS readable FROM cc),
+sc AS (SELECT source_id, pdf_page, kind, t, length(c) AS n, CASE WHEN length(c) > 0 THEN CAST({_SCORE} AS DOUBLE) END AS score FROM rr),
+duo AS (SELECT p.source_id, p.pdf_page, coalesce(x.t, '') AS pt, coalesce(a.t, '') AS at_, x.score AS ps, a.score AS fs, a.score - x.score AS gain, coalesce(a.n, 0) / greatest(coalesce(x.n, 0), 1) AS ratio, regexp_matches(p.text, '([&%$#*]{{3,}}\s*){{3,}}') AS frag
+  FROM pages p LEFT JOIN (SELECT * FROM sc WHERE kind = 'p') x ON x.source_id = p.source_id AND x.pdf_page = p.pdf_page LEFT JOIN (SELECT * FROM sc WHERE kind = 'a') a ON a.source_id = p.source_id AND a.pdf_page = p.pdf_page),
+pick AS (SELECT *, CASE WHEN at_ = '' THEN 'pdf_aware' WHEN pt = '' OR (gain >= 2 AND ratio >= 0.72) OR (frag AND gain >= 0 AND ratio >= 0.65) OR (frag AND gain >= 1) THEN 'full_page' ELSE 'pdf_aware' END AS canonical_source FROM duo)"""
+
+
+@query("canonical_pages", f"WITH {S.PAGES}, {_TWO} SELECT source_id, pdf_page, canonical_source, ps AS pdf_aware_score, fs AS full_page_score, sha256(CASE canonical_source WHEN 'full_page' THEN at_ ELSE pt END) AS text_sha256 FROM pick")
 def _(f: Flow) -> DataFrame:
     return Q.canonical(_readings(f)).select("source_id", "pdf_page", "canonical_source", "pdf_aware_score", "full_page_score", F.sha2("canonical_text", 256).alias("text_sha256"))
 
@@ -515,12 +536,12 @@ def _regions(f: Flow) -> DataFrame:
     return p.select(F.format_string("VR-%s-P%04d-001", "source_id", F.col("pdf_page")).alias("region_id"), F.format_string("%s-P%04d", "source_id", F.col("pdf_page")).alias("page_id"), "source_id", F.col("pdf_page").cast("int").alias("pdf_page"), F.lit(1).alias("image_count"), F.lit("h").alias("context_heading"), F.lit("page_heading").alias("context_heading_basis"), F.lit("pending").alias("status"), F.lit("").alias("transcribed_text"), none("string").alias("ocr_draft"), F.lit("unknown").alias("confidence"), none("double").alias("mean_confidence"), none("string").alias("engine"))
 
 
-def _transcribed(f: Flow) -> DataFrame:
+def _transcribed(f: Flow, before: str = "transcribed page ", after: str = "") -> DataFrame:
     """Readings of three of four regions: read, unreadable, or too short to be used."""
     kind = F.col("pdf_page") % 4
     rows = _regions(f).select("region_id", F.lit(1).alias("ord"), kind.alias("k"), "pdf_page")
     status = F.when(F.col("k") == 2, "unreadable").otherwise("read")
-    return rows.where("k < 3").select("region_id", "ord", status.alias("status"), F.when(F.col("k") == 0, F.concat(F.lit("transcribed page "), F.col("pdf_page").cast("string"))).when(F.col("k") == 1, "ab").otherwise("").alias("text"), F.lit("high").alias("confidence"), F.lit(90.0).alias("mean_confidence"), F.lit("tesseract").alias("engine"))
+    return rows.where("k < 3").select("region_id", "ord", status.alias("status"), F.when(F.col("k") == 0, F.concat(F.lit(before), F.col("pdf_page").cast("string"), F.lit(after))).when(F.col("k") == 1, "ab").otherwise("").alias("text"), F.lit("high").alias("confidence"), F.lit(90.0).alias("mean_confidence"), F.lit("tesseract").alias("engine"))
 
 
 _REG = f"{S.PAGES}, reg AS (SELECT source_id, pdf_page, pdf_page % 4 AS k, source_id || '-P' || lpad(pdf_page::VARCHAR, 4, '0') AS page_id FROM pages)"
@@ -537,6 +558,47 @@ def _(f: Flow) -> DataFrame:
     return O.late_chunks(O.merge_regions(_regions(f), _transcribed(f)), known, f.lex).select("page_id", "chunk", "text_quality_flags")
 
 
+_READ = "Token license must work on page "
+_LATE = f"""{S.ENRICHED}, l AS (SELECT source_id, pdf_page, {S.q(_READ)} || pdf_page || ';' AS chunk, row_number() OVER (PARTITION BY source_id ORDER BY pdf_page) AS k FROM pages WHERE pdf_page % 4 = 0),
+ends AS (SELECT source_id, max(serial) AS last FROM candidates GROUP BY 1), held AS (SELECT source_id, pdf_page, count(*) AS c, max(serial) AS m FROM candidates GROUP BY 1, 2),
+late AS (SELECT l.*, lpad((coalesce(last, 0) + k)::VARCHAR, 5, '0') AS no, coalesce(c, 0) AS c, m, {S.key('l.chunk')} AS lk FROM l LEFT JOIN ends ON ends.source_id = l.source_id LEFT JOIN held ON held.source_id = l.source_id AND held.pdf_page = l.pdf_page)"""
+
+
+def _late(f: Flow) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Regions after a merge, all candidates, and the late ones among them."""
+    regions = O.merge_regions(_regions(f), _transcribed(f, _READ, ";"))
+    known = f.candidates
+    late = O.late_candidates(O.late_chunks(regions, known.select("page_id", F.col("chunk").alias("quote")), f.lex), known, f.terms, f.lex)
+    every = O.with_late(known, late)
+    return regions, every, every.where("origin_kind = 'source_ocr'")
+
+
+@query(
+    "late_candidates",
+    f"""WITH {_LATE} SELECT source_id, CAST(pdf_page AS INT) AS pdf_page, 'CAND-' || no AS candidate_id, CAST(c + 1 AS INT) AS sequence_on_page, coalesce('CAND-' || lpad(m::VARCHAR, 5, '0'), '') AS neighbor_candidate_ids, {S.joined(S.categories('lk', S.LEX.systems))} AS system_hints,
+{S.joined(S.categories('lk', S.LEX.capabilities))} AS business_axes, {S.joined(S.listed(S.obligations('late.chunk', 'lk')))} AS obligation_terms, '' AS text_quality_flags, 'sentence' AS source_shape FROM late""",
+)
+def _(f: Flow) -> DataFrame:
+    return _late(f)[2].select("source_id", F.col("pdf_page").cast("int").alias("pdf_page"), "candidate_id", "sequence_on_page", "neighbor_candidate_ids", "system_hints", "business_axes", "obligation_terms", "text_quality_flags", "source_shape")
+
+
+@query("late_evidence", f"WITH {_LATE} SELECT source_id, 'EV-' || no AS evidence_id, 'CLM-' || no AS claim_id, late.chunk AS neutral_fact, late.chunk AS quote, 'source_ocr' AS origin_kind FROM late")
+def _(f: Flow) -> DataFrame:
+    late = _late(f)[2]
+    return C.claims(late).select("source_id", "claim_id", "neutral_fact").join(C.evidence(late), ["source_id", "claim_id"]).select("source_id", "evidence_id", "claim_id", "neutral_fact", "quote", "origin_kind")
+
+
+@query(
+    "late_pages",
+    f"""WITH {_LATE}, r AS (SELECT p.source_id, p.pdf_page, p.pdf_page % 4 AS k, coalesce(h.c, 0) + (p.pdf_page % 4 = 0)::INT AS n, EXISTS (SELECT 1 FROM blocks b WHERE b.source_id = p.source_id AND b.pdf_page = p.pdf_page) AS native FROM pages p LEFT JOIN held h ON h.source_id = p.source_id AND h.pdf_page = p.pdf_page)
+SELECT source_id || '-P' || lpad(pdf_page::VARCHAR, 4, '0') AS page_id, CASE WHEN k IN (1, 3) THEN 'pending' WHEN n > 0 THEN 'candidate' WHEN native THEN 'excluded' ELSE 'unreadable' END AS status, CASE WHEN k IN (1, 3) THEN 'visual_pending' WHEN k = 2 THEN 'partial_unreadable' ELSE 'hybrid_complete' END AS coverage_status, CAST(n AS INT) AS n_candidates FROM r""",
+)
+def _(f: Flow) -> DataFrame:
+    regions, every, _new = _late(f)
+    pages = O.pages_with(f.page_records, every)
+    return O.page_status(pages, regions).join(pages.select("page_id", F.size("candidate_ids").alias("n_candidates")), "page_id").select("page_id", "status", "coverage_status", "n_candidates")
+
+
 @query("merged_page_status", f"WITH {_REG} SELECT page_id, CASE WHEN k IN (1, 3) THEN 'pending' ELSE 'excluded' END AS status, CASE WHEN k IN (1, 3) THEN 'visual_pending' WHEN k = 2 THEN 'partial_unreadable' ELSE 'hybrid_complete' END AS coverage_status, CASE WHEN k IN (1, 3) THEN 'f' ELSE sha256('f' || chr(10) || CASE WHEN k = 0 THEN 'transcribed page ' || pdf_page ELSE '' END) END AS fingerprint FROM reg")
 def _(f: Flow) -> DataFrame:
     regions = O.merge_regions(_regions(f), _transcribed(f))
@@ -585,10 +647,26 @@ def _(f: Flow) -> DataFrame:
     return V.uncovered(boxes.where("image_id % 2 = 0"), boxes.where("image_id % 2 = 1"), ["pdf_page"]).select("image_id")
 
 
-@query("visual_regions")
+_OVERLAP = "CASE WHEN (a.x1 - a.x) * (a.y1 - a.y) > 0 THEN greatest(0, least(a.x1, n.x1) - greatest(a.x, n.x)) * greatest(0, least(a.y1, n.y1) - greatest(a.y, n.y)) / ((a.x1 - a.x) * (a.y1 - a.y)) ELSE 0 END >= 0.45"
+_VISUAL = f"""{_BOX}, img AS (SELECT * FROM b WHERE vec_id % 2 = 0), nat AS (SELECT * FROM b WHERE vec_id % 2 = 1),
+free AS (SELECT * FROM img a WHERE y >= 70 AND y1 <= 835 AND y1 - y BETWEEN 6 AND 24 AND x1 - x >= 6 AND NOT EXISTS (SELECT 1 FROM nat n WHERE n.label = a.label AND {_OVERLAP})),
+low AS (SELECT *, max(y1) OVER (PARTITION BY label ORDER BY y, x, vec_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS z FROM free),
+grp AS (SELECT *, sum(CASE WHEN z IS NULL OR y - z > 20 THEN 1 ELSE 0 END) OVER (PARTITION BY label ORDER BY y, x, vec_id ROWS UNBOUNDED PRECEDING) AS g FROM low),
+nth AS (SELECT *, row_number() OVER (PARTITION BY label, g ORDER BY y, x, vec_id) AS i FROM grp),
+fold AS (SELECT label, g, i, 1 AS part, y AS top FROM nth WHERE i = 1 UNION ALL SELECT r.label, r.g, r.i, CASE WHEN r.y1 - f.top > 300 THEN f.part + 1 ELSE f.part END, CASE WHEN r.y1 - f.top > 300 THEN r.y ELSE f.top END FROM fold f JOIN nth r ON r.label = f.label AND r.g = f.g AND r.i = f.i + 1),
+found AS (SELECT label, greatest(0, min(x) - 7) AS x, greatest(0, min(y) - 7) AS y, least(600, max(x1) + 7) AS x1, least(900, max(y1) + 7) AS y1, count(*) AS n FROM fold JOIN nth USING (label, g, i) GROUP BY label, g, part HAVING count(*) > 1 OR max(x1) - min(x) >= 80),
+band AS (SELECT label, 0.0::DOUBLE AS x, 70.0::DOUBLE + k * 300 AS y, 600.0::DOUBLE AS x1, least(835.0::DOUBLE, 370.0::DOUBLE + k * 300) AS y1 FROM (SELECT DISTINCT label FROM b WHERE label % 2 = 0), range(0, 3) t(k)),
+open AS (SELECT * FROM band n WHERE (SELECT count(*) FROM nat WHERE nat.label = n.label AND (nat.y + nat.y1) / 2 BETWEEN n.y AND n.y1) < 3 AND NOT EXISTS (SELECT 1 FROM found a WHERE a.label = n.label AND {_OVERLAP})),
+every AS (SELECT label, x, y, x1, y1, n FROM found UNION ALL SELECT label, x, y, x1, y1, 1 FROM open)"""
+
+
+@query("visual_regions", f"WITH RECURSIVE {_VISUAL} SELECT 'VR-P' || lpad(label::VARCHAR, 4, '0') || '-001' AS region_id, 'e' AS source_id, label AS pdf_page, concat_ws('|', round(min(x), 2)::VARCHAR, round(min(y), 2)::VARCHAR, round(max(x1), 2)::VARCHAR, round(max(y1), 2)::VARCHAR) AS bbox, CAST(sum(n) AS BIGINT) AS image_count, CASE WHEN count(*) > 1 THEN 'page_image_text_without_native_layer' ELSE 'image_text_without_native_layer' END AS reason_code, 'pending' AS status FROM every GROUP BY label")
 def _(f: Flow) -> DataFrame:
+    """Even boxes are images, odd ones native text; each second page is also one large image."""
     boxes = _boxes(f)
-    return V.detect(boxes.where("image_id % 2 = 0"), boxes.where("image_id % 2 = 1"))
+    page = boxes.where("pdf_page % 2 = 0").select("source_id", "pdf_page").distinct()
+    large = page.select("*", F.lit(-1).alias("image_id"), GEO.rect(F.lit(0), F.lit(0), F.lit(600), F.lit(900)).alias("box"), F.lit(600.0).alias("page_width"), F.lit(900.0).alias("page_height"), F.lit(1200).alias("pixel_width"), F.lit(1800).alias("pixel_height"))
+    return V.detect(boxes.where("image_id % 2 = 0").unionByName(large), boxes.where("image_id % 2 = 1"))
 
 
 # Requirements
@@ -650,7 +728,19 @@ def _(f: Flow) -> DataFrame:
     return D.tree_text(f.requirements, "project").select(F.sha2("text", 256).alias("text_sha256"))
 
 
-@query("requirement_tree_html")
+_E = S.html
+
+
+@query(
+    "requirement_tree_html",
+    f"""WITH {S.REQ}, r AS (SELECT *, '<button type="button" class="requirement-row" data-id="' || {_E('requirement_id')} || '" data-system="' || {_E('system')} || '" data-space="' || {_E('space')} || '" data-status="' || {_E('status')} || '"><span class="requirement-text tree-node level-4">' || {_E('text')}
+  || '</span><span class="row-meta tree-node level-5"><span>' || {_E('requirement_id')} || '</span><span>' || {_E('space')} || '</span><span class="status status-' || {_E('status')} || '">' || {_E('status')} || '</span></span></button>' AS line FROM req),
+t AS (SELECT system, "group", min(ord) AS o, count(*) AS n, string_agg(line, '' ORDER BY ord) AS lines FROM r GROUP BY 1, 2),
+b AS (SELECT system, o, n, '<section class="group-block"><div class="group-heading"><div><h3 class="tree-node level-3">' || {_E('"group"')} || '</h3><p>about ' || {_E('"group"')} || '</p></div><span class="group-count">' || n || ' 筆</span></div><div class="requirement-list">' || lines || '</div></section>' AS block FROM t),
+s AS (SELECT system, min(o) AS o, CAST(sum(n) AS BIGINT) AS n, string_agg(block, '' ORDER BY o) AS blocks FROM b GROUP BY 1)
+SELECT system, o, n, '<section class="system-block tree-system" data-system="' || {_E('system')} || '"><button class="system-toggle" type="button" aria-expanded="' || (o = min(o) OVER ())::VARCHAR || '" aria-controls="' || {S.slug('system')} || '"><span class="system-title tree-node level-2">' || {_E('system')}
+  || '</span><span class="system-actions"><span class="count-badge">' || n || ' 筆</span><span class="toggle-marker" aria-hidden="true"></span></span></button><div class="system-groups" id="' || {S.slug('system')} || '"' || CASE WHEN o = min(o) OVER () THEN '' ELSE ' hidden' END || '><p class="system-summary">summary of ' || {_E('system')} || '</p>' || blocks || '</div></section>' AS html FROM s""",
+)
 def _(f: Flow) -> DataFrame:
     return D.tree_html(f.requirements, f.system_guidance, f.topic_guidance)
 
@@ -660,10 +750,17 @@ def _(f: Flow) -> DataFrame:
     return D.handoff(f.requirements, f.table("labels").where("quality = 0"))
 
 
-@query("system_overview", f"""WITH {S.REQ} SELECT system, count(DISTINCT "group") AS topics, count(*) AS items, min(ord) AS first_ord, array_to_string((list(requirement_id ORDER BY CASE status WHEN '需人工確認' THEN 0 ELSE 1 END, ord))[1:3], '|') AS open_questions FROM req GROUP BY 1""")
+@query(
+    "system_overview",
+    f"""WITH {S.REQ}, t AS (SELECT system, "group", min(ord) AS o FROM req GROUP BY 1, 2), l AS (SELECT system, string_agg("group", '|' ORDER BY o) AS labels FROM t GROUP BY 1), a AS (SELECT *, CASE status WHEN '需人工確認' THEN 0 ELSE 1 END AS p FROM req WHERE status <> '來源明示'),
+b AS (SELECT system, count(*) AS open_items, min(p) AS priority, array_to_string((list(requirement_id ORDER BY p, ord))[1:3], '|') AS open_questions FROM a GROUP BY 1)
+SELECT req.system, count(DISTINCT "group") AS topics, count(*) AS items, min(ord) AS first_ord, any_value(labels) AS labels, concat_ws('|', CASE WHEN bool_or(contains(lower(text), 'building')) THEN 'BUILDING' END, CASE WHEN bool_or(contains(lower(text), 'spaceship')) THEN 'SPACESHIP' END) AS related_terms,
+coalesce(any_value(open_questions), '') AS open_questions, coalesce(any_value(open_items), 0) AS open_items, any_value(priority) AS priority, CASE WHEN any_value(r_regionkey) % 2 = 0 THEN 'plans' ELSE '' END AS documents, '#' || {S.slug('req.system')} AS details
+FROM req JOIN l USING (system) LEFT JOIN b USING (system) JOIN region ON r_name = req.system GROUP BY req.system""",
+)
 def _(f: Flow) -> DataFrame:
-    ask = f.requirements.select("system", "ord", F.when(F.col("status") == "需人工確認", 0).otherwise(1).alias("priority"), F.col("requirement_id").alias("question"))
-    return R.system_overview(f.requirements, ask)
+    ask = f.requirements.where("status <> '來源明示'").select("system", "ord", F.when(F.col("status") == "需人工確認", 0).otherwise(1).alias("priority"), F.col("requirement_id").alias("question"))
+    return R.system_overview(f.requirements, ask, f.system_guidance, ("BUILDING", "SPACESHIP"))
 
 
 @query("paired_replies", "SELECT conv_id, turn, text AS question, CASE WHEN nr = 'assistant' THEN nt END AS reply, (nr IS NULL OR nr <> 'assistant' OR nt IS NULL) AS is_open FROM (SELECT *, lead(role) OVER w AS nr, lead(text) OVER w AS nt FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user'")
@@ -671,10 +768,10 @@ def _(f: Flow) -> DataFrame:
     return R.paired_replies(f.table("conversations"), "conv_id", "turn", "role", "text")
 
 
-@query("open_points", f"WITH {S.REQ} SELECT 'review' AS kind, 1 AS priority, requirement_id AS key, text AS note FROM req WHERE status = '需人工確認' UNION ALL SELECT 'unlabelled', 2, doc_id::VARCHAR, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+@query("open_points", f"WITH {S.REQ} SELECT 'review' AS kind, 1 AS priority, requirement_id AS key, text AS note, system, source, 'status ' || status AS reason, 'owner of ' || \"group\" AS reviewer FROM req WHERE status = '需人工確認' UNION ALL SELECT 'unlabelled', 2, doc_id::VARCHAR, source, '', source, '', '' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def _(f: Flow) -> DataFrame:
-    review = f.requirements.where("status = '需人工確認'").select(F.col("requirement_id").alias("key"), F.col("text").alias("note"))
-    unlabelled = f.table("documents").join(f.table("labels"), "doc_id", "left_anti").select(F.col("doc_id").alias("key"), F.col("source").alias("note"))
+    review = f.requirements.where("status = '需人工確認'").select(F.col("requirement_id").alias("key"), F.col("text").alias("note"), "system", "source", F.concat(F.lit("status "), "status").alias("reason"), F.concat(F.lit("owner of "), "group").alias("reviewer"))
+    unlabelled = f.table("documents").join(f.table("labels"), "doc_id", "left_anti").select(F.col("doc_id").alias("key"), F.col("source").alias("note"), "source")
     return R.todo(("review", 1, review), ("unlabelled", 2, unlabelled))
 
 

@@ -64,13 +64,35 @@ def rendered_groups(groups: DataFrame, records: DataFrame | None = None) -> Data
     return groups.withColumn("markdown", render_group(near)).withColumn("chars", F.length("markdown").cast("long"))
 
 
-def dossier(rendered: DataFrame, sources: DataFrame, open_regions: DataFrame | None = None) -> DataFrame:
-    """One dossier per source: header with counts, then every group in order. sources: source_id, name, sha256, page_count."""
+# Version, notice and reading rules of a dossier.
+DOSSIER_VERSION = "1.2"
+DOSSIER_NOTICE = "> 本檔是第一階段 AI 篩選弱電來源的內部閱讀材料，不是正式需求，也不是交付成果。程式只保存可讀文字、頁碼與上下文，不判斷工程語意。"
+DOSSIER_RULES = (
+    "1. 逐批閱讀全部片段，依頁碼、章節、原文及前後文判斷是否與弱電業務相關。",
+    "2. 以電信、資訊、電視、通訊、監視、門禁、停車、廣播、對講、感測、控制、資料與跨系統介面等業務語意判斷，不採封閉關鍵字清單。",
+    "3. 只把相關原文、必要上下文、頁碼與候選 ID 寫入 weak_current_source.md；不要在此階段寫正式需求，也不得摘要或合併不同義務。",
+    "4. 同一段落或設備規格表若含不同設備、規格、數量、供電／備援、介面、空間、操作或測試要求，逐項保留原文及候選 ID；上下文可以共用，獨立要求不可被系統摘要取代。",
+    "5. 可讀 OCR 文字與原生文字同等採用。低信心影像須經模型覆核；已判為不可讀或非文字者不阻斷全案，疑似相關且會影響理解時列為來源待確認。",
+)
+
+
+def dossier(rendered: DataFrame, sources: DataFrame, regions: DataFrame | None = None, unreadable: DataFrame | None = None) -> DataFrame:
+    """One dossier per source: header with counts, the reading rules, then every group in order. sources: source_id, name,
+    sha256, page_count; regions: source_id, status; unreadable: source_id, pdf_page of pages that can't be read."""
     body = rendered.groupBy("source_id").agg(joined("markdown", "group_no").alias("body"), F.count("*").alias("n"), F.sum(F.size("segments")).alias("segments"))
     rows = body.join(sources, "source_id", "left")
+    rows = rows.join(regions.where("status = 'pending'").groupBy("source_id").agg(F.count("*").alias("open")), "source_id", "left") if regions is not None else rows.withColumn("open", F.lit(None).cast("long"))
+    bad = F.array_sort(F.collect_list(F.col("pdf_page").cast("long"))).alias("bad")
+    rows = rows.join(unreadable.groupBy("source_id").agg(bad), "source_id", "left") if unreadable is not None else rows.withColumn("bad", F.lit(None).cast("array<bigint>"))
     line = lambda label, v: F.concat(F.lit(f"- {label}："), v.cast("string"))
-    head = F.concat_ws("\n", F.lit("# 全文來源閱讀包\n\n## 文件資訊\n"), line("來源文件", F.coalesce("name", F.lit("unknown"))), line("來源 SHA-256", F.concat(F.lit("`"), F.coalesce("sha256", F.lit("unknown")), F.lit("`"))), line("PDF 頁數", F.coalesce(F.col("page_count").cast("string"), F.lit("unknown"))), line("證據群組", F.col("n")), line("來源片段", F.col("segments")), F.lit("\n---\n"))
-    return rows.select("source_id", F.concat(head, F.lit("\n"), F.rtrim("body"), F.lit("\n")).alias("text"))
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("unknown"))
+    bad = F.coalesce("bad", F.array().cast("array<bigint>"))
+    head = F.concat_ws(
+        "\n", F.lit(f"# 全文來源閱讀包\n\n{DOSSIER_NOTICE}\n\n## 文件資訊\n\n- 卷宗版本：{DOSSIER_VERSION}"), line("來源文件", T.squeeze(known("name"))), line("來源 SHA-256", F.concat(F.lit("`"), T.squeeze(known("sha256")), F.lit("`"))),
+        line("PDF 頁數", known("page_count")), line("證據群組", F.col("n")), line("來源片段", F.col("segments")), line("尚待人工判讀的低信心影像區", F.coalesce("open", F.lit(0))), line("無法可靠讀取頁", F.size(bad)),
+        line("視覺已覆核但未形成可用文字頁", F.coalesce(F.nullif(F.array_join(bad, ","), F.lit("")), F.lit("無"))), F.lit("\n## 轉譯原則\n"), *map(F.lit, DOSSIER_RULES), F.lit("\n---\n\n"),
+    )
+    return rows.select("source_id", F.concat(head, F.regexp_replace("body", f"{T.S}+$", ""), F.lit("\n")).alias("text"))
 
 
 def screening_sources(rendered: DataFrame, batches: DataFrame) -> DataFrame:

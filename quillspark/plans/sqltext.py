@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from ..functions import lexicon as L
 from ..functions.text import DASHES, key_of
 
@@ -63,6 +65,36 @@ def joined(xs: str) -> str:
     return f"array_to_string({xs}, '|')"
 
 
+def firsts(xs: str) -> str:
+    """Each value once, where it first stands."""
+    return f"list_filter({xs}, lambda v, i: list_position({xs}, v) = i)"
+
+
+def html(s: str) -> str:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        s = f"replace({s}, {q(a)}, {q(b)})"
+    return s
+
+
+def slug(s: str) -> str:
+    return f"('sys-' || lpad((list_sum(list_transform(string_split({s}, ''), lambda c, i: i * unicode(c))) % 1000003)::BIGINT::VARCHAR, 6, '0'))"
+
+
+def present(t: str, s: str, k: str) -> str:
+    """A short Latin term as a word, any other in the key."""
+    word = rf" AND regexp_matches(lower({s}), {q('(^|[^a-z0-9])' + re.escape(t.lower()) + '($|[^a-z0-9])')})" if re.fullmatch(r"[a-z0-9+./_-]{2,15}", t.lower()) else ""
+    return f"(contains({k}, {q(key_of(t))}){word})"
+
+
+def codes(s: str) -> str:
+    """Codes without look-behinds: each run of letters and digits gets two marks before it, of which a match begins with
+    the second, and may end with the first where a word follows a sign."""
+    marked = rf"regexp_replace(regexp_replace({s}, '[\x{{C0}}-\x{{24F}}]', 'a', 'g'), '([A-Za-z0-9]+)', chr(2) || chr(1) || '\1', 'g')"
+    inner = r"(?:(?:\x02\x01)?["
+    found = rf"\x01(?:[A-Za-z]+[-/]\x02\x01)?[A-Za-z]*[0-9]+{inner}A-Za-z0-9+./-])*|\x01[A-Z]{inner}A-Z0-9+./-]){{1,14}}(?:\b|\x02)"
+    return f"list_transform(regexp_extract_all({marked}, '{found}'), lambda x: replace(replace(x, chr(1), ''), chr(2), ''))"
+
+
 _SYSTEMS = [t for ts in LEX.systems.values() for t in ts]
 _NOISE = f"(length(line_key) BETWEEN 2 AND 45 AND NOT {has_obligation('block', 'line_key')} AND NOT {any_term('line_key', LEX.semantic + _SYSTEMS)})"
 
@@ -116,6 +148,28 @@ walk AS (SELECT source_id, page, i, 1 AS bin, chars AS c, cands AS n FROM runs W
   FROM walk w JOIN runs r ON r.source_id = w.source_id AND r.page = w.page AND r.i = w.i + 1),
 grouped AS (SELECT source_id, page, bin, min(record_no) AS first, max(record_no) AS last, sum(r.chars) AS chars, string_agg(array_to_string(r.candidate_ids, '|'), '|' ORDER BY record_no) AS ids FROM walk w JOIN runs r USING (source_id, page, i) GROUP BY 1, 2, 3),
 groups AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY first) AS group_no FROM grouped)"""
+_NAMED = [t for table in (LEX.systems, LEX.capabilities) for ts in table.values() for t in ts]
+PRESERVED = f"""{ENRICHED},
+spoken AS (SELECT source_id, candidate_id, list_filter(list_concat({listed([(present(t, 'chunk', 'k'), t) for t in _NAMED])}, {codes('chunk')}), lambda t: length(t) >= 2 AND NOT list_contains([{', '.join(q(g) for g in LEX.generic)}], lower(t))) AS ts FROM candidates)"""
+_NL = "chr(10)"
+_QUOTED = f"array_to_string(list_transform(string_split(quote, {_NL}), lambda x: CASE WHEN x = '' THEN '>' ELSE '> ' || x END), {_NL})"
+
+
+def _context(label: str, record: str) -> str:
+    return f"CASE WHEN {record}.record_no IS NULL THEN '' ELSE '**{label} | ' || array_to_string({record}.candidate_ids, ',') || '**' || {_NL} || '> 內容已完整收錄於其他來源片段，依候選 ID 交叉核對。' || {_NL} || {_NL} END"
+
+
+RENDERED = rf"""{GROUPS},
+extra AS (SELECT source_id, min(serial) AS ord, list(trim(regexp_replace(heading, '\s+', ' ', 'g')) ORDER BY serial) AS hs, flatten(list(space_hints ORDER BY serial)) AS sh, bool_or(len(system_hints) >= 3) AS mixed FROM keyed_quotes GROUP BY source_id, qk),
+segs AS (SELECT source_id, page, bin, record_no, candidate_ids, pdf_pages, quote, {firsts('hs')} AS hs, {firsts('sh')} AS sh, mixed FROM walk JOIN runs USING (source_id, page, i) JOIN extra USING (source_id, ord)),
+parts AS (SELECT *, '### ' || array_to_string(candidate_ids, ',') || ' | PDF ' || array_to_string(pdf_pages, ',') || {_NL} || {_NL}
+  || concat_ws({_NL}, '- 來源脈絡：' || array_to_string(hs, ' / '), CASE WHEN len(sh) > 0 THEN '- 來源空間提示：' || array_to_string(sh, '、') END, CASE WHEN mixed THEN '- 文字狀態：mixed_topics' END, '- 來源形式：source')
+  || {_NL} || {_NL} || {_QUOTED} || {_NL} AS part FROM segs),
+bodies AS (SELECT source_id, page, bin, count(*) AS n, string_agg(part, {_NL} ORDER BY record_no) AS body, flatten(list(pdf_pages ORDER BY record_no)) AS ps, flatten(list(hs ORDER BY record_no)) AS hs FROM parts GROUP BY 1, 2, 3),
+rendered AS (SELECT source_id, group_no, n, 'EGRP-' || lpad(group_no::VARCHAR, 4, '0') AS evidence_group_id, '## EGRP-' || lpad(group_no::VARCHAR, 4, '0') || ' | PDF ' || array_to_string({firsts('ps')}, ',') || ' | ' || array_to_string({firsts('hs')}, ' / ') || {_NL} || {_NL}
+  || '<!-- evidence_group:EGRP-' || lpad(group_no::VARCHAR, 4, '0') || ' pages:' || array_to_string({firsts('ps')}, ',') || ' candidate_ids:' || replace(ids, '|', ',') || ' -->' || {_NL} || {_NL}
+  || {_context('前文', 'a')} || body || {_NL} || {_context('後文', 'b')} || '---' || {_NL} AS markdown
+  FROM groups JOIN bodies USING (source_id, page, bin) LEFT JOIN (SELECT source_id, record_no, candidate_ids FROM records) a ON a.source_id = groups.source_id AND a.record_no = first - 1 LEFT JOIN (SELECT source_id, record_no, candidate_ids FROM records) b ON b.source_id = groups.source_id AND b.record_no = last + 1)"""
 REQ = """req AS (SELECT 'REQ-M1-' || lpad(c_custkey::VARCHAR, 4, '0') AS requirement_id, 'serve ' || c_name || ' in ' || c_mktsegment AS text, r_name AS system, n_name AS "group", c_mktsegment AS space,
   CASE WHEN c_acctbal < 0 THEN '需人工確認' WHEN c_acctbal < 5000 THEN '跨章整合' ELSE '來源明示' END AS status, 'PDF ' || (c_custkey % 30 + 1) AS source, c_name AS quote, c_custkey AS ord
   FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)"""
