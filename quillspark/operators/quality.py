@@ -96,6 +96,16 @@ def coverage(expected: DataFrame, done: DataFrame, markers: DataFrame, review: D
     return out.withColumn("pass", (F.size(names[0]) == 0) & (F.size(names[1]) == 0) & (F.size(names[2]) == 0) & (F.col(counts[0]) == 0) & (F.col(counts[1]) == 0))
 
 
+def reports(summary: DataFrame, failed: DataFrame) -> DataFrame:
+    """One line and exit code per source: its counts (candidates.summary), or the first of its failures (source_id, ord,
+    message)."""
+    first = failed.groupBy("source_id").agg(F.min_by("message", "ord").alias("message"))
+    count = lambda label, c: F.concat(F.lit(f" {label}="), F.col(c).cast("string"))
+    line = F.concat(F.lit("PASS: candidate pack created |"), *[count(a, b) for a, b in (("pages", "page_count"), ("candidate_pages", "candidate_page_count"), ("candidates", "candidate_count"), ("unreadable", "unreadable_page_count"), ("visual_pending", "visual_pending_page_count"))])
+    rows = summary.join(first, "source_id", "full")
+    return rows.select("source_id", F.when(F.col("message").isNull(), line).otherwise(F.concat(F.lit("FAIL: "), "message")).alias("report"), F.when(F.col("message").isNull(), 0).otherwise(1).alias("exit_code"))
+
+
 def consecutive_duplicates(blocks: DataFrame) -> DataFrame:
     """Lines that repeat the line before them on their page."""
     w = Window.partitionBy("source_id", "pdf_page").orderBy("block_index")

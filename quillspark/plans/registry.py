@@ -1068,3 +1068,44 @@ def _(f: Flow) -> DataFrame:
     extra = lambda k: F.when(n % 4 == k, 1).otherwise(0)
     manifest = _sources(f).select("source_id", (F.ceil(n / 4) + extra(1)).alias("batch_count"), F.sequence(F.lit(1).cast("long"), n + extra(2)).alias("covered_pdf_pages"), (n + extra(3)).alias("evidence_group_count"))
     return X.total_errors(batches, manifest)
+
+
+@query("region_crops", "SELECT label::VARCHAR AS source_id, 'VR-' || vec_id AS region_id, CAST(vec_id % 7 + 1 AS INT) AS pdf_page, CASE WHEN label % 5 = 0 OR vec_id % 11 = 0 THEN '' ELSE 'VR-' || vec_id || '.png' END AS crop_file, CASE WHEN label % 5 <> 0 AND vec_id % 11 <> 0 THEN sha256('file ' || label || ' page ' || (vec_id % 7 + 1) || ' at 1.8') END AS crop_sha256, CASE WHEN label % 5 = 0 THEN 'no file' WHEN vec_id % 11 = 0 THEN 'empty box' END AS error FROM embeddings")
+def _(f: Flow) -> DataFrame:
+    """A renderer that writes what it was asked for, and can't render empty boxes; the file of each fifth source is missing."""
+
+    def render(content: bytes, page: int, box: list[float], scale: float) -> bytes:
+        if box[0] == box[2]:
+            raise ValueError("empty box")
+        return content + f" page {page} at {scale}".encode()
+
+    rows = f.table("embeddings").select(F.col("label").cast("string").alias("source_id"), F.concat(F.lit("VR-"), F.col("vec_id").cast("string")).alias("region_id"), (F.col("vec_id") % 7 + 1).cast("int").alias("pdf_page"), F.array(*[x.cast("double") for x in (F.lit(0), F.lit(0), F.least(F.lit(1), F.col("vec_id") % 11), F.lit(1))]).alias("bbox"), F.lit("text").alias("reason_code"))
+    held = rows.where("cast(source_id as int) % 5 <> 0").select("source_id").distinct().withColumn("content", F.concat(F.lit("file "), "source_id").cast("binary"))
+    return W.region_crops(held, rows, render).select("source_id", "region_id", "pdf_page", "crop_file", F.sha2("crop", 256).alias("crop_sha256"), "error")
+
+
+@query("page_paths", f"WITH {S.PAGES} SELECT source_id, pdf_page, 'pages/' || CASE WHEN pdf_page % 2 = 0 THEN 'full_page' ELSE 'pdf_aware' END || '/page_' || lpad(pdf_page::VARCHAR, 4, '0') || '.json' AS path FROM pages")
+def _(f: Flow) -> DataFrame:
+    return f.pages.select("source_id", "pdf_page", W.page_path(F.when(F.col("pdf_page") % 2 == 0, "full_page").otherwise("pdf_aware"), F.col("pdf_page"), "json").alias("path"))
+
+
+@query("resolved_paths", "SELECT o_orderkey, CASE o_custkey % 3 WHEN 1 THEN '/run/' || o_clerk || '.json' ELSE '/old/' || o_clerk || '.json' END AS resolved, o_custkey % 3 < 2 AS found FROM (SELECT o_orderkey, o_orderkey AS o_clerk, o_custkey FROM orders)")
+def _(f: Flow) -> DataFrame:
+    """Of three files one lies where it did, one beside the manifest, and one is gone."""
+    o, key = f.table("orders"), F.col("o_orderkey").cast("string")
+    path = lambda folder: F.concat(F.lit(folder), key, F.lit(".json"))
+    rows = o.select("o_orderkey", path("/old/").alias("path"), F.lit("/run/manifest.json").alias("manifest"))
+    listing = o.where("o_custkey % 3 < 2").select(F.when(F.col("o_custkey") % 3 == 0, path("/old/")).otherwise(path("/run/")).alias("path"))
+    return W.resolved(rows, listing).select("o_orderkey", "resolved", "found")
+
+
+@query(
+    "source_reports",
+    f"""WITH {S.ENRICHED}, c AS (SELECT source_id, count(*) AS n, count(DISTINCT pdf_page) AS cp FROM candidates GROUP BY 1), t AS (SELECT source_id, count(DISTINCT pdf_page) AS tp FROM blocks GROUP BY 1), b AS (SELECT source_id, min(pdf_page) AS first FROM pages WHERE length(text) < 100 GROUP BY 1),
+s AS (SELECT p.source_id, count(*) AS pages, any_value(coalesce(cp, 0)) AS cp, any_value(coalesce(tp, 0)) AS tp, any_value(coalesce(n, 0)) AS n FROM pages p LEFT JOIN c USING (source_id) LEFT JOIN t USING (source_id) GROUP BY p.source_id)
+SELECT source_id, CASE WHEN first IS NULL THEN 'PASS: candidate pack created | pages=' || pages || ' candidate_pages=' || cp || ' candidates=' || n || ' unreadable=' || (pages - tp) || ' visual_pending=0' ELSE 'FAIL: page ' || first || ' is short' END AS report, (first IS NOT NULL)::INT AS exit_code FROM s LEFT JOIN b USING (source_id)""",
+)
+def _(f: Flow) -> DataFrame:
+    """Sources with a page of fewer than 100 characters fail."""
+    failed = f.pages.where(F.length("text") < 100).select("source_id", F.col("pdf_page").alias("ord"), F.concat(F.lit("page "), F.col("pdf_page").cast("string"), F.lit(" is short")).alias("message"))
+    return Q.reports(C.summary(f.page_records, f.candidates), failed)

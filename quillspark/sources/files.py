@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -53,6 +53,62 @@ def extracted(files: DataFrame, readers: list[tuple[str, Reader]]) -> DataFrame:
     return out.withColumn("block", T.clean_text(F.col("block"))).where("error is not null or block <> ''")
 
 
+#: A region is rendered at this scale.
+SCALE = 1.8
+#: content, page, box (x0, y0, x1, y1) and scale to an image.
+Renderer = Callable[[bytes, int, list[float], float], bytes]
+
+
+def region_crops(files: DataFrame, regions: DataFrame, render: Renderer, scale: float = SCALE) -> DataFrame:
+    """An image for each region (source_id, region_id, pdf_page, bbox, reason_code) of files (source_id, content), as
+    crop_file, crop and error. A region whose file is missing, or that can't be rendered, has no crop and an error.
+
+    Files meet only regions: each file's bytes go once to a task, with its regions in one array. The renderer is a seam,
+    as readers are.
+    """
+    own = regions.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("pdf_page", "region_id", "bbox", "reason_code"))).alias("regions"))
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for source, content, found in zip(batch["source_id"], batch["content"], batch["regions"], strict=True):
+                rows = []
+                for r in found:
+                    crop = error = None
+                    try:
+                        if content is None:
+                            raise ValueError("no file")
+                        crop = render(bytes(content), int(r["pdf_page"]), [float(x) for x in r["bbox"]], scale)
+                    except Exception as e:  # any renderer's own errors; kept as data
+                        error = str(e)
+                    rows.append((source, r["region_id"], int(r["pdf_page"]), list(r["bbox"]), r["reason_code"], f"{r['region_id']}.png" if error is None else "", crop, error))
+                yield pd.DataFrame(rows, columns=["source_id", "region_id", "pdf_page", "bbox", "reason_code", "crop_file", "crop", "error"])
+
+    joined = own.join(files.select("source_id", "content"), "source_id", "left").select("source_id", "content", "regions")
+    return joined.mapInPandas(work, "source_id string, region_id string, pdf_page int, bbox array<double>, reason_code string, crop_file string, crop binary, error string")
+
+
+def crop_manifest(crops: DataFrame) -> DataFrame:
+    """What a reader of crops gets, per source: the count, and a JSON of each region with its file."""
+    one = F.struct("region_id", "pdf_page", "bbox", "crop_file", "reason_code")
+    return crops.groupBy("source_id").agg(F.count("*").alias("region_count"), F.to_json(F.array_sort(F.collect_list(one))).alias("regions"))
+
+
+def page_path(mode: Column, page: Column, kind: str = "md") -> Column:
+    """Where a page's reading lies, below the folder of its run."""
+    return F.concat(F.lit("pages/"), mode, F.lit("/"), F.format_string("page_%04d", page.cast("int")), F.lit(f".{kind}"))
+
+
+def resolved(rows: DataFrame, listing: DataFrame, raw: str = "path", manifest: str = "manifest") -> DataFrame:
+    """rows with resolved: the raw path if listing (path) has it, else the file of that name beside the manifest if it has
+    that, else the raw path; and whether it was found. Paths meet by hash joins."""
+    name = lambda c: F.regexp_extract(c, r"([^/]*)$", 1)
+    known = listing.select("path").distinct()
+    beside = F.concat(F.regexp_extract(manifest, r"^(.*/)?[^/]*$", 1), name(raw))
+    out = rows.withColumn("beside", beside)
+    out = out.join(known.select(F.col("path").alias("as_is")), F.col(raw) == F.col("as_is"), "left").join(known.select(F.col("path").alias("near")), F.col("beside") == F.col("near"), "left")
+    return out.withColumn("resolved", F.coalesce("as_is", "near", raw)).withColumn("found", F.coalesce("as_is", "near").isNotNull()).drop("beside", "as_is", "near")
+
+
 def token_tables(texts: DataFrame, key: str, text: str) -> DataFrame:
     """Token tables (TSV with a header line) as rows: key, ord, and the tokens' columns."""
     rows = texts.select(key, F.posexplode(T.lines(F.col(text))).alias("ord", "line")).where("ord > 0 and line <> ''")

@@ -18,6 +18,7 @@ from quillspark.operators.ordinals import ordinal
 from quillspark.plans import render as D
 from quillspark.sources import documents as S
 from quillspark.sources import files
+from quillspark.sources.shared import cut
 
 BLOCK = "source_id string, pdf_page int, block_index int, block string"
 
@@ -182,6 +183,74 @@ def test_recognition(spark):
     assert {r.k: (r.attempt, r.status) for r in best.collect()} == {"a": (1, "read"), "b": (2, "read"), "c": (2, "pending"), "d": (1, "pending")}
 
 
+def test_late_candidates_follow_the_known_ones(spark):
+    pages, blocks, _, cands = flow(spark, ["停車場車道應設置攝影機。\n1、監視系統資料", "電話應設置。"])
+    cands = cut(cands)
+    known = cands.select("source_id", "page_id", "pdf_page", "serial", "candidate_id").collect()
+    last, page = max(r.serial for r in known), next(r.page_id for r in known if r.pdf_page == 1)
+    other = next(r.page_id for r in known if r.pdf_page == 2)
+    columns = "region_id string, page_id string, source_id string, pdf_page int, status string, transcribed_text string, context_heading string, context_heading_basis string, confidence string, mean_confidence double, engine string"
+    rows = [
+        ("V2", page, "s", 1, "read", "網路機房應設置光纖設備；", "第一章", "page_heading", "high", 90.0, "x"), ("V1", page, "s", 1, "read", "1、門禁應連動。", "第一章", "page_heading", "low", 20.0, "x"),
+        ("V3", page, "s", 1, "read", "網路 機房應設置光纖設備；", "第一章", "page_heading", "high", 90.0, "x"), ("V4", other, "s", 2, "read", "電話應設置。", "第二章", "page_heading", "high", 90.0, "x"), ("V5", other, "s", 2, "pending", "", "", "", "low", None, None),
+    ]
+    regions = spark.createDataFrame(rows, columns)
+    late = cut(O.late_candidates(O.late_chunks(regions, cands.select("page_id", F.col("chunk").alias("quote")), L.DOMAIN), cands))
+    got = {r.region_id: r for r in late.collect()}
+    assert {k: r.serial for k, r in got.items()} == {"V1": last + 1, "V2": last + 2}  # V3 repeats V2, V4 the page's own text
+    assert got["V1"].source_shape == "list_item" and got["V1"].text_quality_flags == ["ocr_fragment"] and got["V2"].text_quality_flags == [] and got["V2"].evidence_id == f"EV-{last + 2:05d}"
+    every = O.with_late(cands, late)
+    on = {r.candidate_id: r for r in every.where(F.col("page_id") == page).collect()}
+    order = [r.candidate_id for r in sorted(on.values(), key=lambda r: r.serial)]
+    assert [on[c].sequence_on_page for c in order] == list(range(1, len(order) + 1)) and on[order[-1]].neighbor_candidate_ids == [order[-2]] and on[order[1]].neighbor_candidate_ids == [order[0], order[2]]
+    records = spark.createDataFrame([(page, ["x"], True, "f"), (other, [], True, "f")], "page_id string, candidate_ids array<string>, native_text_present boolean, fingerprint string")
+    held = {r.page_id: r.candidate_ids for r in O.pages_with(records, every).collect()}
+    assert held[page] == order and len(held[other]) == sum(r.pdf_page == 2 for r in known)
+    assert C.evidence(late).select("origin_kind").distinct().first().origin_kind == "source_ocr"
+    made = G.groups(G.records(every)).collect()
+    assert sum(len(r.route_candidate_ids) for r in made) == len(known) + 2 and all(r.segments[0].origin_kinds in (["source"], ["source_ocr"]) for r in made)
+    none = O.late_candidates(O.late_chunks(regions.limit(0), cands.select("page_id", F.col("chunk").alias("quote")), L.DOMAIN), cands)
+    assert none.count() == 0 and O.with_late(cands, none).count() == len(known)
+
+
+def test_crops_paths_and_reports(spark):
+    regions = spark.createDataFrame([("s", "V1", 2, [0.0, 1.0, 2.0, 3.0], "r"), ("s", "V2", 3, [0.0, 0.0, 0.0, 0.0], "r"), ("t", "V3", 1, [0.0, 0.0, 1.0, 1.0], "r")], "source_id string, region_id string, pdf_page int, bbox array<double>, reason_code string")
+
+    def render(content, page, box, scale):
+        if not box[3]:
+            raise ValueError("empty")
+        return content + bytes([page, int(scale * 10)])
+
+    crops = files.region_crops(spark.createDataFrame([("s", b"%PDF"), ("u", b"x")], "source_id string, content binary"), regions, render)
+    got = {r.region_id: r for r in crops.collect()}
+    assert (got["V1"].crop, got["V1"].crop_file, got["V1"].error) == (b"%PDF\x02\x12", "V1.png", None)
+    assert (got["V2"].crop, got["V2"].crop_file, got["V2"].error) == (None, "", "empty") and got["V3"].error == "no file"
+    manifest = {r.source_id: r for r in files.crop_manifest(crops).collect()}
+    assert manifest["s"].region_count == 2 and '"crop_file":"V1.png"' in manifest["s"].regions
+    rows = spark.createDataFrame([(1, "a/x.json", "run/m.json"), (2, "b/y.json", "run/m.json"), (3, "c/z.json", "m.json"), (4, None, "m.json")], "i int, path string, manifest string")
+    found = files.resolved(rows, spark.createDataFrame([("a/x.json",), ("run/y.json",), ("run/x.json",), ("run/y.json",)], "path string"))
+    assert {r.i: (r.resolved, r.found) for r in found.collect()} == {1: ("a/x.json", True), 2: ("run/y.json", True), 3: ("c/z.json", False), 4: (None, False)}
+    summary = spark.createDataFrame([("s", 3, 2, 5, 0, 1), ("t", 1, 0, 0, 1, 0)], "source_id string, page_count long, candidate_page_count long, candidate_count long, unreadable_page_count long, visual_pending_page_count long")
+    lines = Q.reports(summary, spark.createDataFrame([("t", 2, "second"), ("t", 1, "first"), ("u", 1, "PDF not found")], "source_id string, ord int, message string"))
+    assert {r.source_id: (r.report, r.exit_code) for r in lines.collect()} == {"s": ("PASS: candidate pack created | pages=3 candidate_pages=2 candidates=5 unreadable=0 visual_pending=1", 0), "t": ("FAIL: first", 1), "u": ("FAIL: PDF not found", 1)}
+
+
+def test_overview_and_dossier(spark):
+    req = spark.createDataFrame([("R1", "智慧建築應整合", "a", "g2", 1), ("R2", "x", "a", "g1", 2), ("R3", "y", "b", "g", 3)], "requirement_id string, text string, system string, group string, ord int")
+    ask = spark.createDataFrame([("a", 1, 2, "q1"), ("a", 2, 1, "q2"), ("a", 3, 2, "q3"), ("a", 4, 3, "q4")], "system string, ord int, priority int, question string")
+    guide = spark.createDataFrame([("a", "plans")], "system string, deliverables string")
+    got = {r.system: r for r in R.system_overview(req, ask, guide).collect()}
+    a, b = got["a"], got["b"]
+    assert (a.labels, a.related_terms, a.open_questions, a.open_items, a.priority, a.documents) == (["g2", "g1"], ["智慧建築"], ["q2", "q1", "q3"], 4, 1, "plans")
+    assert (b.open_questions, b.open_items, b.priority, b.documents, b.related_terms) == ([], 0, None, "", []) and a.details.startswith("#sys-")
+    cands = cut(flow(spark, ["停車場車道應設置攝影機。", "電話應設置。"])[3])
+    sources = spark.createDataFrame([("s", "a.pdf", None, 2)], "source_id string, name string, sha256 string, page_count int")
+    regions = spark.createDataFrame([("s", "pending"), ("s", "read")], "source_id string, status string")
+    text = D.dossier(D.rendered_groups(G.candidate_view(cands)), sources, regions, spark.createDataFrame([("s", 9), ("s", 4)], "source_id string, pdf_page int")).first().text
+    assert "- 來源文件：a.pdf\n- 來源 SHA-256：`unknown`\n- PDF 頁數：2\n" in text and "影像區：1\n- 無法可靠讀取頁：2\n- 視覺已覆核但未形成可用文字頁：4,9\n" in text
+    assert text.startswith(f"# 全文來源閱讀包\n\n{D.DOSSIER_NOTICE}\n\n## 文件資訊\n\n- 卷宗版本：1.2\n") and text.endswith("\n---\n") and f"{D.DOSSIER_RULES[4]}\n\n---\n\n## EGRP-0001" in text
+
+
 def test_regions(spark):
     def box(i, page, x0, y0, x1, y1, w=40, h=30):
         return ("s", page, i, {"x0": float(x0), "y0": float(y0), "x1": float(x1), "y1": float(y1)}, 600.0, 900.0, w, h)
