@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as L
 from ..functions import text as T
 from ..sources.documents import page_id
-from .ordinals import ordinal
+from .ordinals import numbered
 
 STOP_TERMS = ("PDF", "PAGE", "THE", "AND", "FOR")
 
@@ -22,18 +22,18 @@ def is_heading(line: Column, lex: L.Lexicon = L.DOMAIN) -> Column:
     return F.length(s).between(2, 90) & ~no & (yes | L.any_term(key, lex.headings + lex.plain_headings))
 
 
-def context_headings(blocks: DataFrame, lex: L.Lexicon = L.DOMAIN) -> DataFrame:
+def context_headings(blocks: DataFrame, lex: L.Lexicon = L.DOMAIN, keep: tuple[str, ...] = ()) -> DataFrame:
     """For each block the heading above it: the last one of earlier blocks of its page, else the first of the page, else
-    a fallback; and its basis. A page's blocks are one window: pages are small whatever the corpus."""
+    a fallback; its basis; and the columns in keep. A page's blocks are one window: pages are small whatever the corpus."""
     heads = F.filter(T.lines(F.col("block")), lambda x: is_heading(x, lex))
     ends = T.let(heads, lambda h: F.struct(F.try_element_at(h, F.lit(1)).alias("first"), F.try_element_at(h, F.lit(-1)).alias("last")))
-    rows = blocks.select("source_id", "pdf_page", "block_index", ends.alias("h")).select("source_id", "pdf_page", "block_index", "h.first", "h.last")
+    rows = blocks.select("source_id", "pdf_page", "block_index", *keep, ends.alias("h")).select("source_id", "pdf_page", "block_index", *keep, "h.first", "h.last")
     w = Window.partitionBy("source_id", "pdf_page").orderBy("block_index")
     before = F.last("last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     on_page = F.first("first", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     basis = F.when(before.isNotNull(), "preceding_heading").when(on_page.isNotNull(), "page_heading").otherwise("page_fallback")
     heading = F.coalesce(T.clean_text(before), T.clean_text(on_page), F.format_string("PDF page %d", "pdf_page"))
-    return rows.select("source_id", "pdf_page", "block_index", heading.alias("heading"), basis.alias("heading_basis"))
+    return rows.select("source_id", "pdf_page", "block_index", *keep, heading.alias("heading"), basis.alias("heading_basis"))
 
 
 def page_headings(blocks: DataFrame, lex: L.Lexicon = L.DOMAIN) -> DataFrame:
@@ -137,7 +137,7 @@ def hinted(rows: DataFrame, terms: DataFrame | None = None, lex: L.Lexicon = L.D
 def candidates(rows: DataFrame) -> DataFrame:
     """enriched rows with serials by source (page, block, chunk), place on the page, ids, and neighbours on the page."""
     rows = rows.where(T.clean_text(F.col("chunk")) != "")
-    rows = ordinal(rows, "serial", ["source_id"], F.floor(F.col("pdf_page") / 64), "pdf_page", "block_index", "chunk_index")
+    rows = numbered(rows, "serial", ["source_id"], "pdf_page", "block_index", "chunk_index")
     return placed(identified(rows))
 
 

@@ -55,7 +55,8 @@ def chunks_of(block: Column, lex: L.Lexicon = L.DOMAIN, limit: int = LIMIT, over
     return T.let(parts_of(block), lambda parts: F.when((F.size(parts) == 1) & (F.length(parts[0]) <= limit), parts).otherwise(F.aggregate(parts, empty, step, with_now)))
 
 
-def chunks(blocks: DataFrame, lex: L.Lexicon = L.DOMAIN, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
-    """source_id, pdf_page, block_index, chunk_index, chunk; chunks that only navigate are kept and marked."""
-    rows = blocks.select("source_id", "pdf_page", "block_index", F.posexplode(chunks_of(F.col("block"), lex, limit, overlap)).alias("pos", "chunk"))
-    return rows.select("source_id", "pdf_page", "block_index", (F.col("pos") + 1).alias("chunk_index"), "chunk", T.is_navigation(F.col("chunk")).alias("is_navigation"))
+def chunks(blocks: DataFrame, lex: L.Lexicon = L.DOMAIN, limit: int = LIMIT, overlap: int = OVERLAP, keep: tuple[str, ...] = ()) -> DataFrame:
+    """source_id, pdf_page, block_index, chunk_index, chunk, and the blocks' columns in keep; chunks that only navigate are
+    kept and marked."""
+    rows = blocks.select("source_id", "pdf_page", "block_index", *keep, F.posexplode(chunks_of(F.col("block"), lex, limit, overlap)).alias("pos", "chunk"))
+    return rows.select("source_id", "pdf_page", "block_index", *keep, (F.col("pos") + 1).alias("chunk_index"), "chunk", T.is_navigation(F.col("chunk")).alias("is_navigation"))

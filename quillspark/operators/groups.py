@@ -5,14 +5,16 @@ A source is one document: a page's records, and a source's group sizes, are gath
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .ordinals import ordinal
+from .ordinals import numbered, ordinal
 
 MAX_CANDIDATES, MAX_CHARS = 12, 4800
 MAX_GROUPS, MAX_BATCH_CHARS = 12, 28_000
+#: Columns of a record that its group's segments have.
+SEGMENT = ("candidate_ids", "pdf_pages", "context_headings", "quote", "system_hints", "space_hints", "business_axes", "preservation_terms", "source_shape", "origin_kinds", "source_confidences", "text_quality_flags", "signal_flags")
 #: Arrays of a record that are ordered distinct unions over its candidates.
 UNIONS = ("system_hints", "space_hints", "matched_terms", "preservation_terms", "business_axes", "text_quality_flags", "obligation_terms", "neighbor_candidate_ids", "signal_flags")
 
@@ -22,23 +24,25 @@ def in_order(value: str, order: str = "serial") -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v")))), lambda x: x["v"])
 
 
-def records(cands: DataFrame) -> DataFrame:
-    """Candidates with the same quote (white space and case aside) in one source as one record, placed by the first."""
+def records(cands: DataFrame, unions: tuple[str, ...] = UNIONS) -> DataFrame:
+    """Candidates with the same quote (white space and case aside) in one source as one record, placed by the first; with
+    those of the arrays in UNIONS that are asked for."""
     keyed = cands.withColumn("key", F.lower(F.regexp_replace("chunk", f"{T.S}+", "")))
     if "origin_kind" not in keyed.columns:
         keyed = keyed.withColumn("origin_kind", F.lit("source"))
     if "confidence" not in keyed.columns:
         keyed = keyed.withColumn("confidence", F.lit("not_applicable"))
-    held = F.struct("serial", "chunk", "source_shape", "candidate_id", "pdf_page", "heading", "heading_basis", "origin_kind", "confidence", *UNIONS)
+    held = F.struct("serial", "chunk", "source_shape", "candidate_id", "pdf_page", "heading", "heading_basis", "origin_kind", "confidence", *unions)
     one = lambda c, name: F.array_distinct(F.col(f"own.{c}")).alias(name)
     out = keyed.groupBy("source_id", "key").agg(F.array_sort(F.collect_list(held)).alias("own")).select(
         "source_id", "key", F.col("own")[0]["serial"].alias("ord"), F.col("own")[0]["chunk"].alias("quote"), F.col("own")[0]["source_shape"].alias("source_shape"), F.col("own.candidate_id").alias("candidate_ids"),
         one("pdf_page", "pdf_pages"), one("heading", "context_headings"), one("heading_basis", "context_heading_bases"), one("origin_kind", "origin_kinds"), one("confidence", "source_confidences"),
-        *[F.array_distinct(F.flatten(f"own.{c}")).alias(c) for c in UNIONS],
+        *[F.array_distinct(F.flatten(f"own.{c}")).alias(c) for c in unions],
     )
     near = F.col("neighbor_candidate_ids")
-    out = out.withColumn("neighbor_candidate_count", F.size(near)).withColumn("neighbor_candidate_ids", F.slice(near, 1, 12)).drop("key")
-    return ordinal(out, "record_no", ["source_id"], F.floor(F.col("ord") / 1024), "ord")
+    if "neighbor_candidate_ids" in unions:
+        out = out.withColumn("neighbor_candidate_count", F.size(near)).withColumn("neighbor_candidate_ids", F.slice(near, 1, 12))
+    return numbered(out.drop("key"), "record_no", ["source_id"], "ord")
 
 
 def packed(items: Column, weights: tuple[tuple[str, int], ...]) -> Column:
@@ -59,20 +63,20 @@ def packed(items: Column, weights: tuple[tuple[str, int], ...]) -> Column:
 
 
 def groups(recs: DataFrame, max_candidates: int = MAX_CANDIDATES, max_chars: int = MAX_CHARS) -> DataFrame:
-    """Records packed inside runs of one first page, never split; with the records before and after as context."""
+    """Records packed inside runs of one first page, never split; with the records before and after as context.
+
+    A run's records are packed as they are, each with its neighbours' texts, so records are read once and joined with nothing."""
     rows = recs.withColumn("page", F.col("pdf_pages")[0]).withColumn("chars", F.length("quote").cast("long")).withColumn("cands", F.size("candidate_ids").cast("long"))
     rows = rows.withColumn("ocr", ~F.array_contains("origin_kinds", "source"))  # recognised text follows the native text
-    item = F.struct("record_no", "chars", "cands")
+    w = Window.partitionBy("source_id").orderBy("record_no")
+    context, no = F.struct("candidate_ids", "quote"), F.col("record_no")
+    rows = rows.withColumn("before", F.when(F.lag("record_no").over(w) == no - 1, F.lag(context).over(w))).withColumn("after", F.when(F.lead("record_no").over(w) == no + 1, F.lead(context).over(w)))
+    segment = F.struct("record_no", *[c for c in SEGMENT if c in rows.columns])
+    item = F.struct("record_no", "chars", "cands", segment.alias("segment"), "before", "after")
     runs = rows.groupBy("source_id", "ocr", "page").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    runs = runs.select("source_id", "ocr", "page", F.posexplode(packed(F.col("items"), (("chars", max_chars), ("cands", max_candidates)))).alias("bin", "own"))
-    placed = runs.select("source_id", F.explode("own.record_no").alias("record_no"), "ocr", F.col("page").alias("first_page"), "bin")
-    segment = F.struct("record_no", "candidate_ids", "pdf_pages", "context_headings", "quote", "system_hints", "space_hints", "business_axes", "preservation_terms", "source_shape", "origin_kinds", "source_confidences", "text_quality_flags", "signal_flags")
-    out = rows.join(placed, ["source_id", "record_no", "ocr"]).groupBy("source_id", "ocr", "first_page", "bin").agg(F.array_sort(F.collect_list(segment)).alias("segments"), F.min("record_no").alias("first"), F.max("record_no").alias("last"))
-    out = ordinal(out, "group_no", ["source_id"], F.floor(F.col("first") / 512), "first")
-    near = recs.select("source_id", "record_no", F.struct("candidate_ids", "quote").alias("context"))
-    lead = near.select("source_id", (F.col("record_no") + 1).alias("first"), F.col("context").alias("leading_context"))
-    trail = near.select("source_id", (F.col("record_no") - 1).alias("last"), F.col("context").alias("trailing_context"))
-    out = out.join(lead, ["source_id", "first"], "left").join(trail, ["source_id", "last"], "left")
+    runs = runs.select("source_id", F.explode(packed(F.col("items"), (("chars", max_chars), ("cands", max_candidates)))).alias("own"))
+    out = runs.select("source_id", F.col("own.segment").alias("segments"), F.col("own")[0]["record_no"].alias("first"), F.col("own")[0]["before"].alias("leading_context"), F.element_at("own", -1)["after"].alias("trailing_context"))
+    out = numbered(out, "group_no", ["source_id"], "first")
     flat = lambda name: F.flatten(F.transform("segments", lambda s: s[name]))
     return out.select(
         "source_id", "group_no", F.format_string("EGRP-%04d", "group_no").alias("evidence_group_id"), flat("candidate_ids").alias("route_candidate_ids"), F.array_distinct(flat("pdf_pages")).alias("pdf_pages"),
@@ -109,13 +113,15 @@ def outline(grouped: DataFrame) -> DataFrame:
 
 
 def screening_batches(sized: DataFrame, max_groups: int = MAX_GROUPS, max_chars: int = MAX_BATCH_CHARS) -> DataFrame:
-    """sized: source_id, group_no, evidence_group_id, pdf_pages, chars. Bins of at most max_groups and max_chars, in order."""
+    """sized: source_id, group_no, evidence_group_id, pdf_pages, chars. Bins of at most max_groups and max_chars, in order;
+    where sized has markdown, body is that of the bin's groups."""
     if max_groups < 1 or max_chars < 4000:
         raise ValueError("screening batch limits are too small")
-    item = F.struct("group_no", F.col("chars").cast("long").alias("chars"), F.lit(1).cast("long").alias("one"), "evidence_group_id", "pdf_pages")
+    item = F.struct("group_no", F.col("chars").cast("long").alias("chars"), F.lit(1).cast("long").alias("one"), "evidence_group_id", "pdf_pages", *(["markdown"] if "markdown" in sized.columns else []))
     rows = sized.groupBy("source_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
     rows = rows.select("source_id", F.posexplode(packed(F.col("items"), (("one", max_groups), ("chars", max_chars)))).alias("k", "own"))
     return rows.select(
         "source_id", F.format_string("SB-%03d", F.col("k") + 1).alias("batch_id"), F.col("own.evidence_group_id").alias("evidence_group_ids"),
         F.array_sort(F.array_distinct(F.flatten("own.pdf_pages"))).alias("pdf_pages"), F.aggregate("own.chars", F.lit(0).cast("long"), lambda a, x: a + x).alias("source_chars"),
+        *([F.array_join("own.markdown", "\n").alias("body")] if "markdown" in sized.columns else []),
     )

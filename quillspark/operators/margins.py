@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..functions import text as T
+from ..sources.documents import block_lines
 
 
 def is_margin_noise(line, lex: L.Lexicon = L.DOMAIN):
@@ -16,6 +17,12 @@ def is_margin_noise(line, lex: L.Lexicon = L.DOMAIN):
     return F.length(key).between(2, 45) & ~L.has_obligation(line, key, lex) & ~L.any_term(key, lex.semantic + systems)
 
 
+def edge_keys(texts: Column, lex: L.Lexicon, edge: int) -> Column:
+    """The distinct keys of a page's first and last lines that can be furniture."""
+    ends = F.concat(F.slice(texts, 1, edge), F.slice(texts, F.greatest(F.size(texts) - edge + 1, F.lit(1)), edge))
+    return F.array_distinct(F.transform(F.filter(ends, lambda x: is_margin_noise(x, lex)), T.semantic_key))
+
+
 def repeated_margin_lines(blocks: DataFrame, pages: DataFrame, lex: L.Lexicon = L.DOMAIN, edge: int = 3, share: float = 0.15) -> DataFrame:
     """source_id, line_key, n_pages: keys among the first and last `edge` lines of at least max(3, share of the pages) pages.
 
@@ -23,10 +30,7 @@ def repeated_margin_lines(blocks: DataFrame, pages: DataFrame, lex: L.Lexicon =
     """
     lines = F.array_sort(F.collect_list(F.struct("block_index", "block")))
     edges = blocks.groupBy("source_id", "pdf_page").agg(lines.alias("ls"))
-    texts = F.transform("ls", lambda x: x["block"])
-    size = F.size("ls")
-    ends = F.concat(F.slice(texts, 1, edge), F.slice(texts, F.greatest(size - edge + 1, F.lit(1)), edge))
-    keys = F.array_distinct(F.transform(F.filter(ends, lambda x: is_margin_noise(x, lex)), T.semantic_key))
+    keys = edge_keys(F.transform("ls", lambda x: x["block"]), lex, edge)
     counts = edges.select("source_id", F.explode(keys).alias("line_key")).groupBy("source_id", "line_key").agg(F.count("*").alias("n_pages"))
     totals = pages.groupBy("source_id").agg(F.count("*").alias("n_all"))
     limit = F.greatest(F.lit(3), F.floor(F.col("n_all") * share))
@@ -39,3 +43,16 @@ def remove_margin_noise(blocks: DataFrame, repeated: DataFrame) -> DataFrame:
     left = keyed.join(repeated.select("source_id", "line_key"), ["source_id", "line_key"], "left_anti")
     kept = left.groupBy("source_id", "pdf_page").agg(F.array_sort(F.collect_list(F.struct("block_index", "block"))).alias("ls"))
     return kept.select("source_id", "pdf_page", F.posexplode("ls").alias("pos", "x")).select("source_id", "pdf_page", (F.col("pos") + 1).alias("block_index"), F.col("x.block").alias("block"))
+
+
+def cleaned_blocks(pages: DataFrame, lex: L.Lexicon = L.DOMAIN, edge: int = 3, share: float = 0.15) -> DataFrame:
+    """The blocks of pages without repeated lines: what remove_margin_noise leaves, with lines kept in their page's row.
+    Repeated keys are counted, and come back, by source alone, so pages dealt by source stay where they are."""
+    lined = pages.select("source_id", "pdf_page", block_lines(F.col("text")).alias("ls"))
+    seen = lined.groupBy("source_id").agg(F.max("pdf_page").alias("n_all"), F.flatten(F.collect_list(edge_keys(F.col("ls"), lex, edge))).alias("keys"))  # pages are numbered from 1
+    counts = seen.select("source_id", "n_all", F.explode("keys").alias("line_key")).groupBy("source_id", "n_all", "line_key").agg(F.count("*").alias("n_pages"))
+    often = counts.where(F.col("n_pages") >= F.greatest(F.lit(3), F.floor(F.col("n_all") * share)))
+    noise = often.groupBy("source_id").agg(F.collect_list("line_key").alias("noise"))
+    left = F.when(F.col("noise").isNull(), F.col("ls")).otherwise(F.filter("ls", lambda x: ~F.array_contains("noise", T.semantic_key(x))))
+    rows = lined.join(noise, "source_id", "left").select("source_id", "pdf_page", F.posexplode(left).alias("pos", "block"))
+    return rows.select("source_id", "pdf_page", (F.col("pos") + 1).alias("block_index"), "block")

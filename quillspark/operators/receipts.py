@@ -56,22 +56,32 @@ def total_errors(batches: DataFrame, manifest: DataFrame) -> DataFrame:
     return first_failure(rows, [(F.col("n") != F.col("batch_count"), "batch count mismatch"), (F.col("pages") != F.array_sort(F.array_distinct("covered_pdf_pages")), "page coverage mismatch"), (F.col("groups") != F.col("evidence_group_count"), "evidence-group coverage mismatch")], ["source_id"])
 
 
+def package_facts(text: Column) -> Column:
+    """All that receipts and gates take from a package's text, so that the text itself need not be joined with them."""
+    one = lambda p: F.nullif(F.regexp_extract(text, "(?m)" + p, 1), F.lit(""))
+    done, total = (F.nullif(F.regexp_extract(text, r"(?m)^- 已閱讀批次：(\d+)\s*/\s*(\d+)$", i), F.lit("")).cast("int") for i in (1, 2))
+    return F.struct(
+        text.isNull().alias("missing"), F.contains(text, F.lit("# 弱電來源包")).alias("header"), T.squeeze(one(r"^- 來源文件：(.+)$")).alias("name"), F.lower(one(r"^- 來源 SHA-256：`?([0-9a-fA-F]{64})`?$")).alias("sha"),
+        done.alias("done"), total.alias("total"), F.regexp_extract_all(text, F.lit(r"<!--\s*screened:(SB-\d{3})\s*-->"), F.lit(1)).alias("ids"),
+        F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(r"\b(CAND-[A-Z0-9-]+)\b"), F.lit(1)))).alias("retained"), F.sha2(text, 256).alias("sha256"),
+    )
+
+
 def receipts(batches: DataFrame, packages: DataFrame, sources: DataFrame) -> DataFrame:
-    """One receipt a source: what was screened, and the hash of the package's text. packages: source_id, text; sources:
-    source_id, source_name, source_sha256, pdf_page_count, extraction_batch_count."""
+    """One receipt a source: what was screened, and the hash of the package's text. packages: source_id, text (or facts, its
+    package_facts); sources: source_id, source_name, source_sha256, pdf_page_count, extraction_batch_count."""
     seen = batches.groupBy("source_id").agg(F.count("*").alias("screening_batch_count"), F.array_sort(F.collect_list("batch_id")).alias("screened_batch_ids"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("pdf_pages")))).alias("screened_pdf_pages"), F.sum(F.size("evidence_group_ids")).alias("screened_evidence_group_count"))
-    ids = F.array_distinct(F.regexp_extract_all("text", F.lit(r"\b(CAND-[A-Z0-9-]+)\b"), F.lit(1)))
-    own = packages.select("source_id", F.size(ids).alias("retained_candidate_id_count"), F.sha2("text", 256).alias("package_sha256"))
+    facts = packages.select("source_id", "facts" if "facts" in packages.columns else package_facts(F.col("text")).alias("facts"))
+    own = facts.select("source_id", F.col("facts.retained").alias("retained_candidate_id_count"), F.col("facts.sha256").alias("package_sha256"))
     return sources.join(seen, "source_id").join(own, "source_id").withColumn("stage", F.lit("weak_current_source_complete"))
 
 
 def gate_errors(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """rows: keys, text (the package), master_file, master_sha256, and a receipt struct r (null: none). First failure each."""
-    text = F.col("text")
-    one = lambda p: F.nullif(F.regexp_extract(text, "(?m)" + p, 1), F.lit(""))
-    name, sha = T.squeeze(one(r"^- 來源文件：(.+)$")), F.lower(one(r"^- 來源 SHA-256：`?([0-9a-fA-F]{64})`?$"))
-    done, total = (F.nullif(F.regexp_extract(text, r"(?m)^- 已閱讀批次：(\d+)\s*/\s*(\d+)$", i), F.lit("")).cast("int") for i in (1, 2))
-    ids = F.regexp_extract_all(text, F.lit(r"<!--\s*screened:(SB-\d{3})\s*-->"), F.lit(1))
+    """rows: keys, text (the package; or facts, its package_facts), master_file, master_sha256, and a receipt struct r (null:
+    none). First failure each."""
+    if "facts" not in rows.columns:
+        rows = rows.withColumn("facts", package_facts(F.col("text")))
+    missing, header, name, sha, done, total, ids = (F.col(f"facts.{c}") for c in ("missing", "header", "name", "sha", "done", "total", "ids"))
     base = lambda c: F.lower(F.regexp_replace(c, r"^.*[/\\]", ""))
     r = lambda c: F.col(f"r.{c}")
     needed = ("source_name", "source_sha256", "pdf_page_count", "extraction_batch_count", "screening_batch_count", "screened_batch_ids", "screened_evidence_group_count", "package_sha256", "stage")
@@ -79,10 +89,10 @@ def gate_errors(rows: DataFrame, keys: list[str]) -> DataFrame:
     for c in needed:
         incomplete = incomplete | r(c).isNull()
     rules = [
-        (text.isNull(), "source package missing"), (~F.contains(text, F.lit("# 弱電來源包")), "header missing"), (name.isNull() | sha.isNull() | total.isNull(), "metadata incomplete"),
+        (F.coalesce(missing, F.lit(True)), "source package missing"), (~header, "header missing"), (name.isNull() | sha.isNull() | total.isNull(), "metadata incomplete"),
         ((total < 1) | (done != total), "not every batch was screened"), (F.size(ids) != total, "marker count"), (base(F.col("master_file")) != base(name), "master file mismatch"), (F.lower("master_sha256") != sha, "master sha mismatch"),
         (F.col("r").isNull(), "receipt missing"), (incomplete, "receipt incomplete"), (r("stage") != "weak_current_source_complete", "receipt not complete"), (base(r("source_name")) != base(name), "receipt file mismatch"), (F.lower(r("source_sha256")) != sha, "receipt sha mismatch"),
-        (F.lower(r("package_sha256")) != F.sha2(text, 256), "package hash mismatch"), ((r("screening_batch_count") != total) | (r("screened_batch_ids") != ids), "batch coverage mismatch"), ((r("pdf_page_count") < 1) | (r("extraction_batch_count") < 1), "invalid coverage"),
+        (F.lower(r("package_sha256")) != F.col("facts.sha256"), "package hash mismatch"), ((r("screening_batch_count") != total) | (r("screened_batch_ids") != ids), "batch coverage mismatch"), ((r("pdf_page_count") < 1) | (r("extraction_batch_count") < 1), "invalid coverage"),
         (r("extraction_batch_count") < F.floor((r("pdf_page_count") + 29) / 30), "implausible extraction batches"), (r("screened_evidence_group_count") < 1, "no evidence groups"),
     ]
     return first_failure(rows, rules, keys)

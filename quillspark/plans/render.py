@@ -99,8 +99,18 @@ def screening_sources(rendered: DataFrame, batches: DataFrame) -> DataFrame:
     """The text that a reader of each batch gets: what to mark, then its groups."""
     rows = batches.select("source_id", "batch_id", "pdf_pages", "evidence_group_ids", F.explode("evidence_group_ids").alias("evidence_group_id"))
     body = rows.join(rendered.select("source_id", "evidence_group_id", "group_no", "markdown"), ["source_id", "evidence_group_id"]).groupBy("source_id", "batch_id").agg(joined("markdown", "group_no").alias("body"))
-    mark = F.concat(F.lit("<!-- screened:"), "batch_id", F.lit(" -->\n<!-- reviewed-pages:"), F.array_join("pdf_pages", ","), F.lit(" -->\n<!-- reviewed-groups:"), F.array_join("evidence_group_ids", ","), F.lit(" -->"))
-    return batches.join(body, ["source_id", "batch_id"]).select("source_id", "batch_id", mark.alias("markers"), F.concat(F.lit("# "), "batch_id", F.lit(" | 弱電來源篩選\n\n"), mark, F.lit("\n\n---\n\n"), "body").alias("text"))
+    return screening_texts(batches.join(body, ["source_id", "batch_id"]))
+
+
+def screening_mark() -> Column:
+    """What a result of a batch must hold: its id, pages and groups."""
+    return F.concat(F.lit("<!-- screened:"), "batch_id", F.lit(" -->\n<!-- reviewed-pages:"), F.array_join("pdf_pages", ","), F.lit(" -->\n<!-- reviewed-groups:"), F.array_join("evidence_group_ids", ","), F.lit(" -->"))
+
+
+def screening_texts(batches: DataFrame) -> DataFrame:
+    """The same of batches that hold their groups' body: source_id, batch_id, markers, text."""
+    mark = screening_mark()
+    return batches.select("source_id", "batch_id", mark.alias("markers"), F.concat(F.lit("# "), "batch_id", F.lit(" | 弱電來源篩選\n\n"), mark, F.lit("\n\n---\n\n"), "body").alias("text"))
 
 
 def screened_package(results: DataFrame, sources: DataFrame) -> DataFrame:

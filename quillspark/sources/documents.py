@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators.ordinals import ordinal
+from ..operators.ordinals import numbered, ordinal
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,10 +26,20 @@ def pages(docs: DataFrame, source: str = "source", order: str = "doc_id", text:
     return ordinal(rows, "pdf_page", ["source_id"], F.floor(F.col("doc_id") / width), "doc_id")
 
 
+def pages_by_source(docs: DataFrame, source: str = "source", order: str = "doc_id", text: str = "text") -> DataFrame:
+    """The same pages, dealt to tasks by source, which is bounded. Steps that stay inside a source move nothing after that."""
+    rows = docs.select(F.col(source).alias("source_id"), F.col(order).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return numbered(rows.repartition("source_id"), "pdf_page", ["source_id"], "doc_id")
+
+
+def block_lines(text: Column) -> Column:
+    """The non-blank lines of a page, cleaned."""
+    return F.filter(F.transform(T.lines(text), T.clean_text), lambda x: x != "")
+
+
 def blocks(pages: DataFrame) -> DataFrame:
     """The non-blank lines of each page, cleaned, numbered from 1."""
-    cleaned = F.filter(F.transform(T.lines(F.col("text")), T.clean_text), lambda x: x != "")
-    rows = pages.select("source_id", "pdf_page", F.posexplode(cleaned).alias("pos", "block"))
+    rows = pages.select("source_id", "pdf_page", F.posexplode(block_lines(F.col("text"))).alias("pos", "block"))
     return rows.select("source_id", "pdf_page", (F.col("pos") + 1).alias("block_index"), "block")
 
 
