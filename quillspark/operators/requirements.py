@@ -40,11 +40,11 @@ def master_lines(docs: DataFrame, doc: str = "doc", text: str = "text") -> DataF
     rows = rows.withColumn("section", F.coalesce(F.last(F.when(F.col("is_section"), title(4)), ignorenulls=True).over(w), F.lit("")))
     in_tree = F.col("section") == TREE
     is_system, is_group = in_tree & F.startswith(line, F.lit("### ")), in_tree & F.startswith(line, F.lit("#### "))
-    item = F.regexp_extract(line, r"^- \[((REQ|REV|CTX)-M1-\d{4})\]\s+.+$", 1)
+    item = F.regexp_extract(line, r"^- \[((REQ|REV|CTX)-M1-\d{4,})\]\s+.+$", 1)
     kind = F.substring(item, 1, 3)
     fits = ((kind == "REQ") & in_tree) | ((kind == "REV") & (F.col("section") == REVIEW)) | ((kind == "CTX") & (F.col("section") == CONTEXT))
     rows = rows.withColumn("is_system", is_system & ~F.col("is_section")).withColumn("is_group", is_group & ~F.col("is_section"))
-    rows = rows.withColumn("item_at", F.when(fits & (item != ""), F.struct("line_no", item.alias("id"), T.squeeze(F.regexp_extract(line, r"^- \[[A-Z]{3}-M1-\d{4}\]\s+(.+)$", 1)).alias("text"))))
+    rows = rows.withColumn("item_at", F.when(fits & (item != ""), F.struct("line_no", item.alias("id"), T.squeeze(F.regexp_extract(line, r"^- \[[A-Z]{3}-M1-\d{4,}\]\s+(.+)$", 1)).alias("text"))))
     last = lambda test, value: F.last(F.when(test, value), ignorenulls=True).over(w)
     rows = rows.withColumn("at_section", F.coalesce(last(F.col("is_section"), F.col("line_no")), F.lit(-1)))
     rows = rows.withColumn("sys", last(F.col("is_system"), F.struct("line_no", title(5).alias("t")))).withColumn("grp", last(F.col("is_group"), F.struct("line_no", title(6).alias("t"))))
