@@ -11,13 +11,15 @@ import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 #: Unicode white space, listed: flags for Unicode classes make Java's expressions slow.
 SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 S = f"[{SPACE}]"
+#: The same as characters.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c, re.ASCII))
 U = "(?U)"
 DASHES = "‐‑‒–—―－"
 KEY_GAPS = rf"[{SPACE}\-{DASHES}_/\\.]+"
@@ -36,8 +38,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def each(df: DataFrame, array: str, pos: str, value: str) -> DataFrame:
+    """df with a row for each item of column array, which goes, and its place from 0. Before a plain explode the optimizer
+    puts a filter with the array's whole expression, which is so computed twice; before an outer one it does not."""
+    return df.select(*[c for c in df.columns if c != array], F.posexplode_outer(array).alias(pos, value)).where(F.col(pos).isNotNull())
+
+
 def strip(s: Column) -> Column:
-    return F.regexp_replace(s, f"^{S}+|{S}+$", "")
+    return F.trim(s, F.lit(BLANKS))
 
 
 def squeeze(s: Column) -> Column:
@@ -71,10 +79,13 @@ def filled_lines(s: Column) -> Column:
 
 def is_navigation(s: Column) -> Column:
     """Nothing but numbers and rules, or two lines and more of which 60 % end like a table of contents."""
-    text = strip(s)
-    full = filled_lines(text)
-    leaders = F.size(F.filter(full, lambda x: x.rlike(r"(\.{4,}|…{2,}|·{4,})\s*\d*\s*$")))
-    return (text == "") | text.rlike(rf"^[\d{SPACE}\-–—_/]+$") | ((F.size(full) >= 2) & (leaders >= F.size(full) * 0.6))
+
+    def contents(full: Column) -> Column:
+        leaders = F.size(F.filter(full, lambda x: x.rlike(r"(\.{4,}|…{2,}|·{4,})\s*\d*\s*$")))
+        return (F.size(full) >= 2) & (leaders >= F.size(full) * 0.6)
+
+    several = lambda text: F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))
+    return let(strip(s), lambda text: (text == "") | text.rlike(rf"^[\d{SPACE}\-–—_/]+$") | (several(text) & let(filled_lines(text), contents)))
 
 
 def ocr_usable(s: Column, images: Column) -> Column:

@@ -15,11 +15,14 @@ STOP_TERMS = ("PDF", "PAGE", "THE", "AND", "FOR")
 
 def is_heading(line: Column, lex: L.Lexicon = L.DOMAIN) -> Column:
     """Whether a line can be a heading: short, no obligation, no sentence; numbered, or with a heading term."""
-    s = T.clean_text(line)
-    key = T.semantic_key(s)
-    no = s.rlike(rf"^[\d{T.SPACE}./\-–—()（）%]+$") | L.has_obligation(s, key, lex) | s.rlike(T.SENTENCE_END + "$") | (F.regexp_count(s, F.lit("[，,：:]")) >= 3)
-    yes = s.rlike(r"^第.{1,12}[章節篇]") | s.rlike(rf"^\d+([.\-]\d+){{1,5}}\s*[{T.CJK}A-Za-z]") | s.rlike(rf"^\d+[、.]\s*[{T.CJK}A-Za-z]{{2,}}")
-    return F.length(s).between(2, 90) & ~no & (yes | L.any_term(key, lex.headings + lex.plain_headings))
+
+    def test(s: Column) -> Column:
+        key = T.semantic_key(s)
+        no = s.rlike(rf"^[\d{T.SPACE}./\-–—()（）%]+$") | L.has_obligation(s, key, lex) | s.rlike(T.SENTENCE_END + "$") | (F.regexp_count(s, F.lit("[，,：:]")) >= 3)
+        yes = s.rlike(r"^第.{1,12}[章節篇]") | s.rlike(rf"^\d+([.\-]\d+){{1,5}}\s*[{T.CJK}A-Za-z]") | s.rlike(rf"^\d+[、.]\s*[{T.CJK}A-Za-z]{{2,}}")
+        return F.length(s).between(2, 90) & ~no & (yes | L.any_term(key, lex.headings + lex.plain_headings))
+
+    return T.let(T.clean_text(line), test)
 
 
 def context_headings(blocks: DataFrame, lex: L.Lexicon = L.DOMAIN, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -58,5 +58,5 @@ def chunks_of(block: Column, lex: L.Lexicon = L.DOMAIN, limit: int = LIMIT, over
 def chunks(blocks: DataFrame, lex: L.Lexicon = L.DOMAIN, limit: int = LIMIT, overlap: int = OVERLAP, keep: tuple[str, ...] = ()) -> DataFrame:
     """source_id, pdf_page, block_index, chunk_index, chunk, and the blocks' columns in keep; chunks that only navigate are
     kept and marked."""
-    rows = blocks.select("source_id", "pdf_page", "block_index", *keep, F.posexplode(chunks_of(F.col("block"), lex, limit, overlap)).alias("pos", "chunk"))
+    rows = T.each(blocks.select("source_id", "pdf_page", "block_index", *keep, chunks_of(F.col("block"), lex, limit, overlap).alias("own")), "own", "pos", "chunk")
     return rows.select("source_id", "pdf_page", "block_index", *keep, (F.col("pos") + 1).alias("chunk_index"), "chunk", T.is_navigation(F.col("chunk")).alias("is_navigation"))

@@ -65,16 +65,18 @@ def packed(items: Column, weights: tuple[tuple[str, int], ...]) -> Column:
 def groups(recs: DataFrame, max_candidates: int = MAX_CANDIDATES, max_chars: int = MAX_CHARS) -> DataFrame:
     """Records packed inside runs of one first page, never split; with the records before and after as context.
 
-    A run's records are packed as they are, each with its neighbours' texts, so records are read once and joined with nothing."""
-    rows = recs.withColumn("page", F.col("pdf_pages")[0]).withColumn("chars", F.length("quote").cast("long")).withColumn("cands", F.size("candidate_ids").cast("long"))
+    A run's records are packed as they are, each with its neighbours' texts, so records are read once and joined with nothing.
+    Records that have chars in place of a quote give groups without texts."""
+    rows = recs if "chars" in recs.columns else recs.withColumn("chars", F.length("quote").cast("long"))
+    rows = rows.withColumn("page", F.col("pdf_pages")[0]).withColumn("cands", F.size("candidate_ids").cast("long"))
     rows = rows.withColumn("ocr", ~F.array_contains("origin_kinds", "source"))  # recognised text follows the native text
     w = Window.partitionBy("source_id").orderBy("record_no")
-    context, no = F.struct("candidate_ids", "quote"), F.col("record_no")
+    context, no = F.struct("candidate_ids", *(["quote"] if "quote" in rows.columns else [])), F.col("record_no")
     rows = rows.withColumn("before", F.when(F.lag("record_no").over(w) == no - 1, F.lag(context).over(w))).withColumn("after", F.when(F.lead("record_no").over(w) == no + 1, F.lead(context).over(w)))
     segment = F.struct("record_no", *[c for c in SEGMENT if c in rows.columns])
     item = F.struct("record_no", "chars", "cands", segment.alias("segment"), "before", "after")
     runs = rows.groupBy("source_id", "ocr", "page").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    runs = runs.select("source_id", F.explode(packed(F.col("items"), (("chars", max_chars), ("cands", max_candidates)))).alias("own"))
+    runs = runs.select("source_id", F.explode_outer(packed(F.col("items"), (("chars", max_chars), ("cands", max_candidates)))).alias("own"))  # outer: see T.each
     out = runs.select("source_id", F.col("own.segment").alias("segments"), F.col("own")[0]["record_no"].alias("first"), F.col("own")[0]["before"].alias("leading_context"), F.element_at("own", -1)["after"].alias("trailing_context"))
     out = numbered(out, "group_no", ["source_id"], "first")
     flat = lambda name: F.flatten(F.transform("segments", lambda s: s[name]))
@@ -119,7 +121,7 @@ def screening_batches(sized: DataFrame, max_groups: int = MAX_GROUPS, max_chars:
         raise ValueError("screening batch limits are too small")
     item = F.struct("group_no", F.col("chars").cast("long").alias("chars"), F.lit(1).cast("long").alias("one"), "evidence_group_id", "pdf_pages", *(["markdown"] if "markdown" in sized.columns else []))
     rows = sized.groupBy("source_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    rows = rows.select("source_id", F.posexplode(packed(F.col("items"), (("one", max_groups), ("chars", max_chars)))).alias("k", "own"))
+    rows = T.each(rows.select("source_id", packed(F.col("items"), (("one", max_groups), ("chars", max_chars))).alias("bins")), "bins", "k", "own")
     return rows.select(
         "source_id", F.format_string("SB-%03d", F.col("k") + 1).alias("batch_id"), F.col("own.evidence_group_id").alias("evidence_group_ids"),
         F.array_sort(F.array_distinct(F.flatten("own.pdf_pages"))).alias("pdf_pages"), F.aggregate("own.chars", F.lit(0).cast("long"), lambda a, x: a + x).alias("source_chars"),

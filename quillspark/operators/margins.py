@@ -12,9 +12,8 @@ from ..sources.documents import block_lines
 
 def is_margin_noise(line, lex: L.Lexicon = L.DOMAIN):
     """Short lines without obligations, semantic terms or systems."""
-    key = T.semantic_key(line)
     systems = [t for terms in lex.systems.values() for t in terms]
-    return F.length(key).between(2, 45) & ~L.has_obligation(line, key, lex) & ~L.any_term(key, lex.semantic + systems)
+    return T.let(T.semantic_key(line), lambda key: F.length(key).between(2, 45) & ~L.has_obligation(line, key, lex) & ~L.any_term(key, lex.semantic + systems))
 
 
 def edge_keys(texts: Column, lex: L.Lexicon, edge: int) -> Column:
@@ -47,12 +46,17 @@ def remove_margin_noise(blocks: DataFrame, repeated: DataFrame) -> DataFrame:
 
 def cleaned_blocks(pages: DataFrame, lex: L.Lexicon = L.DOMAIN, edge: int = 3, share: float = 0.15) -> DataFrame:
     """The blocks of pages without repeated lines: what remove_margin_noise leaves, with lines kept in their page's row.
-    Repeated keys are counted, and come back, by source alone, so pages dealt by source stay where they are."""
-    lined = pages.select("source_id", "pdf_page", block_lines(F.col("text")).alias("ls"))
-    seen = lined.groupBy("source_id").agg(F.max("pdf_page").alias("n_all"), F.flatten(F.collect_list(edge_keys(F.col("ls"), lex, edge))).alias("keys"))  # pages are numbered from 1
-    counts = seen.select("source_id", "n_all", F.explode("keys").alias("line_key")).groupBy("source_id", "n_all", "line_key").agg(F.count("*").alias("n_pages"))
-    often = counts.where(F.col("n_pages") >= F.greatest(F.lit(3), F.floor(F.col("n_all") * share)))
-    noise = often.groupBy("source_id").agg(F.collect_list("line_key").alias("noise"))
-    left = F.when(F.col("noise").isNull(), F.col("ls")).otherwise(F.filter("ls", lambda x: ~F.array_contains("noise", T.semantic_key(x))))
-    rows = lined.join(noise, "source_id", "left").select("source_id", "pdf_page", F.posexplode(left).alias("pos", "block"))
-    return rows.select("source_id", "pdf_page", (F.col("pos") + 1).alias("block_index"), "block")
+    A source's pages are one row, in which its repeated keys are found, so pages are read once and joined with nothing."""
+    page = F.struct("pdf_page", block_lines(F.col("text")).alias("ls"))
+    own = pages.select("source_id", page.alias("page")).groupBy("source_id").agg(F.collect_list("page").alias("pages"))
+    least = F.greatest(F.lit(3), F.floor(F.size("pages") * share)).cast("int")
+    keys = F.array_sort(F.flatten(F.transform("pages", lambda p: edge_keys(p["ls"], lex, edge))))
+    # a page's keys are distinct; sorted, a key of `least` pages stands again least - 1 places on
+    noise = T.let(keys, lambda ks: F.array_distinct(F.filter(ks, lambda x, i: x == F.get(ks, i + least - 1))))
+
+    def left(ls: Column, found: Column) -> Column:
+        return F.when(F.size(found) == 0, ls).otherwise(F.filter(ls, lambda x: ~F.array_contains(found, T.semantic_key(x))))
+
+    kept = T.let(noise, lambda found: F.transform("pages", lambda p: F.struct(p["pdf_page"].alias("pdf_page"), left(p["ls"], found).alias("ls"))))
+    rows = T.each(own.select("source_id", kept.alias("pages")), "pages", "at", "page").select("source_id", "page.pdf_page", "page.ls")
+    return T.each(rows, "ls", "pos", "block").select("source_id", "pdf_page", (F.col("pos") + 1).alias("block_index"), "block")

@@ -107,17 +107,19 @@ def screening_mark() -> Column:
     return F.concat(F.lit("<!-- screened:"), "batch_id", F.lit(" -->\n<!-- reviewed-pages:"), F.array_join("pdf_pages", ","), F.lit(" -->\n<!-- reviewed-groups:"), F.array_join("evidence_group_ids", ","), F.lit(" -->"))
 
 
-def screening_texts(batches: DataFrame) -> DataFrame:
-    """The same of batches that hold their groups' body: source_id, batch_id, markers, text."""
+def screening_texts(batches: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The same of batches that hold their groups' body: source_id, batch_id, the columns in keep, markers, text."""
     mark = screening_mark()
-    return batches.select("source_id", "batch_id", mark.alias("markers"), F.concat(F.lit("# "), "batch_id", F.lit(" | 弱電來源篩選\n\n"), mark, F.lit("\n\n---\n\n"), "body").alias("text"))
+    return batches.select("source_id", "batch_id", *keep, mark.alias("markers"), F.concat(F.lit("# "), "batch_id", F.lit(" | 弱電來源篩選\n\n"), mark, F.lit("\n\n---\n\n"), "body").alias("text"))
 
 
-def screened_package(results: DataFrame, sources: DataFrame) -> DataFrame:
-    """results: source_id, batch_id, text. One package per source, the results in order."""
-    body = results.groupBy("source_id").agg(joined("text", "batch_id", "\n\n---\n\n").alias("body"), F.count("*").alias("n"))
+def screened_package(results: DataFrame, sources: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """results: source_id, batch_id, text. One package per source, the results in order; where columns are to be kept,
+    batches has them with their batch_id."""
+    kept = [F.collect_list(F.struct("batch_id", *keep)).alias("batches")] if keep else []
+    body = results.groupBy("source_id").agg(joined("text", "batch_id", "\n\n---\n\n").alias("body"), F.count("*").alias("n"), *kept)
     head = F.concat(F.lit("# 弱電來源包\n\n## 文件資訊\n\n- 來源文件："), F.coalesce("name", F.lit("unknown")), F.lit("\n- 來源 SHA-256：`"), F.coalesce("sha256", F.lit("unknown")), F.lit("`\n- 已閱讀批次："), F.col("n").cast("string"), F.lit(" / "), F.col("n").cast("string"), F.lit("\n\n---\n\n"))
-    return body.join(sources, "source_id", "left").select("source_id", F.concat(head, "body", F.lit("\n")).alias("text"))
+    return body.join(sources, "source_id", "left").select("source_id", *(["batches"] if keep else []), F.concat(head, "body", F.lit("\n")).alias("text"))
 
 
 def page_header(printed: Column, page: Column, extra: Column | None = None) -> Column:

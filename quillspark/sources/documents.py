@@ -26,10 +26,21 @@ def pages(docs: DataFrame, source: str = "source", order: str = "doc_id", text:
     return ordinal(rows, "pdf_page", ["source_id"], F.floor(F.col("doc_id") / width), "doc_id")
 
 
-def pages_by_source(docs: DataFrame, source: str = "source", order: str = "doc_id", text: str = "text") -> DataFrame:
-    """The same pages, dealt to tasks by source, which is bounded. Steps that stay inside a source move nothing after that."""
+#: Text of a task that sources are dealt to, in bytes: its sorts and aggregates hold a multiple of that, and stay in memory.
+TASK_BYTES = 4 << 20
+
+
+def n_tasks(docs: DataFrame, text: str = "text") -> int:
+    """How many tasks sources are dealt to: by the bytes of all texts, which one scan sums."""
+    total = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+
+
+def pages_by_source(docs: DataFrame, tasks: int, source: str = "source", order: str = "doc_id", text: str = "text") -> DataFrame:
+    """The same pages, dealt to tasks by source, which is bounded. Steps that stay inside a source move nothing after that;
+    a given number of tasks isn't merged to fewer by adaptive execution, so that none of them has to spill."""
     rows = docs.select(F.col(source).alias("source_id"), F.col(order).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return numbered(rows.repartition("source_id"), "pdf_page", ["source_id"], "doc_id")
+    return numbered(rows.repartition(tasks, "source_id"), "pdf_page", ["source_id"], "doc_id")
 
 
 def block_lines(text: Column) -> Column:
