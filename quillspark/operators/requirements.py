@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,9 +67,11 @@ def _fields(rows: DataFrame, keys: list[str], labels: dict[str, str]) -> DataFra
     return rows.groupBy(*keys).agg(*[F.coalesce(F.when(F.bool_or(F.coalesce(F.col("meta.label") == label, F.lit(False))), value(label)), F.lit("")).alias(name) for label, name in labels.items()])
 
 
-def parse_master(docs: DataFrame, doc: str = "doc", text: str = "text") -> dict[str, DataFrame]:
-    """Tables of all masters in docs: project, summary, requirements, reviews, context, system_guidance, topic_guidance."""
-    rows = master_lines(docs, doc, text)
+def parse_master(docs: DataFrame, doc: str = "doc", text: str = "text", keep: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> dict[str, DataFrame]:
+    """Tables of all masters in docs: project, summary, requirements, reviews, context, system_guidance, topic_guidance.
+
+    keep: what is done with the lines, which all tables read; shared.cut, if several of them are needed."""
+    rows = keep(master_lines(docs, doc, text).select("doc", "line_no", "line", "is_title", "section", "system", "group", "item", "meta"))
     head = rows.where("section = ''")
     name = F.coalesce(F.max_by(F.when(F.col("is_title"), T.squeeze(F.split(F.substr("line", F.lit(3)), r"\|", 2)[0])), F.when(F.col("is_title"), F.col("line_no"))), F.lit("弱電需求圖譜"))
     project = rows.groupBy("doc").agg(name.alias("project_name")).join(_fields(head, ["doc"], LABELS["header"]), "doc", "left").withColumn("source_sha256", F.trim("source_sha256", F.lit("`")))

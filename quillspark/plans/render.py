@@ -159,20 +159,28 @@ def tree_text(req: DataFrame, project: str) -> DataFrame:
     return systems.agg(F.concat(F.lit(f"# {project}\n\n## 需求樹\n\n"), joined("part", "o")).alias("text"))
 
 
+def tree_marks() -> tuple[Column, tuple[Column, Column], tuple[Column, Column]]:
+    """The tree's HTML: a requirement's row, and what stands before and after the rows of a topic and the topics of a system.
+    Topics and systems have n and summary, systems also o and the first o of all."""
+    e = lambda c: T.html_escape(F.coalesce(F.col(c), F.lit("")))
+    meta = F.concat(F.lit('<span class="row-meta tree-node level-5"><span>'), e("requirement_id"), F.lit("</span><span>"), e("space"), F.lit('</span><span class="status status-'), e("status"), F.lit('">'), e("status"), F.lit("</span></span>"))
+    row = F.concat(F.lit('<button type="button" class="requirement-row" data-id="'), e("requirement_id"), F.lit('" data-system="'), e("system"), F.lit('" data-space="'), e("space"), F.lit('" data-status="'), e("status"), F.lit('"><span class="requirement-text tree-node level-4">'), e("text"), F.lit("</span>"), meta, F.lit("</button>"))
+    topic = F.concat(F.lit('<section class="group-block"><div class="group-heading"><div><h3 class="tree-node level-3">'), e("group"), F.lit("</h3><p>"), e("summary"), F.lit('</p></div><span class="group-count">'), F.col("n").cast("string"), F.lit(' 筆</span></div><div class="requirement-list">'))
+    shown = F.col("o") == F.col("first")
+    system = F.concat(F.lit('<section class="system-block tree-system" data-system="'), e("system"), F.lit('"><button class="system-toggle" type="button" aria-expanded="'), shown.cast("string"), F.lit('" aria-controls="'), T.slug(F.col("system")), F.lit('"><span class="system-title tree-node level-2">'), e("system"), F.lit('</span><span class="system-actions"><span class="count-badge">'), F.col("n").cast("string"), F.lit(' 筆</span><span class="toggle-marker" aria-hidden="true"></span></span></button><div class="system-groups" id="'), T.slug(F.col("system")), F.lit('"'), F.when(shown, "").otherwise(" hidden"), F.lit('><p class="system-summary">'), e("summary"), F.lit("</p>"))
+    return row, (topic, F.lit("</div></section>")), (system, F.lit("</div></section>"))
+
+
 def tree_html(req: DataFrame, guidance: DataFrame, topic_guidance: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One section of HTML per system (of each value of keys), with its topics and requirements; the first is expanded."""
     keys = keys or []
-    e = lambda c: T.html_escape(F.coalesce(c if isinstance(c, Column) else F.col(c), F.lit("")))
-    meta = F.concat(F.lit('<span class="row-meta tree-node level-5"><span>'), e("requirement_id"), F.lit("</span><span>"), e("space"), F.lit('</span><span class="status status-'), e("status"), F.lit('">'), e("status"), F.lit("</span></span>"))
-    row = F.concat(F.lit('<button type="button" class="requirement-row" data-id="'), e("requirement_id"), F.lit('" data-system="'), e("system"), F.lit('" data-space="'), e("space"), F.lit('" data-status="'), e("status"), F.lit('"><span class="requirement-text tree-node level-4">'), e("text"), F.lit("</span>"), meta, F.lit("</button>"))
+    row, topic, system = tree_marks()
     topics = req.withColumn("row", row).groupBy(*keys, "system", "group").agg(F.min("ord").alias("o"), F.count("*").alias("n"), joined("row", "ord", "").alias("rows")).join(topic_guidance.select(*keys, "system", "group", "summary"), [*keys, "system", "group"], "left")
-    block = F.concat(F.lit('<section class="group-block"><div class="group-heading"><div><h3 class="tree-node level-3">'), e("group"), F.lit("</h3><p>"), e("summary"), F.lit('</p></div><span class="group-count">'), F.col("n").cast("string"), F.lit(' 筆</span></div><div class="requirement-list">'), "rows", F.lit("</div></section>"))
+    block = F.concat(topic[0], "rows", topic[1])
     systems = topics.withColumn("block", block).groupBy(*keys, "system").agg(F.min("o").alias("o"), F.sum("n").alias("n"), joined("block", "o", "").alias("blocks")).join(guidance.select(*keys, "system", "summary"), [*keys, "system"], "left")
     first = systems.groupBy(*keys).agg(F.min("o").alias("first"))
-    shown = F.col("o") == F.col("first")
-    html = F.concat(F.lit('<section class="system-block tree-system" data-system="'), e("system"), F.lit('"><button class="system-toggle" type="button" aria-expanded="'), shown.cast("string"), F.lit('" aria-controls="'), T.slug(F.col("system")), F.lit('"><span class="system-title tree-node level-2">'), e("system"), F.lit('</span><span class="system-actions"><span class="count-badge">'), F.col("n").cast("string"), F.lit(' 筆</span><span class="toggle-marker" aria-hidden="true"></span></span></button><div class="system-groups" id="'), T.slug(F.col("system")), F.lit('"'), F.when(shown, "").otherwise(" hidden"), F.lit('><p class="system-summary">'), e("summary"), F.lit("</p>"), "blocks", F.lit("</div></section>"))
     rows = systems.join(first, keys) if keys else systems.join(F.broadcast(first))  # without keys first is one row
-    return rows.select(*keys, "system", "o", "n", html.alias("html"))
+    return rows.select(*keys, "system", "o", "n", F.concat(system[0], "blocks", system[1]).alias("html"))
 
 
 def cards(items: DataFrame, parts: list[tuple[str, str]], title: str, css: str) -> DataFrame:
